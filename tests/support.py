@@ -50,7 +50,7 @@ def _kind(series: pd.Series) -> str:
 
 
 def _cell(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and np.isnan(value)):
+    if value is None or pd.isna(value):
         return "<null>"
     if isinstance(value, float | np.floating):
         return repr(int(value)) if float(value).is_integer() else repr(float(value))

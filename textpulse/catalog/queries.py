@@ -13,7 +13,7 @@ from textpulse.functions.text import extract_content
 from textpulse.operators import evaluation as ev
 from textpulse.operators import metrics as mt
 from textpulse.operators import model as md
-from textpulse.operators.dedup import first_seen
+from textpulse.operators.dedup import first_seen, first_seen_stream
 from textpulse.operators.routing import (
     dead_letters,
     parse_failures,
@@ -284,19 +284,22 @@ def windowed_eval(spark: SparkSession, sf: str) -> DataFrame:
 def model_train_score(spark: SparkSession, sf: str) -> DataFrame:
     """The built-in training texts fitted, and the model applied to every document."""
     content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
-    scored = score_content(content, scorer=md.model_scorer(md.train_default(spark)))
+    scored = score_content(content, scorer=md.model_scorer(md.default_model(spark)))
     return scored.select("doc_id", "sentiment_result.*")
 
 
 def model_hybrid_score(spark: SparkSession, sf: str) -> DataFrame:
     content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
-    scored = score_content(content, scorer=md.hybrid_scorer(md.train_default(spark)))
+    scored = score_content(content, scorer=md.hybrid_scorer(md.default_model(spark)))
     return scored.select("doc_id", "sentiment_result.*")
 
 
-def _envelope_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _envelope_stream(
+    spark: SparkSession, sf: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     return tb.all_envelopes(
-        tb.stream_table(spark, sf, "documents"), tb.stream_table(spark, sf, "conversations")
+        tb.stream_table(spark, sf, "documents", max_files_per_trigger),
+        tb.stream_table(spark, sf, "conversations", max_files_per_trigger),
     )
 
 
@@ -304,7 +307,7 @@ def _run_scoring(spark: SparkSession, sf: str) -> str:
     """Stream both tables through the scoring job once; returns where it landed them."""
     root = scratch_dir(spark, "stream-scoring")
     query = jobs.start_scoring(
-        _envelope_stream(spark, sf),
+        _envelope_stream(spark, sf, max_files_per_trigger=1000),
         f"{root}/checkpoint",
         processed=[land_in_directory(f"{root}/processed")],
         dead=[land_in_directory(f"{root}/dead-letters")],
@@ -340,8 +343,6 @@ def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """First-seen posts and comments of a stream with repeats, by content type and id."""
-    from textpulse.operators.dedup import first_seen_stream
-
     root = scratch_dir(spark, "stream-dedup")
     content = valid_content(parse_messages(_envelope_stream(spark, sf)))
     number = F.regexp_extract("id", "^c?([0-9]+)", 1).cast("bigint")

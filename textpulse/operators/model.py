@@ -52,7 +52,8 @@ SENTIMENT_BY_CLASS = ("negative", "neutral", "positive")
 
 
 def training_rows(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TRAINING_TEXTS), TRAINING)
+    """The built-in texts, in one partition: the fit makes many passes over few rows."""
+    return spark.createDataFrame(list(TRAINING_TEXTS), TRAINING).coalesce(1)
 
 
 def sentiment_pipeline(text: str = "text", label: str = "label") -> Pipeline:
@@ -78,8 +79,15 @@ def train(rows: DataFrame) -> PipelineModel:
     return sentiment_pipeline().fit(rows)
 
 
-def train_default(spark: SparkSession) -> PipelineModel:
-    return train(training_rows(spark))
+_fitted: dict[str, PipelineModel] = {}
+
+
+def default_model(spark: SparkSession) -> PipelineModel:
+    """The model of the built-in texts, fitted once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _fitted:
+        _fitted[application] = train(training_rows(spark))
+    return _fitted[application]
 
 
 _MODEL_COLUMNS = ("words", "kept_words", "counts", "weights", "rawPrediction")

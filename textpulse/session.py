@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app_name: str = "textpulse", master: str | None = None, **conf) -> SparkSession:
@@ -18,6 +19,8 @@ def build_session(app_name: str = "textpulse", master: str | None = None, **conf
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        # Streaming state on local disk instead of the heap, uploaded to the checkpoint.
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.adaptive.enabled": "true",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }

@@ -81,12 +81,19 @@ def read_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1000
+    spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The table as a stream of its files."""
+    """The table as a stream of its files.
+
+    A stream takes a folder or a pattern; the pattern also matches a table of one file. A
+    table's files are in no order of time, so queries with a watermark leave the cap out:
+    everything then arrives in one batch and nothing is late.
+    """
     schema = read_table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(table_path(sf_dir, name))
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def posts(documents: DataFrame) -> DataFrame:
