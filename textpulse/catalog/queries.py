@@ -21,7 +21,12 @@ from textpulse.operators.routing import (
     union_content,
     valid_content,
 )
-from textpulse.operators.scoring import clean_content, drop_short, score_content
+from textpulse.operators.scoring import (
+    clean_content,
+    drop_short,
+    lexicon_scorer,
+    score_content,
+)
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.session import scratch_dir
 from textpulse.sinks import messages as out
@@ -232,14 +237,15 @@ def _lexicon_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
     Documents are scored before the join, so that the join moves no texts.
     """
-    result = lexicon_sentiment(F.col("cleaned_text")).alias("result")
-    content = tb.posts(_documents(spark, sf)).withColumn("content", F.col("title"))
-    scored = clean_content(content).select("doc_id", "created_utc", result)
+    content = tb.posts(_documents(spark, sf)).select(
+        "doc_id", "created_utc", F.col("title").alias("content")
+    )
+    scored = lexicon_scorer()(clean_content(content), "cleaned_text")
     names = F.array(*[F.lit(name) for name in md.SENTIMENT_BY_CLASS])
     verdicts = scored.select(
         "doc_id",
-        (F.array_position(names, F.col("result.sentiment")) - 1).cast("double").alias("prediction"),
-        "result.confidence",
+        (F.array_position(names, F.col("sentiment_result.sentiment")) - 1).cast("double").alias("prediction"),
+        "sentiment_result.confidence",
         F.timestamp_seconds("created_utc").alias("kafka_timestamp"),
     )
     labels = _predictions(spark, sf).select("doc_id", "label")
@@ -312,6 +318,7 @@ def _run_scoring(spark: SparkSession, sf: str) -> str:
         processed=[land_in_directory(f"{root}/processed")],
         dead=[land_in_directory(f"{root}/dead-letters")],
         now=fixed_now(),
+        min_partitions=spark.sparkContext.defaultParallelism,
         trigger=jobs.ONCE,
     )
     query.awaitTermination()

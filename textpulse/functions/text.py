@@ -1,13 +1,16 @@
 """Text cleaning as built-in column expressions.
 
 The work is dominated by regular expressions over whole texts, so the rules are merged as
-far as their order allows. Four passes remain: links, the two kinds of mention, anything
-outside the kept alphabet, and the two opinion abbreviations. Mentions stay separate
-because removing one may expose or destroy the other (``u/r/x``).
+far as their order allows, and a plain substring test spares those that cannot apply. A
+text without a slash or an abbreviation takes one pass, which replaces everything outside
+the kept alphabet. Mentions stay separate passes because removing one may expose or destroy
+the other (``u/r/x``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +31,35 @@ EDIT_NOTE = r"\[edit:\s*.*?\]"
 JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
+def _where_contains(
+    text: Column, needles: tuple[str, ...], rewrite: Callable[[Column], Column]
+) -> Column:
+    """``rewrite`` for texts with one of the needles, others as they are.
+
+    The lambda binds the text so far, so it is computed once although it is used thrice.
+    """
+
+    def body(bound: Column) -> Column:
+        found = F.contains(bound, F.lit(needles[0]))
+        for needle in needles[1:]:
+            found = found | F.contains(bound, F.lit(needle))
+        return F.when(found, rewrite(bound)).otherwise(bound)
+
+    return F.element_at(F.transform(F.array(text), body), 1)
+
+
+def _remove_marks(text: Column) -> Column:
+    for mark in REMOVAL_MARKS:
+        text = F.replace(text, F.lit(mark), F.lit(" "))
+    return text
+
+
+def _remove_links_and_mentions(text: Column) -> Column:
+    for pattern in (LINK, COMMUNITY_MENTION, USER_MENTION):
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
 def clean_text(
     text: Column, *, strip_edit_notes: bool = False, unicode_words: bool = False
 ) -> Column:
@@ -37,15 +69,14 @@ def clean_text(
     a run of either ends up as one blank. ``strip_edit_notes`` drops ``[edit: ...]`` notes;
     ``unicode_words`` keeps the letters of every script.
     """
-    out = F.lower(text)
-    for mark in REMOVAL_MARKS:
-        out = F.replace(out, F.lit(mark), F.lit(" "))
+    out = _where_contains(F.lower(text), ("[",), _remove_marks)
     if strip_edit_notes:
         out = F.regexp_replace(out, EDIT_NOTE, " ")
-    for pattern in (LINK, COMMUNITY_MENTION, USER_MENTION):
-        out = F.regexp_replace(out, pattern, " ")
+    out = _where_contains(out, ("/",), _remove_links_and_mentions)
     out = F.regexp_replace(out, NOT_KEPT_UNICODE if unicode_words else NOT_KEPT, " ")
-    out = F.regexp_replace(out, OPINION, OPINION_TEXT)
+    out = _where_contains(
+        out, ("imo", "imho"), lambda t: F.regexp_replace(t, OPINION, OPINION_TEXT)
+    )
     return F.coalesce(F.trim(out), F.lit(""))
 
 

@@ -53,6 +53,7 @@ def start_scoring(
     config: PulseConfig = DEFAULTS,
     scorer: Scorer | None = None,
     now: Column | None = None,
+    min_partitions: int | None = None,
     trigger: Mapping | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -60,9 +61,13 @@ def start_scoring(
 
     ``failed`` sinks get tagged failures before they become records, as previews need them.
     A batch that is replayed after a failure reaches every sink again under its old id.
+    A source with fewer partitions than ``min_partitions`` (few topic partitions or files)
+    is spread before the costly steps.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if min_partitions and batch.rdd.getNumPartitions() < min_partitions:
+            batch = batch.repartition(min_partitions)
         # Raw text is needed for failures only, so only those rows keep it.
         routed = route(batch, config, scorer).withColumn(
             "json_string", F.when(F.col("parsed").isNull(), F.col("json_string"))
