@@ -82,11 +82,15 @@ def _write_staging(rows: DataFrame, target: RelationalTarget) -> None:
     rows.write.format("jdbc").options(**target.jdbc_options()).mode("append").save()
 
 
-def _run(connection: Any, statements: list[str], key: tuple[str, int]) -> None:
-    cursor = connection.cursor()
-    for statement in statements:
-        cursor.execute(statement, key)
-    connection.commit()
+def _transaction(target: RelationalTarget, statements: list[str], batch_id: int) -> None:
+    connection = target.connect()
+    try:
+        cursor = connection.cursor()
+        for statement in statements:
+            cursor.execute(statement, (target.stream, batch_id))
+        connection.commit()
+    finally:
+        connection.close()
 
 
 def land_in_database(
@@ -95,19 +99,15 @@ def land_in_database(
 ) -> Callable[[DataFrame, int], None]:
     """A sink that stages a batch and then replaces it in the table in one transaction.
 
-    Both tables have to exist; ``create_tables`` makes them.
+    Whatever an earlier attempt left in staging is removed first. Both tables have to
+    exist; ``create_tables`` makes them.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        key = (target.stream, batch_id)
-        connection = target.connect()
-        try:
-            _run(connection, [target.clear_staging()], key)
-            write_staging(target.staged(batch, batch_id), target)
-            moves = [target.remove_batch(), target.move_batch(), target.clear_staging()]
-            _run(connection, moves, key)
-        finally:
-            connection.close()
+        _transaction(target, [target.clear_staging()], batch_id)
+        write_staging(target.staged(batch, batch_id), target)
+        moves = [target.remove_batch(), target.move_batch(), target.clear_staging()]
+        _transaction(target, moves, batch_id)
 
     return land
 
