@@ -119,12 +119,13 @@ def test_listings_to_first_seen_messages(spark, tmp_path):
     assert rows(landed.toPandas()) == rows(expected.toPandas())
 
 
-def test_duplicates_across_batches_are_dropped(spark, posts, tmp_path):
+@pytest.mark.parametrize("remember_for", ["30 days", None])
+def test_duplicates_across_batches_are_dropped(spark, posts, tmp_path, remember_for):
     path, root = str(tmp_path / "in"), str(tmp_path / "out")
     for part in (0, 1):
         write(posts, path, part)
     content = valid_content(parse_messages(source(spark, path, cap=2)))
-    unique = first_seen_stream(content, "30 days")
+    unique = first_seen_stream(content, remember_for)
     jobs.start_landing(
         unique, f"{root}/checkpoint", land_in_directory(f"{root}/table"), jobs.ONCE
     ).awaitTermination()

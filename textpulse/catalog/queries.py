@@ -353,7 +353,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "stream-dedup")
     content = valid_content(parse_messages(_envelope_stream(spark, sf)))
     number = F.regexp_extract("id", "^c?([0-9]+)", 1).cast("bigint")
-    unique = first_seen_stream(tb.repeated(content, number), DEFAULTS.late_by)
+    unique = first_seen_stream(tb.repeated(content, number), DEFAULTS.remember_ids_for)
     query = jobs.start_landing(
         unique.select("content_type", "id", "author", "subreddit", "score"),
         f"{root}/checkpoint",

@@ -21,6 +21,7 @@ class PulseConfig:
     dead_letter_log_every: str = "1 minute"
     metrics_every: str = "2 minutes"
     late_by: str = "10 minutes"
+    remember_ids_for: str = "7 days"
 
     # Names that every deployment may set.
     bootstrap_servers: str = "localhost:9092"

@@ -26,9 +26,14 @@ def first_seen(
 
 def first_seen_stream(
     df: DataFrame,
-    late_by: str,
+    remember_for: str | None,
     keys: Sequence[str] = KEYS,
     arrival: str = "kafka_timestamp",
 ) -> DataFrame:
-    """As ``first_seen`` for a stream; a key is remembered for ``late_by`` of event time."""
-    return df.withWatermark(arrival, late_by).dropDuplicatesWithinWatermark(list(keys))
+    """As ``first_seen`` for a stream; a key is remembered for that long in event time.
+
+    ``None`` remembers every key for ever: exact, with state that grows with the keys.
+    """
+    if remember_for is None:
+        return df.dropDuplicates(list(keys))
+    return df.withWatermark(arrival, remember_for).dropDuplicatesWithinWatermark(list(keys))

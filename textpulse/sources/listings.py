@@ -44,19 +44,17 @@ def read_children(
     whole = F.col("value").cast("string")
     no_child = F.array(F.lit(None).cast("variant"))
     children = F.try_variant_get(F.col("document"), "$.data.children", "array<variant>")
+    # The listing's text goes along with a child only where nothing could be read from it.
     exploded = (
         listings.select(*keep, whole.alias("value"))
         .withColumn("document", parse_json(F.col("value")))
-        .withColumn("children", children)
-        .select(
-            *keep,
-            F.when(F.col("children").isNull(), F.col("value")).alias("unreadable"),
-            F.explode(F.coalesce("children", no_child)).alias("child"),
-        )
+        .select(*keep, "value", children.alias("children"))
+        .withColumn("value", F.when(F.col("children").isNull(), F.col("value")))
+        .select(*keep, "value", F.explode(F.coalesce("children", no_child)).alias("child"))
     )
     fields = exploded.select(
         *keep,
-        F.coalesce("unreadable", F.to_json("child")).alias("raw"),
+        F.coalesce("value", F.to_json("child")).alias("raw"),
         *[_field(name, name in optional).alias(name) for name in names],
     )
     complete = F.lit(True)
@@ -74,6 +72,23 @@ def flatten_listings(
     return children.filter(F.col("message").isNotNull()).select(*keep, "message.*")
 
 
+def listing_content(listings: DataFrame, content_type: str) -> DataFrame:
+    """Valid children as unified content; their time is that of the listing."""
+    text, parent = ("title", F.lit("")) if content_type == "post" else ("body", F.col("parent_id"))
+    return flatten_listings(listings, content_type, keep=["timestamp"]).select(
+        F.lit(None).cast("binary").alias("kafka_key"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        F.lit(content_type).alias("content_type"),
+        "id",
+        F.col(text).alias("content"),
+        parent.alias("parent_id"),
+        "author",
+        "subreddit",
+        "score",
+        "created_utc",
+    )
+
+
 def listing_failures(
     listings: DataFrame, content_type: str, config: PulseConfig = DEFAULTS
 ) -> DataFrame:

@@ -7,6 +7,7 @@ would read the bus again for each and risk sharing a checkpoint.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -106,6 +107,20 @@ def show(preview: Callable[[DataFrame], DataFrame], rows: int = 20) -> Sink:
     return lambda batch, _: preview(batch).show(rows, truncate=False)
 
 
+def at_most_every(interval: str, sink: Sink) -> Sink:
+    """For previews: pass a batch on only if the last one was passed long enough ago."""
+    number, unit = interval.split()
+    seconds = float(number) * (60 if unit.startswith("minute") else 1)
+    last = [float("-inf")]
+
+    def limited(batch: DataFrame, batch_id: int) -> None:
+        if time.monotonic() - last[0] >= seconds:
+            last[0] = time.monotonic()
+            sink(batch, batch_id)
+
+    return limited
+
+
 def start_console(
     preview: DataFrame, interval: str, rows: int = 20, name: str | None = None
 ) -> StreamingQuery:
@@ -146,13 +161,13 @@ def start_landing(
 
 def streaming_metrics(
     processed: DataFrame,
-    time: str = "kafka_timestamp",
+    event_time: str = "kafka_timestamp",
     length: str = "5 minutes",
     late_by: str = DEFAULTS.late_by,
 ) -> DataFrame:
     """Windowed metrics with bounded state; authors are counted approximately."""
     return processing_metrics(
-        processed.withWatermark(time, late_by), time, length, approximate=True
+        processed.withWatermark(event_time, late_by), event_time, length, approximate=True
     )
 
 
