@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textpulse.functions.binding import bind
+
 # The default word lists and scores.
 POSITIVE_WORDS = (
     "good", "great", "amazing", "awesome", "love", "excellent",
@@ -104,4 +106,4 @@ def verdict(
 
 def lexicon_sentiment(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Text to ``struct<sentiment, sentiment_score, confidence>``."""
-    return verdict(text, lexicon_hits(text, lexicon), lexicon)
+    return bind(lexicon_hits(text, lexicon), lambda hits: verdict(text, hits, lexicon))

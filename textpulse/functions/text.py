@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textpulse.functions.binding import bind
+
 # What counts as removable or replaceable text.
 REMOVAL_MARKS = ("[deleted]", "[removed]")
 # One character class, not an alternation: Java recurses per repetition of a group and
@@ -34,10 +36,7 @@ JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 def _where_contains(
     text: Column, needles: tuple[str, ...], rewrite: Callable[[Column], Column]
 ) -> Column:
-    """``rewrite`` for texts with one of the needles, others as they are.
-
-    The lambda binds the text so far, so it is computed once although it is used thrice.
-    """
+    """``rewrite`` for texts with one of the needles, others as they are."""
 
     def body(bound: Column) -> Column:
         found = F.contains(bound, F.lit(needles[0]))
@@ -45,7 +44,7 @@ def _where_contains(
             found = found | F.contains(bound, F.lit(needle))
         return F.when(found, rewrite(bound)).otherwise(bound)
 
-    return F.element_at(F.transform(F.array(text), body), 1)
+    return bind(text, body)
 
 
 def _remove_marks(text: Column) -> Column:
