@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.functions.binding import bind
@@ -33,50 +33,74 @@ EDIT_NOTE = r"\[edit:\s*.*?\]"
 JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
-def _where_contains(
-    text: Column, needles: tuple[str, ...], rewrite: Callable[[Column], Column]
-) -> Column:
+Step = Callable[[Column], Column]
+
+
+def _where_contains(needles: tuple[str, ...], rewrite: Step) -> Step:
     """``rewrite`` for texts with one of the needles, others as they are."""
 
-    def body(bound: Column) -> Column:
-        found = F.contains(bound, F.lit(needles[0]))
+    def step(text: Column) -> Column:
+        found = F.contains(text, F.lit(needles[0]))
         for needle in needles[1:]:
-            found = found | F.contains(bound, F.lit(needle))
-        return F.when(found, rewrite(bound)).otherwise(bound)
+            found = found | F.contains(text, F.lit(needle))
+        return F.when(found, rewrite(text)).otherwise(text)
+
+    return step
 
-    return bind(text, body)
 
+def _replaced(*patterns: str, by: str = " ") -> Step:
+    def step(text: Column) -> Column:
+        for pattern in patterns:
+            text = F.regexp_replace(text, pattern, by)
+        return text
 
-def _remove_marks(text: Column) -> Column:
+    return step
+
+
+def _without_marks(text: Column) -> Column:
     for mark in REMOVAL_MARKS:
         text = F.replace(text, F.lit(mark), F.lit(" "))
     return text
 
 
-def _remove_links_and_mentions(text: Column) -> Column:
-    for pattern in (LINK, COMMUNITY_MENTION, USER_MENTION):
-        text = F.regexp_replace(text, pattern, " ")
-    return text
+def cleaning_steps(
+    *, strip_edit_notes: bool = False, unicode_words: bool = False
+) -> list[Step]:
+    """The steps in their order. Some use their text more than once."""
+    notes = [_where_contains(("[edit:",), _replaced(EDIT_NOTE))] if strip_edit_notes else []
+    return [
+        F.lower,
+        _where_contains(("[",), _without_marks),
+        *notes,
+        _where_contains(("/",), _replaced(LINK, COMMUNITY_MENTION, USER_MENTION)),
+        _replaced(NOT_KEPT_UNICODE if unicode_words else NOT_KEPT),
+        _where_contains(("imo", "imho"), _replaced(OPINION, by=OPINION_TEXT)),
+        lambda text: F.coalesce(F.trim(text), F.lit("")),
+    ]
 
 
-def clean_text(
-    text: Column, *, strip_edit_notes: bool = False, unicode_words: bool = False
-) -> Column:
+def clean_text(text: Column, **options: bool) -> Column:
     """Lower-cased text without links, mentions, removal marks and special characters.
 
     Null gives an empty string. White space and special characters go in the same pass, as
     a run of either ends up as one blank. ``strip_edit_notes`` drops ``[edit: ...]`` notes;
     ``unicode_words`` keeps the letters of every script.
     """
-    out = _where_contains(F.lower(text), ("[",), _remove_marks)
-    if strip_edit_notes:
-        out = F.regexp_replace(out, EDIT_NOTE, " ")
-    out = _where_contains(out, ("/",), _remove_links_and_mentions)
-    out = F.regexp_replace(out, NOT_KEPT_UNICODE if unicode_words else NOT_KEPT, " ")
-    out = _where_contains(
-        out, ("imo", "imho"), lambda t: F.regexp_replace(t, OPINION, OPINION_TEXT)
-    )
-    return F.coalesce(F.trim(out), F.lit(""))
+    for step in cleaning_steps(**options):
+        text = bind(text, step)
+    return text
+
+
+def clean_column(df: DataFrame, source: Column, target: str, **options: bool) -> DataFrame:
+    """``clean_text`` as a chain of projections.
+
+    Every step reads a finished column, so nothing is computed twice and, unlike with the
+    single expression, all of it stays in whole-stage code generation.
+    """
+    df = df.withColumn(target, source)
+    for step in cleaning_steps(**options):
+        df = df.withColumn(target, step(F.col(target)))
+    return df
 
 
 def java_trim(text: Column) -> Column:

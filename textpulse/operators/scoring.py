@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textpulse.config import DEFAULTS, PulseConfig
 from textpulse.functions.lexicon import DEFAULT_LEXICON, Lexicon, lexicon_hits, verdict
-from textpulse.functions.text import clean_text, long_enough
+from textpulse.functions.text import clean_column, long_enough
 from textpulse.operators.columns import evaluate_once
 
 Scorer = Callable[[DataFrame, str], DataFrame]
@@ -21,7 +21,8 @@ Scorer = Callable[[DataFrame, str], DataFrame]
 
 def clean_content(content: DataFrame) -> DataFrame:
     """Content with ``cleaned_text``."""
-    return evaluate_once(content, cleaned_text=clean_text(F.col("content")))
+    cleaned = clean_column(content, F.col("content"), "cleaned_text")
+    return evaluate_once(cleaned, cleaned_text=F.col("cleaned_text"))
 
 
 def drop_short(cleaned: DataFrame, config: PulseConfig = DEFAULTS) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpulse.config import DEFAULTS, PulseConfig
-from textpulse.functions.text import clean_text, long_enough
+from textpulse.functions.text import clean_column, long_enough
 from textpulse.operators.columns import evaluate_once
 from textpulse.operators.routing import (
     dead_letters,
@@ -40,8 +40,9 @@ def route(
     """Every message with ``parsed``, ``cleaned_text`` and ``sentiment_result``."""
     scorer = scorer or lexicon_scorer()
     parsed = parse_messages(envelopes)
-    cleaned = evaluate_once(parsed, cleaned_text=clean_text(F.col("parsed.content")))
-    return scorer(cleaned, "cleaned_text")
+    cleaned = clean_column(parsed, F.col("parsed.content"), "cleaned_text")
+    once = evaluate_once(cleaned, cleaned_text=F.col("cleaned_text"))
+    return scorer(once, "cleaned_text")
 
 
 def _scorable(config: PulseConfig) -> Column:
