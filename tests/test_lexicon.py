@@ -11,6 +11,8 @@ GOLDEN = [
     ("", SHORT),
     ("   \t   ", SHORT),
     ("good", SHORT),
+    ("ab\U0001f600\U0001f600", TIE),
+    ("ab\U0001f600", SHORT),
     ("good day to all", ("positive", 0.8, 0.75)),
     ("GOOD\nday\x0bto all", ("positive", 0.8, 0.75)),
     ("great love it here", ("positive", 0.8, 0.7999999999999999)),

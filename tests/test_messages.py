@@ -8,7 +8,7 @@ from textpulse.operators.routing import parse_failures, parse_messages, valid_co
 from textpulse.schemas import CONTENT, TYPED_ENVELOPE
 
 AT = datetime(2024, 1, 1)
-REST = '"title":"t","author":"a","subreddit":"s","created_utc":9007199254740992'
+REST = '"title":"t","author":"a","subreddit":"s","created_utc":9007199254740993'
 
 # Message, and (id, content, author, score) or None for an invalid one.
 POSTS = [
@@ -68,13 +68,13 @@ def test_coercion(spark, kind, cases):
 
 
 def test_valid_rows_have_the_content_schema(spark):
-    message = '{"id":"1","body":"b","parent_id":"p","created_utc":9007199254740992}'
+    message = '{"id":"1","body":"b","parent_id":"p","created_utc":9007199254740993}'
     content = valid_content(parse_messages(envelopes(spark, [message], "comment")))
     assert [(f.name, f.dataType) for f in content.schema] == [
         (f.name, f.dataType) for f in CONTENT
     ]
     row = content.first()
-    assert (row.parent_id, row.created_utc, row.content_type) == ("p", 2**53, "comment")
+    assert (row.parent_id, row.created_utc, row.content_type) == ("p", 2**53 + 1, "comment")
 
 
 def test_failures_keep_the_raw_message(spark):

@@ -64,7 +64,11 @@ def lexicon_hits(
 
 
 def _too_short(text: Column, lexicon: Lexicon, cleaned: bool) -> Column:
-    short = text.isNull() | (F.length(text) < lexicon.min_length)
+    # The minimum counts UTF-16 units, of which characters outside the basic plane have two;
+    # only texts that look short need the exact count.
+    units = F.length(F.encode(text, "utf-16be")) / 2
+    below = (F.length(text) < lexicon.min_length) & (units < lexicon.min_length)
+    short = text.isNull() | below
     return short if cleaned else short | text.rlike(r"\A[\x00-\x20]*\z")
 
 

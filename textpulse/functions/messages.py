@@ -32,7 +32,7 @@ def text_field(document: Column, name: str) -> Column:
 def number_field(document: Column, name: str, kind: str) -> Column:
     """A number truncated to ``kind``; anything else, or out of range, is 0."""
     path = f"$.{name}"
-    value = F.try_variant_get(document, path, "double").try_cast(kind)
+    value = F.try_variant_get(document, path, kind)
     zero = F.lit(0).cast(kind)
     return F.coalesce(F.when(_type_of(document, path).rlike(_NUMBER), value), zero)
 
@@ -47,4 +47,4 @@ def strict_integer(document: Column, path: str, kind: str) -> Column:
     """A whole JSON number that fits ``kind``, else null."""
     number = F.try_variant_get(document, path, "double")
     whole = _type_of(document, path).rlike(_NUMBER) & (number == F.floor(number))
-    return F.when(whole, number.try_cast(kind))
+    return F.when(whole, F.try_variant_get(document, path, kind))
