@@ -11,6 +11,7 @@ from textpulse.operators.evaluation import (
     report_text,
     windowed_evaluation,
 )
+from textpulse.sources import tables as tb
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +97,38 @@ def test_windowed_evaluation(spark, predictions):
     for r in got:
         assert r.accuracy == r.correct_predictions / r.total_predictions
         assert r.avg_confidence == 0.5
+
+
+def test_weights_stand_for_repeated_rows(spark, predictions):
+    counted = predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("weight"))
+    same = confusion_matrix(counted, weight="weight").exceptAll(confusion_matrix(predictions))
+    assert same.count() == 0
+    assert evaluation_metrics(counted, weight="weight").first().f1 == pytest.approx(
+        evaluation_metrics(predictions).first().f1
+    )
+    timed = predictions.withColumns(
+        {
+            "confidence": F.col("prediction") / 4,
+            "kafka_timestamp": F.timestamp_seconds(F.col("label") * 300),
+        }
+    )
+    some = timed.groupBy(*timed.columns).agg(F.count(F.lit(1)).alias("weight"))
+    rows = [
+        frame.orderBy("window_start").collect()
+        for frame in (windowed_evaluation(timed), windowed_evaluation(some, weight="weight"))
+    ]
+    for plain, weighted in zip(*rows, strict=True):
+        assert tuple(plain)[:2] == tuple(weighted)[:2]
+        assert tuple(plain)[2:] == pytest.approx(tuple(weighted)[2:])
+
+
+def test_weighted_join_counts_the_pairs_of_a_hot_key(spark):
+    labels = spark.createDataFrame(
+        [(n if n % 3 else 0, n % 2, n % 5 % 2) for n in range(90)],
+        "doc_id long, quality int, toxic int",
+    )
+    documents = spark.createDataFrame([(n if n % 3 else 0,) for n in range(60)], "doc_id long")
+    plain = tb.predictions(labels, documents).groupBy("doc_id", "label", "prediction").count()
+    weighted = tb.weighted_predictions(labels, documents)
+    assert sorted(map(tuple, weighted.collect())) == sorted(map(tuple, plain.collect()))
+    assert sum(r.weight for r in weighted.collect()) > 400

@@ -227,7 +227,7 @@ def top_engaging(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return tb.predictions(
+    return tb.weighted_predictions(
         tb.read_table(spark, sf, "labels"), tb.read_table(spark, sf, "documents")
     )
 
@@ -242,35 +242,46 @@ def _lexicon_predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
     scored = lexicon_scorer()(clean_content(content), "cleaned_text")
     names = F.array(*[F.lit(name) for name in md.SENTIMENT_BY_CLASS])
+    position = F.array_position(names, F.col("sentiment_result.sentiment"))
     verdicts = scored.select(
         "doc_id",
-        (F.array_position(names, F.col("sentiment_result.sentiment")) - 1).cast("double").alias("prediction"),
+        (position - 1).cast("double").alias("prediction"),
         "sentiment_result.confidence",
         F.timestamp_seconds("created_utc").alias("kafka_timestamp"),
     )
-    labels = _predictions(spark, sf).select("doc_id", "label")
-    return labels.join(verdicts, "doc_id")
+    # The labels are those of documents that exist, as for the first set of predictions.
+    labels = tb.weighted_join(
+        tb.labelled(tb.read_table(spark, sf, "labels")),
+        tb.read_table(spark, sf, "documents").select("doc_id"),
+        "doc_id",
+    )
+    return tb.weighted_join(labels, verdicts, "doc_id")
 
 
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.confusion_matrix(_predictions(spark, sf))
+    return ev.confusion_matrix(_predictions(spark, sf), weight="weight")
+
+
+def _report(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.classification_report(confusion_matrix(spark, sf))
 
 
 def eval_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(ev.evaluation_metrics(_predictions(spark, sf)), *ev.METRICS)
+    return _rounded(ev.evaluation_metrics(_predictions(spark, sf), weight="weight"), *ev.METRICS)
 
 
 def classification_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = ev.classification_report(ev.confusion_matrix(_predictions(spark, sf)))
-    return _rounded(report, "precision", "recall", "f1")
+    return _rounded(_report(spark, sf), "precision", "recall", "f1")
 
 
 def classification_report_text(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.report_text(ev.classification_report(ev.confusion_matrix(_predictions(spark, sf))))
+    return ev.report_text(_report(spark, sf))
 
 
 def _comparison(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.compare_models(_predictions(spark, sf), _lexicon_predictions(spark, sf))
+    return ev.compare_models(
+        _predictions(spark, sf), _lexicon_predictions(spark, sf), weight="weight"
+    )
 
 
 def ab_compare(spark: SparkSession, sf: str) -> DataFrame:
@@ -282,7 +293,7 @@ def ab_report_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def windowed_eval(spark: SparkSession, sf: str) -> DataFrame:
-    evaluated = ev.windowed_evaluation(_lexicon_predictions(spark, sf))
+    evaluated = ev.windowed_evaluation(_lexicon_predictions(spark, sf), weight="weight")
     rounded = _rounded(evaluated, "accuracy", "avg_confidence")
     return _wall_clock(rounded, "window_start", "window_end")
 

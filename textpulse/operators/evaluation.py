@@ -22,13 +22,21 @@ def confusion_matrix(
     label: str = "label",
     prediction: str = "prediction",
     by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
-    """Rows per actual and predicted class; class ids may be of any numeric type."""
+    """Rows per actual and predicted class; class ids may be of any numeric type.
+
+    ``weight`` names a count of rows, for predictions that are already aggregated.
+    """
     return predictions.groupBy(
         *by,
         F.col(label).cast("int").alias("actual"),
         F.col(prediction).cast("int").alias("predicted"),
-    ).agg(F.count(F.lit(1)).alias("count"))
+    ).agg(_rows(weight).alias("count"))
+
+
+def _rows(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
 
 
 def _or_zero(numerator: Column, denominator: Column) -> Column:
@@ -82,9 +90,10 @@ def evaluation_metrics(
     label: str = "label",
     prediction: str = "prediction",
     by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Accuracy, and precision, recall and F1 weighted by the support of each label."""
-    scores = class_scores(confusion_matrix(predictions, label, prediction, by), by)
+    scores = class_scores(confusion_matrix(predictions, label, prediction, by, weight), by)
     total = F.sum("support")
     weighted = [
         (F.sum(F.col("support") * F.col(name)) / total).alias(name)
@@ -148,16 +157,21 @@ def report_text(report: DataFrame) -> DataFrame:
 
 
 def compare_models(
-    first: DataFrame, second: DataFrame, label: str = "label", prediction: str = "prediction"
+    first: DataFrame,
+    second: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    weight: str | None = None,
 ) -> DataFrame:
     """Four metrics of two prediction sets side by side, and the winner by F1.
 
     Model 2 wins only if strictly better.
     """
-    tagged = first.select(F.lit(1).alias("model"), label, prediction).unionByName(
-        second.select(F.lit(2).alias("model"), label, prediction)
+    used = [label, prediction] if weight is None else [label, prediction, weight]
+    tagged = first.select(F.lit(1).alias("model"), *used).unionByName(
+        second.select(F.lit(2).alias("model"), *used)
     )
-    metrics = evaluation_metrics(tagged, label, prediction, by=["model"])
+    metrics = evaluation_metrics(tagged, label, prediction, ["model"], weight)
 
     def of(model: int, name: str) -> Column:
         value = F.max(F.when(F.col("model") == model, F.col(name)))
@@ -211,17 +225,24 @@ def with_correctness(
 
 
 def windowed_evaluation(
-    predictions: DataFrame, time: str = "kafka_timestamp", length: str = "5 minutes"
+    predictions: DataFrame,
+    time: str = "kafka_timestamp",
+    length: str = "5 minutes",
+    weight: str | None = None,
 ) -> DataFrame:
     """Volume, accuracy and confidence per time window, for batches and streams."""
     if "correct_prediction" not in predictions.columns:
         predictions = with_correctness(predictions)
-    correct = F.sum("correct_prediction")
-    total = F.count(F.lit(1))
+    total = _rows(weight)
+
+    def summed(name: str) -> Column:
+        return F.sum(name) if weight is None else F.sum(F.col(name) * F.col(weight))
+
+    confidence = F.avg("confidence") if weight is None else summed("confidence") / total
     grouped = tumbling(predictions, time, length).agg(
         total.alias("total_predictions"),
-        correct.alias("correct_predictions"),
-        (correct / total).alias("accuracy"),
-        F.avg("confidence").alias("avg_confidence"),
+        summed("correct_prediction").alias("correct_predictions"),
+        (summed("correct_prediction") / total).alias("accuracy"),
+        confidence.alias("avg_confidence"),
     )
     return flatten_window(grouped)

@@ -109,9 +109,41 @@ def event_records(events: DataFrame) -> DataFrame:
 
 
 def predictions(labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """Row by row; for large tables see ``weighted_predictions``."""
     return labels.sparkSession.sql(PREDICTIONS, labels=labels, documents=documents)
 
 
+def weighted_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The inner join with equal rows aggregated on both sides first; ``weight`` counts them.
+
+    A key with many copies on both sides then makes one pair per distinct combination. A
+    side that has a ``weight`` already keeps it.
+    """
+
+    def counted(side: DataFrame, name: str) -> DataFrame:
+        rows = F.sum("weight") if "weight" in side.columns else F.count(F.lit(1))
+        return side.groupBy(*[c for c in side.columns if c != "weight"]).agg(rows.alias(name))
+
+    joined = counted(left, "_left").join(counted(right, "_right"), key)
+    return joined.withColumn("weight", F.col("_left") * F.col("_right")).drop("_left", "_right")
+
+
+# The two columns of ``PREDICTIONS`` without its join.
+LABEL = "cast(case when toxic = 1 then 0 when quality = 0 then 1 else 2 end as double) as label"
+RULE = "cast((doc_id * 7 + quality) % 3 as double) as prediction"
+
+
+def labelled(labels: DataFrame) -> DataFrame:
+    return labels.selectExpr("doc_id", LABEL)
+
+
+def weighted_predictions(labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """``PREDICTIONS`` with equal rows counted in ``weight``."""
+    return weighted_join(
+        labels.selectExpr("doc_id", LABEL, RULE), documents.select("doc_id"), "doc_id"
+    )
+
+
 def _envelope(value: Column, content_type: str) -> list[Column]:
     return [
         F.encode(F.col("id"), "utf-8").alias("key"),
