@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.support import SMALL, rows
+from textpulse.catalog.queries import fixed_now
 from textpulse.config import PulseConfig
+from textpulse.operators.metrics import processing_metrics
 from textpulse.operators.routing import dead_letters
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.schemas import ENVELOPE
@@ -88,6 +90,21 @@ def test_landing(spark, directories, monkeypatch):
         assert frame.count() == expected.count()
 
 
+def test_measure(spark, directories):
+    path, config, _ = directories
+    processed = processed_rows(route(envelopes(spark)), now=fixed_now())
+    encode_processed(processed).select(
+        F.encode("key", "utf-8").alias("key"),
+        F.encode("value", "utf-8").alias("value"),
+        F.current_timestamp().alias("timestamp"),
+    ).write.parquet(str(path / config.processed_topic))
+    apps.measure(spark, config, str(path / "windows")).awaitTermination()
+    got = jobs.latest_metrics(spark, str(path / "windows"))
+    columns = ["content_type", "subreddit", "total_processed", "max_engagement"]
+    expected = processing_metrics(processed).select(columns)
+    assert rows(got.select(columns).toPandas()) == rows(expected.toPandas())
+
+
 def test_ingest(spark, directories, monkeypatch):
     path, config, _ = directories
     posts = tb.post_listings(tb.read_table(spark, SMALL, "documents"))

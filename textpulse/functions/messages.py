@@ -2,6 +2,8 @@
 
 VARIANT keeps JSON types apart, so that an object in a text field counts as missing instead
 of turning up as its JSON text, and a message with a repeated key is rejected as a whole.
+``document`` is the name of a variant column. The expressions are SQL text, which is one
+call to the JVM for each field.
 """
 
 from __future__ import annotations
@@ -9,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TEXT_LIKE = r"^(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)"
-_NUMBER = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+_NUMBER = "(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+_TEXT_LIKE = "(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
 def parse_json(text: Column) -> Column:
@@ -18,33 +20,34 @@ def parse_json(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def _type_of(document: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+def _get(document: str, path: str, kind: str) -> str:
+    return f"try_variant_get({document}, '$.{path}', '{kind}')"
 
 
-def text_field(document: Column, name: str) -> Column:
+def _is(document: str, path: str, types: str) -> str:
+    return f"schema_of_variant({_get(document, path, 'variant')}) rlike '^{types}'"
+
+
+def text_field(document: str, name: str) -> Column:
     """A string, or the text of a number; anything else is an empty string."""
-    path = f"$.{name}"
-    value = F.try_variant_get(document, path, "string")
-    return F.coalesce(F.when(_type_of(document, path).rlike(_TEXT_LIKE), value), F.lit(""))
+    value, usable = _get(document, name, "string"), _is(document, name, _TEXT_LIKE)
+    return F.expr(f"coalesce(case when {usable} then {value} end, '')")
 
 
-def number_field(document: Column, name: str, kind: str) -> Column:
+def number_field(document: str, name: str, kind: str) -> Column:
     """A number truncated to ``kind``; anything else, or out of range, is 0."""
-    path = f"$.{name}"
-    value = F.try_variant_get(document, path, kind)
-    zero = F.lit(0).cast(kind)
-    return F.coalesce(F.when(_type_of(document, path).rlike(_NUMBER), value), zero)
+    value, usable = _get(document, name, kind), _is(document, name, _NUMBER)
+    return F.expr(f"coalesce(case when {usable} then {value} end, cast(0 as {kind}))")
 
 
-def strict_text(document: Column, path: str) -> Column:
+def strict_text(document: str, path: str) -> Column:
     """A JSON string, else null."""
-    value = F.try_variant_get(document, path, "string")
-    return F.when(_type_of(document, path).startswith("STRING"), value)
+    value, usable = _get(document, path, "string"), _is(document, path, "STRING")
+    return F.expr(f"case when {usable} then {value} end")
 
 
-def strict_integer(document: Column, path: str, kind: str) -> Column:
+def strict_integer(document: str, path: str, kind: str) -> Column:
     """A whole JSON number that fits ``kind``, else null."""
-    number = F.try_variant_get(document, path, "double")
-    whole = _type_of(document, path).rlike(_NUMBER) & (number == F.floor(number))
-    return F.when(whole, F.try_variant_get(document, path, kind))
+    number, usable = _get(document, path, "double"), _is(document, path, _NUMBER)
+    whole = f"{usable} and {number} = floor({number})"
+    return F.expr(f"case when {whole} then {_get(document, path, kind)} end")

@@ -33,17 +33,16 @@ def parse_messages(envelopes: DataFrame) -> DataFrame:
     Posts and comments go through one pass; they differ in the text field and in the parent.
     """
     is_post = F.col("content_type") == "post"
-    document = F.col("document")
+    title, body = M.text_field("document", "title"), M.text_field("document", "body")
+    parent = M.text_field("document", "parent_id")
     fields = {
-        "id": M.text_field(document, "id"),
-        "content": F.when(is_post, M.text_field(document, "title")).otherwise(
-            M.text_field(document, "body")
-        ),
-        "parent_id": F.when(is_post, F.lit("")).otherwise(M.text_field(document, "parent_id")),
-        "author": M.text_field(document, "author"),
-        "subreddit": M.text_field(document, "subreddit"),
-        "score": M.number_field(document, "score", "int"),
-        "created_utc": M.number_field(document, "created_utc", "bigint"),
+        "id": M.text_field("document", "id"),
+        "content": F.when(is_post, title).otherwise(body),
+        "parent_id": F.when(is_post, F.lit("")).otherwise(parent),
+        "author": M.text_field("document", "author"),
+        "subreddit": M.text_field("document", "subreddit"),
+        "score": M.number_field("document", "score", "int"),
+        "created_utc": M.number_field("document", "created_utc", "bigint"),
     }
     opened = open_envelopes(envelopes)
     read = opened.withColumn("document", M.parse_json(F.col("json_string"))).select(

@@ -24,10 +24,10 @@ INTEGER_FIELDS = {"score": "int", "created_utc": "bigint"}
 
 
 def _field(name: str, optional: bool) -> Column:
-    child, path = F.col("child"), f"$.data.{name}"
+    path = f"data.{name}"
     if name in INTEGER_FIELDS:
-        return strict_integer(child, path, INTEGER_FIELDS[name])
-    value = strict_text(child, path)
+        return strict_integer("child", path, INTEGER_FIELDS[name])
+    value = strict_text("child", path)
     return F.coalesce(value, F.lit("")) if optional else value
 
 

@@ -1,4 +1,4 @@
-"""The three applications on a real bus: ingest listings, score messages, land results.
+"""The applications on a real bus: ingest listings, score messages, land results, measure.
 
 Each returns its running queries; the caller waits for them (``awaitAnyTermination``).
 """
@@ -15,7 +15,7 @@ from textpulse.operators.dedup import first_seen_stream
 from textpulse.operators.scoring import Scorer
 from textpulse.schemas import DEAD_LETTER, PROCESSED
 from textpulse.sinks.messages import dead_letter_preview, encode_raw, result_preview
-from textpulse.sinks.tables import land_in_database, target_from_config
+from textpulse.sinks.tables import land_in_database, land_in_directory, target_from_config
 from textpulse.sources import bus
 from textpulse.sources.listings import listing_content
 from textpulse.sources.records import decode_dead_letters, decode_processed
@@ -91,3 +91,15 @@ def land(
         )
         for name, rows, table, columns in plans
     ]
+
+
+def measure(spark: SparkSession, config: PulseConfig, path: str) -> jobs.StreamingQuery:
+    """Windowed metrics of the processed records, in versions for ``latest_metrics``."""
+    processed = decode_processed(bus.processed_stream(spark, config))
+    return jobs.start_metrics(
+        jobs.streaming_metrics(processed, "processing_timestamp", late_by=config.late_by),
+        jobs.checkpoint_for(config, "measure"),
+        land_in_directory(path),
+        jobs.every(config.metrics_every),
+        name="measure",
+    )
