@@ -329,7 +329,6 @@ def _run_scoring(spark: SparkSession, sf: str) -> str:
         processed=[land_in_directory(f"{root}/processed")],
         dead=[land_in_directory(f"{root}/dead-letters")],
         now=fixed_now(),
-        min_partitions=spark.sparkContext.defaultParallelism,
         trigger=jobs.ONCE,
     )
     query.awaitTermination()

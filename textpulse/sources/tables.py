@@ -76,8 +76,15 @@ def read_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     first; a large one is read where it lies, without a shuffle.
     """
     table = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(_cores(spark)) if _narrow(table) else table
+
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _narrow(table: DataFrame) -> bool:
+    return table.rdd.getNumPartitions() < _cores(table.sparkSession)
 
 
 def stream_table(
@@ -87,13 +94,15 @@ def stream_table(
 
     A stream takes a folder or a pattern; the pattern also matches a table of one file. A
     table's files are in no order of time, so queries with a watermark leave the cap out:
-    everything then arrives in one batch and nothing is late.
+    everything then arrives in one batch and nothing is late. A narrow table is spread as
+    in ``read_texts``.
     """
-    schema = read_table(spark, sf_dir, name).schema
-    reader = spark.readStream.schema(schema)
+    table = read_table(spark, sf_dir, name)
+    reader = spark.readStream.schema(table.schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{sf_dir}/{name}.parque[t]")
+    stream = reader.parquet(f"{sf_dir}/{name}.parque[t]")
+    return stream.repartition(_cores(spark)) if _narrow(table) else stream
 
 
 def posts(documents: DataFrame) -> DataFrame:
