@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textpulse.llm.byte_shards import balanced_shards
 from textpulse.llm.common import table
+from textpulse.llm.pareto_mix import mix_documents
 from textpulse.llm.radix_dedup import exact_duplicates
+from textpulse.llm.secret_scan import scan_secrets
 
 SHARDS = 24
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is a repository and its source the owner."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,7 +28,13 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scans": op2_secret_scans,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op8_mixing_sources": op8_mixing_sources,
 }
