@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textpulse.llm.byte_shards import balanced_shards
 from textpulse.llm.common import table
+from textpulse.llm import line_crf
+from textpulse.llm.isolation_rules import judge
 from textpulse.llm.pareto_mix import mix_documents
 from textpulse.llm.radix_dedup import exact_duplicates
 from textpulse.llm.secret_scan import scan_secrets
@@ -28,13 +30,25 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    return line_crf.score_documents(docs, field)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scans": op2_secret_scans,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op5_quality_rules": op5_quality_rules,
     "op8_mixing_sources": op8_mixing_sources,
+    "op10_quality_classifier": op10_quality_classifier,
 }
