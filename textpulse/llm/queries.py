@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textpulse.llm.byte_shards import balanced_shards
 from textpulse.llm.common import table
-from textpulse.llm import line_crf, toxicity
+from textpulse.llm import line_crf, page_text, toxicity
 from textpulse.llm.isolation_rules import judge
 from textpulse.llm.pareto_mix import mix_documents
 from textpulse.llm.radix_dedup import exact_duplicates
@@ -34,6 +34,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return page_text.extract(pages, page_text.train(pages))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op8_mixing_sources": op8_mixing_sources,
     "op10_quality_classifier": op10_quality_classifier,
