@@ -11,12 +11,17 @@ from textpulse.llm.common import table
 from textpulse.llm import line_crf, page_text, toxicity
 from textpulse.llm.isolation_rules import judge
 from textpulse.llm.pareto_mix import mix_documents
+from textpulse.llm.piece_sampling import segmentation_report
 from textpulse.llm.radix_dedup import exact_duplicates
 from textpulse.llm.secret_scan import scan_secrets
 
 SHARDS = 24
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation_report(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document is a repository and its source the owner."""
     return scan_secrets(table(spark, sf_dir, "documents"))
@@ -56,6 +61,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scans": op2_secret_scans,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
