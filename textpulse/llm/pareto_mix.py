@@ -77,14 +77,15 @@ def uniform(key: Column, seed: str = SEED) -> Column:
 
 
 def pareto_rank(random: Column, probability: Column) -> Column:
-    """Random odds over inclusion odds, drawn into (0, 1) by a rising function."""
-    ratio = (random / (1 - random)) / (probability / (1 - probability))
-    return ratio / (1 + ratio)
+    """Random odds over inclusion odds; the lowest ranks are taken."""
+    return (random / (1 - random)) / (probability / (1 - probability))
 
 
 def _take(rows: DataFrame, bins: int) -> DataFrame:
     """Take rows by rank until ``_left`` words of their source are used; adds ``_taken``."""
-    rows = rows.withColumn("_bin", F.floor(F.col("_rank") * bins).cast("long"))
+    # Ranks scaled by the source's own odds spread evenly over (0, 1), whatever those are.
+    even = F.col("_rank") * F.col("_odds")
+    rows = rows.withColumn("_bin", F.floor(even / (1 + even) * bins).cast("long"))
     open_rows = rows.filter(~F.col("_in") & (F.col("size") <= F.col("_left")))
     totals = open_rows.groupBy("source", "_bin").agg(F.sum("size").alias("_words"))
     earlier = Window.partitionBy("source").orderBy("_bin")
@@ -127,12 +128,13 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
     sources = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"),
         F.sum(F.col("weight") * F.col("size")).alias("_weighted"),
+        F.avg("weight").alias("_mean_weight"),
         F.count(F.lit(1)).alias("_rows"),
     )
     sources = written(sources, "mix-sources")
     targets = source_targets(sources.select("source", "source_size"), weights, share)
     targets = targets.join(
-        sources.select(F.col("source").alias("_s"), "_weighted"),
+        sources.select(F.col("source").alias("_s"), "_weighted", "_mean_weight"),
         F.col("source").eqNullSafe(F.col("_s")),
     ).drop("_s")
     targets = targets.withColumnRenamed("source", "_s")
@@ -143,12 +145,21 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
     rows = rows.withColumn("_expected", F.least(expected, F.lit(float(MOST_COPIES))))
     rows = rows.withColumn("_certain", F.floor("_expected").cast("long"))
     chance = F.col("_expected") - F.col("_certain")
-    inside = F.least(F.greatest(chance, F.lit(1e-9)), F.lit(1 - 1e-9))
+
+    def proper(share: Column) -> Column:
+        return F.least(F.greatest(share, F.lit(1e-9)), F.lit(1 - 1e-9))
+
+    inside = proper(chance)
+    typical = F.col("target") * F.col("_mean_weight") / F.col("_weighted")
+    typical = proper(F.coalesce(typical - F.floor(typical), F.lit(0.5)))
+    rows = rows.withColumn("_odds", typical / (1 - typical))
     rows = rows.withColumn("_rank", pareto_rank(uniform(F.col("doc_id")), inside))
     # Without a fraction, or without room for one more copy, or without words: never drawn.
     can = (F.col("_certain") < MOST_COPIES) & (chance > 1e-9) & (F.col("size") > 0)
     rows = rows.withColumn("_rank", F.when(can, F.col("_rank")))
-    rows = rows.withColumn("_in", F.lit(False)).drop("_expected", "_weighted", "weight")
+    rows = rows.withColumn("_in", F.lit(False)).drop(
+        "_expected", "_weighted", "_mean_weight", "weight"
+    )
     bins = sources.agg((F.max("_rows") / ROWS_PER_BIN).alias("n")).first()["n"]
     bins = max(16, int(bins or 0))
     drawn = rows.filter(F.col("_rank").isNotNull())
