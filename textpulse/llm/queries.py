@@ -10,6 +10,7 @@ from textpulse.llm.byte_shards import balanced_shards
 from textpulse.llm.common import table
 from textpulse.llm import line_crf, page_text, toxicity
 from textpulse.llm.isolation_rules import judge
+from textpulse.llm.jaccard_join import near_duplicates
 from textpulse.llm.pareto_mix import mix_documents
 from textpulse.llm.piece_sampling import segmentation_report
 from textpulse.llm.radix_dedup import exact_duplicates
@@ -46,14 +47,18 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model)
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, scorer)
 
 
 def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -69,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op8_mixing_sources": op8_mixing_sources,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
 }
