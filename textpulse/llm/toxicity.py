@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import quoted
+from textpulse.llm.common import quoted, written
 from textpulse.llm.training import fold, labelled_ids, one_label_each
 
 FOLDS = 4
@@ -155,25 +154,35 @@ _SPELLED = re.compile(
 )
 
 
+def token_words(token: str, decoder: Decoder) -> list[str]:
+    """What a lower-cased token may say: itself, and restored if it looks disguised."""
+    bare = token.strip(EDGE_SIGNS)
+    if not bare:
+        return []
+    words = []
+    if _PLAIN.fullmatch(bare):
+        words.append(bare)
+        if _THRICE.search(bare):
+            words.append(decoder.restore(bare))
+        if bare == token or (token[0] not in "@$|!" and token[-1] not in "@$|!"):
+            return words
+        token = token.strip(".,;:?\"'()")
+    if any(c in _NUMBER for c in token):
+        words.append(decoder.restore(token))
+    return [word for word in words if word]
+
+
+def spelled_out(lowered: str, decoder: Decoder) -> list[str]:
+    """Words whose letters stand apart."""
+    return [decoder.restore("".join(run.split())) for run in _SPELLED.findall(lowered)]
+
+
 def restored_words(text: str, decoder: Decoder) -> set[str]:
     """The distinct words of a text, lower-cased, with disguised ones restored."""
     lowered = text.lower()
-    words: set[str] = set()
+    words = set(spelled_out(lowered, decoder))
     for token in set(lowered.split()):
-        bare = token.strip(EDGE_SIGNS)
-        if not bare:
-            continue
-        if _PLAIN.fullmatch(bare):
-            words.add(bare)
-            if _THRICE.search(bare):
-                words.add(decoder.restore(bare))
-            if bare == token or token[0] not in "@$|!" and token[-1] not in "@$|!":
-                continue
-            token = token.strip(".,;:?\"'()")
-        if any(c in _NUMBER for c in token):
-            words.add(decoder.restore(token))
-    for run in _SPELLED.findall(lowered):
-        words.add(decoder.restore("".join(run.split())))
+        words.update(token_words(token, decoder))
     words.discard("")
     return words
 
@@ -186,6 +195,13 @@ def evidence(words: Iterable[str]) -> set[str]:
     return found
 
 
+def evidence_codes(words: Iterable[str]) -> np.ndarray:
+    """Evidence as sorted 32-bit codes; compact enough to compare thousands of documents."""
+    found = evidence(words)
+    codes = np.fromiter((zlib.crc32(f.encode()) for f in found), np.uint32, len(found))
+    return np.unique(codes)
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """Chance that a document with the feature is toxic, and that of one without any."""
@@ -195,71 +211,115 @@ class Lexicon:
 
     def score(self, features: set[str]) -> float:
         clean = 1.0 - self.base
-        for feature in features & self.chance.keys():
+        for feature in sorted(features & self.chance.keys()):
             clean *= 1.0 - self.chance[feature]
         return 1.0 - clean
 
 
-def distinct_documents(features: list[set[str]], alike: float = 0.5) -> list[set[str]]:
+@dataclass
+class Scorer:
+    """Scores texts; remembers tokens that are no evidence, up to a bound."""
+
+    decoder: Decoder
+    lexicon: Lexicon
+    innocent: set[str] = field(default_factory=set)
+    most: int = 300_000
+
+    def __getstate__(self):
+        return {"decoder": self.decoder, "lexicon": self.lexicon, "innocent": set(), "most": self.most}
+
+    def score(self, text: str | None) -> float:
+        lowered = (text or "").lower()
+        features = evidence(spelled_out(lowered, self.decoder)) & self.lexicon.chance.keys()
+        for token in set(lowered.split()) - self.innocent:
+            found = evidence(token_words(token, self.decoder)) & self.lexicon.chance.keys()
+            features |= found
+            if not found:
+                if len(self.innocent) >= self.most:
+                    self.innocent.clear()
+                self.innocent.add(token)
+        return self.lexicon.score(features)
+
+
+def distinct_documents(documents: list[np.ndarray], alike: float = 0.5) -> list[np.ndarray]:
     """Without documents much like an earlier one, so that copies are no evidence.
 
     Two documents are compared if they agree in one of four triples of smallest hashes.
     """
-    seen: dict[tuple[int, ...], list[set[str]]] = {}
+    seen: dict[tuple[int, ...], list[np.ndarray]] = {}
     kept = []
-    for words in features:
-        codes = np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, len(words))
-        least = [int(((codes * m + 12345) % 4294967291).min()) for m in _MULTIPLIERS]
+    for codes in documents:
+        if not len(codes):
+            continue
+        wide = codes.astype(np.uint64)
+        least = [int(((wide * m + 12345) % 4294967291).min()) for m in _MULTIPLIERS]
         bands = [(n, *least[n : n + 3]) for n in range(0, 12, 3)]
         others = (other for band in bands for other in seen.get(band, ()))
-        if any(len(words & o) >= alike * len(words | o) for o in others):
+        if any(_alike(codes, other) >= alike for other in others):
             continue
-        kept.append(words)
+        kept.append(codes)
         for band in bands:
-            seen.setdefault(band, []).append(words)
+            seen.setdefault(band, []).append(codes)
     return kept
 
 
+def _alike(left: np.ndarray, right: np.ndarray) -> float:
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return shared / (len(left) + len(right) - shared)
+
+
+@dataclass(frozen=True)
+class Marks:
+    """Chances of the chosen features by their codes, and of a document without any."""
+
+    chance: dict[int, float]
+    base: float
+
+    def named(self, features: Iterable[str]) -> Lexicon:
+        names = {f: zlib.crc32(f.encode()) for f in features}
+        return Lexicon({f: self.chance[c] for f, c in names.items() if c in self.chance}, self.base)
+
+
 def choose_evidence(
-    toxic: list[set[str]],
-    clean: list[set[str]],
+    toxic: list[np.ndarray],
+    clean: list[np.ndarray],
     toxic_total: int,
     clean_total: int,
     least_documents: int = 3,
-    least_surprise: float = 8.0,
+    least_surprise: float = 10.0,
     least_chance: float = 0.95,
     most: int = MOST_FEATURES,
-) -> Lexicon:
+) -> Marks:
     """Features that mark toxic documents, by their chances in the whole labelled set.
 
     Both lists hold the features of different documents of a balanced sample. A feature's
     lean to toxic documents must be no accident: ``least_surprise`` bounds the log of how
     much likelier its counts are with its own chance than with that of any other word.
     """
-    toxic, clean = ([f for f in docs if f] for docs in (toxic, clean))
-    support = Counter(f for features in toxic for f in features)
-    known = {f for f, n in support.items() if n >= least_documents}
-    against = Counter(f for features in clean for f in features & known)
+    nothing = np.empty(0, np.uint32)
+    codes, inside = np.unique(np.concatenate([nothing, *toxic]), return_counts=True)
+    known = inside >= least_documents
+    codes, inside = codes[known], inside[known].astype(float)
+    others, counts = np.unique(np.concatenate([nothing, *clean]), return_counts=True)
+    outside = np.zeros(len(codes))
+    _, here, there = np.intersect1d(codes, others, return_indices=True)
+    outside[here] = counts[there]
+
     toxic_weight = toxic_total / max(len(toxic), 1)
     clean_weight = clean_total / max(len(clean), 1)
-
-    def chance(feature: str) -> float:
-        marked = support[feature] * toxic_weight
-        return float(marked / (marked + (against[feature] + 0.1) * clean_weight))
-
+    marked = inside * toxic_weight
+    chance = marked / np.maximum(marked + (outside + 0.1) * clean_weight, 1e-9)
     share = len(toxic) / max(len(toxic) + len(clean), 1)
-
-    def surprise(feature: str) -> float:
-        inside, outside = support[feature], against[feature]
-        n = inside + outside
-        gain = inside * np.log(inside / (n * share))
-        return gain + (outside * np.log(outside / (n * (1 - share))) if outside else 0.0)
-
-    found = {f: chance(f) for f in known if surprise(f) >= least_surprise}
-    strong = sorted((f for f in found if found[f] >= least_chance), key=lambda f: (-support[f], f))
-    chosen = {f: found[f] for f in strong[:most]}
-    left = sum(not features & chosen.keys() for features in toxic) * toxic_weight
-    return Lexicon(chosen, (left + 0.5) / (left + clean_total + 1))
+    n = inside + outside
+    surprise = inside * np.log(inside / (n * share)) if len(n) else inside
+    some = outside > 0
+    surprise[some] += outside[some] * np.log(outside[some] / (n[some] * (1 - share)))
+    strong = np.flatnonzero((surprise >= least_surprise) & (chance >= least_chance))
+    strong = strong[np.argsort(-inside[strong], kind="stable")][:most]
+    chosen = codes[strong]
+    left = sum(not np.isin(d, chosen).any() for d in toxic) * toxic_weight
+    chances = dict(zip(chosen.tolist(), chance[strong].tolist(), strict=True))
+    return Marks(chances, (left + 0.5) / (left + clean_total + 1))
 
 
 def corpus_model(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -287,7 +347,7 @@ def train(
     doc_id: str = "doc_id",
     label: str = "toxic",
     most_labelled: int = MOST_LABELLED,
-) -> tuple[Decoder, Lexicon]:
+) -> Scorer:
     """Language model of the corpus, and evidence from a bounded sample of labelled rows.
 
     At most ``most_labelled`` documents of each label outside the held-out fold take part.
@@ -297,46 +357,55 @@ def train(
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     # Bounded by the sample size.
     rows = rows.join(F.broadcast(ids), "doc_id").select("label", "text").distinct()
+    rows = written(rows, "toxic-sample")
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            features = [
-                "\n".join(sorted(evidence(restored_words(text or "", decoder))))
+            codes = [
+                evidence_codes(restored_words(text or "", decoder)).astype("<u4").tobytes()
                 for text in batch["text"]
             ]
-            yield pd.DataFrame({"label": batch["label"], "features": features})
+            yield pd.DataFrame({"label": batch["label"], "codes": codes})
 
-    sample = rows.mapInPandas(found, "label int, features string").toPandas()
-    sample = sample.sort_values(["label", "features"])
-    features = [set(f.split("\n")) - {""} for f in sample["features"]]
+    sample = rows.mapInPandas(coded, "label int, codes binary").toPandas()
+    sample = sample.sort_values(["label", "codes"])
     by_label = [
-        distinct_documents([f for f, y in zip(features, sample["label"], strict=True) if y == value])
+        distinct_documents(
+            [np.frombuffer(c, "<u4") for c in sample["codes"][sample["label"] == value]]
+        )
         for value in (0, 1)
     ]
     totals = one_label_each(labels, label).filter(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     n_toxic, n_all = totals.agg(F.sum("label"), F.count("label")).first()
     n_toxic = n_toxic or 0
-    return decoder, choose_evidence(by_label[1], by_label[0], n_toxic, n_all - n_toxic)
+    marks = choose_evidence(by_label[1], by_label[0], n_toxic, n_all - n_toxic)
+
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: set[str] = set()
+            for text in batch["text"]:
+                found.update(marks.named(evidence(restored_words(text or "", decoder))).chance)
+            yield pd.DataFrame({"feature": sorted(found)}, dtype="object")
+
+    toxic_rows = rows.filter("label = 1").select("text")
+    named = toxic_rows.mapInPandas(names, "feature string").distinct().toPandas()
+    return Scorer(decoder, marks.named(sorted(named["feature"])))
 
 
 def score_documents(
     docs: DataFrame,
-    model: tuple[Decoder, Lexicon],
+    scorer: Scorer,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """Id, fold and score of each row."""
-    decoder, lexicon = model
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            scores = [
-                lexicon.score(evidence(restored_words(text or "", decoder)))
-                for text in batch["text"]
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": np.asarray(scores, float)})
+            scores = np.fromiter(map(scorer.score, batch["text"]), float, len(batch))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": scores})
 
     result = rows.mapInPandas(scored, f"doc_id {kind}, score double")
     held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
