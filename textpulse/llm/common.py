@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,18 @@ def word_count(text: Column) -> Column:
 def quoted(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def map_with_id(
+    rows: DataFrame, function: Callable, columns: str, names: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """``mapInPandas`` for rows with ids: they cross as text.
+
+    Whole numbers with nulls would become floating-point numbers in pandas, and long ids
+    would be rounded.
+    """
+    kinds = {name: rows.schema[name].dataType for name in names}
+    as_text = rows.withColumns({name: F.col(name).cast("string") for name in names})
+    head = ", ".join(f"{name} string" for name in names)
+    found = as_text.mapInPandas(function, f"{head}, {columns}")
+    return found.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import quoted, written
+from textpulse.llm.common import map_with_id, quoted, written
 from textpulse.llm.components import components
 
 WORDS = 5
@@ -161,23 +161,18 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
 def describe(docs: DataFrame, text: str, doc_id: str, words: int) -> tuple[DataFrame, Order]:
     """(doc_id, size, class) of every row, and the order of tokens."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, size int, class long, slice int, counts binary"
-    found = written(rows.mapInPandas(_describe(words), schema), "sets")
+    columns = "size int, class long, slice int, counts binary"
+    found = written(map_with_id(rows, _describe(words), columns), "sets")
     slices = found.filter("slice >= 0").select("slice", "counts")
     # A fixed number of counters, whatever the corpus. Tasks meet slice by slice in two steps.
     parts = slices.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(32)))
-    parts = parts.groupBy("slice", "part").applyInPandas(_sliced, "slice int, counts binary")
+    parts = parts.groupBy("slice", "part").applyInPandas(_added, "slice int, counts binary")
     total = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
     for row in parts.groupBy("slice").applyInPandas(_summed, "slice int, counts binary").collect():
         total[row["slice"]] = np.frombuffer(row["counts"], "<i8")
     return found.filter("slice < 0").select("doc_id", "size", "class"), Order(total.ravel())
 
 
-def _sliced(group: pd.DataFrame) -> pd.DataFrame:
-    return _added(group)
-
-
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(COUNTERS // SLICES, np.int64)
     for counts in group["counts"]:

@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import quoted
+from textpulse.llm.common import map_with_id, quoted
 from textpulse.llm.training import fold, labelled_ids, one_label_each
 
 FOLDS = 5
@@ -302,7 +303,6 @@ def score_documents(
 ) -> DataFrame:
     """Id, fold and score of each row."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -310,7 +310,7 @@ def score_documents(
                 {"doc_id": batch["doc_id"], "score": score_texts(field, list(batch["text"]))}
             )
 
-    result = rows.mapInPandas(scored, f"doc_id {kind}, score double")
+    result = map_with_id(rows, scored, "score double")
     held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return result.select(
         "doc_id",
@@ -322,11 +322,14 @@ def score_documents(
 
 def accepted(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
     """The rows that the classifier accepts, with all their columns."""
-    names = docs.columns
-    place = names.index(text)
+    place = docs.columns.index(text)
 
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch[score_texts(field, list(batch.iloc[:, place])) >= THRESHOLD]
+            scores = score_texts(field, batch.column(place).to_pylist())
+            yield batch.filter(pa.array(scores >= THRESHOLD))
 
-    return docs.mapInPandas(keep, docs.schema)
+    # As Arrow batches, so that no column changes its type on the way; by plain names, as
+    # those of the input may hold dots.
+    plain = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import quoted
+from textpulse.llm.common import map_with_id, quoted
 
 MOST_LABELLED = 2_000
 
@@ -41,6 +41,7 @@ NEVER = frozenset(
     "script style noscript template svg math iframe object canvas audio video map head title "
     "nav header footer aside form button select textarea fieldset label dialog menu".split()
 )
+SELF_CLOSING = frozenset("li dt dd tr td th option p".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe")
 # Words of class or id that mark an element as no content.
 NEVER_NAMED = frozenset(
@@ -110,13 +111,17 @@ def tokens(page: str) -> list[Token]:
         result.append(Token(name, block=block, dropped=dropped, rooted=rooted))
         if name in VOID or match.group(3).endswith("/"):
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and any(
-            n == name for n, *_ in open_elements[-3:]
-        ):
-            while open_elements.pop()[0] != name:
-                pass
-            dropped = bool(open_elements) and open_elements[-1][1]
-            rooted = bool(open_elements) and open_elements[-1][2]
+        # A block ends an open paragraph; an item or cell ends the one before it.
+        nearest = next(
+            (n for n in range(len(open_elements) - 1, -1, -1) if open_elements[n][0] not in INLINE),
+            None,
+        )
+        if nearest is not None and block:
+            parent = open_elements[nearest][0]
+            if parent == "p" or (parent == name and name in SELF_CLOSING):
+                del open_elements[nearest:]
+                dropped = bool(open_elements) and open_elements[-1][1]
+                rooted = bool(open_elements) and open_elements[-1][2]
         never = dropped or name in NEVER or bool(_named(match.group(3)) & NEVER_NAMED)
         open_elements.append((name, never, rooted or name in CONTENT_ROOTS))
         if name in _RAW_END:
@@ -231,7 +236,6 @@ def extract(
     rows = pages.select(
         quoted(page_id).alias("page_id"), quoted(url).alias("url"), quoted(html).alias("html")
     )
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -239,6 +243,5 @@ def extract(
             result["text"] = [main_text(page, scores) for page in batch["html"]]
             yield result
 
-    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string"
-    result = rows.mapInPandas(extracted, schema)
+    result = map_with_id(rows, extracted, "text string", ("page_id", "url"))
     return result.withColumn("n_chars", F.length("text").cast("long"))

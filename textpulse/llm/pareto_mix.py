@@ -150,7 +150,7 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
         return F.least(F.greatest(share, F.lit(1e-9)), F.lit(1 - 1e-9))
 
     inside = proper(chance)
-    typical = F.col("target") * F.col("_mean_weight") / F.col("_weighted")
+    typical = F.try_divide(F.col("target") * F.col("_mean_weight"), F.col("_weighted"))
     typical = proper(F.coalesce(typical - F.floor(typical), F.lit(0.5)))
     rows = rows.withColumn("_odds", typical / (1 - typical))
     rows = rows.withColumn("_rank", pareto_rank(uniform(F.col("doc_id")), inside))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import quoted, written
+from textpulse.llm.common import map_with_id, quoted, written
 from textpulse.llm.training import fold, labelled_ids, one_label_each
 
 FOLDS = 4
@@ -400,14 +400,13 @@ def score_documents(
 ) -> DataFrame:
     """Id, fold and score of each row."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             scores = np.fromiter(map(scorer.score, batch["text"]), float, len(batch))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": scores})
 
-    result = rows.mapInPandas(scored, f"doc_id {kind}, score double")
+    result = map_with_id(rows, scored, "score double")
     held_out = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return result.select(
         "doc_id",
