@@ -19,6 +19,7 @@ def local_session():
         "textpulse-tests",
         "local[8]",
         spark__sql__shuffle__partitions=8,
+        spark__textpulse__spread=8,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",

@@ -4,10 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.support import SMALL, compare, duck
+from textpulse.catalog.oracles import ORACLES
+from textpulse.catalog.queries import QUERIES
 from textpulse.session import scratch_dir
 
-ORACLES = contract.oracle_sql()
-ROWS_ONLY = {"model_train_score", "model_hybrid_score", "stream_metrics"}
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +15,10 @@ def engine():
     return duck(SMALL)
 
 
-def test_only_models_and_sketches_lack_an_oracle():
-    assert set(contract.queries()) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(contract.queries())
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -88,6 +88,26 @@ def test_previews(spark, processed):
     assert value["retry_count"] == 0 and value["timestamp"] == 1706745600
 
 
+def test_a_new_checkpoint_adds_and_a_replay_replaces(spark, tmp_path):
+    source, landed = str(tmp_path / "in"), str(tmp_path / "t")
+    spark.range(413).write.parquet(f"{source}/part=0")
+
+    def run(checkpoint):
+        stream = spark.readStream.schema("id long").parquet(f"{source}/part=*")
+        writer = stream.writeStream.foreachBatch(land_in_directory(landed))
+        writer = writer.option("checkpointLocation", str(tmp_path / checkpoint))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(landed).count()
+
+    assert run("one") == run("one") == 413
+    # The commit of the batch is lost: it runs again under the same query.
+    for name in (tmp_path / "one" / "commits").iterdir():
+        name.unlink()
+    assert run("one") == 413
+    spark.range(410).write.mode("overwrite").parquet(f"{source}/part=0")
+    assert run("two") == 823
+
+
 def test_directory_landing_replaces_a_replayed_batch(spark, tmp_path):
     land = land_in_directory(str(tmp_path / "t"))
     land(spark.range(5), 0)
@@ -119,7 +139,7 @@ class Connection:
 
 def test_database_landing_survives_replays_and_repeated_tasks(spark, tmp_path):
     engine = duckdb.connect()
-    columns = "stream_name text, batch_id bigint, {} id text, n int"
+    columns = "stream_name text, query_id text, batch_id bigint, {} id text, n int"
     engine.execute(f"create table t ({columns.format('')})")
     engine.execute(f"create table t_staging ({columns.format('row_number_in_batch bigint,')})")
     target = RelationalTarget(
@@ -151,6 +171,41 @@ def test_database_landing_survives_replays_and_repeated_tasks(spark, tmp_path):
     assert engine.execute("select count(*) from t_staging").fetchall() == [(0,)]
 
 
+@pytest.mark.parametrize(
+    "style, tests, values",
+    [
+        ("qmark", "stream_name = ? AND query_id = ? AND batch_id = ?", ("s", "q", 3)),
+        ("format", "stream_name = %s AND query_id = %s AND batch_id = %s", ("s", "q", 3)),
+        ("numeric", "stream_name = :1 AND query_id = :2 AND batch_id = :3", ("s", "q", 3)),
+        (
+            "named",
+            "stream_name = :stream_name AND query_id = :query_id AND batch_id = :batch_id",
+            {"stream_name": "s", "query_id": "q", "batch_id": 3},
+        ),
+        (
+            "pyformat",
+            "stream_name = %(stream_name)s AND query_id = %(query_id)s AND batch_id = %(batch_id)s",
+            {"stream_name": "s", "query_id": "q", "batch_id": 3},
+        ),
+    ],
+)
+def test_statements_in_the_style_of_the_driver(style, tests, values):
+    target = RelationalTarget("jdbc:none", "t", ("id",), "s", lambda: None, paramstyle=style)
+    assert target.clear_staging() == f"DELETE FROM t_staging WHERE {tests}"
+    assert target.remove_batch() == f"DELETE FROM t WHERE {tests}"
+    assert target.move_batch() == (
+        "INSERT INTO t (stream_name, query_id, batch_id, id) SELECT stream_name, query_id, "
+        "batch_id, id FROM (SELECT DISTINCT row_number_in_batch, stream_name, query_id, batch_id, "
+        f"id FROM t_staging WHERE {tests}) AS batch"
+    )
+    assert target.values("q", 3) == values
+
+
+def test_unknown_style():
+    with pytest.raises(ValueError):
+        RelationalTarget("u", "t", ("id",), "s", lambda: None, paramstyle="x").clear_staging()
+
+
 def test_database_settings_come_from_the_configuration():
     config = PulseConfig.from_env(
         {"TEXTPULSE_JDBC_URL": "jdbc:x", "TEXTPULSE_JDBC_USER": "me", "TEXTPULSE_JDBC_PASSWORD": "pw"}
@@ -174,6 +229,10 @@ def test_bus_options():
         "maxOffsetsPerTrigger": "1000",
     }
     assert "maxOffsetsPerTrigger" not in bus.topic_options(config, "t")
+    careful = PulseConfig(starting_offsets="earliest", fail_on_data_loss=True)
+    options = bus.topic_options(careful, "t", careful.max_records_per_trigger)
+    assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "true")
+    assert "maxOffsetsPerTrigger" not in options
     assert out.topic_writer_options(config, "t")["topic"] == "t"
     assert "topic" not in out.topic_writer_options(config)
 
@@ -182,3 +241,11 @@ def test_environment_keeps_types():
     config = PulseConfig.from_env({"TEXTPULSE_MIN_TEXT_LENGTH": "3", "TEXTPULSE_MIN_CONFIDENCE": "0.5"})
     assert (config.min_text_length, config.min_confidence) == (3, 0.5)
     assert config.model_version == "1.2"
+    assert config.remember_ids_for is None and config.max_records_per_trigger is None
+    env = {"TEXTPULSE_REMEMBER_IDS_FOR": "7 days", "TEXTPULSE_MAX_RECORDS_PER_TRIGGER": "1000",
+           "TEXTPULSE_FAIL_ON_DATA_LOSS": "true"}
+    config = PulseConfig.from_env(env)
+    assert (config.remember_ids_for, config.max_records_per_trigger) == ("7 days", 1000)
+    assert config.fail_on_data_loss is True
+    unset = PulseConfig.from_env({"TEXTPULSE_REMEMBER_IDS_FOR": "None", "TEXTPULSE_MAX_RECORDS_PER_TRIGGER": ""})
+    assert unset.remember_ids_for is None and unset.max_records_per_trigger is None

@@ -1,17 +1,19 @@
 """Streams over directories: equal to the batch, restartable, replay-safe."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.support import SMALL, compare, rows
 from textpulse.catalog.queries import fixed_now
 from textpulse.config import PulseConfig
-from textpulse.operators.dedup import first_seen_stream
+from textpulse.operators.dedup import first_seen, first_seen_stream, keep_first_seen
+from textpulse.operators.evaluation import windowed_evaluation
 from textpulse.operators.metrics import processing_metrics
 from textpulse.operators.routing import dead_letters, parse_messages, valid_content
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.sinks.messages import dead_letter_preview, encode_processed, result_preview
-from textpulse.sinks.tables import land_in_directory
+from textpulse.sinks.tables import BATCH_COLUMNS, land_in_directory
 from textpulse.sources import bus
 from textpulse.sources import tables as tb
 from textpulse.sources.listings import flatten_listings
@@ -62,8 +64,8 @@ def test_stream_equals_batch_over_a_restart(spark, posts, tmp_path):
     landed = spark.read.parquet(f"{root}/processed")
     assert landed.select("batch_id").distinct().count() >= 3
     expected = processed_rows(routed, now=fixed_now())
-    assert compare(landed.drop("batch_id").toPandas(), expected.toPandas()) is None
-    dead = spark.read.parquet(f"{root}/dead").drop("batch_id")
+    assert compare(landed.drop(*BATCH_COLUMNS).toPandas(), expected.toPandas()) is None
+    dead = spark.read.parquet(f"{root}/dead").drop(*BATCH_COLUMNS)
     assert rows(dead.toPandas()) == rows(dead_letters(failures(routed), fixed_now()).toPandas())
 
 
@@ -97,7 +99,7 @@ def test_landing_decoded_records(spark, posts, tmp_path):
     jobs.start_landing(
         stream, f"{root}/checkpoint", land_in_directory(f"{root}/table"), jobs.ONCE
     ).awaitTermination()
-    landed = spark.read.parquet(f"{root}/table").drop("batch_id")
+    landed = spark.read.parquet(f"{root}/table").drop(*BATCH_COLUMNS)
     expected = decode_processed(bus.as_text(messages))
     assert compare(landed.toPandas(), expected.toPandas()) is None
 
@@ -136,28 +138,99 @@ def test_duplicates_across_batches_are_dropped(spark, posts, tmp_path, remember_
     ).select("id").distinct().count()
 
 
-def test_metrics_stream_equals_batch_but_for_authors(spark, posts, tmp_path):
+def newest_first(posts, path):
+    """Four files, one a trigger, the newest rows first."""
+    ordered = posts.withColumn("part", F.ntile(4).over(Window.orderBy(F.desc("timestamp"))))
+    for part in range(1, 5):
+        write(ordered.filter(F.col("part") == part).drop("part"), path, part)
+
+
+def test_metrics_count_rows_in_any_order(spark, posts, tmp_path):
     path, root = str(tmp_path / "in"), str(tmp_path / "out")
-    for part, half in enumerate(posts.randomSplit([0.5, 0.5], seed=5)):
-        write(half, path, part)
+    newest_first(posts, path)
     processed = processed_rows(route(source(spark, path)), now=fixed_now())
     jobs.start_metrics(
-        jobs.streaming_metrics(processed, late_by="30 days"),
-        f"{root}/checkpoint",
-        land_in_directory(f"{root}/windows"),
-        jobs.ONCE,
+        processed, f"{root}/checkpoint", f"{root}/parts", trigger=jobs.ONCE
     ).awaitTermination()
-    got = jobs.latest_metrics(spark, f"{root}/windows")
+    parts = spark.read.parquet(f"{root}/parts")
+    assert parts.select("batch_id").distinct().count() >= 4
     batch = processing_metrics(
         processed_rows(route(posts.withColumn("content_type", F.lit("post"))), now=fixed_now()),
         "kafka_timestamp",
     )
-    columns = [c for c in batch.columns if c != "unique_authors"]
-    rounded = [F.round(c, 9).alias(c) if c.startswith("avg_") else F.col(c) for c in columns]
-    assert compare(got.select(rounded).toPandas(), batch.select(rounded).toPandas()) is None
-    exact = batch.select(*jobs.METRIC_KEYS, F.col("unique_authors").alias("exact"))
-    off = got.join(exact, list(jobs.METRIC_KEYS)).filter("abs(unique_authors - exact) > 1")
-    assert off.count() == 0
+    got = jobs.latest_metrics(spark, f"{root}/parts")
+    assert compare(got.toPandas(), batch.toPandas()) is None
+    jobs.compact_metrics(spark, f"{root}/parts", f"{root}/compact")
+    assert compare(jobs.latest_metrics(spark, f"{root}/compact").toPandas(), batch.toPandas()) is None
+
+
+def test_first_rows_are_kept_in_any_order(spark, posts, tmp_path):
+    path, root = str(tmp_path / "in"), str(tmp_path / "out")
+    newest_first(posts, path)
+    content = valid_content(parse_messages(source(spark, path)))
+    twice = tb.repeated(content, F.col("id").cast("bigint"))
+    for _ in range(2):
+        jobs.start_landing(
+            twice, f"{root}/checkpoint", keep_first_seen(f"{root}/first"), jobs.ONCE
+        ).awaitTermination()
+    landed = spark.read.parquet(f"{root}/first")
+    assert landed.select("batch_id").distinct().count() >= 4
+    whole = valid_content(parse_messages(posts.withColumn("content_type", F.lit("post"))))
+    expected = first_seen(tb.repeated(whole, F.col("id").cast("bigint")))
+    assert compare(landed.drop(*BATCH_COLUMNS).toPandas(), expected.toPandas()) is None
+
+
+def test_copies_in_later_batches_are_not_first(spark, posts, tmp_path):
+    path, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in (0, 1):
+        write(posts, path, part)
+    content = valid_content(parse_messages(source(spark, path, cap=2)))
+    jobs.start_landing(
+        content, f"{root}/checkpoint", keep_first_seen(f"{root}/first"), jobs.ONCE
+    ).awaitTermination()
+    ids = spark.read.parquet(f"{root}/first").groupBy("id").count()
+    assert ids.filter("count > 1").count() == 0 and ids.count() > 0
+
+
+def test_live_view_counts_authors_roughly(spark, posts, tmp_path):
+    path = str(tmp_path / "in")
+    write(posts, path, 0)
+    processed = processed_rows(route(source(spark, path)), now=fixed_now())
+    view = jobs.streaming_metrics(processed, late_by="30 days")
+    assert view.isStreaming and "unique_authors" in view.columns
+
+
+def test_evaluation_of_a_stream(spark, tmp_path):
+    path, landed = str(tmp_path / "in"), {}
+    rows_ = [(float(n % 3), float(n % 2), 0.5, 60 * n) for n in range(40)]
+    table = spark.createDataFrame(rows_, "label double, prediction double, confidence double, s long")
+    table = table.select("*", F.timestamp_seconds("s").alias("kafka_timestamp")).drop("s")
+    write(table, path, 0)
+    stream = spark.readStream.schema(table.schema).parquet(f"{path}/part=*")
+
+    def keep(batch, _):
+        landed.update({r.window_start: r for r in batch.collect()})
+
+    jobs.start_evaluation(
+        stream, str(tmp_path / "c"), keep, late_by="10 minutes", trigger=jobs.ONCE
+    ).awaitTermination()
+    expected = windowed_evaluation(table).collect()
+    assert sorted(landed.values()) == sorted(expected)
+
+
+@pytest.mark.parametrize(
+    "interval, seconds",
+    [("2 hours", 7200), ("500 milliseconds", 0.5), ("1 minute", 60), ("1 day", 86400),
+     ("1 hour 30 minutes", 5400), ("interval 10 seconds", 10)],
+)
+def test_intervals(interval, seconds):
+    assert jobs.seconds_of(interval) == seconds
+
+
+@pytest.mark.parametrize("interval", ["", "5", "3 fortnights", "x seconds"])
+def test_unknown_intervals(interval):
+    with pytest.raises(ValueError):
+        jobs.seconds_of(interval)
 
 
 def test_checkpoints_are_named_per_query():

@@ -7,13 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textpulse.config import DEFAULTS
-from textpulse.functions.lexicon import lexicon_sentiment
+from textpulse.functions.lexicon import DEFAULT_LEXICON, lexicon_hits, lexicon_sentiment
 from textpulse.functions.text import extract_content
 from textpulse.operators import evaluation as ev
 from textpulse.operators import metrics as mt
 from textpulse.operators import model as md
-from textpulse.operators.dedup import first_seen, first_seen_stream
+from textpulse.operators.dedup import first_seen, keep_first_seen
 from textpulse.operators.routing import (
     dead_letters,
     parse_failures,
@@ -30,7 +29,7 @@ from textpulse.operators.scoring import (
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.session import scratch_dir
 from textpulse.sinks import messages as out
-from textpulse.sinks.tables import land_in_directory
+from textpulse.sinks.tables import BATCH_COLUMNS, land_in_directory
 from textpulse.sources import listings as ls
 from textpulse.sources import tables as tb
 from textpulse.sources.records import decode_dead_letters, decode_processed
@@ -47,11 +46,11 @@ def fixed_now() -> Column:
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return tb.read_texts(spark, sf, "documents")
+    return tb.read_texts(spark, sf, "documents", tb.spread_of(spark))
 
 
 def _conversations(spark: SparkSession, sf: str) -> DataFrame:
-    return tb.read_texts(spark, sf, "conversations")
+    return tb.read_texts(spark, sf, "conversations", tb.spread_of(spark))
 
 
 def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,11 +135,11 @@ def lexicon_sentiment_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lexicon_sentiment_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """The column function on texts as they are, cut to short pieces for some rows."""
-    text = F.when(F.col("doc_id") % 20 == 0, F.substring("title", 1, 4)).otherwise(F.col("title"))
-    scored = tb.posts(_documents(spark, sf)).select(
-        "doc_id", lexicon_sentiment(text).alias("result")
-    )
+    """The column function on texts as they are, and on a short word beside some of them."""
+    texts = F.when(F.col("doc_id") % 20 == 0, F.array("title", F.lit("good")))
+    texts = texts.otherwise(F.array("title"))
+    rows = tb.posts(_documents(spark, sf)).select("doc_id", F.explode(texts).alias("text"))
+    scored = rows.select("doc_id", lexicon_sentiment(F.col("text")).alias("result"))
     return scored.select("doc_id", "result.*")
 
 
@@ -212,14 +211,11 @@ def windowed_metrics_content(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _metrics_view(metrics: DataFrame) -> DataFrame:
-    averages = [c for c in metrics.columns if c.startswith("avg_")]
-    return _wall_clock(_rounded(metrics, *averages), "window_start", "window_end")
+    return _wall_clock(metrics, "window_start", "window_end")
 
 
 def sentiment_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    grouped = mt.sentiment_by_group(_processed(spark, sf))
-    ratios = [f"{name}_ratio" for name in mt.SENTIMENTS]
-    return _rounded(grouped, "avg_sentiment_score", *ratios)
+    return mt.sentiment_by_group(_processed(spark, sf))
 
 
 def top_engaging(spark: SparkSession, sf: str) -> DataFrame:
@@ -249,13 +245,7 @@ def _lexicon_predictions(spark: SparkSession, sf: str) -> DataFrame:
         "sentiment_result.confidence",
         F.timestamp_seconds("created_utc").alias("kafka_timestamp"),
     )
-    # The labels are those of documents that exist, as for the first set of predictions.
-    labels = tb.weighted_join(
-        tb.labelled(tb.read_table(spark, sf, "labels")),
-        tb.read_table(spark, sf, "documents").select("doc_id"),
-        "doc_id",
-    )
-    return tb.weighted_join(labels, verdicts, "doc_id")
+    return tb.weighted_join(tb.labelled(tb.read_table(spark, sf, "labels")), verdicts, "doc_id")
 
 
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,63 +289,91 @@ def windowed_eval(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_train_score(spark: SparkSession, sf: str) -> DataFrame:
-    """The built-in training texts fitted, and the model applied to every document."""
+    """The model of the built-in texts on every document, by what holds of any verdict."""
     content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
     scored = score_content(content, scorer=md.model_scorer(md.default_model(spark)))
-    return scored.select("doc_id", "sentiment_result.*")
+    return scored.select("doc_id", *_model_rules())
+
+
+def _model_rules() -> list[Column]:
+    """A verdict's score is that of its class, its confidence that of the likeliest of three."""
+    result = F.col("sentiment_result")
+    lexicon = DEFAULT_LEXICON
+    scores = F.create_map(
+        *[
+            F.lit(value)
+            for name in md.SENTIMENT_BY_CLASS
+            for value in (name, float(getattr(lexicon, f"{name}_score")))
+        ]
+    )
+    least = 1 / len(md.SENTIMENT_BY_CLASS) - 1e-9
+    return [
+        (scores[result["sentiment"]] == result["sentiment_score"]).alias("score_of_class"),
+        result["confidence"].between(least, 1 + 1e-9).alias("confidence_in_range"),
+    ]
 
 
 def model_hybrid_score(spark: SparkSession, sf: str) -> DataFrame:
     content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
     scored = score_content(content, scorer=md.hybrid_scorer(md.default_model(spark)))
-    return scored.select("doc_id", "sentiment_result.*")
+    by_lexicon = F.size(lexicon_hits(F.col("cleaned_text"), cleaned=True)) > 0
+    names = ("sentiment", "sentiment_score", "confidence")
+    return scored.select(
+        "doc_id",
+        F.when(by_lexicon, "lexicon").otherwise("model").alias("decided_by"),
+        *[F.when(by_lexicon, F.col(f"sentiment_result.{n}")).alias(f"lexicon_{n}") for n in names],
+        *[(by_lexicon | rule).alias(name) for rule, name in zip(_model_rules(), _RULES, strict=True)],
+    )
+
+
+_RULES = ("score_of_class", "confidence_in_range")
+
 
+# A bound on a micro-batch; nothing depends on which files meet in one.
+FILES_PER_TRIGGER = 100
 
-def _envelope_stream(
-    spark: SparkSession, sf: str, max_files_per_trigger: int | None = None
-) -> DataFrame:
+
+def _envelope_stream(spark: SparkSession, sf: str) -> DataFrame:
     return tb.all_envelopes(
-        tb.stream_table(spark, sf, "documents", max_files_per_trigger),
-        tb.stream_table(spark, sf, "conversations", max_files_per_trigger),
+        *[
+            tb.stream_table(spark, sf, name, FILES_PER_TRIGGER, tb.spread_of(spark))
+            for name in ("documents", "conversations")
+        ]
     )
 
 
-def _run_scoring(spark: SparkSession, sf: str) -> str:
-    """Stream both tables through the scoring job once; returns where it landed them."""
+def _run_scoring(spark: SparkSession, sf: str, outcome: str) -> DataFrame:
+    """Stream both tables through the scoring job once, into a folder for one outcome."""
     root = scratch_dir(spark, "stream-scoring")
     query = jobs.start_scoring(
-        _envelope_stream(spark, sf, max_files_per_trigger=1000),
+        _envelope_stream(spark, sf),
         f"{root}/checkpoint",
-        processed=[land_in_directory(f"{root}/processed")],
-        dead=[land_in_directory(f"{root}/dead-letters")],
+        **{outcome: [land_in_directory(f"{root}/landed")]},
         now=fixed_now(),
         trigger=jobs.ONCE,
     )
     query.awaitTermination()
-    return root
+    return spark.read.parquet(f"{root}/landed").drop(*BATCH_COLUMNS)
 
 
 def stream_processed(spark: SparkSession, sf: str) -> DataFrame:
-    landed = spark.read.parquet(f"{_run_scoring(spark, sf)}/processed").drop("batch_id")
+    landed = _run_scoring(spark, sf, "processed")
     return _wall_clock(_readable(landed), "processing_timestamp")
 
 
 def stream_dlq(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{_run_scoring(spark, sf)}/dead-letters").drop("batch_id")
+    return _run_scoring(spark, sf, "dead")
 
 
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Windowed metrics of the stream, the approximate author count left in."""
+    """Windowed metrics of the stream, added up from the parts of its batches."""
     root = scratch_dir(spark, "stream-metrics")
     processed = processed_rows(route(_envelope_stream(spark, sf)), now=fixed_now())
     query = jobs.start_metrics(
-        jobs.streaming_metrics(processed),
-        f"{root}/checkpoint",
-        land_in_directory(f"{root}/windows"),
-        trigger=jobs.ONCE,
+        processed, f"{root}/checkpoint", f"{root}/parts", trigger=jobs.ONCE
     )
     query.awaitTermination()
-    return _metrics_view(jobs.latest_metrics(spark, f"{root}/windows"))
+    return _metrics_view(jobs.latest_metrics(spark, f"{root}/parts"))
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -363,15 +381,14 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "stream-dedup")
     content = valid_content(parse_messages(_envelope_stream(spark, sf)))
     number = F.regexp_extract("id", "^c?([0-9]+)", 1).cast("bigint")
-    unique = first_seen_stream(tb.repeated(content, number), DEFAULTS.remember_ids_for)
     query = jobs.start_landing(
-        unique.select("content_type", "id", "author", "subreddit", "score"),
+        tb.repeated(content, number),
         f"{root}/checkpoint",
-        land_in_directory(f"{root}/unique"),
+        keep_first_seen(f"{root}/unique"),
         trigger=jobs.ONCE,
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/unique").drop("batch_id")
+    return _readable(spark.read.parquet(f"{root}/unique").drop(*BATCH_COLUMNS))
 
 
 QUERIES: dict[str, Query] = {

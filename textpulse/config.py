@@ -14,14 +14,18 @@ class PulseConfig:
     min_confidence: float = 0.3
     min_text_length: int = 10
     model_version: str = "1.2"
-    max_records_per_trigger: int = 1000
+    # None: as much as there is. A cap bounds a micro-batch and with it the rate of the job.
+    max_records_per_trigger: int | None = None
+    starting_offsets: str = "latest"
+    fail_on_data_loss: bool = False
     process_every: str = "10 seconds"
     dead_letter_every: str = "30 seconds"
     preview_every: str = "30 seconds"
     dead_letter_log_every: str = "1 minute"
     metrics_every: str = "2 minutes"
     late_by: str = "10 minutes"
-    remember_ids_for: str = "7 days"
+    # None: every id for ever, so that no row is ever taken for a late one and dropped.
+    remember_ids_for: str | None = None
 
     # Names that every deployment may set.
     bootstrap_servers: str = "localhost:9092"
@@ -50,9 +54,18 @@ class PulseConfig:
         for f in fields(cls):
             raw = env.get(ENV_PREFIX + f.name.upper())
             if raw is not None:
-                kind = type(f.default)
-                found[f.name] = kind(raw) if kind in (int, float) else raw
+                found[f.name] = _from_text(raw, f.type)
         return cls(**found)
 
 
+def _from_text(raw: str, kind: str) -> object:
+    """A setting from its text; "none" or nothing unsets what may be unset."""
+    if kind.endswith("| None") and raw.strip().lower() in ("", "none"):
+        return None
+    plain = kind.removesuffix(" | None")
+    if plain == "bool":
+        return raw.strip().lower() in ("true", "1", "yes")
+    return {"int": int, "float": float}.get(plain, str)(raw)
+
+
 DEFAULTS = PulseConfig()

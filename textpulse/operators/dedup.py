@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textpulse.sinks.tables import land_in_directory, streaming_query_id
+
 KEYS = ("content_type", "id")
 
 
@@ -30,10 +33,42 @@ def first_seen_stream(
     keys: Sequence[str] = KEYS,
     arrival: str = "kafka_timestamp",
 ) -> DataFrame:
-    """As ``first_seen`` for a stream; a key is remembered for that long in event time.
+    """One row per key of a stream; a key is remembered for that long in event time.
 
-    ``None`` remembers every key for ever: exact, with state that grows with the keys.
+    ``None`` remembers every key for ever: nothing is dropped as late, and the state grows
+    with the keys. With a time, rows later than it are dropped, new keys among them. Of
+    copies in one micro-batch any may stay; ``keep_first_seen`` keeps the earliest.
     """
     if remember_for is None:
         return df.dropDuplicates(list(keys))
     return df.withWatermark(arrival, remember_for).dropDuplicatesWithinWatermark(list(keys))
+
+
+def keep_first_seen(
+    path: str,
+    keys: Sequence[str] = KEYS,
+    arrival: str = "kafka_timestamp",
+) -> Callable[[DataFrame, int], None]:
+    """A sink that lands the first row of every key of a stream and no other.
+
+    The landed table is the memory: a batch lands its earliest row of each key that no other
+    batch has landed. A replayed batch does not see its own rows, so it lands the same again.
+    Nothing is ever too late.
+    """
+    land = land_in_directory(path)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = first_seen(batch, keys, arrival)
+        try:
+            landed = spark.read.parquet(path)
+        except AnalysisException:
+            # Nothing has been landed yet.
+            landed = None
+        if landed is not None:
+            own = (F.col("query_id") == streaming_query_id(batch)) & (F.col("batch_id") == batch_id)
+            known = landed.filter(~own).select(*keys)
+            fresh = fresh.join(known, list(keys), "left_anti").select(*batch.columns)
+        land(fresh, batch_id)
+
+    return keep

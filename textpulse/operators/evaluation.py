@@ -229,8 +229,14 @@ def windowed_evaluation(
     time: str = "kafka_timestamp",
     length: str = "5 minutes",
     weight: str | None = None,
+    late_by: str | None = None,
 ) -> DataFrame:
-    """Volume, accuracy and confidence per time window, for batches and streams."""
+    """Volume, accuracy and confidence per time window.
+
+    On a stream ``late_by`` bounds the state; without it every window stays open.
+    """
+    if late_by is not None:
+        predictions = predictions.withWatermark(time, late_by)
     if "correct_prediction" not in predictions.columns:
         predictions = with_correctness(predictions)
     total = _rows(weight)

@@ -13,6 +13,22 @@ def _count_of(sentiment: str) -> Column:
     return F.count_if(F.col("sentiment") == sentiment)
 
 
+def units(value: Column) -> Column:
+    """A number in millionths, whole: sums of these do not depend on the order of rows."""
+    return F.round(value * 1e6).cast("bigint")
+
+
+def quotient(total: Column, count: Column) -> Column:
+    """Total millionths over a count, to the nearest millionth, halves up."""
+    doubled = F.call_function("div", 2 * total + count, 2 * count)
+    return F.when(count > 0, doubled / 1e6)
+
+
+def mean(name: str) -> Column:
+    """The average to six digits, the same however rows are partitioned."""
+    return quotient(F.sum(units(F.col(name))), F.count(name))
+
+
 def tumbling(df: DataFrame, time: str, length: str, *keys: str):
     """Group by time window and keys, with the window bounds as two columns."""
     span = F.window(F.col(time), length)
@@ -42,24 +58,87 @@ def processing_metrics(
     authors = F.approx_count_distinct("author") if approximate else F.count_distinct("author")
     grouped = tumbling(df, time, length, "content_type", "subreddit").agg(
         F.count(F.lit(1)).alias("total_processed"),
-        F.avg("sentiment_score").alias("avg_sentiment"),
-        F.avg("confidence").alias("avg_confidence"),
+        mean("sentiment_score").alias("avg_sentiment"),
+        mean("confidence").alias("avg_confidence"),
         *[_count_of(name).alias(f"{name}_count") for name in SENTIMENTS],
         F.max("engagement_score").alias("max_engagement"),
-        F.avg("text_length").alias("avg_text_length"),
+        mean("text_length").alias("avg_text_length"),
         authors.alias("unique_authors"),
     )
     return flatten_window(grouped)
 
 
+_AVERAGED = {"avg_sentiment": "sentiment_score", "avg_confidence": "confidence",
+             "avg_text_length": "text_length"}
+_WINDOW_KEYS = ("window_start", "window_end", "content_type", "subreddit")
+
+
+def metric_parts(
+    df: DataFrame, time: str = "processing_timestamp", length: str = "5 minutes"
+) -> DataFrame:
+    """What some rows add to ``processing_metrics``, per author, to be added up later."""
+    sums = {
+        f"{name}_{part}": value
+        for name, column in _AVERAGED.items()
+        for part, value in (("sum", F.sum(units(F.col(column)))), ("n", F.count(column)))
+    }
+    grouped = tumbling(df, time, length, "content_type", "subreddit", "author").agg(
+        F.count(F.lit(1)).alias("total_processed"),
+        *[_count_of(name).alias(f"{name}_count") for name in SENTIMENTS],
+        F.max("engagement_score").alias("max_engagement"),
+        *[value.alias(name) for name, value in sums.items()],
+    )
+    return flatten_window(grouped)
+
+
+def add_parts(parts: DataFrame, *keys: str) -> DataFrame:
+    """Parts of the same keys as one; per window and author unless other keys are given."""
+    keys = keys or (*_WINDOW_KEYS, "author")
+    added = [
+        "total_processed",
+        *[f"{name}_count" for name in SENTIMENTS],
+        *[f"{name}_{part}" for name in _AVERAGED for part in ("sum", "n")],
+    ]
+    return parts.groupBy(*keys).agg(
+        *[F.sum(name).alias(name) for name in added],
+        F.max("max_engagement").alias("max_engagement"),
+    )
+
+
+def merged_metrics(parts: DataFrame) -> DataFrame:
+    """``processing_metrics`` from parts; authors aggregate first, so they are counted exactly."""
+    by_author = add_parts(parts)
+    authors = by_author.groupBy(*_WINDOW_KEYS).agg(F.count("author").alias("unique_authors"))
+    total = add_parts(by_author, *_WINDOW_KEYS)
+    same = [F.col(f"t.{key}").eqNullSafe(F.col(f"a.{key}")) for key in _WINDOW_KEYS]
+    joined = total.alias("t").join(authors.alias("a"), same)
+    averages = {
+        name: quotient(F.col(f"t.{name}_sum"), F.col(f"t.{name}_n")).alias(name)
+        for name in _AVERAGED
+    }
+    return joined.select(
+        *[F.col(f"t.{key}") for key in _WINDOW_KEYS],
+        "t.total_processed",
+        averages["avg_sentiment"],
+        averages["avg_confidence"],
+        *[F.col(f"t.{name}_count") for name in SENTIMENTS],
+        "t.max_engagement",
+        averages["avg_text_length"],
+        "a.unique_authors",
+    )
+
+
 def sentiment_by_group(df: DataFrame) -> DataFrame:
     """Class counts and their shares per subreddit and content type."""
     grouped = df.groupBy("subreddit", "content_type").agg(
         F.count(F.lit(1)).alias("total_count"),
-        F.avg("sentiment_score").alias("avg_sentiment_score"),
+        mean("sentiment_score").alias("avg_sentiment_score"),
         *[_count_of(name).alias(name) for name in SENTIMENTS],
     )
-    shares = {f"{name}_ratio": F.col(name) / F.col("total_count") for name in SENTIMENTS}
+    shares = {
+        f"{name}_ratio": quotient(F.col(name) * 1_000_000, F.col("total_count"))
+        for name in SENTIMENTS
+    }
     return grouped.withColumns(shares)
 
 

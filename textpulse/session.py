@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,15 +37,29 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_root: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared checkpoint folder the cluster names.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors
-    would not see the driver's disk.
+    A single-process session without that setting gets one folder of its own, as in tests;
+    a cluster has to name one, as executors do not see the driver's disk. The folder is
+    removed when the session's JVM ends.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="textpulse-")
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+        if not _own_root:
+            _own_root.append(tempfile.mkdtemp(prefix="textpulse-"))
+            _drop_at_exit(spark, _own_root[0])
+        root = _own_root[0]
+    path = os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    _drop_at_exit(spark, path)
+    return path
+
+
+def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)

@@ -12,15 +12,39 @@ from pyspark.sql import functions as F
 from textpulse.config import PulseConfig
 
 
+def streaming_query_id(batch: DataFrame) -> str:
+    """Id of the running query, which its checkpoint keeps over restarts.
+
+    A replayed batch has the id that it had; a query with a new checkpoint has a new one and
+    counts its batches from 0 again.
+    """
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or "none"
+
+
+BATCH_COLUMNS = ("query_id", "batch_id")
+
+
+def batch_folder(path: str, batch: DataFrame, batch_id: int) -> str:
+    return f"{path}/query_id={streaming_query_id(batch)}/batch_id={batch_id}"
+
+
 def land_in_directory(path: str) -> Callable[[DataFrame, int], None]:
-    """A sink that gives every batch its own partition folder and replaces it on replay."""
+    """A sink that gives every batch its own partition folder and replaces it on replay.
+
+    Folders are named by query and batch, so a lost or new checkpoint adds and never replaces
+    what an earlier query has landed.
+    """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_folder(path, batch, batch_id))
 
     return land
 
 
+_KEY_COLUMNS = ("stream_name", "query_id", "batch_id")
+
+
 @dataclass(frozen=True)
 class RelationalTarget:
     """A table reached through JDBC, with a staging table beside it.
@@ -30,6 +54,7 @@ class RelationalTarget:
     connection to the same database and sees statements only, never rows.
 
     Column types of the staging table have to be comparable (``text``, not ``clob``).
+    ``paramstyle`` is that of the driver module behind ``connect``, one of the five of PEP 249.
     """
 
     url: str
@@ -39,6 +64,7 @@ class RelationalTarget:
     connect: Callable[[], Any] = field(repr=False)
     options: dict[str, str] = field(default_factory=dict, repr=False)
     column_types: str | None = None
+    paramstyle: str = "qmark"
 
     @property
     def staging(self) -> str:
@@ -58,23 +84,45 @@ class RelationalTarget:
         """
         return batch.select(
             F.lit(self.stream).alias("stream_name"),
+            F.lit(streaming_query_id(batch)).alias("query_id"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
             F.monotonically_increasing_id().alias("row_number_in_batch"),
             *self.columns,
         )
 
+    def _this_batch(self) -> str:
+        markers = {
+            "qmark": lambda n, name: "?",
+            "format": lambda n, name: "%s",
+            "numeric": lambda n, name: f":{n}",
+            "named": lambda n, name: f":{name}",
+            "pyformat": lambda n, name: f"%({name})s",
+        }
+        if self.paramstyle not in markers:
+            raise ValueError(f"unknown paramstyle {self.paramstyle!r}")
+        marker = markers[self.paramstyle]
+        tests = [f"{name} = {marker(n, name)}" for n, name in enumerate(_KEY_COLUMNS, 1)]
+        return " AND ".join(tests)
+
+    def values(self, query_id: str, batch_id: int) -> tuple | dict:
+        """What goes with the statements, by place or by name."""
+        values = (self.stream, query_id, batch_id)
+        if self.paramstyle in ("named", "pyformat"):
+            return dict(zip(_KEY_COLUMNS, values, strict=True))
+        return values
+
     def clear_staging(self) -> str:
-        return f"DELETE FROM {self.staging} WHERE stream_name = ? AND batch_id = ?"
+        return f"DELETE FROM {self.staging} WHERE {self._this_batch()}"
 
     def remove_batch(self) -> str:
-        return f"DELETE FROM {self.table} WHERE stream_name = ? AND batch_id = ?"
+        return f"DELETE FROM {self.table} WHERE {self._this_batch()}"
 
     def move_batch(self) -> str:
-        columns = ", ".join(["stream_name", "batch_id", *self.columns])
+        columns = ", ".join([*_KEY_COLUMNS, *self.columns])
         return (
             f"INSERT INTO {self.table} ({columns}) SELECT {columns} FROM ("
             f"SELECT DISTINCT row_number_in_batch, {columns} FROM {self.staging} "
-            "WHERE stream_name = ? AND batch_id = ?) AS batch"
+            f"WHERE {self._this_batch()}) AS batch"
         )
 
 
@@ -82,12 +130,12 @@ def _write_staging(rows: DataFrame, target: RelationalTarget) -> None:
     rows.write.format("jdbc").options(**target.jdbc_options()).mode("append").save()
 
 
-def _transaction(target: RelationalTarget, statements: list[str], batch_id: int) -> None:
+def _transaction(target: RelationalTarget, statements: list[str], values: tuple | dict) -> None:
     connection = target.connect()
     try:
         cursor = connection.cursor()
         for statement in statements:
-            cursor.execute(statement, (target.stream, batch_id))
+            cursor.execute(statement, values)
         connection.commit()
     finally:
         connection.close()
@@ -104,10 +152,11 @@ def land_in_database(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        _transaction(target, [target.clear_staging()], batch_id)
+        values = target.values(streaming_query_id(batch), batch_id)
+        _transaction(target, [target.clear_staging()], values)
         write_staging(target.staged(batch, batch_id), target)
         moves = [target.remove_batch(), target.move_batch(), target.clear_staging()]
-        _transaction(target, moves, batch_id)
+        _transaction(target, moves, values)
 
     return land
 

@@ -12,12 +12,12 @@ from textpulse.schemas import ENVELOPE
 def topic_options(
     config: PulseConfig, topic: str, max_per_trigger: int | None = None
 ) -> dict[str, str]:
-    """Reader options: from the latest offset, going on after lost data, optionally capped."""
+    """Reader options; where to start, what to do about lost data and the cap are settings."""
     options = {
         "kafka.bootstrap.servers": config.bootstrap_servers,
         "subscribe": topic,
-        "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "startingOffsets": config.starting_offsets,
+        "failOnDataLoss": str(config.fail_on_data_loss).lower(),
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)

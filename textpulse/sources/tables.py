@@ -69,40 +69,43 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(table_path(sf_dir, name))
 
 
-def read_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+SPREAD_CONF = "spark.textpulse.spread"
+
+
+def read_texts(
+    spark: SparkSession, sf_dir: str, name: str, spread: int | None = None
+) -> DataFrame:
     """A table whose texts will be cleaned or parsed.
 
-    A table with fewer splits than there are cores (one small file) is spread over them
-    first; a large one is read where it lies, without a shuffle.
+    It is read where it lies, without a shuffle. For a table of one small file the caller may
+    ask for a ``spread`` over so many tasks first.
     """
     table = read_table(spark, sf_dir, name)
-    return table.repartition(_cores(spark)) if _narrow(table) else table
-
+    return table.repartition(spread) if spread else table
 
-def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
 
-
-def _narrow(table: DataFrame) -> bool:
-    return table.rdd.getNumPartitions() < _cores(table.sparkSession)
+def spread_of(spark: SparkSession) -> int | None:
+    """The spread that a session sets for its small tables; none by default."""
+    found = spark.conf.get(SPREAD_CONF, None)
+    return int(found) if found else None
 
 
 def stream_table(
-    spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    max_files_per_trigger: int | None = None,
+    spread: int | None = None,
 ) -> DataFrame:
-    """The table as a stream of its files.
-
-    A stream takes a folder or a pattern; the pattern also matches a table of one file. A
-    table's files are in no order of time, so queries with a watermark leave the cap out:
-    everything then arrives in one batch and nothing is late. A narrow table is spread as
-    in ``read_texts``.
-    """
+    """The table as a stream of its files, in no order of time, spread as in ``read_texts``."""
     table = read_table(spark, sf_dir, name)
     reader = spark.readStream.schema(table.schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    # A stream takes a folder or a pattern. The pattern matches just this name, whether it is a
+    # folder of files or one file.
     stream = reader.parquet(f"{sf_dir}/{name}.parque[t]")
-    return stream.repartition(_cores(spark)) if _narrow(table) else stream
+    return stream.repartition(spread) if spread else stream
 
 
 def posts(documents: DataFrame) -> DataFrame:
@@ -226,7 +229,7 @@ def post_listings(documents: DataFrame) -> DataFrame:
     first = F.struct("id", "title", "author", "subreddit", "score", "created_utc")
     second = F.struct(
         F.concat(F.lit("x"), F.col("id")).alias("id"),
-        F.when(number % 6 != 0, F.substring("title", 1, 40)).alias("title"),
+        F.when(number % 6 != 0, F.col("title")).alias("title"),
         "author",
         "subreddit",
         F.when(number % 6 != 1, F.col("score")).alias("score"),
@@ -244,7 +247,7 @@ def comment_listings(conversations: DataFrame) -> DataFrame:
     first = F.struct("id", "body", "author", "subreddit", "score", "created_utc", "parent_id")
     second = F.struct(
         F.concat(F.lit("x"), F.col("id")).alias("id"),
-        F.when(number % 6 != 0, F.substring("body", 1, 40)).alias("body"),
+        F.when(number % 6 != 0, F.col("body")).alias("body"),
         F.when(number % 6 != 1, F.col("author")).alias("author"),
         "subreddit",
         "score",

@@ -15,7 +15,7 @@ from textpulse.operators.dedup import first_seen_stream
 from textpulse.operators.scoring import Scorer
 from textpulse.schemas import DEAD_LETTER, PROCESSED
 from textpulse.sinks.messages import dead_letter_preview, encode_raw, result_preview
-from textpulse.sinks.tables import land_in_database, land_in_directory, target_from_config
+from textpulse.sinks.tables import land_in_database, target_from_config
 from textpulse.sources import bus
 from textpulse.sources.listings import listing_content
 from textpulse.sources.records import decode_dead_letters, decode_processed
@@ -39,7 +39,10 @@ def ingest(
 
 
 def score(
-    spark: SparkSession, config: PulseConfig, scorer: Scorer | None = None
+    spark: SparkSession,
+    config: PulseConfig,
+    scorer: Scorer | None = None,
+    min_partitions: int | None = None,
 ) -> jobs.StreamingQuery:
     """Messages of both topics to processed records, dead letters and console previews."""
     envelopes = bus.posts_stream(spark, config).unionByName(bus.comments_stream(spark, config))
@@ -56,7 +59,7 @@ def score(
         ],
         config=config,
         scorer=scorer,
-        min_partitions=spark.sparkContext.defaultParallelism,
+        min_partitions=min_partitions,
         name="score",
     )
 
@@ -70,12 +73,14 @@ def land(
         (
             "land_processed",
             decode_processed(bus.processed_stream(spark, config)),
+            config.process_every,
             config.processed_table,
             tuple(PROCESSED.fieldNames()),
         ),
         (
             "land_dead_letters",
             decode_dead_letters(bus.dead_letter_stream(spark, config)),
+            config.dead_letter_every,
             config.dead_letter_table,
             dead_columns,
         ),
@@ -87,19 +92,22 @@ def land(
             land_in_database(
                 target_from_config(config, name, table, columns, connect, **jdbc_options)
             ),
+            jobs.every(interval),
             name=name,
+            config=config,
         )
-        for name, rows, table, columns in plans
+        for name, rows, interval, table, columns in plans
     ]
 
 
 def measure(spark: SparkSession, config: PulseConfig, path: str) -> jobs.StreamingQuery:
-    """Windowed metrics of the processed records, in versions for ``latest_metrics``."""
+    """Windowed metrics of the processed records, in parts for ``latest_metrics``."""
     processed = decode_processed(bus.processed_stream(spark, config))
     return jobs.start_metrics(
-        jobs.streaming_metrics(processed, "processing_timestamp", late_by=config.late_by),
+        processed,
         jobs.checkpoint_for(config, "measure"),
-        land_in_directory(path),
-        jobs.every(config.metrics_every),
+        path,
+        "processing_timestamp",
         name="measure",
+        config=config,
     )

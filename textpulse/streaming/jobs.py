@@ -16,11 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from textpulse.config import DEFAULTS, PulseConfig
-from textpulse.operators.metrics import processing_metrics
+from textpulse.operators.evaluation import windowed_evaluation
+from textpulse.operators.metrics import (
+    add_parts,
+    merged_metrics,
+    metric_parts,
+    processing_metrics,
+)
 from textpulse.operators.routing import dead_letters
 from textpulse.operators.scoring import Scorer
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.sinks.messages import encode_dead_letters, encode_processed, publish
+from textpulse.sinks.tables import land_in_directory
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -107,10 +114,28 @@ def show(preview: Callable[[DataFrame], DataFrame], rows: int = 20) -> Sink:
     return lambda batch, _: preview(batch).show(rows, truncate=False)
 
 
+_SECONDS = {
+    "microsecond": 1e-6, "millisecond": 1e-3, "second": 1.0, "minute": 60.0, "hour": 3600.0,
+    "day": 86400.0, "week": 604800.0,
+}
+
+
+def seconds_of(interval: str) -> float:
+    """Seconds of an interval like "90 seconds" or "1 hour 30 minutes"."""
+    parts = interval.lower().removeprefix("interval ").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {interval!r}")
+    total = 0.0
+    for number, unit in zip(parts[::2], parts[1::2], strict=True):
+        if unit.removesuffix("s") not in _SECONDS:
+            raise ValueError(f"unknown unit {unit!r} in {interval!r}")
+        total += float(number) * _SECONDS[unit.removesuffix("s")]
+    return total
+
+
 def at_most_every(interval: str, sink: Sink) -> Sink:
     """For previews: pass a batch on only if the last one was passed long enough ago."""
-    number, unit = interval.split()
-    seconds = float(number) * (60 if unit.startswith("minute") else 1)
+    seconds = seconds_of(interval)
     last = [float("-inf")]
 
     def limited(batch: DataFrame, batch_id: int) -> None:
@@ -153,10 +178,52 @@ def start_landing(
     sink: Sink,
     trigger: Mapping | None = None,
     name: str | None = None,
+    config: PulseConfig = DEFAULTS,
 ) -> StreamingQuery:
     """Decoded records, batch by batch, into a sink that can take a batch twice."""
     writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _start(writer, name, trigger or every(DEFAULTS.process_every))
+    return _start(writer, name, trigger or every(config.process_every))
+
+
+METRIC_KEYS = ("window_start", "window_end", "content_type", "subreddit")
+
+
+def land_metrics(
+    path: str, event_time: str = "kafka_timestamp", length: str = "5 minutes"
+) -> Sink:
+    """A sink of the parts that a batch adds to windowed metrics.
+
+    No state is kept and no watermark drops anything: whenever a row arrives, it counts in
+    its window when the parts are added up. Micro-batches may be of any size and order.
+    """
+    land = land_in_directory(path)
+    return lambda batch, batch_id: land(metric_parts(batch, event_time, length), batch_id)
+
+
+def start_metrics(
+    processed: DataFrame,
+    checkpoint: str,
+    path: str,
+    event_time: str = "kafka_timestamp",
+    length: str = "5 minutes",
+    trigger: Mapping | None = None,
+    name: str | None = None,
+    config: PulseConfig = DEFAULTS,
+) -> StreamingQuery:
+    """Land the metrics of every batch; ``latest_metrics`` reads the windows as they stand."""
+    sink = land_metrics(path, event_time, length)
+    writer = processed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _start(writer, name, trigger or every(config.metrics_every))
+
+
+def latest_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Metrics of every window from all parts landed so far; authors are counted exactly."""
+    return merged_metrics(spark.read.parquet(path))
+
+
+def compact_metrics(spark: SparkSession, path: str, target: str) -> None:
+    """Parts of many batches added up into one table of parts."""
+    add_parts(spark.read.parquet(path)).write.mode("overwrite").parquet(target)
 
 
 def streaming_metrics(
@@ -165,31 +232,27 @@ def streaming_metrics(
     length: str = "5 minutes",
     late_by: str = DEFAULTS.late_by,
 ) -> DataFrame:
-    """Windowed metrics with bounded state; authors are counted approximately."""
+    """A live view with bounded state: authors approximately, late rows left out.
+
+    Rows later than ``late_by`` are counted by ``start_metrics`` alone.
+    """
     return processing_metrics(
         processed.withWatermark(event_time, late_by), event_time, length, approximate=True
     )
 
 
-def start_metrics(
-    metrics: DataFrame,
+def start_evaluation(
+    predictions: DataFrame,
     checkpoint: str,
     sink: Sink,
+    late_by: str = DEFAULTS.late_by,
+    length: str = "5 minutes",
     trigger: Mapping | None = None,
     name: str | None = None,
+    config: PulseConfig = DEFAULTS,
 ) -> StreamingQuery:
-    """Every batch hands on the windows that changed, so open windows show as well."""
-    writer = metrics.writeStream.outputMode("update").foreachBatch(sink)
+    """Accuracy of a stream of predictions, window by window; changed windows each batch."""
+    evaluated = windowed_evaluation(predictions, length=length, late_by=late_by)
+    writer = evaluated.writeStream.outputMode("update").foreachBatch(sink)
     writer = writer.option("checkpointLocation", checkpoint)
-    return _start(writer, name, trigger or every(DEFAULTS.metrics_every))
-
-
-METRIC_KEYS = ("window_start", "window_end", "content_type", "subreddit")
-
-
-def latest_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of every window from a directory of landed batches."""
-    landed = spark.read.parquet(path)
-    values = [c for c in landed.columns if c not in (*METRIC_KEYS, "batch_id")]
-    newest = F.max_by(F.struct(*values), F.col("batch_id")).alias("_newest")
-    return landed.groupBy(*METRIC_KEYS).agg(newest).select(*METRIC_KEYS, "_newest.*")
+    return _start(writer, name, trigger or every(config.metrics_every))
