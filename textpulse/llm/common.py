@@ -22,22 +22,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs its own tasks only, and fixes whatever a
-    second evaluation could change, such as row numbers. The folder goes when the session's
-    JVM ends.
+    second evaluation could change, such as row numbers. The folder goes when the session ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    _drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _drop_at_exit(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.deleteOnExit(hadoop_path)
-
-
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
