@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.sinks.tables import land_in_directory, streaming_query_id
@@ -16,15 +16,32 @@ KEYS = ("content_type", "id")
 def first_seen(
     df: DataFrame, keys: Sequence[str] = KEYS, arrival: str = "kafka_timestamp"
 ) -> DataFrame:
-    """The earliest row per key, whole.
+    """The earliest row per key, whole; rows without a time come last.
 
-    An aggregate rather than a ranking window: copies of one hot id are reduced to one row
-    per input partition before the shuffle, so no task ever gets a whole group. Comparing
-    all columns after the arrival time makes the choice among simultaneous copies definite.
+    A narrow aggregate finds the time, so that no text is kept in an aggregate for it. Copies
+    of a hot id are reduced to one time per input partition before they move, and Spark may
+    split the joins. Only rows that share a key's earliest time are compared by their other
+    columns, which makes the choice among simultaneous copies definite.
     """
-    others = [name for name in df.columns if name not in (*keys, arrival)]
-    earliest = F.min(F.struct(arrival, *others)).alias("_first")
-    return df.groupBy(*keys).agg(earliest).select(*keys, "_first.*").select(*df.columns)
+    names = df.columns
+    others = [name for name in names if name not in (*keys, arrival)]
+    renamed = {key: f"_key_{key}" for key in keys}
+
+    def per_key(rows: DataFrame, *aggregates: Column) -> DataFrame:
+        return rows.groupBy(*[F.col(key).alias(name) for key, name in renamed.items()]).agg(
+            *aggregates
+        )
+
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in renamed.items()]
+    least = per_key(df, F.min(arrival).alias("_least"))
+    earliest = df.join(least, same).filter(F.col(arrival).eqNullSafe(F.col("_least")))
+    earliest = earliest.select(*names)
+    counted = per_key(earliest, F.count(F.lit(1)).alias("_copies"))
+    earliest = earliest.join(counted, same)
+    alone = earliest.filter("_copies = 1").select(*names)
+    chosen = F.min(F.struct(arrival, *others)).alias("_first")
+    tied = earliest.filter("_copies > 1").groupBy(*keys).agg(chosen)
+    return alone.unionByName(tied.select(*keys, "_first.*").select(*names))
 
 
 def first_seen_stream(
