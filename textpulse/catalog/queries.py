@@ -329,6 +329,21 @@ def model_hybrid_score(spark: SparkSession, sf: str) -> DataFrame:
 _RULES = ("score_of_class", "confidence_in_range")
 
 
+def labelled_model_eval(spark: SparkSession, sf: str) -> DataFrame:
+    """A model fitted on labelled documents, evaluated on the fifth of them held out."""
+    content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
+    texts = clean_content(content).select("doc_id", F.col("cleaned_text").alias("text"))
+    rows = texts.join(tb.labelled(tb.read_table(spark, sf, "labels")), "doc_id")
+    held_out = F.col("doc_id") % 5 == 0
+    model = md.train_on_sample(rows.filter(~held_out), "doc_id")
+    scored = md.apply_model(model, rows.filter(held_out)).select("label", "prediction")
+    report = ev.classification_report(ev.confusion_matrix(scored))
+    scores = [F.col(name).between(0, 1) for name in ("precision", "recall", "f1")]
+    return report.select(
+        "class_id", "class_name", "support", (scores[0] & scores[1] & scores[2]).alias("scores_in_range")
+    )
+
+
 # A bound on a micro-batch; nothing depends on which files meet in one.
 FILES_PER_TRIGGER = 100
 
@@ -425,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "windowed_eval": windowed_eval,
     "model_train_score": model_train_score,
     "model_hybrid_score": model_hybrid_score,
+    "labelled_model_eval": labelled_model_eval,
     "stream_processed": stream_processed,
     "stream_dlq": stream_dlq,
     "stream_dedup": stream_dedup,

@@ -51,6 +51,10 @@ ELASTIC_NET = 0.8
 SENTIMENT_BY_CLASS = ("negative", "neutral", "positive")
 
 
+# Rows of a given table that a fit takes at most.
+MOST_FITTED = 2_000
+
+
 def training_rows(spark: SparkSession) -> DataFrame:
     """The built-in texts, in one partition: the fit makes many passes over few rows."""
     return spark.createDataFrame(list(TRAINING_TEXTS), TRAINING).coalesce(1)
@@ -79,6 +83,19 @@ def train(rows: DataFrame) -> PipelineModel:
     return sentiment_pipeline().fit(rows)
 
 
+def train_on_sample(rows: DataFrame, order: str, most_rows: int = MOST_FITTED) -> PipelineModel:
+    """Fit on the first ``most_rows`` rows of ``label`` and ``text`` in an order.
+
+    A bounded sample: the fit makes many passes, so its rows are brought together and kept.
+    """
+    sample = rows.orderBy(order).limit(most_rows).select("label", "text").coalesce(1)
+    sample.persist()
+    try:
+        return train(sample)
+    finally:
+        sample.unpersist()
+
+
 _fitted: dict[str, PipelineModel] = {}
 
 
