@@ -103,8 +103,11 @@ def test_list_pairs_equal_all_pairs(entries, block):
     places = np.minimum(np.array([e[1] for e in entries], np.int64), sizes // 4)
     groups = np.array([e[2] for e in entries], np.int64)
     names = np.arange(len(entries))
-    a, b = jj.list_pairs(names, groups, sizes, places, block)
-    found = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    found = {
+        frozenset(pair)
+        for a, b in jj.list_pairs(names, groups, sizes, places, block)
+        for pair in zip(a.tolist(), b.tolist(), strict=True)
+    }
     expected = set()
     for i in names:
         for j in names[:i]:
@@ -115,6 +118,15 @@ def test_list_pairs_equal_all_pairs(entries, block):
     assert found == expected
 
 
+def test_pairs_are_left_to_earlier_lists():
+    tokens = np.array([[5, 6, 7]])
+    places = np.array([[0, 2, 3]])
+    other = np.array([[9, 6, 8]])
+    assert not jj.met_before(tokens, places, other, np.array([2]))[0]
+    assert jj.met_before(tokens, places, other, np.array([3]))[0]
+    assert not jj.met_before(tokens, places, np.array([[1, 2, 3]]), np.array([9]))[0]
+
+
 def test_derived_overlaps_equal_direct_ones():
     random = np.random.default_rng(3)
     partners = [np.unique(random.integers(0, 300, 80)).astype(np.uint64) for _ in range(5)]
@@ -128,6 +140,35 @@ def test_derived_overlaps_equal_direct_ones():
             assert overlaps.with_partner(int(n), partners[n]) == expected
 
 
+def test_bitmaps_never_hide_similar_sets():
+    random = np.random.default_rng(6)
+    sets = []
+    for size in (1, 3, 40, 64, 65, 300, 380):
+        base = random.integers(0, 2**63, size).astype(np.uint64)
+        for lost in (0, 1, size // 8, size // 4, size // 2):
+            more = random.integers(0, 2**63, lost // 2).astype(np.uint64)
+            sets.append(np.unique(np.append(base[lost:], more)))
+    sets = [s for s in sets if len(s)]
+    pairs = [(a, b) for a in sets for b in sets]
+    lengths = np.array([(len(a), len(b)) for a, b in pairs])
+    passed = jj.nearly_similar(
+        [jj.bitmap(a) for a, _ in pairs], [jj.bitmap(b) for _, b in pairs], *lengths.T
+    )
+    similar = np.array([len(np.intersect1d(a, b)) >= jj.least_overlap(len(a), len(b)) for a, b in pairs])
+    assert passed[similar].all()
+    sized = 4 * lengths.min(axis=1) >= 3 * lengths.max(axis=1)
+    assert passed[sized & ~similar].mean() < 0.3
+
+
+def test_shingles_alone_and_together():
+    texts = ["a b c d e f g", "A  b\tC d e", None, "", "x y", "é ü ö ä ß", "y x", "b c d e f"]
+    together = jj.many_shingles(texts)
+    assert [len(s) for s in together] == [3, 1, 0, 0, 1, 1, 1, 1]
+    assert all((jj.shingles(t) == s).all() for t, s in zip(texts, together, strict=True))
+    assert together[1][0] in together[0] and together[7][0] in together[0]
+    assert together[4][0] != together[6][0]
+
+
 def test_prefixes_of_similar_sets_meet():
     random = np.random.default_rng(5)
     order = jj.Order(random.integers(0, 50, jj.COUNTERS))

@@ -8,7 +8,9 @@ exact as any other).
 
 Index lists are skipped by their blocks: a list is sorted by set size, blocks outside the
 size range of a set are passed over, and so are sets whose positions leave too few tokens
-after the shared one. Relations between sets save the rest of the work. First every set is
+after the shared one. Pairs that a list leaves are held against a bitmap of each set, whose
+differing bits are at most the differing tokens, so that only pairs which are similar or nearly
+so are compared token by token. Relations between sets save the rest of the work. First every set is
 compared to one leader per list, which ties groups of near copies together. Then only sets of
 different groups are compared, and a set's overlaps are derived from those of the set before
 it, most often a near copy, by the tokens in which the two differ.
@@ -28,7 +30,7 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import map_with_id, quoted, written
+from textpulse.llm.common import WHITE_SPACE, map_with_id, quoted, written
 from textpulse.llm.components import components
 
 WORDS = 5
@@ -50,23 +52,20 @@ POSTINGS_PER_BUCKET = 1_000_000
 HOT_DOCUMENTS = 200_000
 FILTER_BITS = 2**24
 
+CHARS_AT_ONCE = 400_000
+PAIRS_AT_ONCE = 500_000
+HEAD = 16
+
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
      0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64
 )
 
 
-class _WordHashes(dict):
-    """Hash of a word, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
+def _multiplier(place: int) -> np.uint64:
+    """One odd number for each word of a shingle."""
+    turn = (2 * (place // len(_MULTIPLIERS)) + 1) * 0x9E3779B97F4A7C15
+    return np.uint64(int(_MULTIPLIERS[place % len(_MULTIPLIERS)]) * (turn | 1) % 2**64)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -77,19 +76,120 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[ord(c) for c in WHITE_SPACE]] = True
+# A pseudo-random number for each byte value.
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _distinct(sorted_values: np.ndarray) -> np.ndarray:
+    keep = np.ones(len(sorted_values), bool)
+    keep[1:] = sorted_values[1:] != sorted_values[:-1]
+    return sorted_values[keep]
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, and how many each text has.
+
+    A word's hash is the sum over its bytes of a number for the byte times an odd number for
+    its place.
+    """
+    encoded = [(text or "").encode() for text in texts]
+    codes = _LOWER[np.frombuffer(b"\n".join(encoded) + b"\n", np.uint8)]
+    inside = np.flatnonzero(~_SPACE[codes])
+    fresh = np.ones(len(inside), bool)
+    fresh[1:] = np.diff(inside) > 1
+    first = np.flatnonzero(fresh)
+    lengths = np.diff(np.append(first, len(inside)))
+    place = np.arange(len(inside)) - np.repeat(first, lengths)
+    longest = int(lengths.max(initial=1))
+    factor = _mixed(np.arange(1, longest + 1, dtype=np.uint64)) | np.uint64(1)
+    parts = _BYTES[codes[inside]] * factor[place]
+    hashes = np.add.reduceat(parts, first) if len(first) else np.empty(0, np.uint64)
+    ends = np.cumsum([len(e) + 1 for e in encoded])
+    counts = np.diff(np.searchsorted(inside[first], ends), prepend=0)
+    return _mixed(hashes + lengths.astype(np.uint64)), counts
+
+
+def many_shingles(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct hashes of the word shingles of each text; a short text is one shingle."""
+    if not texts:
+        return []
+    hashes, counts = word_hashes(texts)
+    ends = np.cumsum(counts)
+    whole = max(len(hashes) - words + 1, 0)
+    tokens = np.zeros(whole, np.uint64)
+    for place in range(words):
+        tokens += hashes[place : place + whole] * _multiplier(place)
+    tokens = _mixed(tokens + np.uint64(words))
+    result = []
+    for begin, count in zip((ends - counts).tolist(), counts.tolist(), strict=True):
+        if count >= words:
+            result.append(_distinct(np.sort(tokens[begin : begin + count - words + 1])))
+        elif count:
+            total = np.full(1, count, np.uint64)
+            for place in range(count):
+                total += hashes[begin + place : begin + place + 1] * _multiplier(place)
+            result.append(_mixed(total))
+        else:
+            result.append(np.empty(0, np.uint64))
+    return result
+
+
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; a short text is one shingle."""
-    found = (text or "").encode().lower().split()
-    n = len(found)
-    if not n:
-        return np.empty(0, np.uint64)
-    hashes = np.array([_HASHES[word] for word in found], np.uint64)
-    width = min(n, words)
-    total = np.full(n - width + 1, width, np.uint64)
-    for place in range(width):
-        total = total + hashes[place : n - width + 1 + place] * _MULTIPLIERS[place % 8]
-        total = _mixed(total) if place % 8 == 7 else total
-    return np.unique(_mixed(total))
+    return many_shingles([text], words)[0]
+
+
+def in_pieces(texts: Iterable[str | None], words: int) -> Iterator[np.ndarray]:
+    """Shingles of each text, a few hundred thousand characters at once."""
+    piece: list[str | None] = []
+    size = 0
+    for text in texts:
+        piece.append(text)
+        size += len(text or "")
+        if size >= CHARS_AT_ONCE:
+            yield from many_shingles(piece, words)
+            piece, size = [], 0
+    yield from many_shingles(piece, words)
+
+
+def bitmap(tokens: np.ndarray) -> bytes:
+    """A bit per hash value, flipped by every token; at least twice as many bits as tokens."""
+    width = max(64, 2 << int(len(tokens) - 1).bit_length()) if len(tokens) else 64
+    place = ((tokens >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def nearly_similar(
+    bits_a: Sequence[bytes], bits_b: Sequence[bytes], size_a: np.ndarray, size_b: np.ndarray
+) -> np.ndarray:
+    """False where bitmaps differ in more bits than similar sets can.
+
+    A token that only one of two sets has flips one bit, so differing bits never exceed
+    differing tokens. A wider bitmap is folded to the width of the other.
+    """
+    widths = np.array([(len(a), len(b)) for a, b in zip(bits_a, bits_b, strict=True)])
+    good = np.zeros(len(widths), bool)
+    if not len(widths):
+        return good
+    room = size_a + size_b - 2 * least_overlap(size_a, size_b)
+    for width in np.unique(widths, axis=0).tolist():
+        rows = np.flatnonzero((widths == width).all(axis=1))
+        sides = [
+            np.frombuffer(b"".join([bits[n] for n in rows.tolist()]), "<u8").reshape(len(rows), -1)
+            for bits in (bits_a, bits_b)
+        ]
+        narrow = min(width) // 8
+        for n in (0, 1):
+            while sides[n].shape[1] > narrow:
+                half = sides[n].shape[1] // 2
+                sides[n] = sides[n][:, :half] ^ sides[n][:, half:]
+        differ = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+        good[rows] = differ <= room[rows]
+    return good
 
 
 def set_class(tokens: np.ndarray) -> int:
@@ -107,50 +207,71 @@ def prefix_length(size: int) -> int:
     return size - (NUMERATOR * size + DENOMINATOR - 1) // DENOMINATOR + 1
 
 
-@dataclass(frozen=True)
 class Order:
     """Common order of tokens: rare ones first, then by hash."""
 
-    counts: np.ndarray
+    def __init__(self, counts: np.ndarray):
+        # Counters hold a few tokens each; what stands out of that tells a frequent one.
+        usual = 8.0 + 4.0 * counts.mean()
+        self.level = np.ceil(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
+        # Buckets that a token's sets are spread over.
+        self.spread = np.minimum(counts // HOT_DOCUMENTS, 65_535).astype(np.uint16)
 
-    def rough_count(self, tokens: np.ndarray) -> np.ndarray:
-        return self.counts[(tokens % np.uint64(COUNTERS)).astype(np.int64)]
+    def _place(self, tokens: np.ndarray) -> np.ndarray:
+        return (tokens & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+    def buckets(self, tokens: np.ndarray) -> np.ndarray:
+        return self.spread[self._place(tokens)]
 
     def prefix(self, tokens: np.ndarray) -> np.ndarray:
-        """The part of a set that is indexed, in order."""
-        usual = 8.0 + 4.0 * self.counts.mean()
-        level = np.maximum(np.ceil(np.log2(np.maximum(self.rough_count(tokens), 1) / usual)), 0)
-        order = np.lexsort((tokens, level))
-        return tokens[order[: prefix_length(len(tokens))]]
+        """The part of a sorted set that is indexed, in order."""
+        length = prefix_length(len(tokens))
+        level = self.level[self._place(tokens)]
+        usual = np.flatnonzero(level == 0)
+        if len(usual) >= length:
+            return tokens[usual[:length]]
+        return tokens[np.argsort(level, kind="stable")[:length]]
 
 
 def _describe(words: int):
-    """Id, size and class of each document, and at the end the task's token counts."""
+    """Id, size, class and bitmap of each document, and at the end the task's token counts."""
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            sizes, classes = [], []
-            for text in batch["text"]:
-                tokens = shingles(text, words)
+            sizes, classes, bits = [], [], []
+            waiting: list[np.ndarray] = []
+            for tokens in in_pieces(batch["text"], words):
                 sizes.append(len(tokens))
                 classes.append(set_class(tokens))
-                np.add.at(counts, (tokens % np.uint64(COUNTERS)).astype(np.int64), 1)
+                bits.append(bitmap(tokens) if len(tokens) else None)
+                waiting.append(tokens)
+                if len(waiting) == 256:
+                    counts += _counted(waiting)
+                    waiting = []
+            counts += _counted(waiting)
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "size": sizes, "class": classes,
+                {"doc_id": batch["doc_id"], "size": sizes, "class": classes, "bits": bits,
                  "slice": -1, "counts": None}
             )
         if counts.any():
             parts = counts.astype("<u4").reshape(SLICES, -1)
             used = [n for n in range(SLICES) if parts[n].any()]
             yield pd.DataFrame(
-                {"doc_id": None, "size": -1, "class": 0,
+                {"doc_id": None, "size": -1, "class": 0, "bits": None,
                  "slice": used, "counts": [parts[n].tobytes() for n in used]}
             )
 
     return described
 
 
+def _counted(sets: list[np.ndarray]) -> np.ndarray:
+    if not sets:
+        return np.zeros(COUNTERS, np.int64)
+    place = np.concatenate(sets) & np.uint64(COUNTERS - 1)
+    return np.bincount(place.astype(np.int64), minlength=COUNTERS)
+
+
 def _added(group: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(COUNTERS // SLICES, np.int64)
     for counts in group["counts"]:
@@ -159,9 +280,9 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def describe(docs: DataFrame, text: str, doc_id: str, words: int) -> tuple[DataFrame, Order]:
-    """(doc_id, size, class) of every row, and the order of tokens."""
+    """(doc_id, size, class, bits) of every row, and the order of tokens."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    columns = "size int, class long, slice int, counts binary"
+    columns = "size int, class long, bits binary, slice int, counts binary"
     found = written(map_with_id(rows, _describe(words), columns), "sets")
     slices = found.filter("slice >= 0").select("slice", "counts")
     # A fixed number of counters, whatever the corpus. Tasks meet slice by slice in two steps.
@@ -170,7 +291,8 @@ def describe(docs: DataFrame, text: str, doc_id: str, words: int) -> tuple[DataF
     total = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
     for row in parts.groupBy("slice").applyInPandas(_summed, "slice int, counts binary").collect():
         total[row["slice"]] = np.frombuffer(row["counts"], "<i8")
-    return found.filter("slice < 0").select("doc_id", "size", "class"), Order(total.ravel())
+    described = found.filter("slice < 0").select("doc_id", "size", "class", "bits")
+    return described, Order(total.ravel())
 
 
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
@@ -187,8 +309,7 @@ def _post(order: Order, buckets: int, words: int):
         met: set[int] = set()
         for batch in batches:
             tokens, classes, sizes, places = [], [], [], []
-            for text in batch["text"]:
-                whole = shingles(text, words)
+            for whole in in_pieces(batch["text"], words):
                 if not len(whole):
                     continue
                 name = set_class(whole)
@@ -204,9 +325,9 @@ def _post(order: Order, buckets: int, words: int):
                 continue
             token, name, size, place = map(np.concatenate, (tokens, classes, sizes, places))
             # A token of very many documents goes to several buckets; all its sets are reported.
-            spread = order.rough_count(token) // HOT_DOCUMENTS
-            salt = np.where(spread > 0, name.astype(np.uint64) % np.maximum(spread, 1).astype(np.uint64), 0)
-            bucket = (_mixed(token + salt.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            spread = np.maximum(order.buckets(token), 1).astype(np.uint64)
+            salt = name.astype(np.uint64) % spread
+            bucket = (_mixed(token + salt) % np.uint64(buckets)).astype(np.int32)
             by_bucket = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
             pieces = np.split(by_bucket, cuts)
@@ -227,7 +348,7 @@ _BLOCKS = "bucket int, token binary, class binary, size binary, place binary"
 _SHARED = "token long, class long, size int, place int"
 
 
-def _shared(order_hot: int, order: Order):
+def _shared(order: Order):
     """Index entries whose token has several classes; the others can have no partner."""
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
@@ -245,7 +366,7 @@ def _shared(order_hot: int, order: Order):
         several = np.zeros(len(token), bool)
         several[1:] |= same
         several[:-1] |= same
-        several |= order.rough_count(token) >= order_hot
+        several |= order.buckets(token) > 0
         return pd.DataFrame(
             {
                 "token": token[several].astype(np.int64),
@@ -265,7 +386,10 @@ def possible(size_a, place_a, size_b, place_b):
 
 
 def _leader_pairs(index: DataFrame) -> DataFrame:
-    """One comparison per index entry: with its list's leader, if size and place allow."""
+    """One comparison per set: with the list leader that it shares most lists with.
+
+    A leader counts only in lists where size and place allow similarity.
+    """
     leader = F.min(F.struct("class", "size", "place")).alias("_l")
     leaders = index.groupBy("token").agg(leader)
     leaders = leaders.select(
@@ -278,12 +402,33 @@ def _leader_pairs(index: DataFrame) -> DataFrame:
     need = F.ceil(NUMERATOR * (F.col("size") + F.col("_size")) / whole)
     room = F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
     pairs = index.join(leaders, "token").filter(F.col("class") != F.col("b")).filter(room >= need)
-    return pairs.select(F.col("class").alias("a"), "b").distinct()
+    shared = pairs.groupBy(F.col("class").alias("a"), "b").agg(F.count(F.lit(1)).alias("_lists"))
+    best = F.max(F.struct("_lists", "b")).alias("_best")
+    return shared.groupBy("a").agg(best).select("a", F.col("_best.b").alias("b"))
+
+
+def _heads(index: DataFrame) -> DataFrame:
+    """The shared tokens at the first places of each set."""
+    first = index.filter(F.col("place") < HEAD)
+    entry = F.collect_list(F.struct("place", "token"))
+    heads = first.groupBy("class").agg(F.array_sort(entry).alias("_head"))
+    return heads.select("class", F.col("_head.place").alias("hp"), F.col("_head.token").alias("ht"))
+
+
+def met_before(
+    tokens_a: np.ndarray, places_a: np.ndarray, tokens_b: np.ndarray, place_a: np.ndarray
+) -> np.ndarray:
+    """Whether two sets share a head token before the place at which they meet.
+
+    Then their pair comes up in that token's list and needs no mention here.
+    """
+    early = places_a < place_a[:, None]
+    return ((tokens_a[:, :, None] == tokens_b[:, None, :]).any(axis=2) & early).any(axis=1)
 
 
 def list_pairs(
     names: np.ndarray, groups: np.ndarray, sizes: np.ndarray, places: np.ndarray, block: int = 256
-) -> tuple[np.ndarray, np.ndarray]:
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one index list that may be similar and are of different groups.
 
     The list is sorted by size and cut into blocks. For a block of sets only the blocks whose
@@ -291,7 +436,6 @@ def list_pairs(
     """
     order = np.argsort(sizes, kind="stable")
     names, groups, sizes, places = names[order], groups[order], sizes[order], places[order]
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     # A set of size s has partners of size s up to s times 4/3.
     reach = np.searchsorted(sizes, sizes * DENOMINATOR // NUMERATOR, side="right")
     for begin in range(0, len(sizes), block):
@@ -306,24 +450,52 @@ def list_pairs(
             good = (a < b) & (b < reach[a]) & (groups[a] != groups[b])
             good &= possible(sizes[a], places[a], sizes[b], places[b])
             i, j = np.nonzero(good)
-            left.append(names[rows[i]])
-            right.append(names[columns[j]])
-    return np.concatenate(left), np.concatenate(right)
+            if len(i):
+                yield names[rows[i]], names[columns[j]]
 
 
 def _group_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Distinct pairs of a bucket of index lists."""
+    """Distinct pairs of a bucket of index lists whose bitmaps allow similarity."""
     group = group.sort_values("token", kind="stable")
-    token, name, label, size, place = (
-        group[c].to_numpy() for c in ("token", "class", "component", "size", "place")
+    name, first, number = np.unique(
+        group["class"].to_numpy(), return_index=True, return_inverse=True
     )
-    found: set[tuple[int, int]] = set()
+    bits = group["bits"].to_numpy()[first]
+    set_size = group["size"].to_numpy()[first].astype(np.int64)
+    token, label, size, place = (
+        group[c].to_numpy() for c in ("token", "component", "size", "place")
+    )
+    # Heads as tables; an empty cell stands at no place that could be early.
+    head_token = np.zeros((len(name), HEAD), np.int64)
+    head_place = np.full((len(name), HEAD), np.iinfo(np.int32).max, np.int64)
+    columns = (group[c].to_numpy()[first] for c in ("ht", "hp"))
+    for n, (tokens, places) in enumerate(zip(*columns, strict=True)):
+        if tokens is not None:
+            head_token[n, : len(tokens)], head_place[n, : len(places)] = tokens, places
+    found: list[np.ndarray] = []
+    waiting: list[np.ndarray] = []
+    count = 0
+
+    def settle() -> None:
+        codes = np.unique(np.concatenate(waiting))
+        a, b = codes // len(name), codes % len(name)
+        found.append(codes[nearly_similar(bits[a], bits[b], set_size[a], set_size[b])])
+
     cuts = np.flatnonzero(np.diff(token)) + 1
     for rows in np.split(np.arange(len(token)), cuts):
-        a, b = list_pairs(name[rows], label[rows], size[rows], place[rows])
-        found.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
-    pairs = sorted(found)
-    return pd.DataFrame({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs]}, dtype="int64")
+        for i, j in list_pairs(rows, label[rows], size[rows], place[rows]):
+            a, b = number[i], number[j]
+            fresh = ~met_before(head_token[a], head_place[a], head_token[b], place[i])
+            a, b = a[fresh], b[fresh]
+            waiting.append(np.minimum(a, b) * len(name) + np.maximum(a, b))
+            count += len(a)
+            if count >= PAIRS_AT_ONCE:
+                settle()
+                waiting, count = [], 0
+    if waiting:
+        settle()
+    codes = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
+    return pd.DataFrame({"a": name[codes // len(name)], "b": name[codes % len(name)]})
 
 
 @dataclass
@@ -395,6 +567,21 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInPandas(_similar, "a long, b long")
 
 
+def _passing(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Pairs whose bitmaps allow similarity."""
+
+    def passing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = (batch[c].to_numpy(np.int64) for c in ("size_a", "size_b"))
+            keep = nearly_similar(list(batch["bits_a"]), list(batch["bits_b"]), *sizes)
+            yield batch.loc[keep, ["a", "b"]]
+
+    for side in ("a", "b"):
+        renamed = {"class": side, "size": f"size_{side}", "bits": f"bits_{side}"}
+        pairs = pairs.join(marks.withColumnsRenamed(renamed), side)
+    return pairs.mapInPandas(passing, "a long, b long")
+
+
 def _chosen_sets(bits: np.ndarray, words: int):
     """Sets whose class may be wanted; the filter has a fixed size."""
 
@@ -402,8 +589,7 @@ def _chosen_sets(bits: np.ndarray, words: int):
         met: set[int] = set()
         for batch in batches:
             names, items = [], []
-            for text in batch["text"]:
-                tokens = shingles(text, words)
+            for tokens in in_pieces(batch["text"], words):
                 name = set_class(tokens)
                 bit = name % FILTER_BITS
                 if name in met or not (int(bits[bit >> 6]) >> (bit & 63)) & 1:
@@ -427,27 +613,35 @@ def _wanted_bits(classes: DataFrame) -> np.ndarray:
     return bits
 
 
+def _sets_of(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Sets of all classes in the pairs."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    chosen = texts.mapInPandas(_chosen_sets(_wanted_bits(wanted), words), "class long, items binary")
+    # The filter lets some others pass.
+    chosen = chosen.join(wanted, "class", "left_semi")
+    return written(chosen.dropDuplicates(["class"]), "chosen")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS
 ) -> DataFrame:
     """Every row with the size of its set and the least id of its component."""
     spark = docs.sparkSession
     described, order = describe(docs, text, doc_id, words)
-    rows = docs.select(quoted(text).alias("text"))
+    texts = docs.select(quoted(text).alias("text"))
+    marks = described.filter("size > 0").groupBy("class")
+    marks = marks.agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
 
     # A quarter of the tokens is indexed; buckets grow in number, not in size.
     total = described.agg(F.sum(F.col("size") / DENOMINATOR + 1)).first()[0] or 0
     buckets = int(total // POSTINGS_PER_BUCKET) + 1
     buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = rows.mapInPandas(_post(order, buckets, words), _BLOCKS)
-    index = blocks.groupBy("bucket").applyInPandas(_shared(HOT_DOCUMENTS, order), _SHARED)
+    blocks = texts.mapInPandas(_post(order, buckets, words), _BLOCKS)
+    index = blocks.groupBy("bucket").applyInPandas(_shared(order), _SHARED)
     index = written(index, "index")
 
-    classes = index.select("class").distinct()
-    chosen = rows.mapInPandas(_chosen_sets(_wanted_bits(classes), words), "class long, items binary")
-    sets = written(chosen.dropDuplicates(["class"]), "chosen")
-
-    links = written(_links(_leader_pairs(index), sets), "links")
+    pairs = written(_passing(_leader_pairs(index), marks), "pairs")
+    links = written(_links(pairs, _sets_of(pairs, texts, words)), "links")
     first = written(components(links), "components")
 
     # What is left: lists that reach over several groups.
@@ -457,10 +651,12 @@ def near_duplicates(
         F.min("component").alias("_low"), F.max("component").alias("_high")
     )
     across = across.filter("_low != _high").select("token")
-    labelled = labelled.join(across, "token", "left_semi")
+    labelled = labelled.join(across, "token", "left_semi").join(marks.drop("size"), "class")
+    labelled = labelled.join(_heads(index), "class", "left")
     labelled = labelled.withColumn("_bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
     pairs = labelled.groupBy("_bucket").applyInPandas(_group_pairs, "a long, b long").distinct()
-    more = _links(written(pairs, "pairs"), sets)
+    pairs = written(pairs, "pairs")
+    more = _links(pairs, _sets_of(pairs, texts, words))
     everything = components(links.unionByName(more))
 
     joined = described.join(everything.withColumnRenamed("node", "class"), "class", "left")
