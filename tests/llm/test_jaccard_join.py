@@ -91,6 +91,41 @@ def test_hot_tokens_are_spread(spark, monkeypatch):
     check(spark, corpus()[:60])
 
 
+def test_long_lists_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK_ENTRIES", 4)
+    check(spark, corpus())
+
+
+def test_no_block_holds_a_long_list(spark):
+    # One large component, another one, and outsiders of many sizes share a token.
+    random.seed(4)
+    entries = [(7, n, random.randrange(90, 100), 2, 0) for n in range(900)]
+    entries += [(7, n, 95, 1, 1000) for n in range(1000, 1100)]
+    entries += [(7, n, random.randrange(40, 200), 3, n) for n in range(2000, 2040)]
+    entries += [(8, n, 95, 2, 0) for n in range(500)] + [(8, 2000, 95, 2, 2000)]
+    frame = spark.createDataFrame(entries, "token long, class long, size int, place int, component long")
+    groups = {}
+    for r in jj.list_blocks(frame, 16).collect():
+        groups.setdefault(r._bucket, []).append(r)
+    assert max(len(rows) for rows in groups.values()) <= 4 * 16
+    found = []
+    for rows in groups.values():
+        assert len({r.token for r in rows}) == 1
+        for n, one in enumerate(rows):
+            for other in rows[:n]:
+                meets = one.side != other.side or one.side == jj.WITHIN
+                if meets and one.component != other.component:
+                    found.append((one.token, *sorted((one["class"], other["class"]))))
+    assert len(found) == len(set(found))
+    expected = set()
+    for n, (token, name, size, _, component) in enumerate(entries):
+        for t, other, its_size, _, its_component in entries[:n]:
+            alike = 4 * min(size, its_size) >= 3 * max(size, its_size)
+            if t == token and component != its_component and alike:
+                expected.add((t, *sorted((name, other))))
+    assert expected <= set(found)
+
+
 def test_empty_table(spark):
     assert jj.near_duplicates(documents(spark, [])).count() == 0
     assert jj.one_of_each(documents(spark, [])).count() == 0

@@ -17,7 +17,8 @@ it, most often a near copy, by the tokens in which the two differ.
 
 Hot spots: copies are one class from the start; a token of very many documents is spread over
 buckets by its count; a list gets one comparison per set, not all pairs; pairs inside a group
-that is known to be connected are never formed. Links and components stay on the executors.
+that is known to be connected are never formed. Long lists that reach over several groups are
+cut into blocks of bounded size, and blocks of one group alone never meet. Links and components stay on the executors.
 
 Shingles and sets are compared by 64-bit hashes, which makes a wrong link possible but not
 likely (about 1e-12 for two sets of 3000 shingles).
@@ -50,6 +51,8 @@ COUNTERS = 2**20
 SLICES = 64
 POSTINGS_PER_BUCKET = 1_000_000
 HOT_DOCUMENTS = 200_000
+BLOCK_ENTRIES = 2_048
+BUCKET_BYTES = 2**27
 FILTER_BITS = 2**24
 
 CHARS_AT_ONCE = 400_000
@@ -454,6 +457,68 @@ def list_pairs(
                 yield names[rows[i]], names[columns[j]]
 
 
+LEFT, RIGHT, WITHIN = 0, 1, 2
+
+
+def list_blocks(entries: DataFrame, most: int) -> DataFrame:
+    """Entries of long index lists, once for each pair of blocks that they take part in.
+
+    A list is dealt by set size and, where a component has many entries of a size, by
+    component; what is more than ``most`` is dealt on by class. Blocks meet if their sizes
+    reach each other and they are not of one component alone. All rows of a pair of blocks
+    have one ``_bucket``; ``side`` tells the two blocks apart.
+    """
+    # Levels are steps of 4/3, but what meets is decided by the sizes themselves.
+    step = float(np.log(DENOMINATOR / NUMERATOR))
+    entries = entries.withColumn("_level", F.floor(F.log("size") / F.lit(step)).cast("int"))
+    parts = entries.groupBy("token", "_level", "component").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("size").alias("_low"), F.max("size").alias("_high")
+    )
+    parts = written(
+        parts.withColumn("_alone", F.when(F.col("_n") >= most // 2, F.col("component"))), "parts"
+    )
+    alone = parts.filter("_alone is not null").select("token", "_level", "component", "_alone")
+    entries = entries.join(alone, ["token", "_level", "component"], "left")
+    heaps = parts.groupBy("token", "_level", "_alone").agg(
+        F.ceil(F.sum("_n") / most).cast("int").alias("_cuts"),
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+    )
+    heaps = heaps.withColumn("_heap", F.struct("_level", "_alone"))
+    heaps = written(heaps.select("token", "_heap", "_cuts", "_low", "_high"), "heaps")
+    others = heaps.select(
+        "token", *[F.col(c).alias(f"_other{c}") for c in ("_heap", "_cuts", "_low", "_high")]
+    )
+    meeting = heaps.join(others, "token").filter(
+        (NUMERATOR * F.col("_low") <= DENOMINATOR * F.col("_other_high"))
+        & (NUMERATOR * F.col("_other_low") <= DENOMINATOR * F.col("_high"))
+        & ~F.coalesce(F.col("_heap._alone") == F.col("_other_heap._alone"), F.lit(False))
+    )
+    # Each heap has its partners as a list, from both ends; its entries find them in one join.
+    partner = F.struct("_other_heap", "_other_cuts").alias("_partner")
+    meeting = meeting.select("token", "_heap", "_cuts", partner)
+    entries = entries.withColumn("_heap", F.struct("_level", "_alone"))
+    same_heap = [
+        F.col("e.token") == F.col("m.token"),
+        F.col("e._heap._level") == F.col("m._heap._level"),
+        F.col("e._heap._alone").eqNullSafe(F.col("m._heap._alone")),
+    ]
+    met = entries.alias("e").join(meeting.alias("m"), same_heap)
+    met = met.select("e.token", "class", "size", "place", "component", "e._heap", "_cuts", "_partner")
+    cut = F.pmod(F.xxhash64("class"), F.col("_cuts")).cast("int")
+    met = met.withColumn("_mine", F.struct("_heap._level", "_heap._alone", cut.alias("_cut")))
+    met = met.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_partner._other_cuts") - 1)))
+    theirs = F.struct("_partner._other_heap._level", "_partner._other_heap._alone", "_cut")
+    met = met.withColumn("_theirs", theirs)
+    both = F.array_sort(F.array("_mine", "_theirs"))
+    side = F.when(F.col("_mine") == F.col("_theirs"), WITHIN)
+    side = side.when(both[0] == F.col("_mine"), LEFT).otherwise(RIGHT)
+    return met.select(
+        "token", "class", "size", "place", "component",
+        side.cast("int").alias("side"), F.xxhash64("token", both).alias("_bucket"),
+    )
+
+
 def _group_pairs(group: pd.DataFrame) -> pd.DataFrame:
     """Distinct pairs of a bucket of index lists whose bitmaps allow similarity."""
     group = group.sort_values("token", kind="stable")
@@ -482,8 +547,12 @@ def _group_pairs(group: pd.DataFrame) -> pd.DataFrame:
         found.append(codes[nearly_similar(bits[a], bits[b], set_size[a], set_size[b])])
 
     cuts = np.flatnonzero(np.diff(token)) + 1
+    side = group["side"].to_numpy()
     for rows in np.split(np.arange(len(token)), cuts):
         for i, j in list_pairs(rows, label[rows], size[rows], place[rows]):
+            # Two blocks are held against each other; what is inside one has its own turn.
+            meet = (side[i] != side[j]) | (side[i] == WITHIN)
+            i, j = i[meet], j[meet]
             a, b = number[i], number[j]
             fresh = ~met_before(head_token[a], head_place[a], head_token[b], place[i])
             a, b = a[fresh], b[fresh]
@@ -648,13 +717,29 @@ def near_duplicates(
     labelled = index.join(first.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
     across = labelled.groupBy("token").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
+        F.min("component").alias("_low"),
+        F.max("component").alias("_high"),
+        F.count(F.lit(1)).alias("_entries"),
     )
-    across = across.filter("_low != _high").select("token")
-    labelled = labelled.join(across, "token", "left_semi").join(marks.drop("size"), "class")
-    labelled = labelled.join(_heads(index), "class", "left")
-    labelled = labelled.withColumn("_bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
-    pairs = labelled.groupBy("_bucket").applyInPandas(_group_pairs, "a long, b long").distinct()
+    across = across.filter("_low != _high").select("token", "_entries")
+    labelled = written(labelled.join(across, "token"), "labelled")
+    short = labelled.filter(F.col("_entries") <= BLOCK_ENTRIES)
+    # Short lists share buckets, which grow in number with the bitmaps and heads in them.
+    weight = short.agg(F.sum(F.col("size") / 2 + 16 * HEAD)).first()[0] or 0
+    buckets = int(weight // BUCKET_BYTES) + 1
+    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    short = short.select(
+        "token", "class", "size", "place", "component", F.lit(WITHIN).alias("side"),
+        F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("_bucket"),
+    )
+    longer = list_blocks(labelled.filter(F.col("_entries") > BLOCK_ENTRIES), BLOCK_ENTRIES)
+    heads = written(_heads(index), "heads")
+    pairs = None
+    for part in (short, longer):
+        part = part.join(marks.drop("size"), "class").join(heads, "class", "left")
+        found = part.groupBy("_bucket").applyInPandas(_group_pairs, "a long, b long")
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = pairs.distinct()
     pairs = written(pairs, "pairs")
     more = _links(pairs, _sets_of(pairs, texts, words))
     everything = components(links.unionByName(more))
