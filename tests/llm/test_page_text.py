@@ -21,6 +21,20 @@ def test_article_text(scores):
     assert pages.main_text(PAGE.replace("article>", "section>"), scores) == TEXT
 
 
+@pytest.mark.parametrize("extra, text", [
+    ("<ul>" + "<li><a href='/y'>Item</a></li>" * 10 + "</ul>", " Item" * 10),
+    ("<ol><li>one<li>two</ol>", " one two"),
+    ("<table><tr><td>one<td>two<tr><td>3<td>4</table>", " one two 3 4"),
+    ("<p><a href='/z'>Linked words</a></p>", " Linked words"),
+    ("<div class='ad'><ul>" + "<li><a href='/b'>Buy</a> now</li>" * 20 + "</ul></div>", ""),
+    ("<form><select>" + "<option>choice of many words here" * 20 + "</select></form>", ""),
+])
+@pytest.mark.parametrize("last", ["", "<p>Last words."])
+def test_links_lists_tables_and_adverts_in_articles(scores, extra, text, last):
+    page = PAGE.replace("</article>", extra + last + "</article>")
+    assert pages.main_text(page, scores) == TEXT + text + (" Last words." if last else "")
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<div><br></div>", "<!-- only -->", "<"])
 def test_little_or_broken_pages(scores, page):
     assert pages.main_text(page, scores) in ("", "<")

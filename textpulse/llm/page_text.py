@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from textpulse.llm.common import map_with_id, quoted
 
 MOST_LABELLED = 2_000
+LEAST_COST = -0.1
 
 # What HTML says about its elements.
 INLINE = frozenset(
@@ -108,7 +109,8 @@ def tokens(page: str) -> list[Token]:
                 del open_elements[depth:]
             result.append(Token("/" + name, block=block, dropped=dropped, rooted=rooted))
             continue
-        result.append(Token(name, block=block, dropped=dropped, rooted=rooted))
+        opening = Token(name, block=block, dropped=dropped, rooted=rooted)
+        result.append(opening)
         if name in VOID or match.group(3).endswith("/"):
             continue
         # A block ends an open paragraph; an item or cell ends the one before it.
@@ -123,6 +125,7 @@ def tokens(page: str) -> list[Token]:
                 dropped = bool(open_elements) and open_elements[-1][1]
                 rooted = bool(open_elements) and open_elements[-1][2]
         never = dropped or name in NEVER or bool(_named(match.group(3)) & NEVER_NAMED)
+        opening.dropped = never
         open_elements.append((name, never, rooted or name in CONTENT_ROOTS))
         if name in _RAW_END:
             end = _RAW_END[name].search(page, at)
@@ -139,10 +142,12 @@ class Scores:
     tag: float = -3.0
 
     def __call__(self, token: Token) -> float:
+        if token.dropped:
+            # Words outside all content count against a region that spans them, but the
+            # adverts and forms in the midst of it do not cut it.
+            return 0.0 if token.rooted else -1.0 * token.words
         if token.words:
-            # Words outside all content count against a region that spans them.
-            worth = -1.0 if token.dropped else self.of.get(token.kind, self.word)
-            return worth * token.words
+            return self.of.get(token.kind, self.word) * token.words
         if token.text:
             return 0.0
         return self.of.get(token.kind, self.tag)
@@ -191,6 +196,9 @@ def learn_scores(pages: list[str | None]) -> Scores:
         if sum(t.kind in CONTENT_ROOTS for t in found) != 1:
             continue
         for token in found:
+            if token.dropped and not token.text:
+                # Tags in menus tell nothing of the same tags elsewhere.
+                continue
             side = inside if token.rooted and not token.dropped else outside
             weight = token.words if token.text else 1
             side[token.kind] = side.get(token.kind, 0.0) + weight
@@ -203,12 +211,13 @@ def learn_scores(pages: list[str | None]) -> Scores:
             of[kind] = float(np.clip(odds, -3.0, 3.0))
         else:
             # Tags cost in any case; those that content hardly has cost most.
-            of[kind] = float(np.clip(odds - 3.0, -30.0, -0.1))
+            of[kind] = float(np.clip(odds - 3.0, -3.0, LEAST_COST))
     for root in CONTENT_ROOTS:
         # The marks themselves are no evidence.
         of.pop(root, None)
         of.pop("/" + root, None)
-    return Scores(of)
+    # A tag that no labelled page has, other than in menus, is evidence of nothing.
+    return Scores(of, tag=LEAST_COST)
 
 
 def train(
