@@ -35,6 +35,28 @@ def test_links_lists_tables_and_adverts_in_articles(scores, extra, text, last):
     assert pages.main_text(page, scores) == TEXT + text + (" Last words." if last else "")
 
 
+@pytest.mark.parametrize("old, new", [
+    ("<body>", '<body class="has-sidebar">'),
+    ("<body>", '<body id=menu class="widget">'),
+    ("<article>", '<article class="post comments-open">'),
+    ("<article>", '<article class="comments">'),
+    ("<article>", '<div class="content with-sidebar"><article>'),
+    ("<article>", '<div class="share"><div id="main-share-wrapper"><article>'),
+    ("<article>", '<div class="widget"><main id="menu"><article>'),
+])
+@pytest.mark.parametrize("marked", [True, False])
+def test_names_around_the_content(scores, old, new, marked):
+    page = PAGE.replace(old, new)
+    if not marked and "share" not in new and "widget" not in new and "comments" not in new:
+        page = page.replace("article", "section")
+    assert pages.main_text(page, scores) == TEXT
+
+
+def test_comments_that_are_articles_stay_out(scores):
+    more = '<div class="comments"><article><p>I disagree with all of it.</p></article></div>'
+    assert pages.main_text(PAGE.replace("</article>", "</article>" + more), scores) == TEXT
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<div><br></div>", "<!-- only -->", "<"])
 def test_little_or_broken_pages(scores, page):
     assert pages.main_text(page, scores) in ("", "<")

@@ -44,7 +44,7 @@ NEVER = frozenset(
 )
 SELF_CLOSING = frozenset("li dt dd tr td th option p".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe")
-# Words of class or id that mark an element as no content.
+# Classes and ids that mark an element as no content.
 NEVER_NAMED = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside "
@@ -53,6 +53,7 @@ NEVER_NAMED = frozenset(
     "pagination".split()
 )
 CONTENT_ROOTS = ("article", "main")
+NEVER_BY_NAME = frozenset(("html", "body", *CONTENT_ROOTS))  # their names say nothing
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|$)|[^<]+|<",
@@ -75,19 +76,41 @@ class Token:
 
 
 def _named(attributes: str) -> set[str]:
+    """Whole classes and ids: ``with-sidebar`` is no sidebar."""
     found: set[str] = set()
     for groups in _NAMES.findall(attributes):
-        found.update(re.split(r"[^a-z0-9]+", "".join(groups).lower()))
+        found.update("".join(groups).lower().split())
     return found
 
 
 def tokens(page: str) -> list[Token]:
+    """Words and tags of a page.
+
+    An element with a name of no content is content all the same if the page's content is in
+    it. Comments may be articles too, so such an element around an article counts only on
+    pages without one outside; it always counts around a main element.
+    """
+    result, roots = _read(page, frozenset())
+    articles = [around for name, around in roots if name == "article"]
+    needed = [around for name, around in roots if name == "main"]
+    if all(around for _, around in roots):
+        needed += articles
+    holders = frozenset().union(*needed)
+    return _read(page, holders)[0] if holders else result
+
+
+def _read(
+    page: str, holders: frozenset[int]
+) -> tuple[list[Token], list[tuple[str, frozenset[int]]]]:
+    """Tokens; and each marked content, with where the elements begin that drop it by name."""
     result: list[Token] = []
+    roots: list[tuple[str, frozenset[int]]] = []
     open_elements: list[tuple[str, bool, bool]] = []  # name, never content, marked as content
+    around: list[int | None] = []  # where each open element begins that drops by its name
     at = 0
     while at < len(page):
         match = _TOKEN.match(page, at)
-        at = match.end()
+        begin, at = at, match.end()
         whole, name = match.group(), (match.group(2) or "").lower()
         dropped = bool(open_elements) and open_elements[-1][1]
         rooted = bool(open_elements) and open_elements[-1][2]
@@ -106,7 +129,7 @@ def tokens(page: str) -> list[Token]:
                 None,
             )
             if depth is not None:
-                del open_elements[depth:]
+                del open_elements[depth:], around[depth:]
             result.append(Token("/" + name, block=block, dropped=dropped, rooted=rooted))
             continue
         opening = Token(name, block=block, dropped=dropped, rooted=rooted)
@@ -121,16 +144,21 @@ def tokens(page: str) -> list[Token]:
         if nearest is not None and block:
             parent = open_elements[nearest][0]
             if parent == "p" or (parent == name and name in SELF_CLOSING):
-                del open_elements[nearest:]
+                del open_elements[nearest:], around[nearest:]
                 dropped = bool(open_elements) and open_elements[-1][1]
                 rooted = bool(open_elements) and open_elements[-1][2]
-        never = dropped or name in NEVER or bool(_named(match.group(3)) & NEVER_NAMED)
+        if name in CONTENT_ROOTS:
+            roots.append((name, frozenset(n for n in around if n is not None)))
+        by_name = name not in NEVER_BY_NAME and not _named(match.group(3)).isdisjoint(NEVER_NAMED)
+        by_name = by_name and begin not in holders
+        never = dropped or name in NEVER or by_name
+        around.append(begin if by_name else None)
         opening.dropped = never
         open_elements.append((name, never, rooted or name in CONTENT_ROOTS))
         if name in _RAW_END:
             end = _RAW_END[name].search(page, at)
             at = end.start() if end else len(page)
-    return result
+    return result, roots
 
 
 @dataclass(frozen=True)
