@@ -82,6 +82,27 @@ def test_equals_brute_force(spark):
     assert ids == {int(c) for _, _, c in brute(corpus() + [(1000 + n, *r[1:]) for n, r in enumerate(EDGES)])}
 
 
+def test_one_of_each_with_missing_and_repeated_ids(spark):
+    text = " ".join(f"w{n}" for n in range(60))
+    rows = [
+        (None, text, "a"),
+        (None, text + " x", "b"),
+        (3, text + " y", "c"),
+        (3, text + " y z", "d"),
+        (2, "something else entirely that is alone", "e"),
+        (4, text + " v", "f"),
+        (4, "one clean document under the same id", "g"),
+        (None, "near copies none of which has an id at all " + text[:90], "h"),
+        (None, "near copies none of which has an id at all " + text[:90] + " q", "h"),
+        (None, None, "i"),
+        (None, " ", "j"),
+    ]
+    docs = documents(spark, rows).coalesce(1)
+    kept = jj.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.source for r in kept.collect()) == ["c", "e", "g", "h", "i", "j"]
+
+
 def test_edge_rows(spark):
     check(spark, EDGES)
 

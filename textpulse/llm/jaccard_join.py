@@ -236,7 +236,7 @@ class Order:
         return tokens[np.argsort(level, kind="stable")[:length]]
 
 
-def _describe(words: int):
+def _describe(words: int, names: tuple[str, ...]):
     """Id, size, class and bitmap of each document, and at the end the task's token counts."""
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,14 +254,14 @@ def _describe(words: int):
                     waiting = []
             counts += _counted(waiting)
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "size": sizes, "class": classes, "bits": bits,
+                {**{name: batch[name] for name in names}, "size": sizes, "class": classes, "bits": bits,
                  "slice": -1, "counts": None}
             )
         if counts.any():
             parts = counts.astype("<u4").reshape(SLICES, -1)
             used = [n for n in range(SLICES) if parts[n].any()]
             yield pd.DataFrame(
-                {"doc_id": None, "size": -1, "class": 0, "bits": None,
+                {**dict.fromkeys(names), "size": -1, "class": 0, "bits": None,
                  "slice": used, "counts": [parts[n].tobytes() for n in used]}
             )
 
@@ -282,11 +282,14 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": [group["slice"].iloc[0]], "counts": [total.tobytes()]})
 
 
-def describe(docs: DataFrame, text: str, doc_id: str, words: int) -> tuple[DataFrame, Order]:
-    """(doc_id, size, class, bits) of every row, and the order of tokens."""
-    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
+def describe(
+    docs: DataFrame, text: str, ids: dict[str, str], words: int
+) -> tuple[DataFrame, Order]:
+    """Ids, size, class and bits of every row, and the order of tokens."""
+    names = tuple(ids)
+    rows = docs.select(*[quoted(c).alias(n) for n, c in ids.items()], quoted(text).alias("text"))
     columns = "size int, class long, bits binary, slice int, counts binary"
-    found = written(map_with_id(rows, _describe(words), columns), "sets")
+    found = written(map_with_id(rows, _describe(words, names), columns, names), "sets")
     slices = found.filter("slice >= 0").select("slice", "counts")
     # A fixed number of counters, whatever the corpus. Tasks meet slice by slice in two steps.
     parts = slices.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(32)))
@@ -294,7 +297,7 @@ def describe(docs: DataFrame, text: str, doc_id: str, words: int) -> tuple[DataF
     total = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
     for row in parts.groupBy("slice").applyInPandas(_summed, "slice int, counts binary").collect():
         total[row["slice"]] = np.frombuffer(row["counts"], "<i8")
-    described = found.filter("slice < 0").select("doc_id", "size", "class", "bits")
+    described = found.filter("slice < 0").select(*names, "size", "class", "bits")
     return described, Order(total.ravel())
 
 
@@ -691,12 +694,10 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     return written(chosen.dropDuplicates(["class"]), "chosen")
 
 
-def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS
-) -> DataFrame:
-    """Every row with the size of its set and the least id of its component."""
+def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> DataFrame:
+    """Ids of every row, given as new and old names, with the size and component of its set."""
     spark = docs.sparkSession
-    described, order = describe(docs, text, doc_id, words)
+    described, order = describe(docs, text, ids, words)
     texts = docs.select(quoted(text).alias("text"))
     marks = described.filter("size > 0").groupBy("class")
     marks = marks.agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
@@ -746,7 +747,14 @@ def near_duplicates(
 
     joined = described.join(everything.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.withColumn("_group", F.coalesce("component", "class"))
-    joined = written(joined.select("doc_id", "size", "_group"), "joined")
+    return written(joined.select(*ids, "size", "_group"), "joined")
+
+
+def near_duplicates(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS
+) -> DataFrame:
+    """Every row with the size of its set and the least id of its component."""
+    joined = _grouped(docs, text, {"doc_id": doc_id}, words)
     least = joined.filter("size > 0").groupBy("_group").agg(F.min("doc_id").alias("_least"))
     result = joined.join(least, "_group", "left")
     alone = F.col("size") == 0
@@ -760,7 +768,21 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS
 ) -> DataFrame:
-    """The rows without near duplicates of a smaller id, with all their columns."""
-    found = near_duplicates(docs, text, doc_id, words)
-    dropped = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(dropped, quoted(doc_id) == F.col("_drop"), "left_anti")
+    """One row of each component, with all its columns: the one of the least id.
+
+    Rows are told apart by a written number, as ids may be missing or repeated: a row without
+    an id stays only if none of its component has one, and of equal ids the first row stays.
+    Rows without shingles all stay.
+    """
+    names = {name.lower() for name in docs.columns}
+    number = "_number"
+    while number in names:
+        number += "_"
+    docs = written(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = _grouped(docs, text, {"doc_id": doc_id, "row": number}, words)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    least = found.filter("size > 0").groupBy("_group").agg(F.min(rank).alias("_least"))
+    kept = least.select(F.col("_least.row").alias("_kept"))
+    kept = kept.unionByName(found.filter("size = 0").select(F.col("row").alias("_kept")))
+    kept = docs.join(kept, F.col(number) == F.col("_kept"), "left_semi")
+    return kept.drop(number)
