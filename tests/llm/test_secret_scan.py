@@ -4,7 +4,7 @@ import re
 import pytest
 
 from tests.llm.support import EDGES, documents
-from textpulse.llm.secret_scan import scan_secrets
+from textpulse.llm.secret_scan import judged_values, scan, scan_secrets
 
 KEY = re.compile(
     r"(?a:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -62,5 +62,23 @@ def test_ownership_tells_live_from_copied(found):
         assert by_id[n].spans == "" and by_id[n].n_copied_values == 1
 
 
+def test_hot_sources_and_missing_owners(spark):
+    hot, twice, mirrored, nobody, lost = (f"ghp_{c}1b2C3d4E5f6G7h8I9j0" for c in "ABCDE")
+    rows = [(n, f"{hot} in document {n}", "hot") for n in range(50)]
+    rows += [(n, f"{twice} in document {n}", "hot") for n in (60, 61)]
+    rows += [(n, f"{mirrored} in one text", "hot") for n in range(70, 80)]
+    rows += [(90, f"{nobody} 1", "a"), (90, f"{nobody} 2", "b"), (90, f"{nobody} 3", None)]
+    rows += [(None, f"{lost} in document {n}", None) for n in range(5)]
+    docs = documents(spark, rows).repartition(3)
+    copied = {r.doc_id: r.n_copied_values for r in scan_secrets(docs).collect()}
+    live = {60, 61, *range(70, 80)}
+    assert copied == {i: int(i not in live) for i, _, _ in rows}
+    counts = judged_values(scan(docs, "text", "doc_id", "source", "doc_id")).collect()
+    by_hash = {r.hash: (r.owners, r.repositories, r.live) for r in counts}
+    assert [by_hash[hashlib.sha256(v.encode()).hexdigest()] for v in (hot, twice, mirrored, nobody, lost)] == [
+        (1, 50, False), (1, 2, True), (1, 1, True), (3, 1, False), (1, 5, False)
+    ]
+
+
 def test_empty_table(spark):
     assert scan_secrets(documents(spark, [])).count() == 0

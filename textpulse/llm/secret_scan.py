@@ -2,15 +2,15 @@
 
 Every text is scanned for three kinds of base spans and for token-like candidates. Candidates
 are hashed and counted over the whole corpus by distinct repositories and distinct owners: a
-value that many owners have is a copied example, one that stays with an owner or two looks
-live. Live-looking tokens outside the base spans become spans of the kind ``owned``.
+value that many owners or repositories have is a copied example, one that stays with an owner
+or two and in a repository or two looks live. Repositories of one and the same text count once. Live-looking tokens outside the base spans become spans of the kind ``owned``.
 
 Scanning is one narrow pass of built-in expressions; its small result is written, so that the
 texts are read once. The counts are distinct counts that reduce on the map side. Judgements
 return in an equi-join on the hash, whose hot partitions Spark may split.
 
-Cases: a null text counts as empty; such rows have no spans. A null owner or repository is
-not counted as one, so a value only seen there looks live. Repeated rows each get their
+Cases: a null text counts as empty; such rows have no spans. Rows without an owner have one
+owner together; rows without a repository are told apart by their texts. Repeated rows each get their
 result and count once. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -41,6 +41,7 @@ CANDIDATE = "[A-Za-z0-9_-]{20,}"
 HAS_BOTH = "[0-9].*[A-Za-z]|[A-Za-z].*[0-9]"
 
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 2
 
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
@@ -148,12 +149,29 @@ def scan(docs: DataFrame, text: str, doc_id: str, owner: str, repository: str) -
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
-    """Distinct repositories and owners of every candidate hash in the corpus."""
-    seen = scanned.select("_owner", "_repository", F.explode("_candidates.hash").alias("hash"))
-    return seen.groupBy("hash").agg(
-        F.count_distinct("_owner").alias("owners"),
-        F.count_distinct("_repository").alias("repositories"),
+    """Distinct owners, and distinct repositories of distinct texts, of every candidate hash."""
+    seen = scanned.select(
+        "_owner", "_repository", "_key", F.explode("_candidates.hash").alias("hash")
     )
+    # Nulls in a struct are counted.
+    apart = F.struct("_repository", F.when(F.col("_repository").isNull(), F.col("_key")))
+    counts = seen.groupBy("hash").agg(
+        F.count_distinct(F.struct("_owner")).alias("owners"),
+        F.count_distinct(apart).alias("_repositories"),
+        F.count_distinct("_key").alias("_texts"),
+    )
+    few = F.least("_repositories", "_texts")
+    return counts.select("hash", "owners", few.alias("repositories"))
+
+
+def judged_values(
+    scanned: DataFrame,
+    max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
+) -> DataFrame:
+    """(hash, owners, repositories, live) of every value."""
+    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    return ownership(scanned).withColumn("live", few)
 
 
 def scan_secrets(
@@ -163,10 +181,12 @@ def scan_secrets(
     owner: str = "source",
     repository: str = "doc_id",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Spans of each row, and how many of its values look live or copied."""
     scanned = written(scan(docs, text, doc_id, owner, repository), "secrets")
-    live = ownership(scanned).select("hash", (F.col("owners") <= max_owners).alias("_live"))
+    live = judged_values(scanned, max_owners, max_repositories)
+    live = live.select("hash", F.col("live").alias("_live"))
 
     # Copies of a text under one id share their judgement.
     rows = scanned.filter(F.size("_candidates") > 0)
