@@ -15,6 +15,7 @@ from textpulse.llm.pareto_mix import mix_documents
 from textpulse.llm.piece_sampling import segmentation_report
 from textpulse.llm.radix_dedup import exact_duplicates
 from textpulse.llm.secret_scan import scan_secrets
+from textpulse.llm.spelling_variants import spelling_variants
 
 SHARDS = 24
 
@@ -65,6 +66,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_documents(docs, field)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_secret_scans": op2_secret_scans,
@@ -76,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_sources": op8_mixing_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_spelling_variants": op13_spelling_variants,
 }
