@@ -12,7 +12,7 @@ from textpulse.llm.queries import QUERIES
 def test_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(contract.oracle_sql())
 
 

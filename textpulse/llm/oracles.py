@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textpulse.llm import pareto_mix, secret_scan
+from textpulse.llm import pareto_mix, secret_scan, url_cascade
 
 OP3_EXACT_DEDUP = r"""
 with plain as (
@@ -174,9 +174,68 @@ select r.doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as componen
 from reached r left join sizes s on r.doc_id = s.doc_id group by r.doc_id
 """
 
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{value}'" for value in row) + ")" for row in rows)
+
+
+OP11_URL_FILTERS = f"""
+with parts as (
+  select page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) as path,
+    row_number() over () as i
+  from pages
+), rules(rule_host, rule_path, verdict) as (
+  values {_values([(r.host, r.path, r.verdict) for r in url_cascade.RULES])}
+), domains(domain) as (
+  values {_values([(domain,) for domain in url_cascade.LISTED_DOMAINS])}
+), best as (
+  select i, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+    arg_max(r.verdict, length(rule_host || rule_path)) as verdict
+  from parts join rules r on (host = rule_host or ends_with(host, '.' || rule_host))
+    and starts_with(path, rule_path)
+  group by i
+), listed as (
+  select distinct i from parts join domains on host = domain or ends_with(host, '.' || domain)
+)
+select page_id, host, path, rule,
+  coalesce(verdict, case when l.i is not null then 'block' else 'allow' end) as verdict
+from parts p left join best b on p.i = b.i left join listed l on p.i = l.i
+"""
+
+OP12_HARD_NEGATIVES = """
+with given as (
+  select vec_id, label::bigint as label, [floor(256 * x::double) for x in embedding] as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), vectors as (
+  select vec_id, v, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+  from given
+), scores as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+    list_inner_product(a.v, r.v)::bigint as score
+  from vectors a join vectors r on a.vec_id <> r.vec_id
+  where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)::int
+      as rank
+  from positives p join scores s on p.anchor_id = s.anchor_id and not s.same
+    and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+from ranked where rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op2_secret_scans": OP2_SECRET_SCANS,
     "op3_exact_dedup": OP3_EXACT_DEDUP,
     "op8_mixing_sources": OP8_MIXING_SOURCES,
     "op9_jaccard_join": OP9_JACCARD_JOIN,
+    "op11_url_filters": OP11_URL_FILTERS,
+    "op12_hard_negatives": OP12_HARD_NEGATIVES,
 }

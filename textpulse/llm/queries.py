@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textpulse.llm.byte_shards import balanced_shards
 from textpulse.llm.common import table
 from textpulse.llm import line_crf, page_text, toxicity
+from textpulse.llm.hard_negatives import hard_negatives
 from textpulse.llm.isolation_rules import judge
 from textpulse.llm.jaccard_join import near_duplicates
 from textpulse.llm.pareto_mix import mix_documents
@@ -16,6 +17,7 @@ from textpulse.llm.piece_sampling import segmentation_report
 from textpulse.llm.radix_dedup import exact_duplicates
 from textpulse.llm.secret_scan import scan_secrets
 from textpulse.llm.spelling_variants import spelling_variants
+from textpulse.llm.url_cascade import judge_pages
 
 SHARDS = 24
 
@@ -66,6 +68,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_documents(docs, field)
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_pages(table(spark, sf_dir, "pages"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -81,5 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_sources": op8_mixing_sources,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_url_filters": op11_url_filters,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling_variants": op13_spelling_variants,
 }
