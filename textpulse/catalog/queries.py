@@ -12,7 +12,8 @@ from textpulse.functions.text import extract_content
 from textpulse.operators import evaluation as ev
 from textpulse.operators import metrics as mt
 from textpulse.operators import model as md
-from textpulse.operators.dedup import first_seen, keep_first_seen
+from textpulse.operators.dedup import first_seen
+from textpulse.operators.first_copies import earliest, first_copies
 from textpulse.operators.routing import (
     dead_letters,
     parse_failures,
@@ -397,13 +398,24 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     content = valid_content(parse_messages(_envelope_stream(spark, sf)))
     number = F.regexp_extract("id", "^c?([0-9]+)", 1).cast("bigint")
     query = jobs.start_landing(
-        tb.repeated(content, number),
+        first_copies(tb.repeated(content, number)),
         f"{root}/checkpoint",
-        keep_first_seen(f"{root}/unique"),
+        land_in_directory(f"{root}/unique"),
         trigger=jobs.ONCE,
     )
     query.awaitTermination()
-    return _readable(spark.read.parquet(f"{root}/unique").drop(*BATCH_COLUMNS))
+    return _readable(earliest(spark.read.parquet(f"{root}/unique").drop(*BATCH_COLUMNS)))
+
+
+def stream_top_engaging(spark: SparkSession, sf: str) -> DataFrame:
+    """The most engaging posts of the stream, from the top ones of its batches."""
+    root = scratch_dir(spark, "stream-top")
+    processed = processed_rows(route(_envelope_stream(spark, sf)), now=fixed_now())
+    query = jobs.start_landing(
+        processed, f"{root}/checkpoint", jobs.land_top(f"{root}/parts"), trigger=jobs.ONCE
+    )
+    query.awaitTermination()
+    return jobs.latest_top(spark, f"{root}/parts", "post")
 
 
 QUERIES: dict[str, Query] = {
@@ -445,4 +457,5 @@ QUERIES: dict[str, Query] = {
     "stream_dlq": stream_dlq,
     "stream_dedup": stream_dedup,
     "stream_metrics": stream_metrics,
+    "stream_top_engaging": stream_top_engaging,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,59 +75,98 @@ _AVERAGED = {"avg_sentiment": "sentiment_score", "avg_confidence": "confidence",
 _WINDOW_KEYS = ("window_start", "window_end", "content_type", "subreddit")
 
 
+# How streams count distinct authors: exactly, with a part for each author, or in sketches.
+EXACT, SKETCH = "exact", "sketch"
+# Two to this power are the counters of a sketch; 2 % is the usual error at 12.
+SKETCH_SIZE = 12
+
+
 def metric_parts(
-    df: DataFrame, time: str = "processing_timestamp", length: str = "5 minutes"
+    df: DataFrame,
+    time: str = "processing_timestamp",
+    length: str = "5 minutes",
+    authors: str = EXACT,
 ) -> DataFrame:
-    """What some rows add to ``processing_metrics``, per author, to be added up later."""
+    """What some rows add to ``processing_metrics``, to be added up later.
+
+    Exact author counts need a part for each author of a window. With sketches there is one
+    part a window, whatever the authors, and counts are approximate.
+    """
+    if authors not in (EXACT, SKETCH):
+        raise ValueError(f"authors are counted {EXACT!r} or {SKETCH!r}, not {authors!r}")
     sums = {
         f"{name}_{part}": value
         for name, column in _AVERAGED.items()
         for part, value in (("sum", F.sum(units(F.col(column)))), ("n", F.count(column)))
     }
-    grouped = tumbling(df, time, length, "content_type", "subreddit", "author").agg(
+    keys = ["content_type", "subreddit", *(["author"] if authors == EXACT else [])]
+    sketch = [F.hll_sketch_agg("author", F.lit(SKETCH_SIZE)).alias(_SKETCH)]
+    grouped = tumbling(df, time, length, *keys).agg(
         F.count(F.lit(1)).alias("total_processed"),
         *[_count_of(name).alias(f"{name}_count") for name in SENTIMENTS],
         F.max("engagement_score").alias("max_engagement"),
         *[value.alias(name) for name, value in sums.items()],
+        *(sketch if authors == SKETCH else []),
     )
     return flatten_window(grouped)
 
 
+_SKETCH = "authors_sketch"
+
+
 def add_parts(parts: DataFrame, *keys: str) -> DataFrame:
     """Parts of the same keys as one; per window and author unless other keys are given."""
-    keys = keys or (*_WINDOW_KEYS, "author")
+    sketched = _SKETCH in parts.columns
+    keys = keys or (*_WINDOW_KEYS, *(() if sketched else ("author",)))
     added = [
         "total_processed",
         *[f"{name}_count" for name in SENTIMENTS],
         *[f"{name}_{part}" for name in _AVERAGED for part in ("sum", "n")],
     ]
+    sketch = [F.hll_union_agg(_SKETCH).alias(_SKETCH)] if sketched else []
     return parts.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in added],
         F.max("max_engagement").alias("max_engagement"),
+        *sketch,
     )
 
 
-def merged_metrics(parts: DataFrame) -> DataFrame:
-    """``processing_metrics`` from parts; authors aggregate first, so they are counted exactly."""
-    by_author = add_parts(parts)
-    authors = by_author.groupBy(*_WINDOW_KEYS).agg(F.count("author").alias("unique_authors"))
-    total = add_parts(by_author, *_WINDOW_KEYS)
-    same = [F.col(f"t.{key}").eqNullSafe(F.col(f"a.{key}")) for key in _WINDOW_KEYS]
-    joined = total.alias("t").join(authors.alias("a"), same)
+def _finished(total: DataFrame, unique_authors: Column) -> DataFrame:
+    """The metrics of windows whose parts are added up."""
     averages = {
-        name: quotient(F.col(f"t.{name}_sum"), F.col(f"t.{name}_n")).alias(name)
-        for name in _AVERAGED
+        name: quotient(F.col(f"{name}_sum"), F.col(f"{name}_n")).alias(name) for name in _AVERAGED
     }
-    return joined.select(
-        *[F.col(f"t.{key}") for key in _WINDOW_KEYS],
-        "t.total_processed",
+    return total.select(
+        *_WINDOW_KEYS,
+        "total_processed",
         averages["avg_sentiment"],
         averages["avg_confidence"],
-        *[F.col(f"t.{name}_count") for name in SENTIMENTS],
-        "t.max_engagement",
+        *[f"{name}_count" for name in SENTIMENTS],
+        "max_engagement",
         averages["avg_text_length"],
-        "a.unique_authors",
+        unique_authors.alias("unique_authors"),
+    )
+
+
+def merged_metrics(parts: DataFrame) -> DataFrame:
+    """``processing_metrics`` from parts.
+
+    Parts by author aggregate by author first, so that authors are counted exactly; sketches
+    are united and estimated.
+    """
+    if _SKETCH in parts.columns:
+        return _finished(add_parts(parts), F.hll_sketch_estimate(_SKETCH))
+    by_author = add_parts(parts)
+    # An author is one row here, so both steps reduce on the map side and nothing is joined.
+    known = by_author.withColumn("_known", F.col("author").isNotNull().cast("bigint"))
+    authors = F.sum("_known").alias("_authors")
+    added = [name for name in by_author.columns if name not in (*_WINDOW_KEYS, "author")]
+    total = known.groupBy(*_WINDOW_KEYS).agg(
+        *[F.sum(name).alias(name) for name in added if name != "max_engagement"],
+        F.max("max_engagement").alias("max_engagement"),
+        authors,
     )
+    return _finished(total, F.col("_authors"))
 
 
 def sentiment_by_group(df: DataFrame) -> DataFrame:
@@ -153,3 +194,27 @@ def top_engaging(df: DataFrame, content_type: str, limit: int = 10) -> DataFrame
         .select("id", "content", "subreddit", "sentiment", "engagement_score", "author")
         .limit(limit)
     )
+
+
+_TOP_COLUMNS = ("id", "content", "subreddit", "sentiment", "engagement_score", "author")
+
+
+def top_parts(
+    df: DataFrame, limit: int = 10, content_types: Sequence[str] = ("post", "comment")
+) -> DataFrame:
+    """The rows of each type that may be among the top ones, ``limit`` a type, to be merged.
+
+    Rows that some rows do not have among their top ones are not among those of more rows
+    either, so the same step merges parts, in any order, and the result is exact.
+    """
+    parts = [
+        df.filter(F.col("content_type") == kind)
+        .orderBy(F.desc("engagement_score"), "id", "content")
+        .select("content_type", *_TOP_COLUMNS)
+        .limit(limit)
+        for kind in content_types
+    ]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged

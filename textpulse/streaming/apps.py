@@ -9,9 +9,11 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textpulse.config import PulseConfig
 from textpulse.operators.dedup import first_seen_stream
+from textpulse.operators.first_copies import SUPERSEDES, first_copies
 from textpulse.operators.scoring import Scorer
 from textpulse.schemas import DEAD_LETTER, PROCESSED
 from textpulse.sinks.messages import dead_letter_preview, encode_raw, result_preview
@@ -25,11 +27,18 @@ from textpulse.streaming import jobs
 def ingest(
     post_listings: DataFrame, comment_listings: DataFrame, config: PulseConfig
 ) -> jobs.StreamingQuery:
-    """New posts and comments of streamed API listings, each once, to their topics."""
+    """New posts and comments of streamed API listings, each once, to their topics.
+
+    Of several copies the first one goes out. An id is remembered for ever, unless the settings
+    say for how long; a copy that turns out to be earlier than what went out stays behind.
+    """
     content = listing_content(post_listings, "post").unionByName(
         listing_content(comment_listings, "comment")
     )
-    unique = first_seen_stream(content, config.remember_ids_for)
+    if config.remember_ids_for is None:
+        unique = first_copies(content).filter(~F.col(SUPERSEDES))
+    else:
+        unique = first_seen_stream(content, config.remember_ids_for)
     return jobs.start_publishing(
         encode_raw(unique, config),
         jobs.checkpoint_for(config, "ingest"),

@@ -18,16 +18,19 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from textpulse.config import DEFAULTS, PulseConfig
 from textpulse.operators.evaluation import windowed_evaluation
 from textpulse.operators.metrics import (
+    EXACT,
     add_parts,
     merged_metrics,
     metric_parts,
     processing_metrics,
+    top_engaging,
+    top_parts,
 )
 from textpulse.operators.routing import dead_letters
 from textpulse.operators.scoring import Scorer
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.sinks.messages import encode_dead_letters, encode_processed, publish
-from textpulse.sinks.tables import land_in_directory
+from textpulse.sinks.parts import FANOUT, GRACE, PartTable
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -185,19 +188,32 @@ def start_landing(
     return _start(writer, name, trigger or every(config.process_every))
 
 
-METRIC_KEYS = ("window_start", "window_end", "content_type", "subreddit")
+def metric_table(
+    spark: SparkSession, path: str, fanout: int = FANOUT, grace: float = GRACE
+) -> PartTable:
+    """The table of metric parts below a folder."""
+    return PartTable(spark, path, add_parts, fanout=fanout, grace=grace)
 
 
 def land_metrics(
-    path: str, event_time: str = "kafka_timestamp", length: str = "5 minutes"
+    path: str,
+    event_time: str = "kafka_timestamp",
+    length: str = "5 minutes",
+    authors: str = EXACT,
+    fanout: int = FANOUT,
 ) -> Sink:
     """A sink of the parts that a batch adds to windowed metrics.
 
     No state is kept and no watermark drops anything: whenever a row arrives, it counts in
-    its window when the parts are added up. Micro-batches may be of any size and order.
+    its window when the parts are added up. Micro-batches may be of any size and order. Parts
+    are merged as they become many; ``authors`` says how distinct authors are counted.
     """
-    land = land_in_directory(path)
-    return lambda batch, batch_id: land(metric_parts(batch, event_time, length), batch_id)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        table = metric_table(batch.sparkSession, path, fanout)
+        table.sink(lambda rows: metric_parts(rows, event_time, length, authors))(batch, batch_id)
+
+    return land
 
 
 def start_metrics(
@@ -209,21 +225,49 @@ def start_metrics(
     trigger: Mapping | None = None,
     name: str | None = None,
     config: PulseConfig = DEFAULTS,
+    authors: str = EXACT,
+    fanout: int = FANOUT,
 ) -> StreamingQuery:
     """Land the metrics of every batch; ``latest_metrics`` reads the windows as they stand."""
-    sink = land_metrics(path, event_time, length)
+    sink = land_metrics(path, event_time, length, authors, fanout)
     writer = processed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _start(writer, name, trigger or every(config.metrics_every))
 
 
+def _metric_rows(spark: SparkSession, path: str) -> DataFrame:
+    rows = metric_table(spark, path).read()
+    # Without a manifest it is a plain table of parts.
+    return spark.read.parquet(path) if rows is None else rows
+
+
 def latest_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Metrics of every window from all parts landed so far; authors are counted exactly."""
-    return merged_metrics(spark.read.parquet(path))
+    """Metrics of every window from all parts landed so far."""
+    return merged_metrics(_metric_rows(spark, path))
 
 
 def compact_metrics(spark: SparkSession, path: str, target: str) -> None:
-    """Parts of many batches added up into one table of parts."""
-    add_parts(spark.read.parquet(path)).write.mode("overwrite").parquet(target)
+    """All parts added up into one plain table of parts, as an export."""
+    add_parts(_metric_rows(spark, path)).write.mode("overwrite").parquet(target)
+
+
+def land_top(path: str, limit: int = 10, fanout: int = FANOUT) -> Sink:
+    """A sink of the rows of each batch that may be among the most engaging ones."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        table = PartTable(
+            batch.sparkSession, path, lambda parts: top_parts(parts, limit), fanout=fanout
+        )
+        table.sink(lambda rows: top_parts(rows, limit))(batch, batch_id)
+
+    return land
+
+
+def latest_top(
+    spark: SparkSession, path: str, content_type: str, limit: int = 10
+) -> DataFrame | None:
+    """``top_engaging`` of all batches landed so far, up to the limit they were landed with."""
+    rows = PartTable(spark, path, top_parts).read()
+    return None if rows is None else top_engaging(rows, content_type, limit)
 
 
 def streaming_metrics(
