@@ -13,7 +13,6 @@ from textpulse.operators import evaluation as ev
 from textpulse.operators import metrics as mt
 from textpulse.operators import model as md
 from textpulse.operators.dedup import first_seen
-from textpulse.operators.first_copies import earliest, first_copies
 from textpulse.operators.routing import (
     dead_letters,
     parse_failures,
@@ -398,13 +397,13 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     content = valid_content(parse_messages(_envelope_stream(spark, sf)))
     number = F.regexp_extract("id", "^c?([0-9]+)", 1).cast("bigint")
     query = jobs.start_landing(
-        first_copies(tb.repeated(content, number)),
+        tb.repeated(content, number),
         f"{root}/checkpoint",
-        land_in_directory(f"{root}/unique"),
+        jobs.land_first_seen(f"{root}/unique"),
         trigger=jobs.ONCE,
     )
     query.awaitTermination()
-    return _readable(earliest(spark.read.parquet(f"{root}/unique").drop(*BATCH_COLUMNS)))
+    return _readable(jobs.first_rows(spark, f"{root}/unique"))
 
 
 def stream_top_engaging(spark: SparkSession, sf: str) -> DataFrame:

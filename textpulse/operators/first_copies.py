@@ -4,6 +4,10 @@ The keys seen so far are the state of the streaming query: dealt out by hash, ke
 store on the executors' disks with the store's own Bloom filters, and uploaded by changes. A
 batch looks up the keys that it carries and no others; nothing that was landed is read again.
 A key's state is the time and a digest of its first copy, never a text.
+
+This is for rows that leave at once, as messages do: it decides before they go, at the cost of a
+call into Python for each key of a batch. Tables need no decision; ``jobs.land_first_seen`` lands
+them with built-in expressions alone.
 """
 
 from __future__ import annotations
@@ -59,19 +63,21 @@ def _first_of_key(
     key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
     """The key's earliest row of a batch, if it is earlier than what was seen of the key."""
-    best, row = None, None
+    # Calls into pandas cost more than the few rows of a key: most keys have one row, which goes
+    # on as it came.
+    best, chosen, at = None, None, 0
     for frame in frames:
-        # As text these are exact; the columns of one key are few.
-        places = zip(frame[_ARRIVAL].tolist(), frame[_DIGEST].tolist(), strict=True)
-        for at, (arrival, digest) in enumerate(places):
-            place = (int(arrival), int(digest))
+        arrivals, digests = frame[_ARRIVAL].tolist(), frame[_DIGEST].tolist()
+        for n in range(len(arrivals)):
+            place = (int(arrivals[n]), int(digests[n]))
             if best is None or place < best:
-                best, row = place, frame.iloc[[at]]
+                best, chosen, at = place, frame, n
     known = tuple(state.get) if state.exists else None
     if best is None or (known is not None and best >= known):
         return
     state.update(best)
-    yield row.drop(columns=[_ARRIVAL, _DIGEST]).assign(**{SUPERSEDES: known is not None})
+    row = chosen if len(chosen) == 1 else chosen.iloc[at : at + 1]
+    yield row if known is None else row.assign(**{SUPERSEDES: "true"})
 
 
 def first_copies(
@@ -90,23 +96,17 @@ def first_copies(
         *[_outward(field).alias(field.name) for field in fields],
         F.col(_ARRIVAL).cast("string"),
         F.col(_DIGEST).cast("string"),
-    )
-    crossing_types = T.StructType(
-        [
-            T.StructField(
-                f.name, f.dataType if isinstance(f.dataType, _CROSSES_AS_IT_IS) else T.StringType()
-            )
-            for f in fields
-        ]
+        F.lit("false").alias(SUPERSEDES),
     )
     chosen = crossing.groupBy(*keys).applyInPandasWithState(
         _first_of_key,
-        crossing_types.add(SUPERSEDES, T.BooleanType()),
+        crossing.schema,
         "arrival long, digest long",
         "append",
         GroupStateTimeout.NoTimeout,
     )
-    return chosen.select(*[_homeward(field) for field in fields], SUPERSEDES)
+    superseding = (F.col(SUPERSEDES) == "true").alias(SUPERSEDES)
+    return chosen.select(*[_homeward(field) for field in fields], superseding)
 
 
 def earliest(

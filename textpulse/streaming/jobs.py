@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from textpulse.config import DEFAULTS, PulseConfig
+from textpulse.operators.dedup import KEYS, first_seen
 from textpulse.operators.evaluation import windowed_evaluation
 from textpulse.operators.metrics import (
     EXACT,
@@ -270,6 +271,48 @@ def latest_top(
     return None if rows is None else top_engaging(rows, content_type, limit)
 
 
+def first_seen_table(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = KEYS,
+    arrival: str = "kafka_timestamp",
+    fanout: int = FANOUT,
+) -> PartTable:
+    """The table of first copies below a folder; the merge of parts drops later ones."""
+    return PartTable(spark, path, lambda rows: first_seen(rows, keys, arrival), fanout=fanout)
+
+
+def land_first_seen(
+    path: str,
+    keys: Sequence[str] = KEYS,
+    arrival: str = "kafka_timestamp",
+    fanout: int = FANOUT,
+) -> Sink:
+    """A sink that lands the first copy of every key, whatever the order of batches.
+
+    A batch lands its own first copies and looks up nothing. Copies that batches have in common
+    meet when their parts are merged, so a row is read once a level, which is as often as the
+    logarithm of the batches, and ``first_rows`` settles the few parts that are left.
+    """
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        table = first_seen_table(batch.sparkSession, path, keys, arrival, fanout)
+        table.sink(lambda rows: first_seen(rows, keys, arrival))(batch, batch_id)
+
+    return land
+
+
+def first_rows(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = KEYS,
+    arrival: str = "kafka_timestamp",
+) -> DataFrame | None:
+    """The first copy of every key landed so far; None before the first batch."""
+    rows = first_seen_table(spark, path, keys, arrival).read()
+    return None if rows is None else first_seen(rows, keys, arrival)
+
+
 def streaming_metrics(
     processed: DataFrame,
     event_time: str = "kafka_timestamp",
