@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -82,3 +83,21 @@ def test_hot_sources_and_missing_owners(spark):
 
 def test_empty_table(spark):
     assert scan_secrets(documents(spark, [])).count() == 0
+
+
+def test_a_text_of_very_many_matches(spark):
+    """A list of checksums: a hundred thousand spans in one text, some of them candidates too."""
+    rng = random.Random(8)
+    words = [f"{rng.getrandbits(128):032x}" for _ in range(100_000)]
+    words[500] = "Zz" + words[500]
+    text = "\n".join(words)
+    rows = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    found = scan_secrets(rows).collect()[0]
+    assert (found.n_hex, found.n_assign, found.n_access) == (100_000, 0, 0)
+    spans = found.spans.split(",")
+    at = [0]
+    for word in words:
+        at.append(at[-1] + len(word) + 1)
+    expected = [f"hex:{a + (n == 500) * 2}:{a + len(words[n])}" for n, a in enumerate(at[:-1])]
+    assert spans == expected
+    assert found.n_owned == 0 and found.n_live_values == 100_001

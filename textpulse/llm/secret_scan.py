@@ -11,12 +11,13 @@ return in an equi-join on the hash, whose hot partitions Spark may split.
 
 Cases: a null text counts as empty; such rows have no spans. Rows without an owner have one
 owner together; rows without a repository are told apart by their texts. Repeated rows each get their
-result and count once. An empty table gives an empty result. Other columns are not read.
+result and count once. Very long texts are scanned whole, and a text of very many matches costs
+little more than its matches. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpulse.llm.common import quoted, written
@@ -46,11 +47,15 @@ MAX_REPOSITORIES = 2
 _SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
-def found(text: Column, pattern: str) -> Column:
-    """Leftmost matches that do not overlap, with code point positions, end exclusive.
+# Matches whose positions are added up together; a text has a list of such runs.
+_RUN = 256
 
-    The pieces between matches and the matches themselves alternate, so their lengths add up
-    to positions. Texts without a match are spared the second and third pass.
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """The matches with the lengths of the texts before them.
+
+    Pieces between matches and the matches themselves alternate. Texts without a match are
+    spared the second and third pass.
     """
     gaps = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -59,18 +64,64 @@ def found(text: Column, pattern: str) -> Column:
         matches,
         lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPANS})").alias("spans"))
+    none = F.expr("cast(array() as array<struct<gap:int,value:string>>)")
+    return F.when(text.rlike(pattern), pairs).otherwise(none)
+
+
+def _total(pairs: Column) -> Column:
+    return F.aggregate(
+        pairs, F.lit(0), lambda at, pair: at + pair["gap"] + F.length(pair["value"])
+    )
+
+
+def _placed(pairs: Column, begin: Column) -> Column:
+    """Spans of a run of pairs; the list that grows with them stays as short as a run."""
+    start = F.struct(begin.alias("at"), F.expr(f"cast(array() as {_SPANS})").alias("spans"))
 
     def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
-        end = begin + F.length(pair["value"])
-        span = F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
+        first = state["at"] + pair["gap"]
+        end = first + F.length(pair["value"])
+        span = F.struct(first.alias("start"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(
             end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")
         )
 
-    spans = F.aggregate(pairs, start, step, lambda state: state["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.expr(f"cast(array() as {_SPANS})"))
+    return F.aggregate(pairs, start, step, lambda state: state["spans"])
+
+
+def found(rows: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """Rows with the spans of each pattern in a column of its own instead of the text.
+
+    Spans are leftmost matches that do not overlap, with code point positions, end exclusive.
+    Lengths add up to positions: first within runs of matches, then over the runs, so that a
+    text of very many matches costs little more than its matches. Each step is a column, as
+    the next one uses it more than once.
+    """
+    kept = [name for name in rows.columns if name != text]
+    rows = rows.select(
+        *kept, *[_pieces(F.col(text), pattern).alias(name) for name, pattern in patterns.items()]
+    )
+    runs = {}
+    for name in patterns:
+        count = F.ceil(F.size(name) / _RUN).cast("int")
+        numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+        numbers = F.coalesce(numbers, F.expr("cast(array() as array<int>)"))
+        runs[name] = _runs_of(name, numbers)
+    rows = rows.withColumns(runs)
+    rows = rows.withColumns({f"{name}_sizes": F.transform(name, _total) for name in patterns})
+    return rows.select(*kept, *[_all_placed(name).alias(name) for name in patterns])
+
+
+def _runs_of(name: str, numbers: Column) -> Column:
+    return F.transform(numbers, lambda n: F.slice(F.col(name), n * _RUN + 1, F.lit(_RUN)))
+
+
+def _all_placed(name: str) -> Column:
+    def placed(run: Column, n: Column) -> Column:
+        before = F.aggregate(F.slice(F.col(f"{name}_sizes"), F.lit(1), n), F.lit(0), lambda a, b: a + b)
+        return _placed(run, before)
+
+    return F.flatten(F.transform(F.col(name), placed))
 
 
 def _assigned(value: Column) -> Column:
@@ -108,11 +159,10 @@ def scan(docs: DataFrame, text: str, doc_id: str, owner: str, repository: str) -
         "_owner",
         "_repository",
         F.xxhash64("_text").alias("_key"),
-        found(F.col("_text"), ASSIGN).alias("_assign"),
-        found(F.col("_text"), ACCESS).alias("_access"),
-        found(F.col("_text"), HEX).alias("_hex"),
-        found(F.col("_text"), CANDIDATE).alias("_tokens"),
+        "_text",
     )
+    patterns = {"_assign": ASSIGN, "_access": ACCESS, "_hex": HEX, "_tokens": CANDIDATE}
+    rows = found(rows, "_text", patterns)
     long_enough = F.filter(
         F.col("_assign"), lambda s: F.length(_assigned(s["value"])) >= MIN_ASSIGNED
     )
@@ -144,7 +194,7 @@ def scan(docs: DataFrame, text: str, doc_id: str, owner: str, repository: str) -
         F.size("_access").cast("long").alias("n_access"),
         F.size("_hex").cast("long").alias("n_hex"),
         "_base",
-        F.array_distinct(candidates).alias("_candidates"),
+        candidates.alias("_candidates"),
     )
 
 
@@ -174,6 +224,35 @@ def judged_values(
     return ownership(scanned).withColumn("live", few)
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """(_id, _key, start, end, hash, _apart): candidates, and whether no base span meets them.
+
+    Spans of a row are put in order: a base span meets a candidate if it begins no later and
+    ends after the candidate's start, or if it is the next to begin and does so before its end.
+    """
+    base = F.transform(
+        "_base",
+        lambda s: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("hash")
+        ),
+    )
+    spans = rows.select("_id", "_key", F.explode(F.concat(base, F.col("_candidates"))).alias("_s"))
+    spans = spans.select("_id", "_key", "_s.*").distinct()
+    of_row = Window.partitionBy("_id", "_key")
+    is_base = F.col("hash").isNull()
+    before = of_row.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = of_row.orderBy(F.desc("start")).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    reached = F.max(F.when(is_base, F.col("end"))).over(before)
+    following = F.min(F.when(is_base, F.col("start"))).over(after)
+    spans = spans.withColumns({"_reached": reached, "_following": following})
+    apart = F.coalesce(F.col("_reached") <= F.col("start"), F.lit(True)) & F.coalesce(
+        F.col("_following") >= F.col("end"), F.lit(True)
+    )
+    return spans.filter(~is_base).select("_id", "_key", "start", "end", "hash", apart.alias("_apart"))
+
+
 def scan_secrets(
     docs: DataFrame,
     text: str = "text",
@@ -190,15 +269,9 @@ def scan_secrets(
 
     # Copies of a text under one id share their judgement.
     rows = scanned.filter(F.size("_candidates") > 0)
-    values = rows.select("_id", "_key", "_base", F.explode("_candidates").alias("_c"))
-    values = values.select("_id", "_key", "_base", "_c.*").distinct()
-    judged = values.join(live, "hash")
-    apart = ~F.exists(
-        F.col("_base"),
-        lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")),
-    )
+    judged = _apart(rows).join(live, "hash")
     own = F.when(
-        F.col("_live") & apart,
+        F.col("_live") & F.col("_apart"),
         F.struct(F.col("start"), F.lit(3).alias("kind"), F.col("end")),
     )
     judged = judged.groupBy("_id", "_key").agg(
