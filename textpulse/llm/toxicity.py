@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.llm.common import map_with_id, quoted, written
-from textpulse.llm.training import fold, labelled_ids, one_label_each
+from textpulse.llm.training import fold, labelled_rows, one_label_each
 
 FOLDS = 4
 HELD_OUT = 2
@@ -353,11 +353,10 @@ def train(
     At most ``most_labelled`` documents of each label outside the held-out fold take part.
     """
     decoder = Decoder(corpus_model(docs, text))
-    ids = labelled_ids(labels, label, most_labelled, folds=FOLDS, held_out=HELD_OUT)
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    # Bounded by the sample size.
-    rows = rows.join(F.broadcast(ids), "doc_id").select("label", "text").distinct()
-    rows = written(rows, "toxic-sample")
+    sample_folds = {"folds": FOLDS, "held_out": HELD_OUT}
+    rows = labelled_rows(rows, labels, label, most_labelled, **sample_folds)
+    rows = written(rows.select("label", "text").distinct(), "toxic-sample")
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -41,7 +41,14 @@ def labelled_ids(
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, label: str, most_per_class: int, **fold_options
 ) -> DataFrame:
-    """Documents (doc_id, text and others) of the bounded sample, with their label."""
+    """One row of each id of the bounded sample, with its label: the least by its columns.
+
+    Rows of an id are reduced on the map side, so an id with very many rows is no hot spot, and
+    there are no more rows than ids.
+    """
     ids = labelled_ids(labels, label, most_per_class, **fold_options)
     # Bounded by the sample size.
-    return docs.join(F.broadcast(ids), "doc_id")
+    rows = docs.join(F.broadcast(ids), "doc_id")
+    others = [quoted(name) for name in rows.columns if name not in ("doc_id", "label")]
+    least = rows.groupBy("doc_id", "label").agg(F.min(F.struct(*others)).alias("_least"))
+    return least.select("doc_id", "_least.*", "label")
