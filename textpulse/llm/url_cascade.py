@@ -306,40 +306,47 @@ def judge_urls(
         "block": rules.filter("verdict = 'block'").select("host", "path"),
         "listed": domains.select("host", F.lit("").alias("path")),
     }
-    judged = rows
+    # One cascade for all lists: a key begins with the name of its list.
+    keys, known = [], []
     for name, listed in lists.items():
-        keys = _keys(_shapes(listed))
-        universe = rows.select(F.explode(F.array_distinct(keys)).alias("key"))
-        cascades = cascade_slices(
-            listed.select(F.concat("host", "path").alias("key")), universe, most_bytes
-        )
-        judged = judged.withColumn(f"_{name}_keys", keys)
-        judged = flag_keys(judged, f"_{name}_keys", f"_{name}", cascades)
+        its_keys = F.array_distinct(_keys(_shapes(listed)))
+        keys.append(F.transform(its_keys, _in_list(name)))
+        known.append(listed.select(_in_list(name)(F.concat("host", "path")).alias("key")))
+    rows = rows.withColumn("_keys", F.concat(*keys))
+    universe = rows.select(F.explode("_keys").alias("key"))
+    listed = known[0].unionByName(known[1]).unionByName(known[2])
+    judged = flag_keys(rows, "_keys", "_hits", cascade_slices(listed, universe, most_bytes))
     return judged.select("page_id", "host", "path", *_verdict())
 
 
-def _verdict() -> list[Column]:
-    def fitting(name: str, blocks: bool) -> Column:
-        """The keys of a list that the url has, as (length, host's length, blocks, key)."""
-        pairs = F.arrays_zip(F.col(f"_{name}_keys").alias("key"), F.col(f"_{name}").alias("hit"))
-        return F.transform(
-            F.filter(pairs, lambda p: p["hit"]),
-            lambda p: F.struct(
-                F.length(p["key"]).alias("length"),
-                F.length(F.substring_index(p["key"], "/", 1)).alias("host_length"),
-                F.lit(blocks).alias("blocks"),
-                p["key"].alias("key"),
-            ),
-        )
+def _in_list(name: str) -> Callable[[Column], Column]:
+    return lambda key: F.concat(F.lit(f"{name} "), key)
+
 
-    best = F.array_max(F.concat(fitting("allow", False), fitting("block", True)))
-    blocked = F.coalesce(best["blocks"], F.exists("_listed", lambda hit: hit))
+def _verdict() -> list[Column]:
+    pairs = F.arrays_zip(F.col("_keys").alias("key"), F.col("_hits").alias("hit"))
+    hits = F.transform(F.filter(pairs, lambda p: p["hit"]), lambda p: _hit(p["key"]))
+    rules = F.filter(hits, lambda hit: hit["list"] != "listed")
+    best = F.array_max(rules)
+    blocked = F.coalesce(best["list"] == "block", F.size(hits) > 0)
     return [
-        best["key"].alias("rule"),
+        best["rule"].alias("rule"),
         F.when(blocked, "block").otherwise("allow").alias("verdict"),
     ]
 
 
+def _hit(key: Column) -> Column:
+    """A key that fits, ordered by length, host's length and list: block is after allow."""
+    name = F.substring_index(key, " ", 1)
+    rule = F.call_function("substring", key, F.length(name) + 2)
+    return F.struct(
+        F.length(rule).alias("length"),
+        F.length(F.substring_index(rule, "/", 1)).alias("host_length"),
+        name.alias("list"),
+        rule.alias("rule"),
+    )
+
+
 def judge_pages(pages: DataFrame) -> DataFrame:
     """``judge_urls`` by the rules and domains above."""
     spark = pages.sparkSession
