@@ -1,0 +1,54 @@
+"""Lexicons that are tables against lexicons in code."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.support import SMALL, compare
+from textpulse.functions.lexicon import DEFAULT_LEXICON, NEGATIVE_WORDS, POSITIVE_WORDS
+from textpulse.operators.scoring import lexicon_scorer, score_content
+from textpulse.operators.term_lexicon import term_hits, term_scorer
+from textpulse.sources import tables as tb
+
+
+@pytest.fixture(scope="module")
+def terms(spark):
+    rows = [(w, "positive") for w in POSITIVE_WORDS] + [(w, "negative") for w in NEGATIVE_WORDS]
+    rows += [("good", "positive"), (None, "positive"), ("", "negative")]
+    return spark.createDataFrame(rows, "word string, polarity string")
+
+
+@pytest.mark.parametrize("plan", ["join", "broadcast"])
+def test_a_table_scores_as_the_same_words_in_code(spark, terms, plan):
+    content = tb.posts(tb.read_table(spark, SMALL, "documents")).select(
+        "doc_id", F.col("title").alias("content")
+    )
+    by_code = score_content(content, scorer=lexicon_scorer())
+    by_table = score_content(content, scorer=term_scorer(terms, ["doc_id"], plan=plan))
+    assert by_table.columns == by_code.columns
+    fields = ["doc_id", "cleaned_text", "sentiment_result.*"]
+    assert compare(by_table.select(*fields).toPandas(), by_code.select(*fields).toPandas()) is None
+
+
+def test_odd_rows_and_words_on_both_lists(spark, terms):
+    both = terms.unionByName(spark.createDataFrame([("good", "negative")], terms.schema))
+    rows = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "good day to all"), (None, "great day to all"),
+         (4, "bad good bad good"), (5, "awful awful things here")],
+        "k long, text string",
+    )
+    got = {r.k: r.sentiment_result for r in term_scorer(both, ["k"])(rows, "text").collect()}
+    assert {k: r.sentiment for k, r in got.items()} == {
+        1: "neutral", 2: "neutral", 3: "neutral", None: "positive", 4: "negative", 5: "negative"
+    }
+    assert got[1].confidence == DEFAULT_LEXICON.short_confidence
+    assert got[4].confidence == pytest.approx(0.8) and got[5].confidence == pytest.approx(0.75)
+    hits = {r.k: (r._positive, r._negative) for r in term_hits(rows, both, ["k"], "text").collect()}
+    assert hits == {3: (1, 1), None: (1, 0), 4: (1, 2), 5: (0, 1)}
+
+
+def test_no_terms_and_unknown_plans(spark, terms):
+    rows = spark.createDataFrame([(1, "good day to all")], "k long, text string")
+    got = term_scorer(terms.limit(0), ["k"])(rows, "text").collect()
+    assert got[0].sentiment_result.sentiment == "neutral"
+    with pytest.raises(ValueError):
+        term_hits(rows, terms, ["k"], "text", plan="guess")

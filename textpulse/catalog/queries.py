@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpulse.functions.lexicon import DEFAULT_LEXICON, lexicon_hits, lexicon_sentiment
-from textpulse.functions.text import extract_content
+from textpulse.functions.text import clean_column, extract_content
 from textpulse.operators import evaluation as ev
 from textpulse.operators import metrics as mt
 from textpulse.operators import model as md
@@ -26,6 +26,7 @@ from textpulse.operators.scoring import (
     lexicon_scorer,
     score_content,
 )
+from textpulse.operators.term_lexicon import term_scorer
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.session import scratch_dir
 from textpulse.sinks import messages as out
@@ -34,6 +35,7 @@ from textpulse.sources import listings as ls
 from textpulse.sources import tables as tb
 from textpulse.sources.records import decode_dead_letters, decode_processed
 from textpulse.streaming import jobs
+from textpulse.streaming.live import join_labels, live_evaluation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +145,17 @@ def lexicon_sentiment_raw(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "result.*")
 
 
+def lexicon_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon of every word of ``benchmark``, joined; words of even length are positive."""
+    cleaned = clean_column(tb.read_table(spark, sf, "benchmark"), F.col("text"), "cleaned")
+    words = cleaned.select(F.explode(F.split("cleaned", " ")).alias("word"))
+    polarity = F.when(F.length("word") % 2 == 0, "positive").otherwise("negative")
+    terms = words.distinct().withColumn("polarity", polarity)
+    content = tb.posts(_documents(spark, sf)).select("doc_id", F.col("title").alias("content"))
+    scored = score_content(content, scorer=term_scorer(terms, ["doc_id"]))
+    return scored.select("doc_id", "sentiment_result.*")
+
+
 def processed_content(spark: SparkSession, sf: str) -> DataFrame:
     return _wall_clock(_readable(_processed(spark, sf)), "processing_timestamp")
 
@@ -228,23 +241,28 @@ def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _lexicon_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels against the lexicon's verdict on the document, with its time and confidence.
-
-    Documents are scored before the join, so that the join moves no texts.
-    """
-    content = tb.posts(_documents(spark, sf)).select(
+def _verdicts(documents: DataFrame) -> DataFrame:
+    """The lexicon's class of each document, with its time and confidence."""
+    content = tb.posts(documents).select(
         "doc_id", "created_utc", F.col("title").alias("content")
     )
     scored = lexicon_scorer()(clean_content(content), "cleaned_text")
     names = F.array(*[F.lit(name) for name in md.SENTIMENT_BY_CLASS])
     position = F.array_position(names, F.col("sentiment_result.sentiment"))
-    verdicts = scored.select(
+    return scored.select(
         "doc_id",
         (position - 1).cast("double").alias("prediction"),
         "sentiment_result.confidence",
         F.timestamp_seconds("created_utc").alias("kafka_timestamp"),
     )
+
+
+def _lexicon_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels against the lexicon's verdict on the document, with its time and confidence.
+
+    Documents are scored before the join, so that the join moves no texts.
+    """
+    verdicts = _verdicts(_documents(spark, sf))
     return tb.weighted_join(tb.labelled(tb.read_table(spark, sf, "labels")), verdicts, "doc_id")
 
 
@@ -417,6 +435,27 @@ def stream_top_engaging(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.latest_top(spark, f"{root}/parts", "post")
 
 
+def stream_windowed_eval(spark: SparkSession, sf: str) -> DataFrame:
+    """``windowed_eval`` of a stream of verdicts and a stream of labels that come ten minutes later."""
+    root = scratch_dir(spark, "stream-evaluation")
+    spread = tb.spread_of(spark)
+    verdicts = _verdicts(tb.stream_table(spark, sf, "documents", FILES_PER_TRIGGER, spread))
+    labels = tb.labelled(tb.stream_table(spark, sf, "labels", FILES_PER_TRIGGER))
+    labels = labels.withColumn(
+        "label_timestamp", F.timestamp_seconds(F.lit(1704067200 + 600) + F.col("doc_id") * 60)
+    )
+    evaluation = live_evaluation(f"{root}/windows")
+    query = evaluation.start(
+        join_labels(verdicts, labels),
+        f"{root}/checkpoint",
+        land_in_directory(f"{root}/late"),
+        trigger=jobs.ONCE,
+    )
+    query.awaitTermination()
+    rounded = _rounded(evaluation.windows(spark), "accuracy", "avg_confidence")
+    return _wall_clock(rounded, "window_start", "window_end")
+
+
 QUERIES: dict[str, Query] = {
     "parse_posts": parse_posts,
     "parse_comments": parse_comments,
@@ -427,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "clean_text": clean_text_rows,
     "lexicon_sentiment": lexicon_sentiment_rows,
     "lexicon_sentiment_raw": lexicon_sentiment_raw,
+    "lexicon_terms": lexicon_terms,
     "processed_content": processed_content,
     "result_preview": result_preview,
     "encode_processed": encode_processed,
@@ -457,4 +497,5 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_metrics": stream_metrics,
     "stream_top_engaging": stream_top_engaging,
+    "stream_windowed_eval": stream_windowed_eval,
 }

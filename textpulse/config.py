@@ -39,6 +39,8 @@ class PulseConfig:
     jdbc_password: str | None = field(default=None, repr=False)
     processed_table: str = "processed_content"
     dead_letter_table: str = "dead_letters"
+    # A folder that dead letters wait in to be sent at their own pace; None: sent at once.
+    dead_letter_staging: str | None = None
 
     def topic_for(self, content_type: str) -> str:
         return self.posts_topic if content_type == "post" else self.comments_topic

@@ -78,6 +78,18 @@ def verdict(
     """Sentiment, score and confidence from the hits; never null."""
     positive = F.size(F.array_intersect(hits, _word_array(lexicon.positive)))
     negative = F.size(F.array_intersect(hits, _word_array(lexicon.negative)))
+    return verdict_of_counts(text, positive, negative, lexicon, cleaned=cleaned)
+
+
+def verdict_of_counts(
+    text: Column,
+    positive: Column,
+    negative: Column,
+    lexicon: Lexicon = DEFAULT_LEXICON,
+    *,
+    cleaned: bool = False,
+) -> Column:
+    """``verdict`` from the numbers of distinct words on each side."""
 
     def outcome(name: str, score: float, confidence: Column) -> Column:
         return F.struct(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.operators.metrics import flatten_window, tumbling
+from textpulse.operators.metrics import flatten_window, quotient, tumbling, units
 from textpulse.schemas import CLASS_NAMES
 
 METRICS = ("accuracy", "precision", "recall", "f1")
@@ -252,3 +252,42 @@ def windowed_evaluation(
         confidence.alias("avg_confidence"),
     )
     return flatten_window(grouped)
+
+
+def evaluation_parts(
+    predictions: DataFrame, time: str = "kafka_timestamp", length: str = "5 minutes"
+) -> DataFrame:
+    """What some predictions add to ``windowed_evaluation``, to be added up later.
+
+    A column ``weight`` counts rows that are aggregated already.
+    """
+    weight = F.col("weight") if "weight" in predictions.columns else F.lit(1)
+    correct = (F.col("label") == F.col("prediction")).cast("int")
+    known = F.col("confidence").isNotNull().cast("int")
+    grouped = tumbling(predictions, time, length).agg(
+        F.sum(weight).cast("bigint").alias("total_predictions"),
+        F.sum(F.coalesce(correct, F.lit(0)) * weight).cast("bigint").alias("correct"),
+        F.sum(units(F.col("confidence")) * weight).cast("bigint").alias("confidence_sum"),
+        F.sum(known * weight).cast("bigint").alias("confidence_n"),
+    )
+    return flatten_window(grouped)
+
+
+def add_evaluation_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same windows as one."""
+    added = ("total_predictions", "correct", "confidence_sum", "confidence_n")
+    return parts.groupBy("window_start", "window_end").agg(
+        *[F.sum(name).alias(name) for name in added]
+    )
+
+
+def merged_evaluation(parts: DataFrame) -> DataFrame:
+    """``windowed_evaluation`` from parts; the confidence to six digits."""
+    return add_evaluation_parts(parts).select(
+        "window_start",
+        "window_end",
+        "total_predictions",
+        F.col("correct").cast("double").alias("correct_predictions"),
+        (F.col("correct") / F.col("total_predictions")).alias("accuracy"),
+        quotient(F.col("confidence_sum"), F.col("confidence_n")).alias("avg_confidence"),
+    )

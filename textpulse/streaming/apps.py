@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 from textpulse.config import PulseConfig
 from textpulse.operators.dedup import first_seen_stream
 from textpulse.operators.first_copies import SUPERSEDES, first_copies
+from textpulse.operators.model_store import ModelStore
 from textpulse.operators.scoring import Scorer
 from textpulse.schemas import DEAD_LETTER, PROCESSED
-from textpulse.sinks.messages import dead_letter_preview, encode_raw, result_preview
-from textpulse.sinks.tables import land_in_database, target_from_config
+from textpulse.sinks.messages import (
+    dead_letter_preview,
+    encode_dead_letters,
+    encode_raw,
+    result_preview,
+)
+from textpulse.sinks.tables import land_in_database, land_in_directory, target_from_config
 from textpulse.sources import bus
 from textpulse.sources.listings import listing_content
 from textpulse.sources.records import decode_dead_letters, decode_processed
 from textpulse.streaming import jobs
+from textpulse.streaming.live import join_labels, live_evaluation
 
 
 def ingest(
@@ -52,8 +59,17 @@ def score(
     config: PulseConfig,
     scorer: Scorer | None = None,
     min_partitions: int | None = None,
+    models: ModelStore | None = None,
 ) -> jobs.StreamingQuery:
-    """Messages of both topics to processed records, dead letters and console previews."""
+    """Messages of both topics to processed records, dead letters and console previews.
+
+    Every sink gets each batch by itself. With ``dead_letter_staging`` set, dead letters wait there
+    for ``report_dead_letters``; otherwise they go out with the batch.
+    """
+    if config.dead_letter_staging:
+        dead_sink = land_in_directory(config.dead_letter_staging)
+    else:
+        dead_sink = jobs.publish_dead_letters(config)
     envelopes = bus.posts_stream(spark, config).unionByName(bus.comments_stream(spark, config))
     return jobs.start_scoring(
         envelopes,
@@ -62,7 +78,7 @@ def score(
             jobs.publish_processed(config),
             jobs.at_most_every(config.preview_every, jobs.show(result_preview)),
         ],
-        dead=[jobs.publish_dead_letters(config)],
+        dead=[dead_sink],
         failed=[
             jobs.at_most_every(config.dead_letter_log_every, jobs.show(dead_letter_preview))
         ],
@@ -70,6 +86,43 @@ def score(
         scorer=scorer,
         min_partitions=min_partitions,
         name="score",
+        ledger=f"{config.checkpoint_root}/score-ledger",
+        models=models,
+    )
+
+
+def report_dead_letters(spark: SparkSession, config: PulseConfig) -> jobs.StreamingQuery:
+    """Dead letters that wait in their folder to their topic, at their own pace."""
+    if not config.dead_letter_staging:
+        raise ValueError("set dead_letter_staging to the folder that score lands in")
+    folders = f"{config.dead_letter_staging}/query_id=*/batch_id=*"
+    return jobs.start_publishing(
+        encode_dead_letters(spark.readStream.schema(DEAD_LETTER).parquet(folders)),
+        jobs.checkpoint_for(config, "report_dead_letters"),
+        config,
+        config.dead_letter_topic,
+        jobs.every(config.dead_letter_every),
+        name="report_dead_letters",
+    )
+
+
+def evaluate(
+    predictions: DataFrame,
+    labels: DataFrame,
+    config: PulseConfig,
+    path: str,
+    late: jobs.Sink,
+    changed: jobs.Sink | None = None,
+) -> jobs.StreamingQuery:
+    """Accuracy by window of predictions whose labels come later; both are streams."""
+    live = live_evaluation(path, late_by=config.late_by)
+    return live.start(
+        join_labels(predictions, labels, late_by=config.late_by),
+        jobs.checkpoint_for(config, "evaluate"),
+        late,
+        changed,
+        jobs.every(config.metrics_every),
+        name="evaluate",
     )
 
 

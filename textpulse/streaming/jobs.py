@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,11 +28,14 @@ from textpulse.operators.metrics import (
     top_engaging,
     top_parts,
 )
+from textpulse.operators.model_store import ModelStore
 from textpulse.operators.routing import dead_letters
 from textpulse.operators.scoring import Scorer
 from textpulse.plans.content import failures, processed_rows, route
 from textpulse.sinks.messages import encode_dead_letters, encode_processed, publish
 from textpulse.sinks.parts import FANOUT, GRACE, PartTable
+from textpulse.sinks.tables import streaming_query_id
+from textpulse.streaming.ledger import SinkLedger
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -68,11 +72,18 @@ def start_scoring(
     min_partitions: int | None = None,
     trigger: Mapping | None = None,
     name: str | None = None,
+    ledger: str | None = None,
+    models: ModelStore | None = None,
 ) -> StreamingQuery:
     """Score a stream of messages into sinks for processed rows and for dead letters.
 
     ``failed`` sinks get tagged failures before they become records, as previews need them.
-    A batch that is replayed after a failure reaches every sink again under its old id.
+    With a ``ledger``, a shared folder, every sink gets a batch by itself: one that fails does not
+    hold up the others, and a replayed batch goes to the sinks that have not had it. Without one
+    it reaches every sink again under its old id. Sinks are known by their place in the lists.
+
+    With ``models``, each batch is scored by the model that is published when it begins, and its
+    rows carry that version; ``scorer`` serves as long as none is published.
     A source with fewer partitions than ``min_partitions`` (few topic partitions or files)
     is spread before the costly steps.
     """
@@ -81,19 +92,33 @@ def start_scoring(
         if min_partitions and batch.rdd.getNumPartitions() < min_partitions:
             batch = batch.repartition(min_partitions)
         # Raw text is needed for failures only, so only those rows keep it.
-        routed = route(batch, config, scorer).withColumn(
+        used, its_scorer = config, scorer
+        version = models.current() if models is not None else None
+        if version is not None:
+            its_scorer = models.scorer(version)
+            used = config.with_options(model_version=version)
+        routed = route(batch, used, its_scorer).withColumn(
             "json_string", F.when(F.col("parsed").isNull(), F.col("json_string"))
         )
         routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            results = processed_rows(routed, config, now)
-            problems = failures(routed, config)
-            for sink in processed:
-                sink(results, batch_id)
-            for sink in failed:
-                sink(problems, batch_id)
-            for sink in dead:
-                sink(dead_letters(problems, now), batch_id)
+            problems = failures(routed, used)
+            outcomes = (
+                ("processed", processed, processed_rows(routed, used, now)),
+                ("failed", failed, problems),
+                ("dead", dead, dead_letters(problems, now)),
+            )
+            deliveries = {
+                f"{kind}-{n}": partial(sink, rows, batch_id)
+                for kind, sinks, rows in outcomes
+                for n, sink in enumerate(sinks)
+            }
+            if ledger is None:
+                for deliver in deliveries.values():
+                    deliver()
+            else:
+                book = SinkLedger(batch.sparkSession, ledger, streaming_query_id(batch))
+                book.deliver(batch_id, deliveries)
         finally:
             routed.unpersist()
 
@@ -321,7 +346,8 @@ def streaming_metrics(
 ) -> DataFrame:
     """A live view with bounded state: authors approximately, late rows left out.
 
-    Rows later than ``late_by`` are counted by ``start_metrics`` alone.
+    Rows later than ``late_by`` are counted by ``start_metrics``, and go to a sink of their own in
+    ``live.live_metrics``.
     """
     return processing_metrics(
         processed.withWatermark(event_time, late_by), event_time, length, approximate=True
@@ -338,7 +364,10 @@ def start_evaluation(
     name: str | None = None,
     config: PulseConfig = DEFAULTS,
 ) -> StreamingQuery:
-    """Accuracy of a stream of predictions, window by window; changed windows each batch."""
+    """Accuracy of a stream of predictions, window by window; changed windows each batch.
+
+    Rows later than ``late_by`` are left out; ``live.live_evaluation`` hands them to a sink.
+    """
     evaluated = windowed_evaluation(predictions, length=length, late_by=late_by)
     writer = evaluated.writeStream.outputMode("update").foreachBatch(sink)
     writer = writer.option("checkpointLocation", checkpoint)
