@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -102,3 +104,51 @@ def test_table(spark):
     assert all(r.n_chars == len(r.text) for r in found)
     empty = table.limit(0)
     assert pages.extract(empty, pages.train(empty)).count() == 0
+
+
+@pytest.mark.parametrize("inside, text", [
+    ('<p><a title="a > b" href=x>Quoted words</a></p>', " Quoted words"),
+    ("<p data-id='header' data-class=ad>Kept words</p>", " Kept words"),
+    ('<p title="class=ad id=menu">Kept too</p>', " Kept too"),
+    ("<p it's fine>Odd quote</p><p>it's fine</p>", " Odd quote it's fine"),
+    ('<p class="entry-header">Its heading</p>', " Its heading"),
+])
+def test_attributes_are_read_as_such(scores, inside, text):
+    assert pages.main_text(PAGE.replace("</article>", inside + "</article>"), scores) == TEXT + text
+
+
+@pytest.mark.parametrize("name", [
+    'class="comment-list"', 'id="comments-area"', 'class="left-sidebar"', 'id="cookie-bar"',
+    "class=siteFooter", "id='page_header'", 'class="box ad-slot"', "class=relatedPosts",
+])
+@pytest.mark.parametrize("marked", [True, False])
+def test_parts_named_by_longer_names_stay_out(scores, name, marked):
+    noise = f"<div {name}><p>Words of no content at all.</p></div>"
+    for place in ("</article>", "</article>" + noise):
+        page = PAGE.replace("</article>", noise + place if place == "</article>" else place)
+        if not marked:
+            page = page.replace("article", "section")
+        assert pages.main_text(page, scores) == TEXT
+
+
+def test_a_wrapper_of_everything_is_no_noise(scores):
+    page = PAGE.replace("article", "section").replace("<section>", '<div id="nav-wrap"><section>')
+    assert pages.main_text(page, scores) == TEXT
+    long = "<p>" + "What readers say about it. " * 100
+    page = PAGE.replace("</article>", f'</article><div class="comment-list">{long}</div>')
+    assert pages.main_text(page, scores) == TEXT
+    assert pages.main_text(page.replace("article", "section"), scores) == TEXT
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "</b>" * 100_000,
+    "<b>" * 100_000 + "<p>x" * 50_000,
+    "<div class=ad><article>" * 50_000,
+    "<p title='" * 100_000,
+    '<p title="a' * 100_000,
+    "<" * 200_000,
+])
+def test_time_grows_with_the_page(scores, page):
+    begin = time.perf_counter()
+    pages.main_text(page, scores)
+    assert time.perf_counter() - begin < 10

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from textpulse.llm.common import map_with_id, quoted
 
 MOST_LABELLED = 2_000
+MOST_WRAPPERS = 8
 LEAST_COST = -0.1
 
 # What HTML says about its elements.
@@ -55,11 +56,29 @@ NEVER_NAMED = frozenset(
 CONTENT_ROOTS = ("article", "main")
 NEVER_BY_NAME = frozenset(("html", "body", *CONTENT_ROOTS))  # their names say nothing
 
+# States of a page or an element, and what only says that another part is there or not.
+STATES = frozenset("with has no without is show hide open closed enabled disabled on off".split())
+# Parts of longer names that tell no content: as the first part, as the last, or as both.
+NEVER_FIRST = frozenset(
+    "comment comments disqus cookie cookies consent gdpr sidebar ad ads advert advertisement "
+    "sponsor sponsored promo newsletter related share sharing social nav menu breadcrumb "
+    "breadcrumbs pagination popup modal subscribe".split()
+)
+NEVER_LAST = frozenset("sidebar comments ads advert advertisement menu nav navbar navigation".split())
+# What readers write is never the page's content, however long it is.
+READERS = frozenset("comment comments disqus replies reply".split())
+SITE_PARTS = (frozenset("site page global top bottom main".split()), frozenset("header footer".split()))
+
+# In a tag only a quote after an equals sign opens a value, in which the tag does not end.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)(?:>|$)|[^<]+|<",
+    r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)"
+    r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*)(?:>|$)|[^<]+|<""",
     re.DOTALL,
 )
-_NAMES = re.compile(r"""(?:class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(
+    r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.DOTALL
+)
+_NAME_PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.IGNORECASE) for name in RAW}
 
 
@@ -75,12 +94,175 @@ class Token:
     rooted: bool = False  # inside the element marked as the content
 
 
-def _named(attributes: str) -> set[str]:
-    """Whole classes and ids: ``with-sidebar`` is no sidebar."""
-    found: set[str] = set()
-    for groups in _NAMES.findall(attributes):
-        found.update("".join(groups).lower().split())
-    return found
+def _no_content(name: str) -> bool:
+    """Whether a class or id names a part of a page that is no content.
+
+    ``comment-list`` and ``leftSidebar`` do, ``with-sidebar`` and ``comments-open`` do not.
+    """
+    if name.lower() in NEVER_NAMED:
+        return True
+    parts = [part.lower() for part in _NAME_PARTS.findall(name)]
+    if len(parts) < 2 or not STATES.isdisjoint(parts):
+        return False
+    if parts[0] in SITE_PARTS[0] and parts[-1] in SITE_PARTS[1]:
+        return True
+    return parts[0] in NEVER_FIRST or parts[-1] in NEVER_LAST
+
+
+def _dropping_names(attributes: str) -> list[str]:
+    """The classes and the id of a tag that drop its element."""
+    lower = attributes.lower()
+    if "class" not in lower and "id" not in lower:
+        return []
+    return [
+        name
+        for attribute, *values in _ATTRIBUTE.findall(attributes)
+        if attribute.lower() in ("class", "id")
+        for name in "".join(values).split()
+        if _no_content(name)
+    ]
+
+
+def _of_readers(name: str) -> bool:
+    return not READERS.isdisjoint(part.lower() for part in _NAME_PARTS.findall(name))
+
+
+@dataclass
+class _Named:
+    """An element that its name drops: where it begins, what it holds, its words."""
+
+    begin: int
+    wrapper: bool  # outermost, and by its name it may be around the content
+    article: bool = False
+    main: bool = False
+    words: int = 0
+
+
+@dataclass
+class _Open:
+    """An open element: never content, never whatever names say, in the marked content."""
+
+    name: str
+    never: bool = False
+    hard: bool = False
+    rooted: bool = False
+    named: _Named | None = None
+
+
+class _Reader:
+    """One pass over a page. Every look-up among open elements is a step, or closes elements."""
+
+    def __init__(self, page: str, holders: frozenset[int]) -> None:
+        self.result: list[Token] = []
+        self.named: list[_Named] = []  # all that were met
+        self.roots = 0
+        self.bare_roots = 0  # marked content that no dropped element is around
+        self.left = 0  # words that are not dropped
+        self._stack = [_Open("")]
+        self._count: dict[str, int] = {}
+        self._blocks: list[int] = []  # places of open blocks
+        self._dropping: list[_Named] = []  # open ones of ``named``
+        self._read(page, holders)
+        self._close(1)
+
+    def _close(self, depth: int) -> None:
+        """Close the open elements from a place on."""
+        while len(self._stack) > depth:
+            element = self._stack.pop()
+            self._count[element.name] -= 1
+            if self._blocks and self._blocks[-1] == len(self._stack):
+                self._blocks.pop()
+            if element.named is not None:
+                self._dropping.pop()
+                if self._dropping:
+                    # What an element holds, the one around it holds.
+                    around = self._dropping[-1]
+                    around.article |= element.named.article
+                    around.main |= element.named.main
+                    around.words += element.named.words
+
+    def _text(self, whole: str) -> None:
+        inner = self._stack[-1]
+        text = entities.unescape(whole)
+        parent = self._stack[self._blocks[-1]].name if self._blocks else ""
+        kind = "word in " + ("nothing" if inner.never else parent)
+        words = len(text.split())
+        self.result.append(Token(kind, words, text, False, inner.never, inner.rooted))
+        if not inner.never:
+            self.left += words
+        elif not inner.hard and self._dropping:
+            self._dropping[-1].words += words
+
+    def _end(self, name: str, block: bool) -> None:
+        before = self._stack[-1]
+        if self._count.get(name):
+            depth = len(self._stack) - 1
+            while self._stack[depth].name != name:
+                depth -= 1
+            self._close(depth)
+        tag = Token("/" + name, block=block, dropped=before.never, rooted=before.rooted)
+        self.result.append(tag)
+
+    def _open(
+        self, name: str, block: bool, attributes: str, begin: int, drops: list[str]
+    ) -> None:
+        inner = self._stack[-1]
+        opening = Token(name, block=block, dropped=inner.never, rooted=inner.rooted)
+        self.result.append(opening)
+        if name in VOID or attributes.endswith("/"):
+            return
+        # A block ends an open paragraph; an item or cell ends the one before it.
+        if block and self._blocks:
+            parent = self._stack[self._blocks[-1]].name
+            if parent == "p" or (parent == name and name in SELF_CLOSING):
+                self._close(self._blocks[-1])
+                inner = self._stack[-1]
+        if name in CONTENT_ROOTS:
+            self.roots += 1
+            if self._dropping:
+                self._dropping[-1].main |= name == "main"
+                self._dropping[-1].article |= name == "article"
+            else:
+                self.bare_roots += 1
+        hard = inner.hard or name in NEVER
+        element = _Open(
+            name,
+            inner.never or hard or bool(drops),
+            hard,
+            inner.rooted or name in CONTENT_ROOTS,
+        )
+        if drops:
+            outermost = not self._dropping and not hard
+            element.named = _Named(begin, outermost and not any(map(_of_readers, drops)))
+            self.named.append(element.named)
+            self._dropping.append(element.named)
+        opening.dropped = element.never
+        if block:
+            self._blocks.append(len(self._stack))
+        self._count[name] = self._count.get(name, 0) + 1
+        self._stack.append(element)
+
+    def _read(self, page: str, holders: frozenset[int]) -> None:
+        at = 0
+        while at < len(page):
+            match = _TOKEN.match(page, at)
+            begin, at = at, match.end()
+            whole, name = match.group(), (match.group(2) or "").lower()
+            if not name:
+                if not whole.startswith(("<!", "<?")):
+                    self._text(whole)
+                continue
+            block = name not in INLINE
+            if match.group(1):
+                self._end(name, block)
+                continue
+            named = name not in NEVER_BY_NAME and begin not in holders
+            drops = _dropping_names(match.group(3)) if named else []
+            opened = len(self._stack)
+            self._open(name, block, match.group(3), begin, drops)
+            if name in _RAW_END and len(self._stack) >= opened and self._stack[-1].name == name:
+                end = _RAW_END[name].search(page, at)
+                at = end.start() if end else len(page)
 
 
 def tokens(page: str) -> list[Token]:
@@ -88,77 +270,22 @@ def tokens(page: str) -> list[Token]:
 
     An element with a name of no content is content all the same if the page's content is in
     it. Comments may be articles too, so such an element around an article counts only on
-    pages without one outside; it always counts around a main element.
+    pages without one outside; it always counts around a main element. On a page that marks
+    no content, it is a wrapper that has ten times the words of all that is not dropped; there
+    may be some wrappers around each other.
     """
-    result, roots = _read(page, frozenset())
-    articles = [around for name, around in roots if name == "article"]
-    needed = [around for name, around in roots if name == "main"]
-    if all(around for _, around in roots):
-        needed += articles
-    holders = frozenset().union(*needed)
-    return _read(page, holders)[0] if holders else result
-
-
-def _read(
-    page: str, holders: frozenset[int]
-) -> tuple[list[Token], list[tuple[str, frozenset[int]]]]:
-    """Tokens; and each marked content, with where the elements begin that drop it by name."""
-    result: list[Token] = []
-    roots: list[tuple[str, frozenset[int]]] = []
-    open_elements: list[tuple[str, bool, bool]] = []  # name, never content, marked as content
-    around: list[int | None] = []  # where each open element begins that drops by its name
-    at = 0
-    while at < len(page):
-        match = _TOKEN.match(page, at)
-        begin, at = at, match.end()
-        whole, name = match.group(), (match.group(2) or "").lower()
-        dropped = bool(open_elements) and open_elements[-1][1]
-        rooted = bool(open_elements) and open_elements[-1][2]
-        if not name:
-            if whole.startswith(("<!", "<?")):
-                continue
-            text = entities.unescape(whole)
-            parent = next((n for n, *_ in reversed(open_elements) if n not in INLINE), "")
-            kind = "word in " + ("nothing" if dropped else parent)
-            result.append(Token(kind, len(text.split()), text, False, dropped, rooted))
-            continue
-        block = name not in INLINE
-        if match.group(1):
-            depth = next(
-                (n for n in range(len(open_elements) - 1, -1, -1) if open_elements[n][0] == name),
-                None,
-            )
-            if depth is not None:
-                del open_elements[depth:], around[depth:]
-            result.append(Token("/" + name, block=block, dropped=dropped, rooted=rooted))
-            continue
-        opening = Token(name, block=block, dropped=dropped, rooted=rooted)
-        result.append(opening)
-        if name in VOID or match.group(3).endswith("/"):
-            continue
-        # A block ends an open paragraph; an item or cell ends the one before it.
-        nearest = next(
-            (n for n in range(len(open_elements) - 1, -1, -1) if open_elements[n][0] not in INLINE),
-            None,
-        )
-        if nearest is not None and block:
-            parent = open_elements[nearest][0]
-            if parent == "p" or (parent == name and name in SELF_CLOSING):
-                del open_elements[nearest:], around[nearest:]
-                dropped = bool(open_elements) and open_elements[-1][1]
-                rooted = bool(open_elements) and open_elements[-1][2]
-        if name in CONTENT_ROOTS:
-            roots.append((name, frozenset(n for n in around if n is not None)))
-        by_name = name not in NEVER_BY_NAME and not _named(match.group(3)).isdisjoint(NEVER_NAMED)
-        by_name = by_name and begin not in holders
-        never = dropped or name in NEVER or by_name
-        around.append(begin if by_name else None)
-        opening.dropped = never
-        open_elements.append((name, never, rooted or name in CONTENT_ROOTS))
-        if name in _RAW_END:
-            end = _RAW_END[name].search(page, at)
-            at = end.start() if end else len(page)
-    return result, roots
+    read = _Reader(page, frozenset())
+    if read.roots:
+        holders = {e.begin for e in read.named if e.main or (e.article and not read.bare_roots)}
+        return _Reader(page, frozenset(holders)).result if holders else read.result
+    holders = set()
+    for _ in range(MOST_WRAPPERS):
+        wrappers = [e for e in read.named if e.wrapper and e.words > 10 * read.left]
+        if not wrappers:
+            break
+        holders.add(max(wrappers, key=lambda e: e.words).begin)
+        read = _Reader(page, frozenset(holders))
+    return read.result
 
 
 @dataclass(frozen=True)
