@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.sinks.tables import land_in_directory, streaming_query_id
@@ -18,30 +18,32 @@ def first_seen(
 ) -> DataFrame:
     """The earliest row per key, whole; rows without a time come last.
 
-    A narrow aggregate finds the time, so that no text is kept in an aggregate for it. Copies
-    of a hot id are reduced to one time per input partition before they move, and Spark may
-    split the joins. Only rows that share a key's earliest time are compared by their other
-    columns, which makes the choice among simultaneous copies definite.
+    A narrow aggregate finds each key's first place, by time and then by a digest of the other
+    columns, which makes the choice among simultaneous copies definite; no text is kept in it,
+    and copies of a hot id are reduced to one place per input partition before they move. Rows
+    then meet the first places by key and place together, so that copies of a hot id spread
+    over the tasks, and only rows that are equal in all columns are left to be made one.
     """
     names = df.columns
     others = [name for name in names if name not in (*keys, arrival)]
+    digest = F.xxhash64(*others) if others else F.lit(0).cast("bigint")
+    placed = df.withColumn("_digest", digest)
+    place = F.struct(F.col(arrival).isNull().alias("late"), F.col(arrival).alias("time"), "_digest")
     renamed = {key: f"_key_{key}" for key in keys}
-
-    def per_key(rows: DataFrame, *aggregates: Column) -> DataFrame:
-        return rows.groupBy(*[F.col(key).alias(name) for key, name in renamed.items()]).agg(
-            *aggregates
-        )
-
-    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in renamed.items()]
-    least = per_key(df, F.min(arrival).alias("_least"))
-    earliest = df.join(least, same).filter(F.col(arrival).eqNullSafe(F.col("_least")))
-    earliest = earliest.select(*names)
-    counted = per_key(earliest, F.count(F.lit(1)).alias("_copies"))
-    earliest = earliest.join(counted, same)
-    alone = earliest.filter("_copies = 1").select(*names)
-    chosen = F.min(F.struct(arrival, *others)).alias("_first")
-    tied = earliest.filter("_copies > 1").groupBy(*keys).agg(chosen)
-    return alone.unionByName(tied.select(*keys, "_first.*").select(*names))
+    first = placed.groupBy(*[F.col(key).alias(name) for key, name in renamed.items()])
+    first = first.agg(F.min(place).alias("_first")).select(
+        *renamed.values(),
+        F.col("_first.time").alias("_time"),
+        F.col("_first._digest").alias("_first_digest"),
+    )
+    first = first.withColumn("_first_place", F.xxhash64(*renamed.values(), "_time", "_first_digest"))
+    placed = placed.withColumn("_place", F.xxhash64(*keys, arrival, "_digest"))
+    # The hash deals the rows out; the columns themselves decide.
+    same = [F.col("_place") == F.col("_first_place"), F.col("_digest") == F.col("_first_digest")]
+    same += [F.col(key).eqNullSafe(F.col(name)) for key, name in renamed.items()]
+    same.append(F.col(arrival).eqNullSafe(F.col("_time")))
+    chosen = placed.join(first, same).select(*names, "_place")
+    return chosen.dropDuplicates(["_place", *keys]).select(*names)
 
 
 def first_seen_stream(

@@ -84,11 +84,13 @@ def train(rows: DataFrame) -> PipelineModel:
 
 
 def train_on_sample(rows: DataFrame, order: str, most_rows: int = MOST_FITTED) -> PipelineModel:
-    """Fit on the first ``most_rows`` rows of ``label`` and ``text`` in an order.
+    """Fit on at most ``most_rows`` rows of ``label`` and ``text``: those whose ``order`` hashes lowest.
 
-    A bounded sample: the fit makes many passes, so its rows are brought together and kept.
+    A bounded sample, and a random one, as ids often follow time or source. The fit makes many
+    passes, so its rows are brought together and kept.
     """
-    sample = rows.orderBy(order).limit(most_rows).select("label", "text").coalesce(1)
+    lowest = rows.orderBy(F.xxhash64(order), order).limit(most_rows)
+    sample = lowest.select("label", "text").coalesce(1)
     sample.persist()
     try:
         return train(sample)
