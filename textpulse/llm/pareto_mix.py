@@ -137,7 +137,7 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
         sources.select(F.col("source").alias("_s"), "_weighted", "_mean_weight"),
         F.col("source").eqNullSafe(F.col("_s")),
     ).drop("_s")
-    targets = targets.withColumnRenamed("source", "_s")
+    targets = written(targets.withColumnRenamed("source", "_s"), "mix-targets")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     expected = F.when(
         F.col("_weighted") > 0, F.col("target") * F.col("weight") / F.col("_weighted")
@@ -164,7 +164,8 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
     bins = max(16, int(bins or 0))
     drawn = rows.filter(F.col("_rank").isNotNull())
     others = rows.filter(F.col("_rank").isNull())
-    rows = drawn.unionByName(others)
+    # Each round uses the rows several times; from here on they are read and not made again.
+    rows = written(drawn.unionByName(others), "mix")
     for _ in range(rounds):
         rows = _with_left(rows)
         able = F.col("_rank").isNotNull()
