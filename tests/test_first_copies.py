@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.support import compare
+from textpulse.operators.dedup import keep_first_seen
 from textpulse.operators.first_copies import SUPERSEDES, earliest, first_copies
 from textpulse.sinks.tables import BATCH_COLUMNS, land_in_directory
 from textpulse.streaming import jobs
@@ -200,3 +201,12 @@ def test_nested_rows_are_refused(spark, tmp_path):
 def test_no_landed_rows(spark):
     empty = rows_of(spark, []).withColumn(SUPERSEDES, F.lit(False))
     assert earliest(empty).count() == 0
+
+
+def test_null_keys_are_known_in_the_small_table_sink(spark, tmp_path):
+    keep = keep_first_seen(f"{tmp_path}/t")
+    for batch in range(2):
+        rows = [("post", None, 1.0 + batch, "a", 1), (None, "k", 1.0 + batch, "a", 1)]
+        keep(rows_of(spark, [*rows, ("post", f"k{batch}", 1.0, "a", 1)]), batch)
+    landed = spark.read.parquet(f"{tmp_path}/t").groupBy("content_type", "id").count().collect()
+    assert sorted((r.id or "", r["count"]) for r in landed) == [("", 1), ("k", 1), ("k0", 1), ("k1", 1)]

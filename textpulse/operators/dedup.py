@@ -72,7 +72,8 @@ def keep_first_seen(
 
     The landed table is the memory: a batch lands its earliest row of each key that no other
     batch has landed. A replayed batch does not see its own rows, so it lands the same again.
-    Nothing is ever too late.
+    Nothing is ever too late. Every batch reads the keys of the whole landed table, so this is for
+    small tables that other programs read as they lie; ``jobs.land_first_seen`` reads none.
     """
     land = land_in_directory(path)
 
@@ -86,8 +87,9 @@ def keep_first_seen(
             landed = None
         if landed is not None:
             own = (F.col("query_id") == streaming_query_id(batch)) & (F.col("batch_id") == batch_id)
-            known = landed.filter(~own).select(*keys)
-            fresh = fresh.join(known, list(keys), "left_anti").select(*batch.columns)
+            known = landed.filter(~own).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+            fresh = fresh.join(known, same, "left_anti").select(*batch.columns)
         land(fresh, batch_id)
 
     return keep
