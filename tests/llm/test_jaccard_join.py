@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -196,6 +197,55 @@ def test_derived_overlaps_equal_direct_ones():
             assert overlaps.with_partner(int(n), partners[n]) == expected
 
 
+def test_sets_of_a_group_are_derived_from_each_other():
+    random.seed(5)
+    base = np.sort(np.array(random.sample(range(10**6), 200), np.uint64))
+    near = [np.sort(np.append(np.delete(base, n), np.uint64(10**7 + n))) for n in range(20)]
+    partners = {n: np.sort(np.append(base[n:], np.uint64(10**8 + n))) for n in range(10)}
+    overlaps = jj.Overlaps()
+    for tokens in near:
+        overlaps.advance(tokens)
+        for name, partner in partners.items():
+            assert overlaps.with_partner(name, partner) == len(set(tokens) & set(partner))
+    assert overlaps.derived == (len(near) - 1) * len(partners)
+
+
+@given(
+    st.lists(st.integers(0, 8), min_size=1, max_size=9),
+    st.lists(st.tuples(st.integers(0, 8), st.integers(0, 8)), max_size=30),
+)
+def test_forest_ties_what_all_pairs_tie(groups, pairs):
+    pairs = [(a, b) for a, b in pairs if max(a, b) < len(groups)]
+    a, b = (np.array([p[n] for p in pairs], np.int64) for n in (0, 1))
+    forest = jj.Forest(np.array(groups))
+    ties = forest.tie(a, b)
+    labels = forest.labels()
+    root = {g: g for g in groups}
+    joined = 0
+    for one, other in pairs:
+        one, other = root[groups[one]], root[groups[other]]
+        joined += one != other
+        root = {g: one if r == other else r for g, r in root.items()}
+    assert ties.sum() == joined < len(set(groups))
+    for x, gx in zip(labels.tolist(), groups, strict=True):
+        for y, gy in zip(labels.tolist(), groups, strict=True):
+            assert (x == y) == (root[gx] == root[gy])
+
+
+def test_forests_are_no_longer_than_their_entries():
+    # A dense group of near copies: all pairs are candidates, a forest of them is offered.
+    names = np.arange(600)
+    tokens = np.sort(np.random.default_rng(1).integers(0, 2**62, 80).astype(np.uint64))
+    group = pd.DataFrame(
+        {"token": 7, "class": names, "size": 80, "place": 0, "component": names,
+         "side": jj.WITHIN, "bits": [jj.bitmap(tokens)] * 600}
+    )
+    found = jj._group_pairs(False)(group)
+    assert len(found) == 599
+    one_of = group.assign(ht=None, hp=None)
+    assert len(jj._group_pairs(True)(one_of)) == 600 * 599 // 2
+
+
 def test_bitmaps_never_hide_similar_sets():
     random = np.random.default_rng(6)
     sets = []

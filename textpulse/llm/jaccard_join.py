@@ -6,14 +6,20 @@ that prefix is indexed. The order puts tokens that many documents have last; it
 counts over all documents, kept in a table of fixed size (an order by rough counts is as
 exact as any other).
 
-Index lists are skipped by their blocks: a list is sorted by set size, blocks outside the
-size range of a set are passed over, and so are sets whose positions leave too few tokens
-after the shared one. Pairs that a list leaves are held against a bitmap of each set, whose
+Index lists are skipped by their blocks: a list is sorted by set size, and a block passes over
+blocks outside its size range and over those whose least positions leave too few tokens after
+the shared one. Pairs that a list leaves are held against a bitmap of each set, whose
 differing bits are at most the differing tokens, so that only pairs which are similar or nearly
-so are compared token by token. Relations between sets save the rest of the work. First every set is
-compared to one leader per list, which ties groups of near copies together. Then only sets of
-different groups are compared, and a set's overlaps are derived from those of the set before
-it, most often a near copy, by the tokens in which the two differ.
+so are candidates.
+
+Relations between sets save most comparisons of candidates, in three rounds. First every set is
+compared to one leader of its lists, which ties groups of near copies together. Then every
+bucket of lists offers a forest: candidates between groups, the likeliest first, of which none
+joins what the others tie together already. That is fewer pairs than index entries, and if all
+are links, no candidate of the bucket is left between different groups. What is left is between
+groups that a refuted candidate hangs together with; there, last, every candidate between two
+groups is compared. Candidates come sorted by group, so that like sets follow each other: a
+set's overlaps are derived from those of the set before it by the tokens in which the two differ.
 
 Hot spots: copies are one class from the start; a token of very many documents is spread over
 buckets by its count; a list gets one comparison per set, not all pairs; pairs inside a group
@@ -166,19 +172,12 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(odd, bitorder="little").tobytes()
 
 
-def nearly_similar(
-    bits_a: Sequence[bytes], bits_b: Sequence[bytes], size_a: np.ndarray, size_b: np.ndarray
-) -> np.ndarray:
-    """False where bitmaps differ in more bits than similar sets can.
-
-    A token that only one of two sets has flips one bit, so differing bits never exceed
-    differing tokens. A wider bitmap is folded to the width of the other.
-    """
+def differing_bits(bits_a: Sequence[bytes], bits_b: Sequence[bytes]) -> np.ndarray:
+    """Bits in which bitmaps differ; a wider one is folded to the width of the other."""
     widths = np.array([(len(a), len(b)) for a, b in zip(bits_a, bits_b, strict=True)])
-    good = np.zeros(len(widths), bool)
+    differ = np.zeros(len(widths), np.int64)
     if not len(widths):
-        return good
-    room = size_a + size_b - 2 * least_overlap(size_a, size_b)
+        return differ
     for width in np.unique(widths, axis=0).tolist():
         rows = np.flatnonzero((widths == width).all(axis=1))
         sides = [
@@ -190,9 +189,20 @@ def nearly_similar(
             while sides[n].shape[1] > narrow:
                 half = sides[n].shape[1] // 2
                 sides[n] = sides[n][:, :half] ^ sides[n][:, half:]
-        differ = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
-        good[rows] = differ <= room[rows]
-    return good
+        differ[rows] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return differ
+
+
+def nearly_similar(
+    bits_a: Sequence[bytes], bits_b: Sequence[bytes], size_a: np.ndarray, size_b: np.ndarray
+) -> np.ndarray:
+    """False where bitmaps differ in more bits than similar sets can.
+
+    A token that only one of two sets has flips one bit, so differing bits never exceed
+    differing tokens.
+    """
+    room = size_a + size_b - 2 * least_overlap(size_a, size_b)
+    return differing_bits(bits_a, bits_b) <= room
 
 
 def set_class(tokens: np.ndarray) -> int:
@@ -438,15 +448,21 @@ def list_pairs(
     """Pairs of one index list that may be similar and are of different groups.
 
     The list is sorted by size and cut into blocks. For a block of sets only the blocks whose
-    sizes reach far enough are visited.
+    sizes reach far enough are visited, and whose positions leave enough tokens.
     """
     order = np.argsort(sizes, kind="stable")
     names, groups, sizes, places = names[order], groups[order], sizes[order], places[order]
     # A set of size s has partners of size s up to s times 4/3.
     reach = np.searchsorted(sizes, sizes * DENOMINATOR // NUMERATOR, side="right")
-    for begin in range(0, len(sizes), block):
+    # The most tokens that a set of each block has from the shared one on.
+    starts = np.arange(0, len(sizes), block)
+    rest = np.maximum.reduceat(sizes - places, starts) if len(sizes) else starts
+    for begin in starts.tolist():
         rows = np.arange(begin, min(begin + block, len(sizes)))
         for other in range(begin, int(reach[rows[-1]]), block):
+            least = least_overlap(int(sizes[begin]), int(sizes[other]))
+            if min(rest[begin // block], rest[other // block]) < least:
+                continue
             columns = np.arange(other, min(other + block, int(reach[rows[-1]])))
             if groups[rows[0]] == groups[columns[0]] and (
                 (groups[rows] == groups[rows[0]]).all() and (groups[columns] == groups[rows[0]]).all()
@@ -522,52 +538,111 @@ def list_blocks(entries: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _group_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Distinct pairs of a bucket of index lists whose bitmaps allow similarity."""
-    group = group.sort_values("token", kind="stable")
-    name, first, number = np.unique(
-        group["class"].to_numpy(), return_index=True, return_inverse=True
-    )
-    bits = group["bits"].to_numpy()[first]
-    set_size = group["size"].to_numpy()[first].astype(np.int64)
-    token, label, size, place = (
-        group[c].to_numpy() for c in ("token", "component", "size", "place")
-    )
-    # Heads as tables; an empty cell stands at no place that could be early.
-    head_token = np.zeros((len(name), HEAD), np.int64)
-    head_place = np.full((len(name), HEAD), np.iinfo(np.int32).max, np.int64)
-    columns = (group[c].to_numpy()[first] for c in ("ht", "hp"))
-    for n, (tokens, places) in enumerate(zip(*columns, strict=True)):
-        if tokens is not None:
-            head_token[n, : len(tokens)], head_place[n, : len(places)] = tokens, places
-    found: list[np.ndarray] = []
-    waiting: list[np.ndarray] = []
-    count = 0
-
-    def settle() -> None:
-        codes = np.unique(np.concatenate(waiting))
+class Forest:
+    """Groups that candidates tie together."""
+
+    def __init__(self, groups: np.ndarray):
+        names, self.number = np.unique(groups, return_inverse=True)
+        self.root = np.arange(len(names))
+
+    def labels(self) -> np.ndarray:
+        """One number for each set, equal where sets hang together."""
+        while True:
+            further = self.root[self.root]
+            if (further == self.root).all():
+                return self.root[self.number]
+            self.root = further
+
+    def tie(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of these pairs, in their order, join what was apart."""
+        ties = np.zeros(len(a), bool)
+        root = self.root
+        pairs = zip(self.number[a].tolist(), self.number[b].tolist(), strict=True)
+        for n, (one, other) in enumerate(pairs):
+            while root[one] != one:
+                root[one] = one = root[root[one]]
+            while root[other] != other:
+                root[other] = other = root[root[other]]
+            if one != other:
+                root[max(one, other)] = min(one, other)
+                ties[n] = True
+        return ties
+
+
+_CANDIDATES = "a long, b long, group_a long, group_b long"
+
+
+def _group_pairs(whole: bool):
+    """Candidates between groups in a bucket of index lists, once each.
+
+    Without ``whole`` they are a forest: sets that candidates tie together already are not
+    compared again.
+    """
+
+    def pairs_of(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("token", kind="stable")
+        name, first, number = np.unique(
+            group["class"].to_numpy(), return_index=True, return_inverse=True
+        )
+        bits = group["bits"].to_numpy()[first]
+        set_size = group["size"].to_numpy()[first].astype(np.int64)
+        token, label, size, place, side = (
+            group[c].to_numpy() for c in ("token", "component", "size", "place", "side")
+        )
+        set_label = label[first]
+        forest = Forest(set_label)
+        if whole:
+            # Heads as tables; an empty cell stands at no place that could be early.
+            head_token = np.zeros((len(name), HEAD), np.int64)
+            head_place = np.full((len(name), HEAD), np.iinfo(np.int32).max, np.int64)
+            columns = (group[c].to_numpy()[first] for c in ("ht", "hp"))
+            for n, (tokens, places) in enumerate(zip(*columns, strict=True)):
+                if tokens is not None:
+                    head_token[n, : len(tokens)], head_place[n, : len(places)] = tokens, places
+        found: list[np.ndarray] = []
+        waiting: list[np.ndarray] = []
+        count = 0
+
+        def settle() -> None:
+            codes = np.unique(np.concatenate(waiting))
+            a, b = codes // len(name), codes % len(name)
+            room = set_size[a] + set_size[b]
+            room = room - 2 * least_overlap(set_size[a], set_size[b])
+            differ = differing_bits(bits[a], bits[b])
+            good = np.flatnonzero(differ <= room)
+            if not whole:
+                good = good[np.argsort(differ[good] / (room[good] + 1), kind="stable")]
+                good = good[forest.tie(a[good], b[good])]
+            found.append(codes[good])
+
+        labels = forest.labels()
+        cuts = np.flatnonzero(np.diff(token)) + 1
+        for rows in np.split(np.arange(len(token)), cuts):
+            of_set = number[rows]
+            for i, j in list_pairs(rows, labels[of_set], size[rows], place[rows]):
+                # Two blocks are held against each other; what is inside one has its own turn.
+                meet = (side[i] != side[j]) | (side[i] == WITHIN)
+                i, j = i[meet], j[meet]
+                a, b = number[i], number[j]
+                if whole:
+                    fresh = ~met_before(head_token[a], head_place[a], head_token[b], place[i])
+                    a, b = a[fresh], b[fresh]
+                waiting.append(np.minimum(a, b) * len(name) + np.maximum(a, b))
+                count += len(a)
+                if count >= PAIRS_AT_ONCE:
+                    settle()
+                    waiting, count = [], 0
+                    if not whole:
+                        labels = forest.labels()
+        if waiting:
+            settle()
+        codes = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
         a, b = codes // len(name), codes % len(name)
-        found.append(codes[nearly_similar(bits[a], bits[b], set_size[a], set_size[b])])
-
-    cuts = np.flatnonzero(np.diff(token)) + 1
-    side = group["side"].to_numpy()
-    for rows in np.split(np.arange(len(token)), cuts):
-        for i, j in list_pairs(rows, label[rows], size[rows], place[rows]):
-            # Two blocks are held against each other; what is inside one has its own turn.
-            meet = (side[i] != side[j]) | (side[i] == WITHIN)
-            i, j = i[meet], j[meet]
-            a, b = number[i], number[j]
-            fresh = ~met_before(head_token[a], head_place[a], head_token[b], place[i])
-            a, b = a[fresh], b[fresh]
-            waiting.append(np.minimum(a, b) * len(name) + np.maximum(a, b))
-            count += len(a)
-            if count >= PAIRS_AT_ONCE:
-                settle()
-                waiting, count = [], 0
-    if waiting:
-        settle()
-    codes = np.unique(np.concatenate([np.empty(0, np.int64), *found]))
-    return pd.DataFrame({"a": name[codes // len(name)], "b": name[codes % len(name)]})
+        return pd.DataFrame(
+            {"a": name[a], "b": name[b], "group_a": set_label[a], "group_b": set_label[b]}
+        )
+
+    return pairs_of
 
 
 @dataclass
@@ -584,6 +659,7 @@ class Overlaps:
     gained: np.ndarray | None = None
     current: np.ndarray | None = None
     fresh: dict[int, int] = field(default_factory=dict)
+    derived: int = 0
 
     def advance(self, tokens: np.ndarray) -> None:
         """Go on to the next set."""
@@ -600,6 +676,7 @@ class Overlaps:
         if before is not None and len(self.lost) + len(self.gained) < len(self.current) // 2:
             count = before - int(_where(self.lost, partner).sum())
             count += int(_where(self.gained, partner).sum())
+            self.derived += 1
         else:
             count = int(_where(self.current, partner).sum())
         self.fresh[name] = count
@@ -631,11 +708,11 @@ def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sets are similar."""
+    """Pairs whose sets are similar. A set's pairs lie with those of its group."""
     left = sets.select(F.col("class").alias("a"), F.col("items").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("set_b"))
     rows = pairs.join(left, "a").join(right, "b")
-    rows = rows.select("a", "b", "set_a", "set_b").sortWithinPartitions("a", "b")
+    rows = rows.sortWithinPartitions("group_a", "a", "b").select("a", "b", "set_a", "set_b")
     return rows.mapInPandas(_similar, "a long, b long")
 
 
@@ -685,37 +762,22 @@ def _wanted_bits(classes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets_of(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Sets of all classes in the pairs."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+def _sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Sets of these classes."""
+    wanted = wanted.select("class").distinct()
     chosen = texts.mapInPandas(_chosen_sets(_wanted_bits(wanted), words), "class long, items binary")
     # The filter lets some others pass.
     chosen = chosen.join(wanted, "class", "left_semi")
     return written(chosen.dropDuplicates(["class"]), "chosen")
 
 
-def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> DataFrame:
-    """Ids of every row, given as new and old names, with the size and component of its set."""
-    spark = docs.sparkSession
-    described, order = describe(docs, text, ids, words)
-    texts = docs.select(quoted(text).alias("text"))
-    marks = described.filter("size > 0").groupBy("class")
-    marks = marks.agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
-
-    # A quarter of the tokens is indexed; buckets grow in number, not in size.
-    total = described.agg(F.sum(F.col("size") / DENOMINATOR + 1)).first()[0] or 0
-    buckets = int(total // POSTINGS_PER_BUCKET) + 1
-    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = texts.mapInPandas(_post(order, buckets, words), _BLOCKS)
-    index = blocks.groupBy("bucket").applyInPandas(_shared(order), _SHARED)
-    index = written(index, "index")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class"))
 
-    pairs = written(_passing(_leader_pairs(index), marks), "pairs")
-    links = written(_links(pairs, _sets_of(pairs, texts, words)), "links")
-    first = written(components(links), "components")
 
-    # What is left: lists that reach over several groups.
-    labelled = index.join(first.withColumnRenamed("node", "class"), "class", "left")
+def _across(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries of the lists that reach over several groups, with group and length of list."""
+    labelled = index.join(groups.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
     across = labelled.groupBy("token").agg(
         F.min("component").alias("_low"),
@@ -723,29 +785,91 @@ def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> Dat
         F.count(F.lit(1)).alias("_entries"),
     )
     across = across.filter("_low != _high").select("token", "_entries")
-    labelled = written(labelled.join(across, "token"), "labelled")
+    return written(labelled.join(across, "token"), "labelled")
+
+
+def _candidates(labelled: DataFrame, marks: DataFrame, heads: DataFrame | None) -> DataFrame:
+    """Candidates of all lists: a forest for each bucket, or with heads all of them."""
     short = labelled.filter(F.col("_entries") <= BLOCK_ENTRIES)
     # Short lists share buckets, which grow in number with the bitmaps and heads in them.
     weight = short.agg(F.sum(F.col("size") / 2 + 16 * HEAD)).first()[0] or 0
     buckets = int(weight // BUCKET_BYTES) + 1
-    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(buckets, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     short = short.select(
         "token", "class", "size", "place", "component", F.lit(WITHIN).alias("side"),
         F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("_bucket"),
     )
     longer = list_blocks(labelled.filter(F.col("_entries") > BLOCK_ENTRIES), BLOCK_ENTRIES)
-    heads = written(_heads(index), "heads")
-    pairs = None
-    for part in (short, longer):
-        part = part.join(marks.drop("size"), "class").join(heads, "class", "left")
-        found = part.groupBy("_bucket").applyInPandas(_group_pairs, "a long, b long")
-        pairs = found if pairs is None else pairs.unionByName(found)
-    pairs = pairs.distinct()
-    pairs = written(pairs, "pairs")
-    more = _links(pairs, _sets_of(pairs, texts, words))
-    everything = components(links.unionByName(more))
-
-    joined = described.join(everything.withColumnRenamed("node", "class"), "class", "left")
+    entries = short.unionByName(longer).join(marks.drop("size"), "class")
+    if heads is not None:
+        entries = entries.join(heads, "class", "left")
+    found = entries.groupBy("_bucket").applyInPandas(_group_pairs(heads is not None), _CANDIDATES)
+    return written(found.distinct(), "pairs")
+
+
+def _still_open(labelled: DataFrame, pairs: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries of the groups that a refuted candidate hangs together with.
+
+    Candidates tie groups together; ``groups`` are those after the links are in. Where all
+    candidates of what hangs together were links, or their ends are connected otherwise,
+    nothing is left to compare.
+    """
+    refuted = pairs.join(links, ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        now = groups.select(F.col("node").alias(side), F.col("component").alias(f"now_{side}"))
+        refuted = refuted.join(now, side, "left")
+    apart = F.coalesce("now_a", "a") != F.coalesce("now_b", "b")
+    refuted = refuted.filter(apart).select(F.col("group_a").alias("node"))
+    ties = components(pairs.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
+    ties = written(ties, "ties")
+    left = ties.join(refuted, "node", "left_semi").select("component").distinct()
+    left = ties.join(left, "component", "left_semi").select(F.col("node").alias("component"))
+    entries = labelled.join(left, "component", "left_semi")
+    return written(entries.select("token", "class", "size", "place"), "open")
+
+
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Groups after further links."""
+    known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return written(components(known.unionByName(links)), "components")
+
+
+def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> DataFrame:
+    """Ids of every row, given as new and old names, with the size and component of its set."""
+    spark = docs.sparkSession
+    described, order = describe(docs, text, ids, words)
+    texts = docs.select(quoted(text).alias("text"))
+    marks = described.filter("size > 0").groupBy("class")
+    marks = marks.agg(F.first("size").alias("size"), F.first("bits").alias("bits"))
+
+    # A quarter of the tokens is indexed; buckets grow in number, not in size.
+    total = described.agg(F.sum(F.col("size") / DENOMINATOR + 1)).first()[0] or 0
+    buckets = int(total // POSTINGS_PER_BUCKET) + 1
+    buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = texts.mapInPandas(_post(order, buckets, words), _BLOCKS)
+    index = blocks.groupBy("bucket").applyInPandas(_shared(order), _SHARED)
+    index = written(index, "index")
+
+    # Relations to leaders.
+    pairs = written(_passing(_leader_pairs(index), marks), "pairs")
+    pairs = pairs.withColumn("group_a", F.col("b"))
+    links = written(_links(pairs, _sets_of(_ends(pairs), texts, words)), "links")
+    groups = written(components(links), "components")
+
+    # Forests of what the lists hold between groups.
+    labelled = _across(index, groups)
+    pairs = _candidates(labelled, marks, None)
+    links = written(_links(pairs, _sets_of(_ends(pairs), texts, words)), "links")
+    merged = _merged(groups, links)
+
+    # Every candidate where a forest has shown that groups may stay apart.
+    rest = _still_open(labelled, pairs, links, merged)
+    if not rest.isEmpty():
+        pairs = _candidates(_across(rest, merged), marks, written(_heads(rest), "heads"))
+        links = _links(pairs, _sets_of(_ends(pairs), texts, words))
+        merged = _merged(merged, written(links, "links"))
+
+    joined = described.join(merged.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.withColumn("_group", F.coalesce("component", "class"))
     return written(joined.select(*ids, "size", "_group"), "joined")
 
