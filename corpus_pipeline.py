@@ -46,7 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces and sampled segmentations of every row of the mix."""
+    """Piece ids of every row of the mix, and its sampled segmentations by counts and digests."""
     return segmentation_report(docs)
 
 
