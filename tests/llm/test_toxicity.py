@@ -30,6 +30,21 @@ def test_words_of_a_text(decoder):
     assert tox.restored_words(" \n ", decoder) == set()
 
 
+@pytest.mark.parametrize(
+    "written, word",
+    [("iddiot", "idiot"), ("stuupid", "stupid"), ("sttuuppiidd", "stupid"), ("id iot", "idiot"),
+     ("mo ron", "moron"), ("i diot", "idiot"), ("you mo ron!", "moron"), ("st up id", "stupid")],
+)
+def test_doubled_letters_and_split_words(decoder, written, word):
+    assert word in tox.restored_words(written, decoder)
+
+
+def test_plain_neighbours_stay_apart(decoder):
+    text = "the word and the text are in a trash like a clown"
+    assert tox.restored_words(text, decoder) == set(text.split())
+    assert tox.split_words("id, iot it's id-iot", decoder) == set()
+
+
 def test_viterbi_equals_search(decoder):
     """The best of all readings, each scored on its own."""
 

@@ -1,10 +1,11 @@
 """Toxicity of texts whose words may be disguised.
 
 A noisy channel explains how a plain word became what is written: letters replaced by look-alike
-digits and signs, letters repeated, separators put in, spaces between letters. Viterbi decoding
-over the lattice of possible letters, under a character language model counted over the whole
-corpus, restores the likeliest word. Words and word beginnings found to mark toxic documents
-then score the restored text.
+digits and signs, letters repeated, separators put in, spaces between letters or pieces. Viterbi
+decoding over the lattice of possible letters, under a character language model counted over the
+whole corpus, restores the likeliest word. Neighbouring short pieces are one word if the model
+finds it likelier than the pieces apart. Words and word beginnings found to mark toxic documents
+then score the restored text; a word that is only read into a text stands beside what is written.
 
 Cases: a null or blank text has no words and gets the base score. Very long texts are read
 whole. Repeated rows each get a result. Without labels of both kinds no word is evidence and
@@ -61,6 +62,9 @@ COST_SEPARATOR = 1.0
 COST_IGNORED = 5.0
 # A word is spelled out if so many single characters follow each other.
 LEAST_SPELLED = 3
+# Pieces of a split word have so many letters, and words so many pieces, at most.
+LONGEST_PIECE = 4
+MOST_PIECES = 3
 
 
 def trigram_counts(texts: Iterable[str | None]) -> np.ndarray:
@@ -115,6 +119,24 @@ class Decoder:
             found = self.memory[token] = self._viterbi(token)
         return found
 
+    def joined(self, pieces: str) -> str:
+        """The word that pieces make together; empty if they are likelier as they stand."""
+        found = self.memory.get(pieces)
+        if found is None:
+            apart = pieces.split()
+            word = "".join(apart)
+            cost = COST_SEPARATOR * (len(apart) - 1)
+            better = self.likelihood(word) - cost > sum(map(self.likelihood, apart))
+            if len(self.memory) >= self.most:
+                self.memory.clear()
+            found = self.memory[pieces] = word if better else ""
+        return found
+
+    def likelihood(self, word: str) -> float:
+        """Log probability of a plain word between blanks."""
+        numbers = [BLANK, BLANK, *(_NUMBER[letter] for letter in word), BLANK]
+        return float(sum(self.model[tuple(numbers[n : n + 3])] for n in range(len(word) + 1)))
+
     def _viterbi(self, token: str) -> str:
         """The likeliest plain word; states are the last two letters kept."""
         states: dict[tuple[int, int], tuple[float, str]] = {(BLANK, BLANK): (0.0, "")}
@@ -148,7 +170,12 @@ class Decoder:
 _MULTIPLIERS = [2 * n * n * 7919 + 1 for n in range(1, 13)]
 
 _PLAIN = re.compile(f"[{LETTERS}]+")
-_THRICE = re.compile(r"(.)\1\1")
+_TWICE = re.compile(r"(.)\1")
+# Short words side by side, with no signs between them.
+_PIECES = re.compile(
+    r"(?<![^\s\"(\[*])[%s]{1,%d}(?:[ \t\n\x0b\x0c\r]+[%s]{1,%d}(?![^\s.,;:!?\")\]*]))+"
+    % (LETTERS, LONGEST_PIECE, LETTERS, LONGEST_PIECE)
+)
 _SPELLED = re.compile(
     r"(?<!\S)\S(?:[ \t\n\x0b\x0c\r]+\S(?!\S)){%d,}" % (LEAST_SPELLED - 1)
 )
@@ -162,7 +189,7 @@ def token_words(token: str, decoder: Decoder) -> list[str]:
     words = []
     if _PLAIN.fullmatch(bare):
         words.append(bare)
-        if _THRICE.search(bare):
+        if _TWICE.search(bare):
             words.append(decoder.restore(bare))
         if bare == token or (token[0] not in "@$|!" and token[-1] not in "@$|!"):
             return words
@@ -177,10 +204,20 @@ def spelled_out(lowered: str, decoder: Decoder) -> list[str]:
     return [decoder.restore("".join(run.split())) for run in _SPELLED.findall(lowered)]
 
 
+def split_words(lowered: str, decoder: Decoder) -> set[str]:
+    """Words that stand in pieces."""
+    windows = set()
+    for run in _PIECES.findall(lowered):
+        pieces = run.split()
+        for size in range(2, MOST_PIECES + 1):
+            windows.update(" ".join(pieces[n : n + size]) for n in range(len(pieces) - size + 1))
+    return set(map(decoder.joined, windows)) - {""}
+
+
 def restored_words(text: str, decoder: Decoder) -> set[str]:
     """The distinct words of a text, lower-cased, with disguised ones restored."""
     lowered = text.lower()
-    words = set(spelled_out(lowered, decoder))
+    words = set(spelled_out(lowered, decoder)) | split_words(lowered, decoder)
     for token in set(lowered.split()):
         words.update(token_words(token, decoder))
     words.discard("")
@@ -230,7 +267,8 @@ class Scorer:
 
     def score(self, text: str | None) -> float:
         lowered = (text or "").lower()
-        features = evidence(spelled_out(lowered, self.decoder)) & self.lexicon.chance.keys()
+        apart = [*spelled_out(lowered, self.decoder), *split_words(lowered, self.decoder)]
+        features = evidence(apart) & self.lexicon.chance.keys()
         for token in set(lowered.split()) - self.innocent:
             found = evidence(token_words(token, self.decoder)) & self.lexicon.chance.keys()
             features |= found
