@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -204,13 +204,18 @@ def spelled_out(lowered: str, decoder: Decoder) -> list[str]:
     return [decoder.restore("".join(run.split())) for run in _SPELLED.findall(lowered)]
 
 
-def split_words(lowered: str, decoder: Decoder) -> set[str]:
-    """Words that stand in pieces."""
+def split_words(lowered: str, decoder: Decoder, wanted: Container[str] | None = None) -> set[str]:
+    """Words that stand in pieces; of those only the ones with wanted evidence, if it is given."""
     windows = set()
     for run in _PIECES.findall(lowered):
         pieces = run.split()
         for size in range(2, MOST_PIECES + 1):
-            windows.update(" ".join(pieces[n : n + size]) for n in range(len(pieces) - size + 1))
+            for n in range(len(pieces) - size + 1):
+                word = "".join(pieces[n : n + size])
+                if wanted is None or word in wanted or (
+                    word[:4] + "-" in wanted or word[:5] + "-" in wanted or word[:6] + "-" in wanted
+                ):
+                    windows.add(" ".join(pieces[n : n + size]))
     return set(map(decoder.joined, windows)) - {""}
 
 
@@ -267,7 +272,8 @@ class Scorer:
 
     def score(self, text: str | None) -> float:
         lowered = (text or "").lower()
-        apart = [*spelled_out(lowered, self.decoder), *split_words(lowered, self.decoder)]
+        apart = spelled_out(lowered, self.decoder)
+        apart += split_words(lowered, self.decoder, self.lexicon.chance)
         features = evidence(apart) & self.lexicon.chance.keys()
         for token in set(lowered.split()) - self.innocent:
             found = evidence(token_words(token, self.decoder)) & self.lexicon.chance.keys()
