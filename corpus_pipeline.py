@@ -46,7 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every row of the mix, and its sampled segmentations by counts and digests."""
+    """Piece ids of every row of the mix and of its sampled segmentations."""
     return segmentation_report(docs)
 
 

@@ -120,3 +120,46 @@ def test_tables(spark):
         assert len(r.sample_crc32) == r.samples == len(set(zip(r.sample_crc32, r.sample_pieces, strict=True)))
         assert all(v <= 0 for v in r.sample_log_inclusion)
     assert ps.segmentation_report(documents(spark, [])).count() == 0
+
+
+def test_report_holds_the_sampled_segmentations(spark):
+    docs = documents(spark, EDGES)
+    report = collected(ps.segmentation_report(docs, samples=2))
+    encoded = collected(ps.encode(docs, samples=2))
+    assert sorted((str(r.doc_id), [list(ids) for ids in r.sample_ids]) for r in report) == sorted(
+        (str(r.doc_id), [list(s.ids) for s in r.samples]) for r in encoded
+    )
+    vocab = ps.vocabulary(ps.VOCABULARY, ps.SMOOTHING)
+    texts = Counter((str(i), t or "") for i, t, _ in EDGES)
+    for r in report:
+        assert r.samples_restored and len(r.sample_ids) == r.samples >= 1
+        assert [len(ids) for ids in r.sample_ids] == r.sample_pieces
+        assert all((str(r.doc_id), vocab.decode(np.array(ids, np.int64))) in texts for ids in r.sample_ids)
+
+
+def test_a_sample_that_does_not_decode_is_told(vocab, spark, monkeypatch):
+    wrong = ps.Encoded(np.array([500], np.int32), [(np.array([501], np.int32), ps.Sample(np.empty(0), 0.0, 0.0))])
+    right = vocab.decode(wrong.ids)
+    monkeypatch.setattr(ps, "encode_texts", lambda *_: iter([wrong]))
+    made = {}
+    monkeypatch.setattr(ps, "_encoded_rows", lambda *a: made.update(columns=a[4]))
+    ps.segmentation_report(documents(spark, []))
+    found = made["columns"](vocab, [right], [wrong])
+    assert found["restored"].to_pylist() == [True]
+    assert found["samples_restored"].to_pylist() == [False]
+
+
+def test_a_store_that_lets_parts_go_changes_nothing(vocab, monkeypatch):
+    texts = [f"the word{n % 7} and x{n} été 漢 of the" for n in range(300)]
+    keys = list(range(300))
+
+    def found():
+        return [
+            (e.ids.tolist(), [(ids.tolist(), s.log_probability, s.log_inclusion) for ids, s in e.samples])
+            for e in ps.encode_texts(vocab, texts, keys)
+        ]
+
+    expected = found()
+    monkeypatch.setattr(ps, "LETTERS_KEPT", 60)
+    monkeypatch.setattr(ps, "TEXTS_TOGETHER", 5)
+    assert found() == expected

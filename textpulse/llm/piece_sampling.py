@@ -31,12 +31,15 @@ import itertools
 import math
 import re
 import zlib
-from collections.abc import Callable, Generator, Iterator
+from collections.abc import Callable, Generator, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textpulse.llm.common import map_with_id, quoted
 
@@ -47,10 +50,12 @@ SEED = 11
 TEXTS_TOGETHER = 64
 # In units of log probability.
 FAR_BELOW = 50.0
-PARTS_AT_ONCE = 300_000
-# Characters and texts whose results are held together; one longer text goes alone. Texts that go
-# together share the work on the parts that they have in common.
-CHARACTERS_AT_ONCE = 8_000_000
+# Parts whose walks are made together; one longer text goes alone.
+PARTS_TOGETHER = 60_000
+# Characters whose lattices are kept for the texts that follow; beyond that they start afresh.
+LETTERS_KEPT = 600_000
+# Characters and texts whose results are held together; one longer text goes alone.
+CHARACTERS_AT_ONCE = 1_000_000
 ROWS_AT_ONCE = 5_000
 
 SPACE = "▁"
@@ -103,6 +108,8 @@ class Vocabulary:
         order = np.argsort(keys)
         self.arc_key = keys[order]
         self.arc_to = np.array(list(arcs.values()), np.int64)[order]
+        self.inner = np.zeros(len(node_of), bool)
+        self.inner[self.arc_key >> _LETTER_BITS] = True
         # Most searches start at the root: one look for common letters.
         self.root = np.full(2**16, -1, np.int64)
         for (parent, letter), node in arcs.items():
@@ -151,18 +158,52 @@ def split_text(text: str) -> list[str]:
 
 
 class Lattices:
-    """The lattices of many parts in one set of arrays.
+    """The lattices of many parts in one set of arrays, to which more parts may be added.
 
     Every character of every part is a node, numbered through. Edges lie in the order of their
     nodes, the longest of a node first, with running probabilities. ``to`` is -1 where a part
-    ends.
+    ends. Arrays have room beyond what is in use.
     """
 
-    def __init__(self, vocab: Vocabulary, texts: list[str]):
+    def __init__(self, vocab: Vocabulary, texts: Sequence[str] = ()):
+        self.vocab = vocab
+        self.parts = self.letters = self.edges = self.best_pieces_held = 0
+        # Of parts.
+        self.base = np.empty(0, np.int64)
+        self.best_first = np.empty(0, np.int64)
+        self.best_count = np.empty(0, np.int64)
+        # Of nodes. Drawing looks these up in no order, so they are kept small for the cache.
+        self.first = np.empty(0, np.int32)
+        self.count = np.empty(0, np.int32)
+        # Of edges.
+        self.node = np.empty(0, np.int32)
+        self.upto = np.empty(0, np.float32)
+        self.to = np.empty(0, np.int32)
+        self.log = np.empty(0, np.float64)
+        self.piece = np.empty(0, np.int32)
+        # Pieces of the likeliest paths.
+        self.best = np.empty(0, np.int32)
+        if texts:
+            self.add(texts)
+
+    def _append(self, used: int, **columns: np.ndarray) -> None:
+        """Values that go behind the first ``used`` ones of these arrays."""
+        for name, values in columns.items():
+            held = getattr(self, name)
+            if used + len(values) > len(held):
+                grown = np.empty(max(used + len(values), 2 * len(held)), held.dtype)
+                grown[:used] = held[:used]
+                setattr(self, name, grown)
+                held = grown
+            held[used : used + len(values)] = values
+
+    def add(self, texts: Sequence[str]) -> None:
+        """The lattices of further parts."""
+        vocab = self.vocab
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.base = np.cumsum(lengths) - lengths
+        base = np.cumsum(lengths) - lengths
         letters = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
-        ends = np.repeat(self.base + lengths, lengths)
+        ends = np.repeat(base + lengths, lengths)
 
         # All positions walk the trie together; each step drops those without an arc.
         starts, stops, pieces = [], [], []
@@ -185,7 +226,8 @@ class Lattices:
             starts.append(at[whole])
             stops.append(at[whole] + depth)
             pieces.append(piece[whole].astype(np.int64))
-            inside = at + depth < ends[at]
+            inside = np.flatnonzero(vocab.inner[state])
+            inside = inside[at[inside] + depth < ends[at[inside]]]
             at, state = at[inside], state[inside]
         covered = np.zeros(len(letters), bool)
         covered[starts[0]] = True
@@ -195,10 +237,10 @@ class Lattices:
         pieces.append(vocab.size + letters[bare])
         # Edges go in the order of nodes, the longest piece first: mostly the likeliest one, so
         # that most draws end at once. Every list is in the order of nodes already.
-        self.count = sum(np.bincount(x, minlength=len(letters)) for x in starts)
-        self.first = np.cumsum(self.count) - self.count
-        start, stop, piece = (np.empty(int(self.count.sum()), np.int64) for _ in range(3))
-        free = self.first.copy()
+        count = sum(np.bincount(x, minlength=len(letters)) for x in starts)
+        first_edge = np.cumsum(count) - count
+        start, stop, piece = (np.empty(int(count.sum()), np.int64) for _ in range(3))
+        free = first_edge.copy()
         for nodes, ends_at, found in zip(starts[::-1], stops[::-1], pieces[::-1], strict=True):
             start[free[nodes]], stop[free[nodes]], piece[free[nodes]] = nodes, ends_at, found
             free[nodes] += 1
@@ -214,7 +256,7 @@ class Lattices:
         mass = np.zeros(len(letters) + 1)
         best = np.zeros(len(letters) + 1)
         log = np.empty(len(start))
-        self.best_edge = np.zeros(len(letters), np.int64)
+        best_edge = np.zeros(len(letters), np.int64)
         distance = (ends - np.arange(len(letters)))[start]
         if lengths.max() < 2**16:
             distance = distance.astype(np.uint16)  # sorted by radix
@@ -235,28 +277,71 @@ class Lattices:
             best[node[first]] = top
             # Of equal paths the one with the longest first piece.
             winners = np.flatnonzero(value == np.repeat(top, size))[::-1]
-            self.best_edge[node[winners]] = edges[winners]
-        self.node = start
+            best_edge[node[winners]] = edges[winners]
         running = np.cumsum(np.exp(log))
-        before = np.concatenate([[0.0], running])[self.first]
-        self.upto = running - before[start]
-        self.upto[self.first + self.count - 1] = 2.0
-        # Drawing looks these up in no order, so they are kept small for the cache.
-        self.upto = self.upto.astype(np.float32)
-        self.first = self.first.astype(np.int32)
-        self.to = np.where(target == len(letters), -1, target).astype(np.int32)
-        self.log = log
-        self.piece = piece.astype(np.int32)
-        best, owner = self._follow(self.base, lambda who, at, step: self.best_edge[at])
-        self.best = self.piece[best]
-        self.best_count = np.bincount(owner, minlength=len(texts))
-        self.best_first = np.cumsum(self.best_count) - self.best_count
+        before = np.concatenate([[0.0], running])[first_edge]
+        upto = running - before[start]
+        upto[first_edge + count - 1] = 2.0
+        best_path, owner = _follow(
+            base, np.where(target == len(letters), -1, target), lambda who, at, step: best_edge[at]
+        )
+        best_count = np.bincount(owner, minlength=len(texts))
+
+        self._append(
+            self.parts,
+            base=base + self.letters,
+            best_first=np.cumsum(best_count) - best_count + self.best_pieces_held,
+            best_count=best_count,
+        )
+        self._append(self.letters, first=first_edge + self.edges, count=count)
+        self._append(
+            self.edges,
+            node=start + self.letters,
+            upto=upto,
+            to=np.where(target == len(letters), -1, target + self.letters),
+            log=log,
+            piece=piece,
+        )
+        self._append(self.best_pieces_held, best=piece[best_path])
+        self.parts += len(texts)
+        self.letters += len(letters)
+        self.edges += len(start)
+        self.best_pieces_held += len(best_path)
+
+    def kept(self, parts: np.ndarray) -> Lattices:
+        """The lattices of these parts alone, numbered in this order."""
+        few = Lattices(self.vocab)
+        ends = np.append(self.base[1 : self.parts], self.letters)
+        length = ends[parts] - self.base[parts]
+        nodes = _ranges(self.base[parts], length)
+        count = self.count[nodes].astype(np.int64)
+        edges = _ranges(self.first[nodes], count)
+        node = np.repeat(np.arange(len(nodes)), count)
+        best_count = self.best_count[parts]
+        few._append(
+            0,
+            base=np.cumsum(length) - length,
+            best_first=np.cumsum(best_count) - best_count,
+            best_count=best_count,
+        )
+        few._append(0, first=np.cumsum(count) - count, count=count)
+        to = self.to[edges]
+        few._append(
+            0,
+            node=node,
+            upto=self.upto[edges],
+            to=np.where(to < 0, -1, to - self.node[edges] + node),
+            log=self.log[edges],
+            piece=self.piece[edges],
+        )
+        few._append(0, best=self.best_pieces(parts))
+        few.parts, few.letters, few.edges = len(parts), len(nodes), len(edges)
+        few.best_pieces_held = int(best_count.sum())
+        return few
 
     def best_pieces(self, parts: np.ndarray) -> np.ndarray:
         """Pieces of the likeliest segmentation."""
-        count = self.best_count[parts]
-        shift = self.best_first[parts] - (np.cumsum(count) - count)
-        return self.best[np.repeat(shift, count) + np.arange(count.sum())]
+        return self.best[_ranges(self.best_first[parts], self.best_count[parts])]
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw a path from every node to its part's end; the keys seed the draws."""
@@ -270,28 +355,35 @@ class Lattices:
                 late = late[self.upto[edge[late]] <= chance[late]]
             return edge
 
-        return self._follow(nodes, drawn)
-
-    def _follow(
-        self, nodes: np.ndarray, choose: Callable[[np.ndarray, np.ndarray, int], np.ndarray]
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Edges from every node to its part's end in order, and which node each belongs to."""
-        who = np.flatnonzero(nodes >= 0)
-        at = nodes[who]
-        steps: list[tuple[np.ndarray, np.ndarray]] = []
-        length = np.zeros(len(nodes), np.int64)
-        while len(who):
-            edge = choose(who, at, len(steps))
-            steps.append((who, edge))
-            length[who] += 1
-            at = self.to[edge]
-            alive = at >= 0
-            who, at = who[alive], at[alive]
-        offset = np.cumsum(length) - length
-        taken = np.empty(int(length.sum()), np.int64)
-        for step, (who, edge) in enumerate(steps):
-            taken[offset[who] + step] = edge
-        return taken, np.repeat(np.arange(len(nodes)), length)
+        return _follow(nodes, self.to, drawn)
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """So many numbers from each first one on."""
+    shift = first - (np.cumsum(count) - count)
+    return np.repeat(shift, count) + np.arange(count.sum())
+
+
+def _follow(
+    nodes: np.ndarray, to: np.ndarray, choose: Callable[[np.ndarray, np.ndarray, int], np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from every node to its part's end in order, and which node each belongs to."""
+    who = np.flatnonzero(nodes >= 0)
+    at = nodes[who]
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    length = np.zeros(len(nodes), np.int64)
+    while len(who):
+        edge = choose(who, at, len(steps))
+        steps.append((who, edge))
+        length[who] += 1
+        at = to[edge]
+        alive = at >= 0
+        who, at = who[alive], at[alive]
+    offset = np.cumsum(length) - length
+    taken = np.empty(int(length.sum()), np.int64)
+    for step, (who, edge) in enumerate(steps):
+        taken[offset[who] + step] = edge
+    return taken, np.repeat(np.arange(len(nodes)), length)
 
 
 def _scrambled(values: np.ndarray) -> np.ndarray:
@@ -460,57 +552,157 @@ class Encoded:
     samples: list[tuple[np.ndarray, Sample]]
 
 
+class _Numbers(dict):
+    """Numbers of parts in the order in which they come."""
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        return number
+
+
+class PartStore:
+    """Lattices of the parts met so far, which texts that follow share.
+
+    When there are too many letters, the parts that came most often stay, with half of them.
+    """
+
+    def __init__(self, vocab: Vocabulary):
+        self.number = _Numbers()
+        self.lattices = Lattices(vocab)
+        self.met = np.empty(0, np.int64)
+
+    def _shrink(self) -> None:
+        names = list(self.number)
+        often = np.argsort(-self.met, kind="stable")
+        often = often[self.met[often] > 1]
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        stay = np.sort(often[np.cumsum(lengths[often]) <= LETTERS_KEPT // 2])
+        self.lattices = self.lattices.kept(stay)
+        self.number = _Numbers((names[old], new) for new, old in enumerate(stay.tolist()))
+        self.met = self.met[stay]
+
+    def take(self, texts: Iterator[str]) -> list[np.ndarray]:
+        """Numbers of the parts of the next texts, some ten thousand parts at once."""
+        if self.lattices.letters > LETTERS_KEPT:
+            self._shrink()
+        known = len(self.number)
+        number = self.number.__getitem__
+        found: list[np.ndarray] = []
+        size = 0
+        for text in itertools.islice(texts, TEXTS_TOGETHER):
+            parts = split_text(text)
+            found.append(np.fromiter(map(number, parts), np.int64, len(parts)))
+            size += len(parts)
+            if size >= PARTS_TOGETHER:
+                break
+        fresh = list(itertools.islice(reversed(self.number), len(self.number) - known))
+        if fresh:
+            self.lattices.add(fresh[::-1])
+        if size:
+            met = np.bincount(np.concatenate(found), minlength=len(self.number))
+            met[:known] += self.met
+            self.met = met
+        return found
+
+
 def encode_texts(
-    vocab: Vocabulary, texts: list[str | None], keys: list, k: int = SAMPLES, seed: int = SEED
+    vocab: Vocabulary,
+    texts: list[str | None],
+    keys: list,
+    k: int = SAMPLES,
+    seed: int = SEED,
+    store: PartStore | None = None,
 ) -> Iterator[Encoded]:
-    """Encode texts in order, some hundred thousand parts at once."""
+    """Encode texts in order; a store keeps the work on parts for further calls."""
+    store = store or PartStore(vocab)
+    waiting = (text or "" for text in texts)
     begin = 0
-    while begin < len(texts):
-        found: list[list[str]] = []
-        size, end = 0, begin
-        while end < len(texts) and size < PARTS_AT_ONCE:
-            found.append(split_text(texts[end] or ""))
-            size += len(found[-1]) + 1
-            end += 1
-        distinct = list(dict.fromkeys(itertools.chain.from_iterable(found)))
-        number = {part: n for n, part in enumerate(distinct)}.__getitem__
-        parts = [np.fromiter(map(number, split), np.int64, len(split)) for split in found]
-        lattices = Lattices(vocab, distinct) if distinct else None
-        for first in range(0, len(parts), TEXTS_TOGETHER):
-            group = parts[first : first + TEXTS_TOGETHER]
-            filled = [n for n, place in enumerate(group) if len(place)]
-            drawn: dict[int, list[Sample]] = {}
-            if k and filled:
-                group_keys = keys[begin + first : begin + first + len(group)]
-                results = top_segmentations(
-                    lattices, [group[n] for n in filled], k, [group_keys[n] for n in filled], seed
-                )
-                drawn = dict(zip(filled, results, strict=True))
-            for n, place in enumerate(group):
-                if not len(place):
-                    nothing = np.empty(0, np.int32)
-                    whole = [(nothing, Sample(nothing, 0.0, 0.0, 0.0))]
-                    yield Encoded(nothing, whole if k else [])
-                    continue
-                yield Encoded(
-                    vocab.ids(lattices.best_pieces(place)),
-                    [(vocab.ids(lattices.piece[s.edges]), s) for s in drawn.get(n, [])],
-                )
-        begin = end
-
-
-def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    while group := store.take(waiting):
+        lattices = store.lattices
+        filled = [n for n, place in enumerate(group) if len(place)]
+        drawn: dict[int, list[Sample]] = {}
+        if k and filled:
+            results = top_segmentations(
+                lattices, [group[n] for n in filled], k, [keys[begin + n] for n in filled], seed
+            )
+            drawn = dict(zip(filled, results, strict=True))
+        best = _split_ids(vocab, [lattices.best_pieces(group[n]) for n in filled])
+        paths = [lattices.piece[s.edges] for n in filled for s in drawn.get(n, [])]
+        sampled = iter(_split_ids(vocab, paths))
+        of_text = dict(zip(filled, best, strict=True))
+        for n in range(len(group)):
+            if n not in of_text:
+                nothing = np.empty(0, np.int32)
+                whole = [(nothing, Sample(nothing, 0.0, 0.0, 0.0))]
+                yield Encoded(nothing, whole if k else [])
+                continue
+            samples = drawn.get(n, [])
+            yield Encoded(of_text[n], [(next(sampled), s) for s in samples])
+        begin += len(group)
+
+
+def _split_ids(vocab: Vocabulary, paths: list[np.ndarray]) -> list[np.ndarray]:
+    """Ids of the file for the pieces of each path."""
+    if not paths:
+        return []
+    pieces = np.concatenate(paths)
+    if pieces.max() < vocab.size:
+        return paths
+    return [vocab.ids(p) if p.max() >= vocab.size else p for p in paths]
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of some batches in pieces of so many characters, and so many rows, at most."""
     for batch in batches:
         begin, size = 0, 0
-        lengths = [len(text) if text else 0 for text in batch["text"]]
+        lengths = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_pylist()
         for end, length in enumerate(lengths):
             if end > begin and (size + length > CHARACTERS_AT_ONCE or end - begin == ROWS_AT_ONCE):
-                yield batch.iloc[begin:end]
+                yield batch.slice(begin, end - begin)
                 begin, size = end, 0
             size += length
-        if begin < len(batch):
-            yield batch.iloc[begin:]
+        if begin < len(lengths):
+            yield batch.slice(begin)
+
+
+def _offsets(lengths: Iterable[int]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.fromiter(lengths, np.int64))]).astype(np.int32)
+
+
+def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    values = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(_offsets(map(len, ids)), pa.array(values))
+
+
+def _encoded_rows(
+    docs: DataFrame,
+    text: str,
+    doc_id: str,
+    columns: str,
+    of_piece: Callable[[Vocabulary, list[str], list[Encoded]], dict[str, pa.Array]],
+    vocabulary_file: str,
+    samples: int,
+    smoothing: float,
+    seed: int,
+) -> DataFrame:
+    """The id of each row with columns made of its encoding, a bounded piece of rows at a time."""
+    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(vocabulary_file, smoothing)
+        store = PartStore(vocab)
+        for piece in _bounded(batches):
+            texts = [t or "" for t in piece["text"].to_pylist()]
+            keys = piece["doc_id"].to_pylist()
+            found = list(encode_texts(vocab, texts, keys, samples, seed, store))
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": piece["doc_id"], **of_piece(vocab, texts, found)}
+            )
+
+    as_text = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    result = as_text.mapInArrow(encoded, f"doc_id string, {columns}")
+    return result.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 _ARRAYS = "array<struct<ids:array<int>,log_probability:double,log_inclusion:double>>"
@@ -527,33 +719,27 @@ def encode(
     seed: int = SEED,
 ) -> DataFrame:
     """Piece ids of each text and of its sampled segmentations."""
-    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = vocabulary(vocabulary_file, smoothing)
-        for piece in _bounded(batches):
-            found = list(
-                encode_texts(vocab, list(piece["text"]), list(piece["doc_id"]), samples, seed)
-            )
-            yield pd.DataFrame(
-                {
-                    "doc_id": piece["doc_id"].array,
-                    "ids": [e.ids for e in found],
-                    "samples": [
-                        [
-                            {
-                                "ids": ids,
-                                "log_probability": s.log_probability,
-                                "log_inclusion": s.log_inclusion,
-                            }
-                            for ids, s in e.samples
-                        ]
-                        for e in found
-                    ],
-                }
-            )
+    def columns(vocab: Vocabulary, texts: list[str], found: list[Encoded]) -> dict[str, pa.Array]:
+        drawn = [sample for e in found for sample in e.samples]
+        structs = pa.StructArray.from_arrays(
+            [
+                _id_lists([ids for ids, _ in drawn]),
+                pa.array([s.log_probability for _, s in drawn], pa.float64()),
+                pa.array([s.log_inclusion for _, s in drawn], pa.float64()),
+            ],
+            ["ids", "log_probability", "log_inclusion"],
+        )
+        of_text = _offsets(len(e.samples) for e in found)
+        return {
+            "ids": _id_lists([e.ids for e in found]),
+            "samples": pa.ListArray.from_arrays(of_text, structs),
+        }
 
-    return map_with_id(rows, encoded, f"ids array<int>, samples {_ARRAYS}")
+    return _encoded_rows(
+        docs, text, doc_id, f"ids array<int>, samples {_ARRAYS}", columns,
+        vocabulary_file, samples, smoothing, seed,
+    )
 
 
 def decode(
@@ -585,48 +771,45 @@ def segmentation_report(
     smoothing: float = SMOOTHING,
     seed: int = SEED,
 ) -> DataFrame:
-    """Piece ids of each text, whether decoding them restores it, and its samples as digests.
+    """Piece ids of each text and of its sampled segmentations, and whether decoding restores it.
 
-    ``samples`` counts the distinct segmentations found and ``sample_*`` describe them, the
-    highest perturbed probability first.
+    ``restored`` is about the likeliest segmentation and ``samples_restored`` about all sampled
+    ones. ``samples`` counts the distinct segmentations found and ``sample_*`` describe them,
+    the highest perturbed probability first.
     """
-    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
 
-    def reported(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocab = vocabulary(vocabulary_file, smoothing)
-        for batch in _bounded(batches):
-            texts = list(batch["text"])
-            out = []
-            found = encode_texts(vocab, texts, list(batch["doc_id"]), samples, seed)
-            for given, e in zip(texts, found, strict=True):
-                drawn = [s for _, s in e.samples]
-                digests = [_digest(ids) for ids, _ in e.samples]
-                out.append(
-                    (
-                        e.ids,
-                        len(e.ids),
-                        _digest(e.ids),
-                        vocab.decode(e.ids) == (given or ""),
-                        len(drawn),
-                        [len(ids) for ids, _ in e.samples],
-                        digests,
-                        [s.log_probability for s in drawn],
-                        [s.log_inclusion for s in drawn],
-                    )
-                )
-            frame = pd.DataFrame(
-                out,
-                columns=[
-                    "ids", "n_pieces", "ids_crc32", "restored", "samples", "sample_pieces",
-                    "sample_crc32", "sample_log_probability", "sample_log_inclusion",
-                ],
-            )
-            frame.insert(0, "doc_id", batch["doc_id"].array)
-            yield frame
+    def columns(vocab: Vocabulary, texts: list[str], found: list[Encoded]) -> dict[str, pa.Array]:
+        drawn = [sample for e in found for sample in e.samples]
+        of_text = _offsets(len(e.samples) for e in found)
+
+        def of_samples(values: Iterable, kind: pa.DataType) -> pa.ListArray:
+            return pa.ListArray.from_arrays(of_text, pa.array(values, kind))
+
+        pairs = list(zip(texts, found, strict=True))
+        return {
+            "ids": _id_lists([e.ids for e in found]),
+            "n_pieces": pa.array([len(e.ids) for e in found], pa.int64()),
+            "ids_crc32": pa.array([_digest(e.ids) for e in found], pa.int64()),
+            "restored": pa.array([vocab.decode(e.ids) == given for given, e in pairs]),
+            "samples": pa.array([len(e.samples) for e in found], pa.int64()),
+            "sample_pieces": of_samples([len(ids) for ids, _ in drawn], pa.int64()),
+            "sample_crc32": of_samples([_digest(ids) for ids, _ in drawn], pa.int64()),
+            "sample_log_probability": of_samples(
+                [s.log_probability for _, s in drawn], pa.float64()
+            ),
+            "sample_log_inclusion": of_samples([s.log_inclusion for _, s in drawn], pa.float64()),
+            "sample_ids": pa.ListArray.from_arrays(of_text, _id_lists([ids for ids, _ in drawn])),
+            "samples_restored": pa.array(
+                [all(vocab.decode(ids) == given for ids, _ in e.samples) for given, e in pairs]
+            ),
+        }
 
     schema = (
         "ids array<int>, n_pieces long, ids_crc32 long, restored boolean, samples long, "
         "sample_pieces array<long>, sample_crc32 array<long>, "
-        "sample_log_probability array<double>, sample_log_inclusion array<double>"
+        "sample_log_probability array<double>, sample_log_inclusion array<double>, "
+        "sample_ids array<array<int>>, samples_restored boolean"
+    )
+    return _encoded_rows(
+        docs, text, doc_id, schema, columns, vocabulary_file, samples, smoothing, seed
     )
-    return map_with_id(rows, reported, schema)
