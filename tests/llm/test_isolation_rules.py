@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.support import EDGES, documents
 from textpulse.llm import isolation_rules as rules
-from textpulse.llm.training import labelled_rows
+from textpulse.llm.training import all_labelled_rows, labelled_rows
 
 
 def brute(text):
@@ -93,3 +93,53 @@ def test_one_row_of_each_labelled_id_is_taken(spark):
     labels = spark.createDataFrame([(n, n % 2) for n in range(4)], "doc_id long, quality int")
     rows = labelled_rows(docs, labels, "quality", 10).collect()
     assert sorted((r.doc_id, r.x, r.label) for r in rows) == [(n, n, n % 2) for n in range(4)]
+
+
+def test_all_labelled_rows_make_the_model(spark):
+    """More good rows than any bounded sample had: box, trees and threshold hold all of them."""
+    n = 12_000
+    texts = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(
+            " ",
+            F.transform(
+                F.sequence(F.lit(1), 50 + F.col("id") % 7),
+                lambda k: F.concat(
+                    F.lit("w"),
+                    k.cast("string"),
+                    F.repeat(F.lit("#"), F.pmod(F.hash("id", k), F.lit(2))),
+                    F.when(F.col("id") % 40 == 0, "$$$").otherwise(""),
+                ),
+            ),
+        ).alias("text"),
+    )
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 40 != 0) as quality")
+    stats = all_labelled_rows(rules.rule_statistics(texts), labels, "quality").toPandas()
+    assert len(stats) == n and (stats["label"] == 1).sum() > 10_000
+    forest, threshold = rules.fit(stats)
+    expected = dict(zip(stats["doc_id"], forest.score(rules.features(stats)), strict=True))
+    found = rules.judge(texts, labels).collect()
+    assert len(found) == n
+    assert all(r.anomaly == expected[r.doc_id] for r in found)
+    assert all(r.kept == (not r.base_failed and r.anomaly <= threshold) for r in found)
+    lost = sum(r.doc_id % 40 != 0 and not r.kept for r in found)
+    assert lost <= rules.GOOD_LOST * n
+
+
+def test_ranked_value(spark):
+    random = np.random.default_rng(3)
+    values = np.concatenate([random.normal(size=300), np.full(50, 0.25), [1e-300, -1e9, 1e9]])
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3).cache()
+    for rank in (0, 1, 170, 200, len(values) - 2, len(values) - 1):
+        assert rules.ranked_value(rows, rank, bins=16) == np.sort(values)[rank]
+
+
+def test_leaves_hold_all_points():
+    random = np.random.default_rng(5)
+    points = random.uniform(size=(400, 2))
+    splits = rules.draw_splits(np.zeros(2), np.ones(2), trees=3, depth=4)
+    halves = splits.leaf_counts(points[:150]) + splits.leaf_counts(points[150:])
+    assert (halves == splits.leaf_counts(points)).all() and (halves.sum(axis=1) == 400).all()
+    one = rules.forest_of(splits, halves)
+    other = rules.grow_forest(points, np.zeros(2), np.ones(2), trees=3, depth=4)
+    assert (one.score(points) == other.score(points)).all()

@@ -1,4 +1,4 @@
-"""Folds and bounded samples of labelled rows for the trained operators."""
+"""Folds, labelled rows and bounded samples of them for the trained operators."""
 
 from __future__ import annotations
 
@@ -52,3 +52,15 @@ def labelled_rows(
     others = [quoted(name) for name in rows.columns if name not in ("doc_id", "label")]
     least = rows.groupBy("doc_id", "label").agg(F.min(F.struct(*others)).alias("_least"))
     return least.select("doc_id", "_least.*", "label")
+
+
+def all_labelled_rows(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """One row of each labelled id, with its label: the least by its columns.
+
+    Rows of an id are reduced on the map side before they meet the labels.
+    """
+    others = [quoted(name) for name in docs.columns if name != "doc_id"]
+    least = docs.filter("doc_id is not null").groupBy("doc_id")
+    least = least.agg(F.min(F.struct(*others)).alias("_least"))
+    rows = least.join(one_label_each(labels, label), "doc_id")
+    return rows.select("doc_id", "_least.*", "label")
