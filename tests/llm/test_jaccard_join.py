@@ -2,12 +2,14 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
 from tests.llm.support import EDGES, documents
 from textpulse.llm import jaccard_join as jj
+from textpulse.llm.common import bounded
 from textpulse.llm.components import components
 
 
@@ -306,3 +308,32 @@ def test_components(spark, seed):
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert found == {n: find(n) for n in linked}
     assert components(frame.limit(0)).count() == 0
+
+
+def test_pieces_of_a_batch_are_bounded():
+    texts = ["a b c d e f", None, "", "x" * 50, "q", "r s", "t", "u"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    pieces = [p["text"].to_pylist() for p in bounded(iter([batch, batch.slice(0, 0)]), 12, 3)]
+    assert sum(pieces, []) == texts
+    assert all(len(p) <= 3 for p in pieces)
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 12 for p in pieces)
+
+
+def test_no_worker_holds_a_whole_batch_of_texts():
+    """A task gives its results as it goes, not one frame for all texts of a batch."""
+    texts = [f"text number {n} of the batch with words " * 40 for n in range(5000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    order = jj.Order(np.zeros(jj.COUNTERS, np.int64))
+    posted = list(jj._post(order, 2, 5)(iter([batch])))
+    assert len(posted) >= 2 and all(b.num_rows <= 2 for b in posted)
+    described = list(jj._describe(5, ())(iter([batch])))
+    assert max(b.num_rows for b in described) <= jj.ROWS_HELD
+    assert sum(b.num_rows for b in described[:-1]) == len(texts)
+
+
+def test_sets_are_read_where_they_lie():
+    sets = [np.arange(n, dtype="<u8") * 7 for n in (3, 0, 5, 1)]
+    column = pa.array([s.tobytes() for s in sets], pa.binary())
+    for begin in (0, 1, 2):
+        found = jj._sets_in(column.slice(begin))
+        assert [f.tolist() for f in found] == [s.tolist() for s in sets[begin:]]

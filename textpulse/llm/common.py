@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +51,33 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def bounded(
+    batches: Iterator[pa.RecordBatch], characters: int, most_rows: int, text: str = "text"
+) -> Iterator[pa.RecordBatch]:
+    """The rows of some batches in pieces of so many characters, and so many rows, at most.
+
+    One longer text goes alone.
+    """
+    for batch in batches:
+        begin, size = 0, 0
+        lengths = pc.fill_null(pc.utf8_length(batch[text]), 0).to_pylist()
+        for end, length in enumerate(lengths):
+            if end > begin and (size + length > characters or end - begin == most_rows):
+                yield batch.slice(begin, end - begin)
+                begin, size = end, 0
+            size += length
+        if begin < len(lengths):
+            yield batch.slice(begin)
+
+
 def map_with_id(
-    rows: DataFrame, function: Callable, columns: str, names: tuple[str, ...] = ("doc_id",)
+    rows: DataFrame,
+    function: Callable,
+    columns: str,
+    names: tuple[str, ...] = ("doc_id",),
+    arrow: bool = False,
 ) -> DataFrame:
-    """``mapInPandas`` for rows with ids: they cross as text.
+    """``mapInPandas``, or ``mapInArrow``, for rows with ids: they cross as text.
 
     Whole numbers with nulls would become floating-point numbers in pandas, and long ids
     would be rounded.
@@ -60,5 +85,6 @@ def map_with_id(
     kinds = {name: rows.schema[name].dataType for name in names}
     as_text = rows.withColumns({name: F.col(name).cast("string") for name in names})
     head = ", ".join(f"{name} string" for name in names)
-    found = as_text.mapInPandas(function, f"{head}, {columns}")
+    through = as_text.mapInArrow if arrow else as_text.mapInPandas
+    found = through(function, f"{head}, {columns}")
     return found.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})

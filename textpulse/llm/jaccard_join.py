@@ -37,16 +37,18 @@ read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import WHITE_SPACE, map_with_id, quoted, written
+from textpulse.llm.common import WHITE_SPACE, bounded, map_with_id, quoted, written
 from textpulse.llm.components import components
 
 WORDS = 5
@@ -58,10 +60,13 @@ SLICES = 64
 POSTINGS_PER_BUCKET = 1_000_000
 HOT_DOCUMENTS = 200_000
 BLOCK_ENTRIES = 2_048
-BUCKET_BYTES = 2**27
+BUCKET_BYTES = 2**25
 FILTER_BITS = 2**24
 
 CHARS_AT_ONCE = 400_000
+# Characters and rows whose results a worker holds together.
+CHARACTERS_HELD = 4_000_000
+ROWS_HELD = 4_096
 PAIRS_AT_ONCE = 500_000
 HEAD = 16
 
@@ -249,12 +254,12 @@ class Order:
 def _describe(words: int, names: tuple[str, ...]):
     """Id, size, class and bitmap of each document, and at the end the task's token counts."""
 
-    def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
+        for batch in bounded(batches, CHARACTERS_HELD, ROWS_HELD):
             sizes, classes, bits = [], [], []
             waiting: list[np.ndarray] = []
-            for tokens in in_pieces(batch["text"], words):
+            for tokens in in_pieces(batch["text"].to_pylist(), words):
                 sizes.append(len(tokens))
                 classes.append(set_class(tokens))
                 bits.append(bitmap(tokens) if len(tokens) else None)
@@ -263,21 +268,29 @@ def _describe(words: int, names: tuple[str, ...]):
                     counts += _counted(waiting)
                     waiting = []
             counts += _counted(waiting)
-            yield pd.DataFrame(
+            yield pa.RecordBatch.from_pydict(
                 {**{name: batch[name] for name in names}, "size": sizes, "class": classes, "bits": bits,
-                 "slice": -1, "counts": None}
+                 "slice": [-1] * len(sizes), "counts": [None] * len(sizes)}, _described(names)
             )
         if counts.any():
             parts = counts.astype("<u4").reshape(SLICES, -1)
             used = [n for n in range(SLICES) if parts[n].any()]
-            yield pd.DataFrame(
-                {**dict.fromkeys(names), "size": -1, "class": 0, "bits": None,
-                 "slice": used, "counts": [parts[n].tobytes() for n in used]}
+            nothing = [None] * len(used)
+            yield pa.RecordBatch.from_pydict(
+                {**dict.fromkeys(names, nothing), "size": [-1] * len(used), "class": [0] * len(used),
+                 "bits": nothing, "slice": used, "counts": [parts[n].tobytes() for n in used]},
+                _described(names),
             )
 
     return described
 
 
+def _described(names: tuple[str, ...]) -> pa.Schema:
+    columns = {"size": pa.int32(), "class": pa.int64(), "bits": pa.binary()}
+    counts = {"slice": pa.int32(), "counts": pa.binary()}
+    return pa.schema({**dict.fromkeys(names, pa.string()), **columns, **counts})
+
+
 def _counted(sets: list[np.ndarray]) -> np.ndarray:
     if not sets:
         return np.zeros(COUNTERS, np.int64)
@@ -299,7 +312,7 @@ def describe(
     names = tuple(ids)
     rows = docs.select(*[quoted(c).alias(n) for n, c in ids.items()], quoted(text).alias("text"))
     columns = "size int, class long, bits binary, slice int, counts binary"
-    found = written(map_with_id(rows, _describe(words, names), columns, names), "sets")
+    found = written(map_with_id(rows, _describe(words, names), columns, names, arrow=True), "sets")
     slices = found.filter("slice >= 0").select("slice", "counts")
     # A fixed number of counters, whatever the corpus. Tasks meet slice by slice in two steps.
     parts = slices.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(32)))
@@ -321,11 +334,11 @@ def _summed(group: pd.DataFrame) -> pd.DataFrame:
 def _post(order: Order, buckets: int, words: int):
     """Prefix tokens of every class that a task meets, packed by bucket."""
 
-    def posted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in batches:
+        for batch in bounded(batches, CHARACTERS_HELD, ROWS_HELD):
             tokens, classes, sizes, places = [], [], [], []
-            for whole in in_pieces(batch["text"], words):
+            for whole in in_pieces(batch["text"].to_pylist(), words):
                 if not len(whole):
                     continue
                 name = set_class(whole)
@@ -347,9 +360,9 @@ def _post(order: Order, buckets: int, words: int):
             by_bucket = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
             pieces = np.split(by_bucket, cuts)
-            yield pd.DataFrame(
+            yield pa.RecordBatch.from_pydict(
                 {
-                    "bucket": [int(bucket[p[0]]) for p in pieces],
+                    "bucket": pa.array([int(bucket[p[0]]) for p in pieces], pa.int32()),
                     "token": [token[p].astype("<u8").tobytes() for p in pieces],
                     "class": [name[p].astype("<i8").tobytes() for p in pieces],
                     "size": [size[p].astype("<i4").tobytes() for p in pieces],
@@ -691,20 +704,30 @@ def _where(tokens: np.ndarray, others: np.ndarray) -> np.ndarray:
     return others[at] == tokens
 
 
-def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sets_in(column: pa.BinaryArray) -> list[np.ndarray]:
+    """The sets of a batch, as views of its memory."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    held = memoryview(column.buffers()[2] or b"")
+    return [
+        np.frombuffer(held[begin:end], "<u8") for begin, end in itertools.pairwise(ends.tolist())
+    ]
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links among pairs with their sets; rows come sorted so that like sets follow each other."""
     overlaps, last = Overlaps(), None
     for batch in batches:
         keep = np.zeros(len(batch), bool)
-        columns = (batch[c].array for c in ("a", "b", "set_a", "set_b"))
-        for n, (a, b, set_a, set_b) in enumerate(zip(*columns, strict=True)):
-            right = np.frombuffer(set_b, "<u8")
+        columns = (batch["a"].to_pylist(), batch["b"].to_pylist())
+        sets = (_sets_in(batch[c]) for c in ("set_a", "set_b"))
+        for n, (a, b, left, right) in enumerate(zip(*columns, *sets, strict=True)):
             if a != last:
-                overlaps.advance(np.frombuffer(set_a, "<u8"))
+                # Kept beyond the batch, whose memory is not.
+                overlaps.advance(left.copy())
                 last = a
             shared = overlaps.with_partner(b, right)
             keep[n] = shared >= least_overlap(len(overlaps.current), len(right))
-        yield batch.loc[keep, ["a", "b"]]
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -713,7 +736,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("class").alias("b"), F.col("items").alias("set_b"))
     rows = pairs.join(left, "a").join(right, "b")
     rows = rows.sortWithinPartitions("group_a", "a", "b").select("a", "b", "set_a", "set_b")
-    return rows.mapInPandas(_similar, "a long, b long")
+    return rows.mapInArrow(_similar, "a long, b long")
 
 
 def _passing(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -734,11 +757,11 @@ def _passing(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 def _chosen_sets(bits: np.ndarray, words: int):
     """Sets whose class may be wanted; the filter has a fixed size."""
 
-    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in batches:
+        for batch in bounded(batches, CHARACTERS_HELD, ROWS_HELD):
             names, items = [], []
-            for tokens in in_pieces(batch["text"], words):
+            for tokens in in_pieces(batch["text"].to_pylist(), words):
                 name = set_class(tokens)
                 bit = name % FILTER_BITS
                 if name in met or not (int(bits[bit >> 6]) >> (bit & 63)) & 1:
@@ -746,7 +769,9 @@ def _chosen_sets(bits: np.ndarray, words: int):
                 met.add(name)
                 names.append(name)
                 items.append(tokens.astype("<u8").tobytes())
-            yield pd.DataFrame({"class": pd.Series(names, dtype="int64"), "items": items})
+            if names:
+                columns = [pa.array(names, pa.int64()), pa.array(items, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["class", "items"])
 
     return chosen
 
@@ -765,7 +790,7 @@ def _wanted_bits(classes: DataFrame) -> np.ndarray:
 def _sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Sets of these classes."""
     wanted = wanted.select("class").distinct()
-    chosen = texts.mapInPandas(_chosen_sets(_wanted_bits(wanted), words), "class long, items binary")
+    chosen = texts.mapInArrow(_chosen_sets(_wanted_bits(wanted), words), "class long, items binary")
     # The filter lets some others pass.
     chosen = chosen.join(wanted, "class", "left_semi")
     return written(chosen.dropDuplicates(["class"]), "chosen")
@@ -846,7 +871,7 @@ def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> Dat
     total = described.agg(F.sum(F.col("size") / DENOMINATOR + 1)).first()[0] or 0
     buckets = int(total // POSTINGS_PER_BUCKET) + 1
     buckets = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = texts.mapInPandas(_post(order, buckets, words), _BLOCKS)
+    blocks = texts.mapInArrow(_post(order, buckets, words), _BLOCKS)
     index = blocks.groupBy("bucket").applyInPandas(_shared(order), _SHARED)
     index = written(index, "index")
 

@@ -37,11 +37,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from textpulse.llm.common import map_with_id, quoted
+from textpulse.llm.common import bounded, map_with_id, quoted
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
@@ -651,20 +649,6 @@ def _split_ids(vocab: Vocabulary, paths: list[np.ndarray]) -> list[np.ndarray]:
     return [vocab.ids(p) if p.max() >= vocab.size else p for p in paths]
 
 
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of some batches in pieces of so many characters, and so many rows, at most."""
-    for batch in batches:
-        begin, size = 0, 0
-        lengths = pc.fill_null(pc.utf8_length(batch["text"]), 0).to_pylist()
-        for end, length in enumerate(lengths):
-            if end > begin and (size + length > CHARACTERS_AT_ONCE or end - begin == ROWS_AT_ONCE):
-                yield batch.slice(begin, end - begin)
-                begin, size = end, 0
-            size += length
-        if begin < len(lengths):
-            yield batch.slice(begin)
-
-
 def _offsets(lengths: Iterable[int]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.fromiter(lengths, np.int64))]).astype(np.int32)
 
@@ -687,12 +671,11 @@ def _encoded_rows(
 ) -> DataFrame:
     """The id of each row with columns made of its encoding, a bounded piece of rows at a time."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocabulary_file, smoothing)
         store = PartStore(vocab)
-        for piece in _bounded(batches):
+        for piece in bounded(batches, CHARACTERS_AT_ONCE, ROWS_AT_ONCE):
             texts = [t or "" for t in piece["text"].to_pylist()]
             keys = piece["doc_id"].to_pylist()
             found = list(encode_texts(vocab, texts, keys, samples, seed, store))
@@ -700,9 +683,7 @@ def _encoded_rows(
                 {"doc_id": piece["doc_id"], **of_piece(vocab, texts, found)}
             )
 
-    as_text = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    result = as_text.mapInArrow(encoded, f"doc_id string, {columns}")
-    return result.withColumn("doc_id", F.col("doc_id").cast(kind))
+    return map_with_id(rows, encoded, columns, arrow=True)
 
 
 _ARRAYS = "array<struct<ids:array<int>,log_probability:double,log_inclusion:double>>"
