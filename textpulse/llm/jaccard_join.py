@@ -706,7 +706,9 @@ def _where(tokens: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 def _sets_in(column: pa.BinaryArray) -> list[np.ndarray]:
     """The sets of a batch, as views of its memory."""
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+    wide = pa.types.is_large_binary(column.type)
+    ends = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)
+    ends = ends[column.offset :][: len(column) + 1]
     held = memoryview(column.buffers()[2] or b"")
     return [
         np.frombuffer(held[begin:end], "<u8") for begin, end in itertools.pairwise(ends.tolist())
