@@ -1,11 +1,13 @@
 import re
+from pathlib import Path
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.support import documents
-from textpulse.llm.common import map_with_id, word_count, written
+from textpulse.llm.common import drop_written, map_with_id, result_only, word_count, written
 from textpulse.llm.jaccard_join import word_hashes
 from textpulse.llm.training import labelled_ids
 
@@ -45,6 +47,45 @@ def test_written_tables_go_to_the_shared_folder(spark):
         assert all(shared in path for path in found.inputFiles())
 
 
+def folder_of(table):
+    return Path(table.inputFiles()[0].removeprefix("file:")).parent
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    local = Path(list(disk.localDirsString())[0])
+    before = set(local.rglob("shuffle_*.data"))
+    rows = spark.range(20_000).repartition(7, "id").withColumn("text", F.repeat(F.lit("x"), 50))
+    found = written(rows, "test")
+    assert not set(local.rglob("shuffle_*.data")) - before
+    assert found.count() == 20_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_only_the_result_stays(spark):
+    inner, outer = [], []
+
+    @result_only
+    def doubled(rows):
+        inner.append(folder_of(written(rows, "test")))
+        return written(rows.unionByName(rows), "test")
+
+    @result_only
+    def counted(rows):
+        both = doubled(rows)
+        outer.append(folder_of(both))
+        gone = written(rows, "test")
+        drop_written(gone)
+        return written(both.groupBy("id").count(), "test")
+
+    found = counted(spark.range(3))
+    assert {tuple(r) for r in found.collect()} == {(0, 2), (1, 2), (2, 2)}
+    assert not any(path.exists() for path in inner + outer)
+    assert folder_of(doubled(spark.range(3))).exists()
+    with pytest.raises(ValueError, match="no written table"):
+        result_only(lambda: spark.range(3))()
+
+
 def test_labelled_sample_is_bounded_and_stable(spark):
     rows = [(n, n % 2) for n in range(200)] * 2 + [(500, 0), (500, 1), (None, 1), (501, None)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int")

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from tests.llm.support import EDGES, documents
+from textpulse.llm import common
 from textpulse.llm import jaccard_join as jj
 from textpulse.llm.common import bounded
 from textpulse.llm.components import components
@@ -331,6 +333,34 @@ def test_no_worker_holds_a_whole_batch_of_texts():
     assert sum(b.num_rows for b in described[:-1]) == len(texts)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_entries_with_a_partner_are_those_in_pairs(seed):
+    random = np.random.default_rng(seed)
+    n = 60 * seed
+    token, group = random.integers(0, 6, n), random.integers(0, 5, n)
+    size = random.integers(1, 60, n).astype(np.int32)
+    place = (size * random.random(n) * 0.35).astype(np.int32)
+    order = np.lexsort((size, token))
+    token, group, size, place = token[order], group[order], size[order], place[order]
+    expected = np.zeros(n, bool)
+    for name in np.unique(token):
+        rows = np.flatnonzero(token == name)
+        for i, j in jj.list_pairs(rows, group[rows], size[rows], place[rows], block=4):
+            expected[i] = expected[j] = True
+    assert (jj.has_partner(token, group, size, place) == expected).all()
+
+
+def test_only_the_result_stays_on_disk(spark, tmp_path, monkeypatch):
+    words = [f"w{n}" for n in range(60)]
+    rows = [(n, " ".join(words[n % 4 : 50 + n % 3]), None) for n in range(40)]
+    number = itertools.count()
+    monkeypatch.setattr(
+        common, "scratch_dir", lambda spark, purpose: str(tmp_path / f"{purpose}-{next(number)}")
+    )
+    check(spark, rows)
+    assert [path.name.split("-")[0] for path in tmp_path.iterdir()] == ["joined"]
+
+
 def test_sets_are_read_where_they_lie():
     sets = [np.arange(n, dtype="<u8") * 7 for n in (3, 0, 5, 1)]
     for kind in (pa.binary(), pa.large_binary()):

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textpulse.session import scratch_dir
+from textpulse.session import drop_folder, scratch_dir
 
 # Fixed value: the white space of the contracts, which is ASCII only.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -20,16 +24,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Fixed value: without it shuffle files stay until the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Folders of written tables, and the tables of the function that writes them.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_open_tables: ContextVar[list[DataFrame] | None] = ContextVar("open_tables", default=None)
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it has run."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Cuts lineage so that a lost executor costs its own tasks only, and fixes whatever a
-    second evaluation could change, such as row numbers. The folder goes when the session ends.
+    second evaluation could change, such as row numbers. What was shuffled for it goes at
+    once, the folder when the session ends or the table is dropped.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    _note(table)
+    return table
+
+
+def _note(table: DataFrame) -> None:
+    tables = _open_tables.get()
+    if tables is not None:
+        tables.append(table)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more."""
+    for table in tables:
+        drop_folder(table.sparkSession, _folders.pop(table))
+
+
+def result_only(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions that return a written table: others written on the way go at the end."""
+
+    @functools.wraps(function)
+    def tidied(*args, **named) -> DataFrame:
+        tables: list[DataFrame] = []
+        token = _open_tables.set(tables)
+        try:
+            result = function(*args, **named)
+        finally:
+            _open_tables.reset(token)
+        if result not in _folders:
+            raise ValueError(f"{function.__name__} returns no written table")
+        drop_written(*[table for table in tables if table is not result and table in _folders])
+        _note(result)
+        return result
+
+    return tidied
 
 
 def text_or_empty(name: str) -> Column:

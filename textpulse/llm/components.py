@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import written
+from textpulse.llm.common import drop_written, result_only, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,8 +31,9 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), digest).first())
 
 
+@result_only
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node with an edge; the component is its least node.
+    """(node, component) of every node with an edge, written; the component is its least node.
 
     Large-star and small-star rounds turn the edges (a, b) into one star per component. All
     steps are aggregates that reduce on the map side and equi-joins that Spark may split, so
@@ -43,12 +44,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges, "edges")
     state = _state(edges)
     while True:
+        before = edges
         edges = _small_star(_large_star(edges).filter("a != b").distinct()).distinct()
         edges = written(edges, "edges")
+        drop_written(before)
         after = _state(edges)
         if after == state:
             break
         state = after
     roots = edges.select(F.col("b").alias("node")).distinct()
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(roots.withColumn("component", F.col("node")))
+    return written(stars.unionByName(roots.withColumn("component", F.col("node"))), "components")

@@ -8,7 +8,8 @@ exact as any other).
 
 Index lists are skipped by their blocks: a list is sorted by set size, and a block passes over
 blocks outside its size range and over those whose least positions leave too few tokens after
-the shared one. Pairs that a list leaves are held against a bitmap of each set, whose
+the shared one. Entries of short lists that have no partner by these rules are left out before
+bitmaps go to the lists. Pairs that a list leaves are held against a bitmap of each set, whose
 differing bits are at most the differing tokens, so that only pairs which are similar or nearly
 so are candidates.
 
@@ -48,7 +49,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.common import WHITE_SPACE, bounded, map_with_id, quoted, written
+from textpulse.llm.common import (
+    WHITE_SPACE,
+    bounded,
+    drop_written,
+    map_with_id,
+    quoted,
+    result_only,
+    written,
+)
 from textpulse.llm.components import components
 
 WORDS = 5
@@ -489,6 +498,35 @@ def list_pairs(
                 yield names[rows[i]], names[columns[j]]
 
 
+def has_partner(
+    tokens: np.ndarray, groups: np.ndarray, sizes: np.ndarray, places: np.ndarray
+) -> np.ndarray:
+    """Which entries are in a pair of ``list_pairs``, for many lists at once.
+
+    Entries come sorted by token and size; each step holds all of them against the ones so
+    many places on.
+    """
+    found = np.zeros(len(tokens), bool)
+    reach = sizes * DENOMINATOR // NUMERATOR
+    at, step = np.arange(len(tokens)), 1
+    while len(at := at[at + step < len(tokens)]):
+        other = at + step
+        near = (tokens[at] == tokens[other]) & (sizes[other] <= reach[at])
+        at, other = at[near], other[near]
+        good = groups[at] != groups[other]
+        good &= possible(sizes[at], places[at], sizes[other], places[other])
+        found[at[good]] = found[other[good]] = True
+        step += 1
+    return found
+
+
+def _partnered(entries: pd.DataFrame) -> pd.DataFrame:
+    entries = entries.sort_values(["token", "size"], kind="stable")
+    columns = (entries[c].to_numpy() for c in ("token", "component", "size", "place"))
+    kept = entries[has_partner(*columns)]
+    return kept[["token", "class", "size", "place", "component"]]
+
+
 LEFT, RIGHT, WITHIN = 0, 1, 2
 
 
@@ -815,13 +853,19 @@ def _across(index: DataFrame, groups: DataFrame) -> DataFrame:
     return written(labelled.join(across, "token"), "labelled")
 
 
+@result_only
 def _candidates(labelled: DataFrame, marks: DataFrame, heads: DataFrame | None) -> DataFrame:
     """Candidates of all lists: a forest for each bucket, or with heads all of them."""
     short = labelled.filter(F.col("_entries") <= BLOCK_ENTRIES)
+    # Most entries have no partner by sizes, places and groups; only the others meet bitmaps.
+    least = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(short.count() // POSTINGS_PER_BUCKET + 1, least)
+    short = short.withColumn("_bucket", F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    short = short.groupBy("_bucket").applyInPandas(_partnered, f"{_SHARED}, component long")
+    short = written(short, "partnered")
     # Short lists share buckets, which grow in number with the bitmaps and heads in them.
     weight = short.agg(F.sum(F.col("size") / 2 + 16 * HEAD)).first()[0] or 0
-    buckets = int(weight // BUCKET_BYTES) + 1
-    buckets = max(buckets, int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(int(weight // BUCKET_BYTES) + 1, least)
     short = short.select(
         "token", "class", "size", "place", "component", F.lit(WITHIN).alias("side"),
         F.pmod(F.xxhash64("token"), F.lit(buckets)).alias("_bucket"),
@@ -834,6 +878,7 @@ def _candidates(labelled: DataFrame, marks: DataFrame, heads: DataFrame | None)
     return written(found.distinct(), "pairs")
 
 
+@result_only
 def _still_open(labelled: DataFrame, pairs: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
     """Entries of the groups that a refuted candidate hangs together with.
 
@@ -848,21 +893,38 @@ def _still_open(labelled: DataFrame, pairs: DataFrame, links: DataFrame, groups:
     apart = F.coalesce("now_a", "a") != F.coalesce("now_b", "b")
     refuted = refuted.filter(apart).select(F.col("group_a").alias("node"))
     ties = components(pairs.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
-    ties = written(ties, "ties")
     left = ties.join(refuted, "node", "left_semi").select("component").distinct()
     left = ties.join(left, "component", "left_semi").select(F.col("node").alias("component"))
     entries = labelled.join(left, "component", "left_semi")
     return written(entries.select("token", "class", "size", "place"), "open")
 
 
+@result_only
+def _linked(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Links among the pairs, written."""
+    return written(_links(pairs, _sets_of(_ends(pairs), texts, words)), "links")
+
+
+@result_only
 def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     """Groups after further links."""
     known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return written(components(known.unionByName(links)), "components")
+    return components(known.unionByName(links))
 
 
+@result_only
+def _led(index: DataFrame, marks: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Groups by the relations of sets to leaders."""
+    pairs = written(_passing(_leader_pairs(index), marks), "pairs")
+    return components(_linked(pairs.withColumn("group_a", F.col("b")), texts, words))
+
+
+@result_only
 def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> DataFrame:
-    """Ids of every row, given as new and old names, with the size and component of its set."""
+    """Ids of every row, given as new and old names, with the size and component of its set.
+
+    Tables written on the way go as soon as nothing reads them.
+    """
     spark = docs.sparkSession
     described, order = describe(docs, text, ids, words)
     texts = docs.select(quoted(text).alias("text"))
@@ -876,25 +938,21 @@ def _grouped(docs: DataFrame, text: str, ids: dict[str, str], words: int) -> Dat
     blocks = texts.mapInArrow(_post(order, buckets, words), _BLOCKS)
     index = blocks.groupBy("bucket").applyInPandas(_shared(order), _SHARED)
     index = written(index, "index")
-
-    # Relations to leaders.
-    pairs = written(_passing(_leader_pairs(index), marks), "pairs")
-    pairs = pairs.withColumn("group_a", F.col("b"))
-    links = written(_links(pairs, _sets_of(_ends(pairs), texts, words)), "links")
-    groups = written(components(links), "components")
+    groups = _led(index, marks, texts, words)
 
     # Forests of what the lists hold between groups.
     labelled = _across(index, groups)
+    drop_written(index)
     pairs = _candidates(labelled, marks, None)
-    links = written(_links(pairs, _sets_of(_ends(pairs), texts, words)), "links")
+    links = _linked(pairs, texts, words)
     merged = _merged(groups, links)
 
     # Every candidate where a forest has shown that groups may stay apart.
     rest = _still_open(labelled, pairs, links, merged)
+    drop_written(labelled, pairs, links)
     if not rest.isEmpty():
         pairs = _candidates(_across(rest, merged), marks, written(_heads(rest), "heads"))
-        links = _links(pairs, _sets_of(_ends(pairs), texts, words))
-        merged = _merged(merged, written(links, "links"))
+        merged = _merged(merged, _linked(pairs, texts, words))
 
     joined = described.join(merged.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.withColumn("_group", F.coalesce("component", "class"))

@@ -45,7 +45,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
     A single-process session without that setting gets one folder of its own, as in tests;
     a cluster has to name one, as executors do not see the driver's disk. The folder is
-    removed when the session's JVM ends.
+    removed when the session's JVM ends, if it has not been dropped before.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
@@ -60,6 +60,18 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder before the session ends."""
+    files, hadoop_path = _files_of(spark, path)
+    files.delete(hadoop_path, True)
+    files.cancelDeleteOnExit(hadoop_path)
+
+
 def _drop_at_exit(spark: SparkSession, path: str) -> None:
+    files, hadoop_path = _files_of(spark, path)
+    files.deleteOnExit(hadoop_path)
+
+
+def _files_of(spark: SparkSession, path: str) -> tuple:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
