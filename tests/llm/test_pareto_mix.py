@@ -88,3 +88,22 @@ def test_edge_rows_and_empty_table(spark):
     assert all(r.taken == 0 for r in found if r["size"] == 0)
     assert mix_documents(documents(spark, [])).count() == 0
     assert mix_rows(documents(spark, [])).count() == 0
+
+
+def test_whole_rows_are_those_of_the_sample(spark):
+    """Also with few bins' worth of rows, repeated and missing ids, and equal ranks at the cuts."""
+    random.seed(5)
+    ids = [None, *range(150)]
+    rows = [
+        (random.choice(ids), "w " * random.randrange(0, 9), random.choice("ab")) for _ in range(900)
+    ]
+    docs = documents(spark, rows).coalesce(1)
+    expected = Counter()
+    for r in mix_documents(docs).collect():
+        if r.copies:
+            expected[r.doc_id, r["size"]] += r.copies
+    mixed = mix_rows(docs)
+    assert Counter((r.doc_id, len(r.text.split())) for r in mixed.collect()) == expected
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert joins and not any("_row#" in x for x in joins)

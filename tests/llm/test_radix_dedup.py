@@ -5,6 +5,8 @@ from collections import defaultdict
 import pytest
 
 from tests.llm.support import EDGES, collected, documents
+from textpulse.llm import radix_dedup
+from textpulse.llm.common import written
 from textpulse.llm.radix_dedup import copy_groups, deduplicate, exact_duplicates
 
 
@@ -67,3 +69,18 @@ def test_order_of_input_does_not_matter(spark):
     one = collected(exact_duplicates(documents(spark, rows)))
     other = collected(exact_duplicates(documents(spark, rows[::-1]).repartition(5)))
     assert one == other
+
+
+def test_texts_move_once_with_whole_rows(spark):
+    """The plan of the first round holds the text in the row alone, not beside it as well."""
+    docs = documents(spark, [(n, f"text {n % 3}", "s") for n in range(30)])
+    plans = []
+
+    def noted(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, purpose)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(radix_dedup, "written", noted)
+        assert len(deduplicate(docs).collect()) == 3
+    assert "_input#" in plans[0] and "_plain#" not in plans[0]

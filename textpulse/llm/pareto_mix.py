@@ -123,8 +123,10 @@ def _with_left(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_left", F.greatest(left, F.lit(0))).drop("_so_far")
 
 
-def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds: int) -> DataFrame:
-    """Rows (doc_id, source, size, weight, _row and more) with their number of copies."""
+def _targets(
+    rows: DataFrame, weights: tuple[float, ...], share: float
+) -> tuple[DataFrame, int]:
+    """Targets and weights of each source, written, and the number of bins of ranks."""
     sources = rows.groupBy("source").agg(
         F.sum("size").alias("source_size"),
         F.sum(F.col("weight") * F.col("size")).alias("_weighted"),
@@ -138,6 +140,12 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
         F.col("source").eqNullSafe(F.col("_s")),
     ).drop("_s")
     targets = written(targets.withColumnRenamed("source", "_s"), "mix-targets")
+    bins = sources.agg((F.max("_rows") / ROWS_PER_BIN).alias("n")).first()["n"]
+    return targets, max(16, int(bins or 0))
+
+
+def _ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """Rows with their certain copies, and the rank by which one more is drawn."""
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     expected = F.when(
         F.col("_weighted") > 0, F.col("target") * F.col("weight") / F.col("_weighted")
@@ -157,11 +165,17 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
     # Without a fraction, or without room for one more copy, or without words: never drawn.
     can = (F.col("_certain") < MOST_COPIES) & (chance > 1e-9) & (F.col("size") > 0)
     rows = rows.withColumn("_rank", F.when(can, F.col("_rank")))
-    rows = rows.withColumn("_in", F.lit(False)).drop(
-        "_expected", "_weighted", "_mean_weight", "weight"
-    )
-    bins = sources.agg((F.max("_rows") / ROWS_PER_BIN).alias("n")).first()["n"]
-    bins = max(16, int(bins or 0))
+    return rows.drop("_expected", "_weighted", "_mean_weight", "weight")
+
+
+def _sampled(rows: DataFrame, targets: DataFrame, bins: int, rounds: int) -> DataFrame:
+    """Rows (doc_id, source, size, weight, _row and more) with their number of copies.
+
+    ``_limit`` holds the words that were left when a row was taken: one number for each round
+    of a source that takes rows, as every round leaves less.
+    """
+    rows = _ranked(rows, targets).withColumn("_in", F.lit(False))
+    rows = rows.withColumn("_limit", F.lit(None).cast("long"))
     drawn = rows.filter(F.col("_rank").isNotNull())
     others = rows.filter(F.col("_rank").isNull())
     # Each round uses the rows several times; from here on they are read and not made again.
@@ -169,11 +183,25 @@ def _sampled(rows: DataFrame, weights: tuple[float, ...], share: float, rounds:
     for _ in range(rounds):
         rows = _with_left(rows)
         able = F.col("_rank").isNotNull()
-        rows = _take(rows.filter(able), bins).unionByName(rows.filter(~able), True).drop("_left")
+        rows = _take(rows.filter(able), bins).unionByName(rows.filter(~able), True)
+        limit = F.coalesce("_limit", F.when(F.col("_in"), F.col("_left")))
+        rows = rows.withColumn("_limit", limit).drop("_left")
         rows = written(rows, "mix")
     return rows.withColumn("_copies", F.col("_certain") + F.col("_in").cast("long"))
 
 
+def _place() -> Column:
+    """What rows of a source are taken by, in this order; nulls come first as in windows."""
+    return F.struct("_rank", "doc_id", "size", "_row")
+
+
+def _cuts(sampled: DataFrame) -> DataFrame:
+    """The last row that each round of a source took, with the words that were left for it."""
+    last = sampled.filter("_in").groupBy(F.col("source").alias("_of"), "_limit")
+    last = last.agg(F.max(_place()).alias("last"))
+    return last.groupBy("_of").agg(F.collect_list(F.struct("_limit", "last")).alias("_rounds"))
+
+
 def _sized(docs: DataFrame, text: str, doc_id: str, source: str, weight: str | None, *more):
     chosen = F.lit(1.0) if weight is None else F.coalesce(quoted(weight).cast("double"), F.lit(0.0))
     return docs.select(
@@ -199,7 +227,8 @@ def mix_documents(
 ) -> DataFrame:
     """Words that the mix takes of each row, with its source's size and target."""
     rows = written(_sized(docs, text, doc_id, source, weight), "mix-sizes")
-    rows = _sampled(rows, weights, share, rounds)
+    targets, bins = _targets(rows, weights, share)
+    rows = _sampled(rows, targets, bins, rounds)
     return rows.select(
         "doc_id",
         "size",
@@ -221,11 +250,21 @@ def mix_rows(
     share: float = SHARE,
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """The mix itself: every row as often as it is taken, with all its columns."""
+    """The mix itself: every row as often as it is taken, with all its columns.
+
+    A round takes all rows up to a last one that have no more words than were left. So whole
+    rows are held against the last ones of their source, and texts stay where they are.
+    """
     whole = F.struct(*[quoted(name) for name in docs.columns]).alias("_input")
     rows = written(_sized(docs, text, doc_id, source, weight, whole), "mix-rows")
-    copies = _sampled(rows.drop("_input"), weights, share, rounds)
-    copies = copies.filter("_copies > 0").select("_row", "_copies")
-    rows = rows.select("_row", "_input").join(copies, "_row")
+    targets, bins = _targets(rows.drop("_input"), weights, share)
+    cuts = _cuts(_sampled(rows.drop("_input"), targets, bins, rounds))
+    targets = targets.join(cuts, F.col("_s").eqNullSafe(F.col("_of")), "left").drop("_of")
+    rows = _ranked(rows, written(targets, "mix-cuts"))
+    taken = F.exists(
+        "_rounds", lambda cut: (F.col("size") <= cut["_limit"]) & (_place() <= cut["last"])
+    )
+    taken = F.coalesce(F.col("_rank").isNotNull() & taken, F.lit(False))
+    rows = rows.withColumn("_copies", F.col("_certain") + taken.cast("long")).filter("_copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
     return rows.select("_input", times.alias("_nth")).select("_input.*")

@@ -64,21 +64,25 @@ def copy_groups(
     columns = [
         quoted(doc_id).alias("_id"),
         F.coalesce(F.length(quoted(text)), F.lit(0)).alias("_chars"),
-        plain.alias("_plain"),
+        F.octet_length(plain).alias("_length"),
+        F.substring(_bytes(plain), 1, first_digit).alias("_head"),
     ]
+    # The text moves once: with whole rows it is a part of them.
     if keep_rows:
         columns.append(F.struct(*[quoted(name) for name in docs.columns]).alias("_input"))
+        plain = normalised(F.col("_input").getField(text))
+    else:
+        columns.append(plain.alias("_plain"))
+        plain = F.col("_plain")
     rows = docs.select(*columns)
-    rows = rows.withColumn("_length", F.octet_length("_plain"))
-    rows = rows.withColumn("_head", F.substring(_bytes(F.col("_plain")), 1, first_digit))
 
     # Round zero moves lengths and first digits alone to find the shared ones.
     shared = rows.groupBy("_length", "_head").agg(F.count(F.lit(1)).alias("_members"))
     shared = shared.filter(F.col("_members") > 1)
     rows = rows.join(shared, ["_length", "_head"], "left")
-    rest = F.substring(_bytes(F.col("_plain")), first_digit + 1, TO_THE_END)
+    rest = F.substring(_bytes(plain), first_digit + 1, TO_THE_END)
     rows = rows.withColumn("_rest", F.when(F.col("_members").isNotNull(), rest))
-    rows = rows.withColumn("_sha256", F.sha2("_plain", 256)).drop("_plain", "_members")
+    rows = rows.withColumn("_sha256", F.sha2(plain, 256)).drop("_plain", "_members")
     rows = rows.withColumn("_row", F.monotonically_increasing_id())
     rows = written(rows, "radix")
 
