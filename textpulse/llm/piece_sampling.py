@@ -27,12 +27,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
-import itertools
 import math
 import re
 import zlib
-from collections.abc import Callable, Generator, Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -45,11 +44,13 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 SMOOTHING = 0.5
 SEED = 11
-TEXTS_TOGETHER = 64
 # In units of log probability.
 FAR_BELOW = 50.0
-# Parts whose walks are made together; one longer text goes alone.
-PARTS_TOGETHER = 60_000
+# Steps of a path that are looked at first.
+FIRST_STEPS = 384
+# Texts whose lattices are made and walked together, and their characters; one longer text goes alone.
+TEXTS_TOGETHER = 256
+LETTERS_TOGETHER = 400_000
 # Characters whose lattices are kept for the texts that follow; beyond that they start afresh.
 LETTERS_KEPT = 600_000
 # Characters and texts whose results are held together; one longer text goes alone.
@@ -59,6 +60,8 @@ ROWS_AT_ONCE = 5_000
 SPACE = "▁"
 _PARTS = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _LETTER_BITS = 21
+_LINE_BREAK, _BLANK = b"\n "
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -89,6 +92,10 @@ class Vocabulary:
                 self.text_of[n] = piece.replace(SPACE, " ")
                 plain.append(n)
         self.pieces = np.array(self.text_of, dtype=object)
+        spelling = [t.encode() for t in self.text_of]
+        for n in np.flatnonzero(self.is_byte).tolist():
+            spelling[n] = bytes([self.byte_value[n]])
+        self.spelling = pa.array(spelling, pa.large_binary())
         # Ids go by rank in the file, and a piece weighs one over its rank.
         self.weight = np.full(size, -math.log(size + 1.0)) * smoothing
         self.weight[plain] = -np.log(np.array(plain) - plain[0] + 2.0) * smoothing
@@ -103,11 +110,20 @@ class Vocabulary:
                     node_of[piece[:end]] = len(node_of)
                     arcs[node_of[piece[: end - 1]], ord(piece[end - 1])] = node_of[piece[:end]]
         keys = np.array([(a << _LETTER_BITS) + c for a, c in arcs], np.int64)
-        order = np.argsort(keys)
-        self.arc_key = keys[order]
-        self.arc_to = np.array(list(arcs.values()), np.int64)[order]
         self.inner = np.zeros(len(node_of), bool)
-        self.inner[self.arc_key >> _LETTER_BITS] = True
+        self.inner[keys >> _LETTER_BITS] = True
+        # Arcs in a hash table with open places, at most a quarter full.
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.arc_shift = np.uint64(64 - bits)
+        self.arc_key = np.full(1 << bits, -1, np.int64)
+        self.arc_to = np.full(1 << bits, -1, np.int32)
+        place, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.arc_key[place[left]] < 0]
+            self.arc_key[place[free]] = keys[free]
+            left = left[self.arc_key[place[left]] != keys[left]]
+            place[left] = (place[left] + 1) & (len(self.arc_key) - 1)
+        self.arc_to[place] = list(arcs.values())
         # Most searches start at the root: one look for common letters.
         self.root = np.full(2**16, -1, np.int64)
         for (parent, letter), node in arcs.items():
@@ -117,18 +133,36 @@ class Vocabulary:
         for n in plain:
             self.piece_at[node_of[self.text_of[n]]] = n
 
-    def ids(self, pieces: np.ndarray) -> np.ndarray:
-        """Ids of the file, with letters spelled in bytes."""
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _GOLDEN) >> self.arc_shift).astype(np.int64)
+
+    def follow(self, state: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The nodes that the letters lead to, -1 without an arc."""
+        keys = (state << _LETTER_BITS) + letters
+        place = self._place(keys)
+        found = self.arc_key[place]
+        other = np.flatnonzero((found != keys) & (found >= 0))
+        while len(other):
+            place[other] = (place[other] + 1) & (len(self.arc_key) - 1)
+            found = self.arc_key[place[other]]
+            other = other[(found != keys[other]) & (found >= 0)]
+        # An open place leads nowhere.
+        return self.arc_to[place]
+
+    def ids(self, pieces: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the file, with letters spelled in bytes, for lists of pieces one after another."""
         spelled = np.flatnonzero(pieces >= self.size)
         if not len(spelled):
-            return pieces
-        bytes_of = [chr(n - self.size).encode() for n in pieces[spelled].tolist()]
-        lengths = np.ones(len(pieces), np.int64)
-        lengths[spelled] = [len(b) for b in bytes_of]
-        out = np.repeat(pieces, lengths)
-        mask = np.repeat(pieces >= self.size, lengths)
-        out[mask] = self.byte_id[np.frombuffer(b"".join(bytes_of), np.uint8)]
-        return out
+            return pieces, lengths
+        letters = (pieces[spelled] - self.size).astype("<u4")
+        count = np.ones(len(pieces), np.int64)
+        count[spelled] = _byte_count(letters)
+        out = np.repeat(pieces, count)
+        mask = np.repeat(pieces >= self.size, count)
+        in_bytes = letters.tobytes().decode("utf-32-le").encode()
+        out[mask] = self.byte_id[np.frombuffer(in_bytes, np.uint8)]
+        upto = np.concatenate([[0], np.cumsum(count)])[np.cumsum(lengths)]
+        return out, np.diff(upto, prepend=0)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: spaces for space marks, letters for bytes, no leading space."""
@@ -143,6 +177,27 @@ class Vocabulary:
             parts[run[0]] = letters
         return "".join(parts.tolist())[1:]
 
+    def restores(self, ids: list[np.ndarray], texts: list[str]) -> list[bool]:
+        """Whether each list of ids is decoded to its text; all bytes are looked up at once."""
+        flat = np.concatenate([np.empty(0, np.int32), *ids])
+        spelled = self.spelling.take(pa.array(flat))
+        begins = np.frombuffer(spelled.buffers()[1], np.int64, len(flat) + 1)
+        cuts = begins[np.concatenate([[0], np.cumsum([len(i) for i in ids], dtype=np.int64)])].tolist()
+        written = spelled.buffers()[2].to_pybytes() if len(flat) else b""
+        restored = []
+        for n, text in enumerate(texts):
+            begin, end = cuts[n], cuts[n + 1]
+            given = b" " + text.encode() if text else b""
+            same = end - begin == len(given) and written.startswith(given, begin)
+            # Other bytes may still be read as the same letters.
+            restored.append(same or self.decode(ids[n]) == text)
+        return restored
+
+
+def _byte_count(letters: np.ndarray) -> np.ndarray:
+    """Bytes that letters are spelled in."""
+    return 1 + (letters >= 0x80) + (letters >= 0x800) + (letters >= 0x10000)
+
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str, smoothing: float) -> Vocabulary:
@@ -155,6 +210,25 @@ def split_text(text: str) -> list[str]:
     return _PARTS.findall(" " + text) if text else []
 
 
+def split_texts(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The parts of all texts one after another, and how many each text has."""
+    given = [b" " + text.encode() if text else b"" for text in texts]
+    sizes = np.fromiter(map(len, given), np.int64, len(given))
+    data = b"".join(given)
+    letters = np.frombuffer(data, np.uint8)
+    blank, broken = letters == _BLANK, letters == _LINE_BREAK
+    starts = broken.copy()
+    starts[1:] |= broken[:-1] | (blank[1:] & ~blank[:-1])
+    begins = np.cumsum(sizes) - sizes
+    starts[begins[sizes > 0]] = True
+    offsets = np.append(np.flatnonzero(starts), len(data))
+    parts = pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)
+    )
+    counts = np.diff(np.searchsorted(offsets[:-1], np.append(begins, len(data))))
+    return parts.dictionary_encode(), counts
+
+
 class Lattices:
     """The lattices of many parts in one set of arrays, to which more parts may be added.
 
@@ -210,23 +284,19 @@ class Lattices:
         depth = 0
         while len(at):
             if depth == 0 and letters.max() < len(vocab.root):
-                following = vocab.root[letters]
-                known = following >= 0
-                at, state = at[known], following[known]
+                state = vocab.root[letters]
             else:
-                key = (state << _LETTER_BITS) + letters[at + depth]
-                arc = np.minimum(np.searchsorted(vocab.arc_key, key), len(vocab.arc_key) - 1)
-                known = vocab.arc_key[arc] == key
-                at, state = at[known], vocab.arc_to[arc[known]]
+                state = vocab.follow(state, letters[at + depth])
+            known = np.flatnonzero(state >= 0)
+            at, state = at[known], state[known]
             depth += 1
             piece = vocab.piece_at[state]
-            whole = piece >= 0
+            whole = np.flatnonzero(piece >= 0)
             starts.append(at[whole])
             stops.append(at[whole] + depth)
-            pieces.append(piece[whole].astype(np.int64))
-            inside = np.flatnonzero(vocab.inner[state])
-            inside = inside[at[inside] + depth < ends[at[inside]]]
-            at, state = at[inside], state[inside]
+            pieces.append(piece[whole])
+            inside = np.flatnonzero(vocab.inner[state] & (at + depth < ends[at]))
+            at, state = at[inside], state[inside].astype(np.int64)
         covered = np.zeros(len(letters), bool)
         covered[starts[0]] = True
         bare = np.flatnonzero(~covered)
@@ -235,55 +305,63 @@ class Lattices:
         pieces.append(vocab.size + letters[bare])
         # Edges go in the order of nodes, the longest piece first: mostly the likeliest one, so
         # that most draws end at once. Every list is in the order of nodes already.
-        count = sum(np.bincount(x, minlength=len(letters)) for x in starts)
+        count = np.bincount(np.concatenate(starts), minlength=len(letters))
         first_edge = np.cumsum(count) - count
-        start, stop, piece = (np.empty(int(count.sum()), np.int64) for _ in range(3))
+        start = np.repeat(np.arange(len(letters)), count)
+        stop, piece = np.empty(len(start), np.int64), np.empty(len(start), np.int32)
         free = first_edge.copy()
         for nodes, ends_at, found in zip(starts[::-1], stops[::-1], pieces[::-1], strict=True):
-            start[free[nodes]], stop[free[nodes]], piece[free[nodes]] = nodes, ends_at, found
-            free[nodes] += 1
+            place = free[nodes]
+            stop[place], piece[place] = ends_at, found
+            free[nodes] = place + 1
         weight = vocab.weight[np.minimum(piece, vocab.size - 1)]
         spelled = np.flatnonzero(piece >= vocab.size)
-        letter = piece[spelled] - vocab.size
-        n_bytes = 1 + (letter >= 0x80) + (letter >= 0x800) + (letter >= 0x10000)
-        weight[spelled] = vocab.byte_weight * n_bytes
+        weight[spelled] = vocab.byte_weight * _byte_count(piece[spelled] - vocab.size)
 
         # From the ends backwards: nodes at the same distance from their part's end together.
-        # Node ``len(letters)`` stands for every end.
+        # Nodes, and edges with them, lie in the order of that distance meanwhile. Node
+        # ``len(letters)`` stands for every end.
         target = np.where(stop == ends[start], len(letters), stop)
+        distance = ends - np.arange(len(letters))
+        if lengths.max() < 2**16:
+            distance = distance.astype(np.uint16)  # sorted by radix
+        order = np.argsort(distance, kind="stable")
+        rank = np.empty(len(letters) + 1, np.int64)
+        rank[order] = np.arange(len(letters))
+        rank[-1] = len(letters)
+        counts = count[order]
+        edges = _ranges(first_edge[order], counts)
+        weights, targets = weight[edges], rank[target[edges]]
         mass = np.zeros(len(letters) + 1)
         best = np.zeros(len(letters) + 1)
+        value = np.empty(len(edges))
+        best_value = np.empty(len(edges))
+        cuts = [0, *(np.flatnonzero(np.diff(distance[order])) + 1).tolist(), len(letters)]
+        firsts = np.concatenate([[0], np.cumsum(counts)])
+        edge_cuts = firsts[cuts].tolist()
+        for n in range(len(cuts) - 1):
+            nodes, own = slice(cuts[n], cuts[n + 1]), slice(edge_cuts[n], edge_cuts[n + 1])
+            first = firsts[nodes] - edge_cuts[n]
+            to = targets[own]
+            values = np.add(weights[own], mass[to], out=value[own])
+            top = np.maximum.reduceat(values, first)
+            share = np.exp(values - np.repeat(top, counts[nodes]))
+            mass[nodes] = top + np.log(np.add.reduceat(share, first))
+            values = np.add(weights[own], best[to], out=best_value[own])
+            best[nodes] = np.maximum.reduceat(values, first)
         log = np.empty(len(start))
-        best_edge = np.zeros(len(letters), np.int64)
-        distance = (ends - np.arange(len(letters)))[start]
-        if lengths.max() < 2**16:
-            distance = distance.astype(np.uint16)  # sorted by radix
-        by_distance = np.argsort(distance, kind="stable")
-        cuts = np.flatnonzero(np.diff(distance[by_distance])) + 1
-        for edges in np.split(by_distance, cuts):
-            node = start[edges]
-            first = np.concatenate([[0], np.flatnonzero(np.diff(node)) + 1])
-            size = np.diff(np.concatenate([first, [len(edges)]]))
-            value = weight[edges] + mass[target[edges]]
-            top = np.maximum.reduceat(value, first)
-            share = np.exp(value - np.repeat(top, size))
-            total = np.add.reduceat(share, first)
-            mass[node[first]] = top + np.log(total)
-            log[edges] = value - np.repeat(mass[node[first]], size)
-            value = weight[edges] + best[target[edges]]
-            top = np.maximum.reduceat(value, first)
-            best[node[first]] = top
-            # Of equal paths the one with the longest first piece.
-            winners = np.flatnonzero(value == np.repeat(top, size))[::-1]
-            best_edge[node[winners]] = edges[winners]
+        log[edges] = value - np.repeat(mass[:-1], counts)
+        # Of equal paths the one with the longest first piece.
+        winners = np.flatnonzero(best_value == np.repeat(best[:-1], counts))[::-1]
+        best_edge = np.empty(len(letters), np.int64)
+        winners = edges[winners]
+        best_edge[start[winners]] = winners
         running = np.cumsum(np.exp(log))
         before = np.concatenate([[0.0], running])[first_edge]
-        upto = running - before[start]
+        upto = running - np.repeat(before, count)
         upto[first_edge + count - 1] = 2.0
-        best_path, owner = _follow(
-            base, np.where(target == len(letters), -1, target), lambda who, at, step: best_edge[at]
-        )
-        best_count = np.bincount(owner, minlength=len(texts))
+        target = np.where(target == len(letters), -1, target)
+        best_path, best_count = _follow(base, target, lambda who, at, step: best_edge[at])
 
         self._append(
             self.parts,
@@ -296,7 +374,7 @@ class Lattices:
             self.edges,
             node=start + self.letters,
             upto=upto,
-            to=np.where(target == len(letters), -1, target + self.letters),
+            to=np.where(target < 0, -1, target + self.letters),
             log=log,
             piece=piece,
         )
@@ -342,7 +420,7 @@ class Lattices:
         return self.best[_ranges(self.best_first[parts], self.best_count[parts])]
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Draw a path from every node to its part's end; the keys seed the draws."""
+        """Paths drawn from every node to its part's end; the keys seed the draws."""
 
         def drawn(who: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
             edge = self.first[at]
@@ -365,7 +443,7 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 def _follow(
     nodes: np.ndarray, to: np.ndarray, choose: Callable[[np.ndarray, np.ndarray, int], np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from every node to its part's end in order, and which node each belongs to."""
+    """Edges from every node to its part's end in order, and how many each node has."""
     who = np.flatnonzero(nodes >= 0)
     at = nodes[who]
     steps: list[tuple[np.ndarray, np.ndarray]] = []
@@ -381,14 +459,17 @@ def _follow(
     taken = np.empty(int(length.sum()), np.int64)
     for step, (who, edge) in enumerate(steps):
         taken[offset[who] + step] = edge
-    return taken, np.repeat(np.arange(len(nodes)), length)
+    return taken, length
 
 
 def _scrambled(values: np.ndarray) -> np.ndarray:
-    values = values * np.uint64(0x9E3779B97F4A7C15)
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    values = values * _GOLDEN
+    values ^= values >> np.uint64(30)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
 
 
 def _uniform(keys: np.ndarray) -> np.ndarray:
@@ -406,10 +487,9 @@ class Sample:
     log_inclusion: float = 0.0
 
 
-def _truncated(location: np.ndarray, bound: float, random: np.random.Generator) -> np.ndarray:
-    """Gumbel variables of these locations, each no higher than the bound."""
-    noise = np.log(random.standard_exponential(np.shape(location)))
-    return -np.logaddexp(-bound, noise - location)
+def _truncated(location: np.ndarray, bound: np.ndarray, exponential: np.ndarray) -> np.ndarray:
+    """Gumbel variables of these locations, each no higher than its bound."""
+    return -np.logaddexp(-bound, np.log(exponential) - location)
 
 
 def _log_rest(log_share: np.ndarray) -> np.ndarray:
@@ -418,87 +498,132 @@ def _log_rest(log_share: np.ndarray) -> np.ndarray:
     return np.where(rest > 1e-12, np.log(np.maximum(rest, 1e-12)), -np.inf)
 
 
-Search = Generator[np.ndarray, tuple[np.ndarray, np.ndarray], list["Sample"]]
+@dataclass
+class _Path:
+    """Edges of a segmentation, their log probabilities and the sums before the first steps."""
 
+    edges: np.ndarray
+    logs: np.ndarray
+    sums: np.ndarray
 
-def _search(
-    lattices: Lattices, parts: np.ndarray, k: int, random: np.random.Generator
-) -> Search:
-    """The search for one text. It asks for walks from nodes and is sent their paths."""
-    starts = lattices.base[parts]
-    samples: list[Sample] = []
-    paths: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    # Regions: (-maximum, number, path, step, edges left at that step).
-    queue: list[tuple[float, int, int, int, np.ndarray]] = []
-    numbers = iter(range(1 << 62))
 
-    def settle(edges: np.ndarray, owner: np.ndarray, fresh: int, bound: float) -> None:
-        """Record a path; the steps from ``fresh`` on leave regions behind."""
-        logs = lattices.log[edges]
+@dataclass
+class _Search:
+    """The search for one text, between the walks of a turn."""
+
+    starts: np.ndarray
+    random: np.random.Generator
+    nodes: np.ndarray
+    bound: float
+    paths: list[_Path] = field(default_factory=list)
+    samples: list[Sample] = field(default_factory=list)
+    # Regions: (-maximum, number, path, step, edges left at that step or None for all but the path's).
+    queue: list[tuple[float, int, int, int, np.ndarray | None]] = field(default_factory=list)
+    numbers: int = 0
+    # The path that is followed up to the edge which the walks continue, if any.
+    before: _Path | None = None
+    step: int = 0
+    taken: int = 0
+
+    def push(self, highest: float, path: int, step: int, left: np.ndarray | None) -> None:
+        heapq.heappush(self.queue, (-highest, self.numbers, path, step, left))
+        self.numbers += 1
+
+    def join(self, tail: np.ndarray, logs: np.ndarray, log: np.ndarray) -> int:
+        """Take a walked tail as the next path; its steps from the one returned on are new."""
+        if self.before is None:
+            self.paths.append(_Path(tail, logs, tail))
+            return 0
+        at = slice(0, self.step)
+        self.paths.append(
+            _Path(
+                np.concatenate([self.before.edges[at], [self.taken], tail]),
+                np.concatenate([self.before.logs[at], [log[self.taken]], logs]),
+                tail,
+            )
+        )
+        return self.step + 1
+
+    def first_steps(self, fresh: int, k: int) -> np.ndarray:
+        """Logs of the new steps that can be among the k highest; the sums reach as far."""
         # A region's maximum is never 40 above its location (noise has 64 bits), so regions
         # that far below k others cannot be among the highest k: the first steps suffice.
-        reach, step, sums = fresh, 384, np.zeros(1)
+        path = self.paths[-1]
+        reach, step = fresh, FIRST_STEPS
         while True:
-            reach, step = min(reach + step, len(edges)), 4 * step
-            sums = np.concatenate([[0.0], np.cumsum(logs[:reach])])
-            rest = sums[fresh:-1] + _log_rest(logs[fresh:reach])
-            if reach == len(edges):
+            reach, step = min(reach + step, len(path.edges)), 4 * step
+            sums = np.empty(reach + 1)
+            sums[0] = 0.0
+            np.cumsum(path.logs[:reach], out=sums[1:])
+            path.sums = sums
+            if reach == len(path.edges):
                 break
-            known = np.partition(rest, -k)[-k] if len(rest) >= k else -np.inf
-            if sums[-1] < known - FAR_BELOW:
-                break
-        paths.append((edges, owner, sums))
-        samples.append(Sample(edges, float(logs.sum()), bound))
-        highest = _truncated(rest, bound, random) if len(rest) else rest
-        steps = np.flatnonzero(np.isfinite(rest))
-        if len(steps) > k:
-            steps = steps[np.argpartition(-highest[steps], k - 1)[:k]]
-        for step in steps.tolist():
-            taken = int(edges[fresh + step])
-            node = int(lattices.node[taken])
+            if reach - fresh >= k:
+                rest = sums[fresh:-1] + _log_rest(path.logs[fresh:reach])
+                if sums[-1] < np.partition(rest, -k)[-k] - FAR_BELOW:
+                    break
+        return path.logs[fresh:reach]
+
+    def descend(self, lattices: Lattices) -> None:
+        """Enter the highest region: its next edge, and the nodes to walk from."""
+        highest, _, number, step, left = heapq.heappop(self.queue)
+        self.bound = -highest
+        path = self.paths[number]
+        if left is None:
+            node = int(lattices.node[path.edges[step]])
             first = int(lattices.first[node])
             left = np.arange(first, first + int(lattices.count[node]))
-            heapq.heappush(
-                queue,
-                (-float(highest[step]), next(numbers), len(paths) - 1, fresh + step, left[left != taken]),
-            )
-
-    edges, owner = yield starts
-    top = -math.log(random.standard_exponential())
-    settle(edges, owner, 0, top)
-    while queue and len(samples) < k:
-        highest, _, path, step, left = heapq.heappop(queue)
-        bound = -highest
-        edges, owner, sums = paths[path]
+            left = left[left != path.edges[step]]
         logs = lattices.log[left]
         shares = np.exp(logs - logs.max())
-        nth = int(np.searchsorted(np.cumsum(shares), random.random() * shares.sum(), side="right"))
-        nth = min(nth, len(left) - 1)
-        taken, others = int(left[nth]), np.delete(left, nth)
-        if len(others):
-            mass = float(sums[step] + np.logaddexp.reduce(lattices.log[others]))
-            again = float(_truncated(np.array(mass), bound, random))
-            heapq.heappush(queue, (-again, next(numbers), path, step, others))
-        here = int(owner[step])
-        nodes = np.concatenate([[lattices.to[taken]], starts[here + 1 :]])
-        tail, tail_owner = yield nodes
-        settle(
-            np.concatenate([edges[:step], [taken], tail]),
-            np.concatenate([owner[:step], [here], tail_owner + here]),
-            step + 1,
-            bound,
-        )
-    threshold = -queue[0][0] if queue else -math.inf
-    for sample in samples:
-        gap = sample.log_probability - threshold
-        # log(1 - exp(-exp(gap))), which is the gap itself where that is far below zero.
-        if gap < -30:
-            sample.log_inclusion = gap
-        elif gap > 3.6:
-            sample.log_inclusion = 0.0
-        else:
-            sample.log_inclusion = math.log(-math.expm1(-math.exp(gap)))
-    return samples
+        chance = self.random.random() * shares.sum()
+        nth = min(int(np.searchsorted(np.cumsum(shares), chance, side="right")), len(left) - 1)
+        self.taken = int(left[nth])
+        if len(left) > 1:
+            others = left[left != self.taken]
+            mass = path.sums[step] + np.logaddexp.reduce(lattices.log[others])
+            again = _truncated(mass, self.bound, self.random.standard_exponential())
+            self.push(float(again), number, step, others)
+        here = int(np.count_nonzero(lattices.to[path.edges[:step]] < 0))
+        self.before, self.step = path, step
+        self.nodes = np.concatenate([[lattices.to[self.taken]], self.starts[here + 1 :]])
+
+    def finish(self) -> list[Sample]:
+        """The samples, with their inclusion by the next highest region."""
+        threshold = -self.queue[0][0] if self.queue else -math.inf
+        for sample in self.samples:
+            gap = sample.log_probability - threshold
+            # log(1 - exp(-exp(gap))), which is the gap itself where that is far below zero.
+            if gap < -30:
+                sample.log_inclusion = gap
+            elif gap > 3.6:
+                sample.log_inclusion = 0.0
+            else:
+                sample.log_inclusion = math.log(-math.expm1(-math.exp(gap)))
+        return self.samples
+
+
+def _settle(searches: list[_Search], fresh: list[int], k: int) -> None:
+    """Record the last path of every search; its new steps leave regions behind."""
+    logs = [search.first_steps(at, k) for search, at in zip(searches, fresh, strict=True)]
+    sizes = [len(steps) for steps in logs]
+    cuts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
+    rest = np.concatenate([s.paths[-1].sums[at:-1] for s, at in zip(searches, fresh, strict=True)])
+    rest += _log_rest(np.concatenate(logs))
+    exponential = np.empty(len(rest))
+    for n, search in enumerate(searches):
+        search.random.standard_exponential(out=exponential[cuts[n] : cuts[n + 1]])
+    bounds = np.repeat([search.bound for search in searches], sizes)
+    # Nothing is lowest where nothing is left.
+    lowness = -_truncated(rest, bounds, exponential)
+    for n, search in enumerate(searches):
+        path = search.paths[-1]
+        search.samples.append(Sample(path.edges, float(path.logs.sum()), search.bound))
+        own = lowness[cuts[n] : cuts[n + 1]]
+        steps = np.arange(len(own)) if len(own) <= k else np.argpartition(own, k - 1)[:k]
+        for step, low in zip(steps.tolist(), own[steps].tolist(), strict=True):
+            if low < math.inf:
+                search.push(-low, len(search.paths) - 1, fresh[n] + step, None)
 
 
 def top_segmentations(
@@ -509,32 +634,34 @@ def top_segmentations(
     Texts are given as the numbers of their parts, and random numbers come from their keys
     alone. The searches go in step, so that the walks of many texts are made as one.
     """
-    seeds = [row_seed(key, seed) for key in keys]
-    found: list[list[Sample]] = [[] for _ in texts]
-    waiting: list[tuple[int, Search, np.ndarray]] = []
+    seeds = np.array([row_seed(key, seed) for key in keys], np.uint64)
+    searches = []
     for n, parts in enumerate(texts):
-        search = _search(lattices, parts, k, np.random.Generator(np.random.PCG64(seeds[n])))
-        waiting.append((n, search, next(search)))
+        starts = lattices.base[parts]
+        random = np.random.Generator(np.random.PCG64(int(seeds[n])))
+        searches.append(_Search(starts, random, starts, -math.log(random.standard_exponential())))
+    waiting = list(range(len(searches)))
     turn = 0
     while waiting:
-        sizes = np.array([len(nodes) for *_, nodes in waiting])
+        going = [searches[n] for n in waiting]
+        sizes = np.array([len(search.nodes) for search in going])
         offsets = np.cumsum(sizes) - sizes
-        turns = np.array([seeds[n] for n, *_ in waiting], np.uint64) + np.uint64(turn)
+        turns = _scrambled(seeds[waiting] + np.uint64(turn))
         place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
-        walk_keys = _scrambled(np.repeat(_scrambled(turns), sizes) + place.astype(np.uint64))
-        edges, owner = lattices.walk(np.concatenate([nodes for *_, nodes in waiting]), walk_keys)
-        cuts = np.searchsorted(owner, np.append(offsets, sizes.sum()))
-        still = []
-        for at, (n, search, _) in enumerate(waiting):
-            own = slice(cuts[at], cuts[at + 1])
-            try:
-                nodes = search.send((edges[own], owner[own] - offsets[at]))
-                still.append((n, search, nodes))
-            except StopIteration as end:
-                found[n] = end.value
-        waiting = still
+        walk_keys = _scrambled(np.repeat(turns, sizes) + place.astype(np.uint64))
+        edges, length = lattices.walk(np.concatenate([s.nodes for s in going]), walk_keys)
+        logs = lattices.log[edges]
+        cuts = np.concatenate([[0], np.cumsum(length)])[np.append(offsets, sizes.sum())].tolist()
+        fresh = [
+            search.join(edges[a:b], logs[a:b], lattices.log)
+            for search, a, b in zip(going, cuts[:-1], cuts[1:], strict=True)
+        ]
+        _settle(going, fresh, k)
+        waiting = [n for n in waiting if searches[n].queue and len(searches[n].samples) < k]
+        for n in waiting:
+            searches[n].descend(lattices)
         turn += 1
-    return found
+    return [search.finish() for search in searches]
 
 
 def row_seed(key: object, seed: int) -> int:
@@ -579,28 +706,38 @@ class PartStore:
         self.number = _Numbers((names[old], new) for new, old in enumerate(stay.tolist()))
         self.met = self.met[stay]
 
-    def take(self, texts: Iterator[str]) -> list[np.ndarray]:
-        """Numbers of the parts of the next texts, some ten thousand parts at once."""
+    def take(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of the parts of the next texts."""
         if self.lattices.letters > LETTERS_KEPT:
             self._shrink()
         known = len(self.number)
-        number = self.number.__getitem__
-        found: list[np.ndarray] = []
-        size = 0
-        for text in itertools.islice(texts, TEXTS_TOGETHER):
-            parts = split_text(text)
-            found.append(np.fromiter(map(number, parts), np.int64, len(parts)))
-            size += len(parts)
-            if size >= PARTS_TOGETHER:
-                break
-        fresh = list(itertools.islice(reversed(self.number), len(self.number) - known))
+        parts, counts = split_texts(texts)
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        fresh = [names[n] for n in np.flatnonzero(numbers >= known).tolist()]
         if fresh:
-            self.lattices.add(fresh[::-1])
-        if size:
-            met = np.bincount(np.concatenate(found), minlength=len(self.number))
-            met[:known] += self.met
+            self.lattices.add(fresh)
+        places = parts.indices.to_numpy()
+        if names:
+            met = np.zeros(len(self.number), np.int64)
+            met[:known] = self.met
+            met[numbers] += np.bincount(places, minlength=len(names))
             self.met = met
-        return found
+        return np.split(numbers[places], np.cumsum(counts)[:-1])
+
+
+def _groups(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in order, as many together as the limits allow."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        if group and (len(group) == TEXTS_TOGETHER or size + len(text) > LETTERS_TOGETHER):
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
 
 
 def encode_texts(
@@ -613,9 +750,9 @@ def encode_texts(
 ) -> Iterator[Encoded]:
     """Encode texts in order; a store keeps the work on parts for further calls."""
     store = store or PartStore(vocab)
-    waiting = (text or "" for text in texts)
     begin = 0
-    while group := store.take(waiting):
+    for together in _groups(text or "" for text in texts):
+        group = store.take(together)
         lattices = store.lattices
         filled = [n for n, place in enumerate(group) if len(place)]
         drawn: dict[int, list[Sample]] = {}
@@ -643,10 +780,10 @@ def _split_ids(vocab: Vocabulary, paths: list[np.ndarray]) -> list[np.ndarray]:
     """Ids of the file for the pieces of each path."""
     if not paths:
         return []
-    pieces = np.concatenate(paths)
-    if pieces.max() < vocab.size:
-        return paths
-    return [vocab.ids(p) if p.max() >= vocab.size else p for p in paths]
+    lengths = np.fromiter(map(len, paths), np.int64, len(paths))
+    ids, lengths = vocab.ids(np.concatenate(paths), lengths)
+    ends = np.cumsum(lengths).tolist()
+    return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _offsets(lengths: Iterable[int]) -> np.ndarray:
@@ -766,12 +903,13 @@ def segmentation_report(
         def of_samples(values: Iterable, kind: pa.DataType) -> pa.ListArray:
             return pa.ListArray.from_arrays(of_text, pa.array(values, kind))
 
-        pairs = list(zip(texts, found, strict=True))
+        drawn_from = [given for given, e in zip(texts, found, strict=True) for _ in e.samples]
+        right = iter(vocab.restores([ids for ids, _ in drawn], drawn_from))
         return {
             "ids": _id_lists([e.ids for e in found]),
             "n_pieces": pa.array([len(e.ids) for e in found], pa.int64()),
             "ids_crc32": pa.array([_digest(e.ids) for e in found], pa.int64()),
-            "restored": pa.array([vocab.decode(e.ids) == given for given, e in pairs]),
+            "restored": pa.array(vocab.restores([e.ids for e in found], texts), pa.bool_()),
             "samples": pa.array([len(e.samples) for e in found], pa.int64()),
             "sample_pieces": of_samples([len(ids) for ids, _ in drawn], pa.int64()),
             "sample_crc32": of_samples([_digest(ids) for ids, _ in drawn], pa.int64()),
@@ -781,7 +919,7 @@ def segmentation_report(
             "sample_log_inclusion": of_samples([s.log_inclusion for _, s in drawn], pa.float64()),
             "sample_ids": pa.ListArray.from_arrays(of_text, _id_lists([ids for ids, _ in drawn])),
             "samples_restored": pa.array(
-                [all(vocab.decode(ids) == given for ids, _ in e.samples) for given, e in pairs]
+                [all([next(right) for _ in e.samples]) for e in found], pa.bool_()
             ),
         }
 
