@@ -163,3 +163,48 @@ def test_a_store_that_lets_parts_go_changes_nothing(vocab, monkeypatch):
     monkeypatch.setattr(ps, "LETTERS_KEPT", 60)
     monkeypatch.setattr(ps, "TEXTS_TOGETHER", 5)
     assert found() == expected
+
+
+def test_parts_of_many_texts_are_those_of_each():
+    texts = ["", "  two  ", "a\n\n b", "x ", " ", "\n", "été 漢\n ñ", "end", "", "end"]
+    parts, counts = ps.split_texts(texts)
+    assert counts.tolist() == [len(ps.split_text(text)) for text in texts]
+    assert parts.to_pylist() == [part for text in texts for part in ps.split_text(text)]
+    assert ps.split_texts(["", ""])[1].tolist() == [0, 0]
+
+
+def test_restored_texts_are_told_in_one_look(vocab, monkeypatch):
+    texts = ["one été", "", "漢 x", "two"]
+    ids = [e.ids for e in ps.encode_texts(vocab, texts, [0] * 4)]
+    broken = np.append(vocab.byte_id[[0xE6]], ids[3]).astype(np.int32)
+    others = [*ids[:3], broken]
+    assert vocab.restores(others, texts) == [True, True, True, False]
+    # Bytes that are no letter are read as a replacement, as decoding does.
+    lone = np.concatenate([ids[3], vocab.byte_id[[0xE6]]]).astype(np.int32)
+    assert vocab.restores([lone], [vocab.decode(lone)]) == [True]
+    monkeypatch.setattr(ps.Vocabulary, "decode", None)
+    assert vocab.restores(ids, texts) == [True] * 4
+    assert vocab.restores([], []) == []
+
+
+def test_searches_of_many_texts_go_in_step(vocab, monkeypatch):
+    walks = []
+    walk = ps.Lattices.walk
+    monkeypatch.setattr(ps.Lattices, "walk", lambda self, *a: walks.append(1) or walk(self, *a))
+    texts = [f"the word{n} of texts" for n in range(300)]
+    assert len(list(ps.encode_texts(vocab, texts, list(range(300))))) == 300
+    assert len(walks) == ps.SAMPLES
+
+
+def test_steps_far_below_change_nothing(vocab, monkeypatch):
+    texts = ["the other word was " * 200, "a", "xyz " * 90]
+
+    def found():
+        return [
+            [(ids.tolist(), s.perturbed, s.log_inclusion) for ids, s in e.samples]
+            for e in ps.encode_texts(vocab, texts, [1, 2, 3])
+        ]
+
+    expected = found()
+    monkeypatch.setattr(ps, "NEAR_STEPS", 10_000)
+    assert found() == expected

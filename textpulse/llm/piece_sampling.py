@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import math
 import re
 import zlib
@@ -48,11 +49,14 @@ SEED = 11
 FAR_BELOW = 50.0
 # Steps of a path that are looked at first.
 FIRST_STEPS = 384
-# Texts whose lattices are made and walked together, and their characters; one longer text goes alone.
-TEXTS_TOGETHER = 256
-LETTERS_TOGETHER = 400_000
+NEAR_STEPS = 64
+# Texts that are walked together, and their characters; one longer text goes alone.
+TEXTS_TOGETHER = 1_000
+LETTERS_TOGETHER = 1_000_000
+# New parts whose lattices are made together.
+PARTS_TOGETHER = 10_000
 # Characters whose lattices are kept for the texts that follow; beyond that they start afresh.
-LETTERS_KEPT = 600_000
+LETTERS_KEPT = 1_200_000
 # Characters and texts whose results are held together; one longer text goes alone.
 CHARACTERS_AT_ONCE = 1_000_000
 ROWS_AT_ONCE = 5_000
@@ -263,7 +267,7 @@ class Lattices:
         for name, values in columns.items():
             held = getattr(self, name)
             if used + len(values) > len(held):
-                grown = np.empty(max(used + len(values), 2 * len(held)), held.dtype)
+                grown = np.empty(max(used + len(values), len(held) * 5 // 4), held.dtype)
                 grown[:used] = held[:used]
                 setattr(self, name, grown)
                 held = grown
@@ -451,9 +455,10 @@ def _follow(
     while len(who):
         edge = choose(who, at, len(steps))
         steps.append((who, edge))
-        length[who] += 1
         at = to[edge]
-        alive = at >= 0
+        ended = at < 0
+        length[who[ended]] = len(steps)
+        alive = np.flatnonzero(~ended)
         who, at = who[alive], at[alive]
     offset = np.cumsum(length) - length
     taken = np.empty(int(length.sum()), np.int64)
@@ -492,6 +497,11 @@ def _truncated(location: np.ndarray, bound: np.ndarray, exponential: np.ndarray)
     return -np.logaddexp(-bound, np.log(exponential) - location)
 
 
+def _highest(values: np.ndarray, k: int) -> float:
+    """The k-th highest value; minus infinity if there are fewer."""
+    return float(np.partition(values, -k)[-k]) if len(values) >= k else -math.inf
+
+
 def _log_rest(log_share: np.ndarray) -> np.ndarray:
     """log(1 - share); minus infinity where nothing is left."""
     rest = -np.expm1(np.minimum(log_share, 0.0))
@@ -544,8 +554,11 @@ class _Search:
         )
         return self.step + 1
 
-    def first_steps(self, fresh: int, k: int) -> np.ndarray:
-        """Logs of the new steps that can be among the k highest; the sums reach as far."""
+    def near_steps(self, fresh: int, k: int) -> tuple[int, np.ndarray]:
+        """How many new steps can matter, and what is left at the first of them.
+
+        The others among them, and all further ones, are too low for the k highest.
+        """
         # A region's maximum is never 40 above its location (noise has 64 bits), so regions
         # that far below k others cannot be among the highest k: the first steps suffice.
         path = self.paths[-1]
@@ -556,13 +569,19 @@ class _Search:
             sums[0] = 0.0
             np.cumsum(path.logs[:reach], out=sums[1:])
             path.sums = sums
-            if reach == len(path.edges):
-                break
-            if reach - fresh >= k:
-                rest = sums[fresh:-1] + _log_rest(path.logs[fresh:reach])
-                if sums[-1] < np.partition(rest, -k)[-k] - FAR_BELOW:
-                    break
-        return path.logs[fresh:reach]
+            # Sums go down, and what is left at a step is below the sum before it.
+            few = min(fresh + NEAR_STEPS, reach)
+            rest = sums[fresh:few] + _log_rest(path.logs[fresh:few])
+            if few == reach:
+                return reach - fresh, rest
+            floor = _highest(rest, k) - FAR_BELOW
+            if sums[few] >= floor:
+                near = reach - int(np.searchsorted(sums[few:reach][::-1], floor))
+                more = sums[few:near] + _log_rest(path.logs[few:near])
+                rest = np.concatenate([rest, more])
+                floor = _highest(rest, k) - FAR_BELOW
+            if reach == len(path.edges) or sums[-1] < floor:
+                return reach - fresh, rest
 
     def descend(self, lattices: Lattices) -> None:
         """Enter the highest region: its next edge, and the nodes to walk from."""
@@ -605,15 +624,14 @@ class _Search:
 
 def _settle(searches: list[_Search], fresh: list[int], k: int) -> None:
     """Record the last path of every search; its new steps leave regions behind."""
-    logs = [search.first_steps(at, k) for search, at in zip(searches, fresh, strict=True)]
-    sizes = [len(steps) for steps in logs]
-    cuts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
-    rest = np.concatenate([s.paths[-1].sums[at:-1] for s, at in zip(searches, fresh, strict=True)])
-    rest += _log_rest(np.concatenate(logs))
+    near = [search.near_steps(at, k) for search, at in zip(searches, fresh, strict=True)]
+    cuts = [0, *itertools.accumulate(len(rest) for _, rest in near)]
+    rest = np.concatenate([rest for _, rest in near])
     exponential = np.empty(len(rest))
-    for n, search in enumerate(searches):
-        search.random.standard_exponential(out=exponential[cuts[n] : cuts[n + 1]])
-    bounds = np.repeat([search.bound for search in searches], sizes)
+    for n, (search, (steps, _)) in enumerate(zip(searches, near, strict=True)):
+        noise = search.random.standard_exponential(steps)
+        exponential[cuts[n] : cuts[n + 1]] = noise[: cuts[n + 1] - cuts[n]]
+    bounds = np.repeat([search.bound for search in searches], np.diff(cuts))
     # Nothing is lowest where nothing is left.
     lowness = -_truncated(rest, bounds, exponential)
     for n, search in enumerate(searches):
@@ -697,13 +715,13 @@ class PartStore:
         self.met = np.empty(0, np.int64)
 
     def _shrink(self) -> None:
-        names = list(self.number)
+        names = np.array(list(self.number), dtype=object)
         often = np.argsort(-self.met, kind="stable")
         often = often[self.met[often] > 1]
-        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        lengths = np.diff(self.lattices.base[: len(names)], append=self.lattices.letters)
         stay = np.sort(often[np.cumsum(lengths[often]) <= LETTERS_KEPT // 2])
         self.lattices = self.lattices.kept(stay)
-        self.number = _Numbers((names[old], new) for new, old in enumerate(stay.tolist()))
+        self.number = _Numbers(zip(names[stay].tolist(), range(len(stay))))
         self.met = self.met[stay]
 
     def take(self, texts: list[str]) -> list[np.ndarray]:
@@ -715,8 +733,8 @@ class PartStore:
         names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         numbers = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
         fresh = [names[n] for n in np.flatnonzero(numbers >= known).tolist()]
-        if fresh:
-            self.lattices.add(fresh)
+        for begin in range(0, len(fresh), PARTS_TOGETHER):
+            self.lattices.add(fresh[begin : begin + PARTS_TOGETHER])
         places = parts.indices.to_numpy()
         if names:
             met = np.zeros(len(self.number), np.int64)
@@ -761,9 +779,15 @@ def encode_texts(
                 lattices, [group[n] for n in filled], k, [keys[begin + n] for n in filled], seed
             )
             drawn = dict(zip(filled, results, strict=True))
-        best = _split_ids(vocab, [lattices.best_pieces(group[n]) for n in filled])
-        paths = [lattices.piece[s.edges] for n in filled for s in drawn.get(n, [])]
-        sampled = iter(_split_ids(vocab, paths))
+        places = [group[n] for n in filled]
+        best = _split_ids(
+            vocab,
+            lattices.best_pieces(np.concatenate([np.empty(0, np.int64), *places])),
+            [int(lattices.best_count[place].sum()) for place in places],
+        )
+        paths = [s.edges for n in filled for s in drawn.get(n, [])]
+        edges = np.concatenate([np.empty(0, np.int64), *paths])
+        sampled = iter(_split_ids(vocab, lattices.piece[edges], [len(path) for path in paths]))
         of_text = dict(zip(filled, best, strict=True))
         for n in range(len(group)):
             if n not in of_text:
@@ -776,14 +800,11 @@ def encode_texts(
         begin += len(group)
 
 
-def _split_ids(vocab: Vocabulary, paths: list[np.ndarray]) -> list[np.ndarray]:
-    """Ids of the file for the pieces of each path."""
-    if not paths:
-        return []
-    lengths = np.fromiter(map(len, paths), np.int64, len(paths))
-    ids, lengths = vocab.ids(np.concatenate(paths), lengths)
+def _split_ids(vocab: Vocabulary, pieces: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    """Ids of the file for lists of pieces, which lie one after another."""
+    ids, lengths = vocab.ids(pieces, np.array(lengths, np.int64))
     ends = np.cumsum(lengths).tolist()
-    return [ids[a:b] for a, b in zip([0, *ends], ends)]
+    return [ids[begin:end] for begin, end in itertools.pairwise([0, *ends])]
 
 
 def _offsets(lengths: Iterable[int]) -> np.ndarray:
@@ -791,7 +812,7 @@ def _offsets(lengths: Iterable[int]) -> np.ndarray:
 
 
 def _id_lists(ids: list[np.ndarray]) -> pa.ListArray:
-    values = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32)
+    values = np.concatenate([np.empty(0, np.int32), *ids]).astype(np.int32, copy=False)
     return pa.ListArray.from_arrays(_offsets(map(len, ids)), pa.array(values))
 
 
@@ -876,7 +897,7 @@ def decode(
 
 
 def _digest(ids: np.ndarray) -> int:
-    return zlib.crc32(np.ascontiguousarray(ids, "<i4").tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, "<i4"))
 
 
 def segmentation_report(
