@@ -37,6 +37,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from textpulse.llm.common import bounded, map_with_id, quoted
@@ -695,14 +696,6 @@ class Encoded:
     samples: list[tuple[np.ndarray, Sample]]
 
 
-class _Numbers(dict):
-    """Numbers of parts in the order in which they come."""
-
-    def __missing__(self, part: str) -> int:
-        number = self[part] = len(self)
-        return number
-
-
 class PartStore:
     """Lattices of the parts met so far, which texts that follow share.
 
@@ -710,37 +703,36 @@ class PartStore:
     """
 
     def __init__(self, vocab: Vocabulary):
-        self.number = _Numbers()
+        self.names = pa.array([], pa.large_string())
         self.lattices = Lattices(vocab)
         self.met = np.empty(0, np.int64)
 
     def _shrink(self) -> None:
-        names = np.array(list(self.number), dtype=object)
         often = np.argsort(-self.met, kind="stable")
         often = often[self.met[often] > 1]
-        lengths = np.diff(self.lattices.base[: len(names)], append=self.lattices.letters)
+        lengths = np.diff(self.lattices.base[: len(self.names)], append=self.lattices.letters)
         stay = np.sort(often[np.cumsum(lengths[often]) <= LETTERS_KEPT // 2])
         self.lattices = self.lattices.kept(stay)
-        self.number = _Numbers(zip(names[stay].tolist(), range(len(stay))))
+        self.names = self.names.take(pa.array(stay))
         self.met = self.met[stay]
 
     def take(self, texts: list[str]) -> list[np.ndarray]:
         """Numbers of the parts of the next texts."""
         if self.lattices.letters > LETTERS_KEPT:
             self._shrink()
-        known = len(self.number)
+        known = len(self.names)
         parts, counts = split_texts(texts)
-        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
-        numbers = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
-        fresh = [names[n] for n in np.flatnonzero(numbers >= known).tolist()]
+        found = pc.index_in(parts.dictionary, value_set=self.names)
+        fresh = parts.dictionary.filter(found.is_null())
+        numbers = found.fill_null(-1).to_numpy().astype(np.int64)
+        numbers[numbers < 0] = np.arange(known, known + len(fresh))
         for begin in range(0, len(fresh), PARTS_TOGETHER):
-            self.lattices.add(fresh[begin : begin + PARTS_TOGETHER])
+            some = fresh.slice(begin, PARTS_TOGETHER)
+            self.lattices.add(some.to_numpy(zero_copy_only=False).tolist())
+        self.names = pa.concat_arrays([self.names, fresh])
         places = parts.indices.to_numpy()
-        if names:
-            met = np.zeros(len(self.number), np.int64)
-            met[:known] = self.met
-            met[numbers] += np.bincount(places, minlength=len(names))
-            self.met = met
+        self.met = np.concatenate([self.met, np.zeros(len(fresh), np.int64)])
+        self.met[numbers] += np.bincount(places, minlength=len(numbers))
         return np.split(numbers[places], np.cumsum(counts)[:-1])
 
 
